@@ -19,6 +19,12 @@ from .scalars import ColLike, _col
 FAIL = "fail"
 FLAG = "flag"
 
+# Lossless text for timestamps (microseconds kept; the default keeps millis).
+JSON_WRITE_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _null_literal_to_null(c: Column) -> Column:
     return F.when(F.trim(c) == F.lit("null"), F.lit(None).cast("string")).otherwise(c)
@@ -48,7 +54,7 @@ def field(doc: ColLike, path: str) -> Column:
 
 def path_text(c: ColLike, path: str) -> Column:
     """C2 for a one-off path on unparsed text (``$.a.b``)."""
-    return F.get_json_object(_col(c), "$." + path)
+    return F.get_json_object(_col(c), "$" + path if path.startswith("[") else "$." + path)
 
 
 def unnest(arr: ColLike) -> Column:
@@ -63,7 +69,12 @@ def unnest_with_position(arr: ColLike, pos: str = "pos", value: str = "value") -
 
 def encode(*cols: ColLike) -> Column:
     """K7: a record as one JSON text."""
-    return F.to_json(F.struct(*[_col(c) for c in cols]))
+    return to_text(F.struct(*[_col(c) for c in cols]))
+
+
+def to_text(c: ColLike) -> Column:
+    """K7 for any struct / array column (lossless timestamps)."""
+    return F.to_json(_col(c), JSON_WRITE_OPTIONS)
 
 
 def rowset(df: DataFrame, text: str, element_schema: str, keep: list[str] | None = None,

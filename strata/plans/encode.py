@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import documents as D
 from ..sinks.keyed import FIRST, one_per_key
 from ..sources.transports import TableTransport
 
@@ -63,7 +64,7 @@ def daily_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
                     k.alias("slot"), days.alias("days"))
     page_no = F.struct((-F.year("o_orderdate")).alias("y"), (-F.month("o_orderdate")).alias("m"),
                        (-k).alias("s"))
-    return o.select(page_no.alias("page_no"), F.to_json(page).alias("json_data"))
+    return o.select(page_no.alias("page_no"), D.to_text(page).alias("json_data"))
 
 
 def map_info(orders: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def map_info(orders: DataFrame) -> DataFrame:
         _iso(F.date_sub(F.to_date("o_orderdate"), (k % 30).cast("int"))).alias("UploadedAt"),
         _iso("o_orderdate").alias("UpdatedAt"))
     return orders.select(F.concat(F.lit("m"), k.cast("string")).alias("map_uid"),
-                         F.to_json(doc).alias("json_data"))
+                         D.to_text(doc).alias("json_data"))
 
 
 def leaderboard_rows(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def leaderboards(rows: DataFrame, orders: DataFrame) -> DataFrame:
     lb = orders.select("o_orderkey", F.concat(F.lit("lb"), F.col("o_custkey").cast("string")).alias("leaderboard_uid"))
     return tops.join(lb, tops.l_orderkey == lb.o_orderkey).select(
         F.concat(F.lit("m"), F.col("l_orderkey").cast("string")).alias("map_uid"),
-        "leaderboard_uid", F.to_json(F.struct("tops")).alias("json_data"))
+        "leaderboard_uid", D.to_text(F.struct("tops")).alias("json_data"))
 
 
 def authors(rows: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def authors(rows: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFram
                       F.struct(F.col("entry"), F.col("s_name").alias("Username"),
                                F.col("l_returnflag").alias("Role")).alias("a"))
     lists = cust.unionByName(sup).groupBy("track_id").agg(F.array_sort(F.collect_list("a")).alias("l"))
-    return lists.select("track_id", F.to_json(F.transform("l", lambda x: x.dropFields("entry"))).alias("json_data"))
+    return lists.select("track_id", D.to_text(F.transform("l", lambda x: x.dropFields("entry"))).alias("json_data"))
 
 
 def tag_reference(nation: DataFrame) -> DataFrame:

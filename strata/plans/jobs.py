@@ -214,47 +214,110 @@ UPDATE_TOTD = ["wr_username", "wr_user_id", "wr_replay_time", "wr_uploaded_date"
 
 @dataclass
 class Refresh:
-    """Run every job in order against a ``TableStore``."""
+    """Every job in order against a ``TableStore``.
+
+    Each step reads the stored layer tables it needs, so every job starts
+    from short, materialised lineage (as the scheduled jobs do) instead of
+    re-deriving upstream layers.  ``run(until)`` runs a step and the steps it
+    depends on; ``run()`` runs the full refresh in the reference order.
+    """
     store: TableStore
     feeds: object                        # has daily, map_info, leaderboards, authors, tags
     n: int | None = 10
     order: str = LATEST
     tie: str = TIE_FIRST
     land: str | None = None
-    on_violation: str = "fail"
-    log: list = field(default_factory=list)
+    done: set = field(default_factory=set)
+
+    ORDER = ("collect_daily", "conform_daily", "collect_map_info", "conform_map_info",
+             "collect_authors", "collect_leaderboards", "conform_authors", "conform_leaderboards",
+             "totd", "totd_tags", "totd_authors")
+    NEEDS = {
+        "collect_daily": (),
+        "conform_daily": ("collect_daily",),
+        "collect_map_info": ("conform_daily",),
+        "conform_map_info": ("collect_map_info",),
+        "collect_authors": ("conform_daily", "conform_map_info"),
+        "collect_leaderboards": ("conform_daily",),
+        "conform_authors": ("collect_authors",),
+        "conform_leaderboards": ("collect_leaderboards", "conform_daily", "conform_map_info"),
+        "totd": ("conform_daily", "conform_map_info", "conform_leaderboards"),
+        "totd_tags": ("conform_map_info",),
+        "totd_authors": ("conform_authors", "conform_daily"),
+    }
 
     def _t(self, spec):
         return self.store.read(spec)
 
-    def run(self) -> None:
-        st, f, spark = self.store, self.feeds, self.store.spark
-        st.insert_ignore(S.COLLECT_TMIO, collect_daily_batch(spark, f.daily, self.n, self.land),
-                         order_by=["json_data"])
-        tmio_b = conform_tmio_batch(self._t(S.COLLECT_TMIO))
-        st.insert_ignore(S.CONFORM_TMIO, conform_to(tmio_b, S.CONFORM_TMIO),
-                         order_by=[F.col("totd_year"), F.col("totd_month"), F.col("totd_day"), F.col("author_id")])
-        st.insert_ignore(S.COLLECT_TMX, collect_map_info_batch(self._t(S.CONFORM_TMIO), f.map_info, self.n, self.order),
-                         order_by=["json_data"])
-        st.insert_ignore(S.CONFORM_TMX, conform_to(conform_tmx_batch(self._t(S.COLLECT_TMX)), S.CONFORM_TMX),
-                         order_by=["track_id"])
-        tmio, tmx = self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX)
-        st.upsert(S.COLLECT_TMX_AUTHORS, collect_authors_batch(tmio, tmx, f.authors, self.n, self.order))
-        st.upsert(S.COLLECT_TMIO_LEADERBOARDS, collect_leaderboards_batch(tmio, f.leaderboards, self.n, self.order))
-        st.upsert(S.CONFORM_TMX_AUTHORS,
-                  conform_to(conform_authors_batch(self._t(S.COLLECT_TMX_AUTHORS)), S.CONFORM_TMX_AUTHORS),
-                  update_cols=["author_role"])
-        lb = conform_leaderboards_batch(self._t(S.COLLECT_TMIO_LEADERBOARDS), tmio, tmx)
-        st.upsert(S.CONFORM_TMIO_LEADERBOARDS, conform_to(lb, S.CONFORM_TMIO_LEADERBOARDS),
-                  update_cols=UPDATE_LEADERBOARD)
-        lead = self._t(S.CONFORM_TMIO_LEADERBOARDS)
-        st.upsert(S.CONSUME_TOTD, conform_to(totd_batch(tmx, tmio, lead, self.tie), S.CONSUME_TOTD),
-                  update_cols=UPDATE_TOTD)
-        st.insert_ignore(S.CONSUME_TOTD_TAGS, conform_to(totd_tags_batch(tmx, f.tags), S.CONSUME_TOTD_TAGS),
-                         order_by=["exchange_id"])
-        st.insert_ignore(S.CONSUME_TOTD_AUTHORS,
-                         conform_to(totd_authors_batch(self._t(S.CONFORM_TMX_AUTHORS), tmio), S.CONSUME_TOTD_AUTHORS),
-                         order_by=["user_id", "author_role"])
+    def run(self, until: str | None = None) -> "Refresh":
+        if until is None:
+            for step in self.ORDER:
+                getattr(self, step)()
+            return self
+        for dep in self.NEEDS[until]:
+            if dep not in self.done:
+                self.run(dep)
+        getattr(self, until)()
+        self.done.add(until)
+        return self
+
+    # X1
+    def collect_daily(self):
+        self.store.insert_ignore(S.COLLECT_TMIO, collect_daily_batch(self.store.spark, self.feeds.daily, self.n, self.land),
+                                 order_by=["json_data"])
+
+    # X5
+    def conform_daily(self):
+        b = conform_to(conform_tmio_batch(self._t(S.COLLECT_TMIO)), S.CONFORM_TMIO)
+        self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
+
+    # X2
+    def collect_map_info(self):
+        b = collect_map_info_batch(self._t(S.CONFORM_TMIO), self.feeds.map_info, self.n, self.order)
+        self.store.insert_ignore(S.COLLECT_TMX, b, order_by=["json_data"])
+
+    # X6
+    def conform_map_info(self):
+        b = conform_to(conform_tmx_batch(self._t(S.COLLECT_TMX)), S.CONFORM_TMX)
+        self.store.insert_ignore(S.CONFORM_TMX, b, order_by=["track_id"])
+
+    # X4
+    def collect_authors(self):
+        b = collect_authors_batch(self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.feeds.authors, self.n, self.order)
+        self.store.upsert(S.COLLECT_TMX_AUTHORS, b)
+
+    # X3
+    def collect_leaderboards(self):
+        b = collect_leaderboards_batch(self._t(S.CONFORM_TMIO), self.feeds.leaderboards, self.n, self.order)
+        self.store.upsert(S.COLLECT_TMIO_LEADERBOARDS, b)
+
+    # X8
+    def conform_authors(self):
+        b = conform_to(conform_authors_batch(self._t(S.COLLECT_TMX_AUTHORS)), S.CONFORM_TMX_AUTHORS)
+        self.store.upsert(S.CONFORM_TMX_AUTHORS, b, update_cols=["author_role"])
+
+    # X7
+    def conform_leaderboards(self):
+        b = conform_leaderboards_batch(self._t(S.COLLECT_TMIO_LEADERBOARDS), self._t(S.CONFORM_TMIO),
+                                       self._t(S.CONFORM_TMX))
+        self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, conform_to(b, S.CONFORM_TMIO_LEADERBOARDS),
+                          update_cols=UPDATE_LEADERBOARD)
+
+    # X9
+    def totd(self):
+        b = totd_batch(self._t(S.CONFORM_TMX), self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMIO_LEADERBOARDS), self.tie)
+        self.store.upsert(S.CONSUME_TOTD, conform_to(b, S.CONSUME_TOTD), update_cols=UPDATE_TOTD)
+
+    # X10
+    def totd_tags(self):
+        b = conform_to(totd_tags_batch(self._t(S.CONFORM_TMX), self.feeds.tags), S.CONSUME_TOTD_TAGS)
+        self.store.insert_ignore(S.CONSUME_TOTD_TAGS, b, order_by=["exchange_id"])
+
+    # X11
+    def totd_authors(self):
+        b = conform_to(totd_authors_batch(self._t(S.CONFORM_TMX_AUTHORS), self._t(S.CONFORM_TMIO)),
+                       S.CONSUME_TOTD_AUTHORS)
+        self.store.insert_ignore(S.CONSUME_TOTD_AUTHORS, b, order_by=["user_id", "author_role"])
 
 
 __all__ = ["Refresh", "TIE_ALL", "TIE_ERROR", "TIE_FIRST"]

@@ -22,10 +22,13 @@ BASE_CONF = {
 
 
 def build_session(master: str = "local[*]", app: str = "strata",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int = 8, extra: dict | None = None,
+                  driver_memory: str = "12g") -> SparkSession:
     """Local session for tests and the bench; clusters pass their own conf."""
     builder = (SparkSession.builder.master(master).appName(app)
+               .config("spark.driver.memory", driver_memory)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**BASE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
@@ -36,12 +39,42 @@ def build_session(master: str = "local[*]", app: str = "strata",
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Put the runtime settings on a session someone else built."""
+    """Put the runtime settings on a session someone else built, and make
+    the package importable on executors."""
     for k, v in BASE_CONF.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a running session: leave it
             pass
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application.
+
+    Python tasks that call library code (``mapInPandas`` fetches) unpickle
+    objects of this package, so executors must be able to import it.
+    Spark's own file distribution (``addPyFile``) carries the archive.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, archive = tempfile.mkstemp(prefix="strata-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:

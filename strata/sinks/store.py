@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ..schemas import TableSpec, empty
 from . import keyed
@@ -76,9 +77,9 @@ class TableStore:
     def _read_raw(self, spec: TableSpec) -> DataFrame | None:
         if self.bucket_count(spec):
             path = self.path(spec)
-            if not self._exists(path + "/_SUCCESS"):
+            if not self._exists(path):
                 return None
-            schema = spec.struct.add(BUCKET, "int")
+            schema = spec.struct.add(BUCKET, IntegerType())
             return self.spark.read.schema(schema).parquet(path)
         cur = self._current(spec)
         return None if cur is None else self.spark.read.schema(spec.struct).parquet(cur)
@@ -93,7 +94,8 @@ class TableStore:
         b = self.bucket_count(spec)
         if b:
             (df.withColumn(BUCKET, bucket_of(list(spec.key), b))
-             .write.mode("overwrite").partitionBy(BUCKET).parquet(self.path(spec)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(BUCKET).parquet(self.path(spec)))
         else:
             df.write.mode("errorifexists").parquet(self._next(spec))
 

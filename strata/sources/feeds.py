@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import documents as D
 from .transports import TableTransport
@@ -29,7 +30,7 @@ def keyed_fetch(keys: DataFrame, transport, key_cols: list[str], doc_col: str =
         return keys.join(resp, key_cols, "left")
     if partitions:
         keys = keys.repartition(partitions, *key_cols)
-    schema = keys.schema.add(doc_col, "string")
+    schema = StructType(list(keys.schema.fields) + [StructField(doc_col, StringType())])
 
     def fetch(batches):
         for pdf in batches:
