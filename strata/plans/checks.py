@@ -396,8 +396,9 @@ def _refresh(spark, sf, *steps) -> jobs.Refresh:
     reads the stored layer tables (short lineage, nothing recomputed)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _REFRESHES:
-        store = TableStore(spark, scratch_path(spark, "layers"))
-        _REFRESHES[key] = jobs.Refresh(store, encode.encoded_feeds(spark, sf), n=None)
+        root = scratch_path(spark, "layers")
+        store = TableStore(spark, f"{root}/lake")
+        _REFRESHES[key] = jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds"), n=None)
     r = _REFRESHES[key]
     for step in steps:
         if step not in r.done:
@@ -469,8 +470,9 @@ def daily_fact_all_ties(spark, sf):
 
 def full_refresh(spark, sf):
     """V41 (X12): every job in order through the store, twice; rows per consume table."""
-    store = TableStore(spark, scratch_path(spark, "full-refresh"))
-    feeds = encode.encoded_feeds(spark, sf)
+    root = scratch_path(spark, "full-refresh")
+    store = TableStore(spark, f"{root}/lake")
+    feeds = encode.encoded_feeds(spark, sf, f"{root}/feeds")
     counts = []
     for run in (1, 2):
         jobs.Refresh(store, feeds, n=None).run()

@@ -133,14 +133,26 @@ class Feeds:
     tags: DataFrame
 
 
-def encoded_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
+def encoded_feeds(spark: SparkSession, sf_dir: str, land: str | None = None) -> Feeds:
+    """The four feeds (and the tag reference) over the driver tables.
+
+    With ``land`` (a folder on the shared file system) every response table
+    is written once and read back, like responses landed from a live API:
+    the jobs then fetch from stored responses instead of re-deriving them.
+    """
     t = lambda n: read_table(spark, sf_dir, n)
     orders, customer = t("orders"), t("customer")
     rows = leaderboard_rows(t("lineitem"), t("supplier"))
+    tables = {"daily": daily_pages(orders, customer), "map_info": map_info(orders),
+              "leaderboards": leaderboards(rows, orders), "authors": authors(rows, orders, customer)}
+    if land is not None:
+        for name, df in tables.items():
+            df.write.mode("errorifexists").parquet(f"{land}/{name}")
+        tables = {name: spark.read.parquet(f"{land}/{name}") for name in tables}
     return Feeds(
-        daily=TableTransport(daily_pages(orders, customer), ("page_no",), "json_data"),
-        map_info=TableTransport(map_info(orders), ("map_uid",), "json_data"),
-        leaderboards=TableTransport(leaderboards(rows, orders), ("map_uid", "leaderboard_uid"), "json_data"),
-        authors=TableTransport(authors(rows, orders, customer), ("track_id",), "json_data"),
+        daily=TableTransport(tables["daily"], ("page_no",), "json_data"),
+        map_info=TableTransport(tables["map_info"], ("map_uid",), "json_data"),
+        leaderboards=TableTransport(tables["leaderboards"], ("map_uid", "leaderboard_uid"), "json_data"),
+        authors=TableTransport(tables["authors"], ("track_id",), "json_data"),
         tags=tag_reference(t("nation")),
     )

@@ -38,9 +38,15 @@ def conform_to(df: DataFrame, spec: TableSpec, strict: bool = True,
     if on_violation == FAIL:
         bad = _reasons(spec)
         if bad:
+            # The check rides on a projected column, not a filter: a filter
+            # would be pushed below the projection and re-evaluate the
+            # (JSON-parsing) column expressions once per rule.
             first = F.coalesce(*[F.when(cond, F.lit(msg)) for msg, cond in bad])
-            typed = typed.filter(F.when(first.isNotNull(), F.raise_error(
-                F.concat(F.lit(spec.qualified + ": "), first))).otherwise(F.lit(True)))
+            lead = (list(spec.key) or spec.names)[0]
+            guarded = F.when(first.isNotNull(), F.raise_error(
+                F.concat(F.lit(spec.qualified + ": "), first))).otherwise(F.col(lead))
+            typed = typed.select(*[guarded.cast(spec.column(c).dtype).alias(c) if c == lead else F.col(c)
+                                   for c in spec.names])
     return typed
 
 

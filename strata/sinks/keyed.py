@@ -30,15 +30,37 @@ def _any_null(key: list[str]) -> Column:
 
 
 def _split_null_keys(df: DataFrame, key: list[str], null_keys: str):
-    if null_keys == MATCH:
-        return df, None
+    """Only ``'reject'`` needs a pass of its own; ``'append'`` rows flow
+    through the same plan (NULL never matches an equi join) and ``'match'``
+    uses null-safe equality."""
     if null_keys == REJECT:
-        checked = df.filter(F.when(_any_null(key), F.raise_error(
+        return df.filter(F.when(_any_null(key), F.raise_error(
             F.lit("NULL in key " + ",".join(key)))).otherwise(F.lit(True)))
-        return checked, None
-    if null_keys != APPEND:
+    if null_keys not in (APPEND, MATCH):
         raise ValueError(null_keys)
-    return df.filter(~_any_null(key)), df.filter(_any_null(key))
+    return df
+
+
+SALT = "_nullsalt"
+
+
+def _with_salt(df: DataFrame, key: list[str], null_keys: str, unique: bool) -> DataFrame:
+    """Add the ``_nullsalt`` column (``'append'`` only).
+
+    0 for a complete key; for a key with a NULL part a per-row id on the
+    batch side (so each such row is its own group and a run of NULL keys
+    never lands in one task) and -1 on the stored side.  Grouping and joining
+    on (key, salt) is the same as on the key - a NULL key never matches - and
+    the join reuses the grouping's hash partitioning, saving a shuffle.
+    """
+    if null_keys != APPEND:
+        return df
+    odd = F.monotonically_increasing_id() if unique else F.lit(-1).cast("bigint")
+    return df.withColumn(SALT, F.when(_any_null(key), odd).otherwise(F.lit(0).cast("bigint")))
+
+
+def _group_key(key: list[str], null_keys: str) -> list[str]:
+    return key + [SALT] if null_keys == APPEND else list(key)
 
 
 def _order(order_by: list[Column | str] | None, keep: str) -> list[Column]:
@@ -51,34 +73,41 @@ def _order(order_by: list[Column | str] | None, keep: str) -> list[Column]:
 
 
 def one_per_key(batch: DataFrame, key: list[str], keep: str,
-                order_by: list[Column | str] | None = None) -> DataFrame:
+                order_by: list[Column | str] | None = None,
+                null_keys: str = MATCH) -> DataFrame:
     """Reduce a batch to one row per key.  ``row_number() = 1`` plans a
     partial WindowGroupLimit before the shuffle, so a hot key sends at most
-    one row per map task."""
+    one row per map task.  With ``null_keys='append'`` the result keeps the
+    ``_nullsalt`` column for the merge join."""
+    had_salt = SALT in batch.columns
+    if null_keys == APPEND and not had_salt:
+        batch = _with_salt(batch, key, null_keys, unique=True)
+    part = _group_key(key, null_keys)
     if keep == ERROR:
-        n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-        return (batch.withColumn("_n", n)
-                .filter(F.when(F.col("_n") > 1, F.raise_error(
-                    F.lit("batch holds two rows for one key " + ",".join(key)))).otherwise(F.lit(True)))
-                .drop("_n"))
-    w = Window.partitionBy(*key).orderBy(*_order(order_by, keep))
-    return batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        n = F.count(F.lit(1)).over(Window.partitionBy(*part))
+        out = (batch.withColumn("_n", n)
+               .filter(F.when(F.col("_n") > 1, F.raise_error(
+                   F.lit("batch holds two rows for one key " + ",".join(key)))).otherwise(F.lit(True)))
+               .drop("_n"))
+    else:
+        w = Window.partitionBy(*part).orderBy(*_order(order_by, keep))
+        out = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return out
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: list[str],
              order_by: list[Column | str] | None = None, null_keys: str = APPEND) -> DataFrame:
     """K1 + J8: batch rows to append - first per key, key not stored yet."""
-    batch = batch.select(*target.columns)
-    ok, nulls = _split_null_keys(batch, key, null_keys)
-    first = one_per_key(ok, key, FIRST, order_by)
-    stored = target.select(*key)
-    if null_keys == APPEND:
-        stored = stored.filter(~_any_null(key))
-        fresh = first.join(stored, key, "left_anti")
-    else:
+    cols = target.columns
+    batch = _split_null_keys(batch.select(*cols), key, null_keys)
+    first = one_per_key(batch, key, FIRST, order_by, null_keys)
+    if null_keys == MATCH:
+        stored = target.select(*key)
         cond = reduce(lambda a, b: a & b, [first[k].eqNullSafe(stored[k]) for k in key])
-        fresh = first.join(stored, cond, "left_anti")
-    return fresh if nulls is None else fresh.unionByName(nulls)
+        return first.join(stored, cond, "left_anti")
+    stored = _with_salt(target.select(*key), key, null_keys, unique=False)
+    # an equi anti join keeps NULL-keyed rows: NULL never matches
+    return first.join(stored, _group_key(key, null_keys), "left_anti").select(*cols)
 
 
 def merge_insert_ignore(target: DataFrame, batch: DataFrame, key: list[str],
@@ -99,22 +128,23 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: list[str],
     others; a key present on one side keeps that side's row.
     """
     cols = target.columns
-    batch = batch.select(*cols)
+    batch = _split_null_keys(batch.select(*cols), key, null_keys)
     others = [c for c in cols if c not in key]
     update = set(others if update_cols is None else update_cols)
-    t_ok, t_nulls = _split_null_keys(target, key, APPEND if null_keys == APPEND else MATCH)
-    b_ok, b_nulls = _split_null_keys(batch, key, null_keys)
-    b_one = one_per_key(b_ok, key, on_duplicate, order_by)
-    t = t_ok.select(*[F.col(c).alias("t_" + c) if c in others else F.col(c) for c in cols],
-                    F.lit(True).alias("_in_t"))
-    b = b_one.select(*[F.col(c).alias("b_" + c) if c in others else F.col(c) for c in cols],
+    b_one = one_per_key(batch, key, on_duplicate, order_by, null_keys)
+    tgt = _with_salt(target, key, null_keys, unique=False)
+    jk = _group_key(key, null_keys)
+    t = tgt.select(*[F.col(c).alias("t_" + c) if c in others else F.col(c) for c in tgt.columns],
+                   F.lit(True).alias("_in_t"))
+    b = b_one.select(*[F.col(c).alias("b_" + c) if c in others else F.col(c) for c in b_one.columns],
                      F.lit(True).alias("_in_b"))
     if null_keys == MATCH:
         cond = reduce(lambda a, c: a & c, [t[k].eqNullSafe(b[k]) for k in key])
         j = t.join(b, cond, "full_outer")
         keys = [F.coalesce(t[k], b[k]).alias(k) for k in key]
     else:
-        j = t.join(b, key, "full_outer")
+        # NULL keys never match, so such rows come through unmatched: appended
+        j = t.join(b, jk, "full_outer")
         keys = [F.col(k) for k in key]
     vals = []
     for c in others:
@@ -122,8 +152,4 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: list[str],
             vals.append(F.when(F.col("_in_b"), F.col("b_" + c)).otherwise(F.col("t_" + c)).alias(c))
         else:
             vals.append(F.when(F.col("_in_t"), F.col("t_" + c)).otherwise(F.col("b_" + c)).alias(c))
-    out = j.select(*keys, *vals).select(*cols)
-    for extra in (t_nulls, b_nulls):
-        if extra is not None:
-            out = out.unionByName(extra)
-    return out
+    return j.select(*keys, *vals).select(*cols)
