@@ -50,7 +50,11 @@ def int_list(c: ColLike, sep: str = ",", strict: bool = True) -> Column:
     """C4: comma list text -> array<int>.  '' is the empty array, NULL stays NULL."""
     c = _col(c)
     parts = F.split(c, sep)
-    arr = parts.cast("array<int>") if strict else parts.try_cast("array<int>")
+    if strict:
+        arr = parts.cast("array<int>")
+    else:  # one bad element makes the whole value NULL (a quarantine reason)
+        tried = parts.try_cast("array<int>")
+        arr = F.when(F.size(F.array_compact(tried)) == F.size(parts), tried)
     return F.when(c == F.lit(""), F.array().cast("array<int>")).otherwise(arr)
 
 

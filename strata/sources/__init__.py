@@ -1,4 +1,4 @@
 """Sources: feed fetches (A1-A4) over pluggable transports; layer tables are read by ``TableStore``."""
 
 from .feeds import keyed_fetch, list_head, page_entries, paged_feed  # noqa: F401
-from .transports import HttpTransport, ParquetTransport, TableTransport  # noqa: F401
+from .transports import HttpTransport, MemoryTransport, ParquetTransport, TableTransport  # noqa: F401

@@ -65,3 +65,14 @@ class TableTransport:
     responses: DataFrame
     key_cols: tuple[str, ...]
     doc_col: str
+
+
+@dataclass
+class MemoryTransport:
+    """Responses held in a dict (request key -> text); for tests and replays
+    of a handful of saved responses.  Keys are the first key column's value."""
+    responses: dict
+    key_col: str
+
+    def fetch(self, keys: list[dict]) -> list[str | None]:
+        return [self.responses.get(k[self.key_col]) for k in keys]
