@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import documents as D
+from ..operators.partitioning import spread
 from ..sinks.keyed import FIRST, one_per_key
 from ..sources.transports import TableTransport
 
@@ -141,8 +142,8 @@ def encoded_feeds(spark: SparkSession, sf_dir: str, land: str | None = None) ->
     the jobs then fetch from stored responses instead of re-deriving them.
     """
     t = lambda n: read_table(spark, sf_dir, n)
-    orders, customer = t("orders"), t("customer")
-    rows = leaderboard_rows(t("lineitem"), t("supplier"))
+    orders, customer = spread(t("orders")), t("customer")
+    rows = leaderboard_rows(spread(t("lineitem")), t("supplier"))
     tables = {"daily": daily_pages(orders, customer), "map_info": map_info(orders),
               "leaderboards": leaderboards(rows, orders), "authors": authors(rows, orders, customer)}
     if land is not None:

@@ -18,6 +18,7 @@ from ..functions import documents as D
 from ..functions import scalars as X
 from ..operators.aggregates import TIE_ALL, TIE_ERROR, TIE_FIRST, arg_min, group_min
 from ..operators.joins import either_key_join, lookup_join
+from ..operators.partitioning import spread
 from ..operators.selection import LATEST, select_days
 from ..sinks import keyed
 from ..sinks.constraints import conform_to
@@ -268,7 +269,7 @@ class Refresh:
 
     # X5
     def conform_daily(self):
-        b = conform_to(conform_tmio_batch(self._t(S.COLLECT_TMIO)), S.CONFORM_TMIO)
+        b = conform_to(conform_tmio_batch(spread(self._t(S.COLLECT_TMIO))), S.CONFORM_TMIO)
         self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
 
     # X2
@@ -278,7 +279,7 @@ class Refresh:
 
     # X6
     def conform_map_info(self):
-        b = conform_to(conform_tmx_batch(self._t(S.COLLECT_TMX)), S.CONFORM_TMX)
+        b = conform_to(conform_tmx_batch(spread(self._t(S.COLLECT_TMX))), S.CONFORM_TMX)
         self.store.insert_ignore(S.CONFORM_TMX, b, order_by=["track_id"])
 
     # X4
@@ -293,12 +294,12 @@ class Refresh:
 
     # X8
     def conform_authors(self):
-        b = conform_to(conform_authors_batch(self._t(S.COLLECT_TMX_AUTHORS)), S.CONFORM_TMX_AUTHORS)
+        b = conform_to(conform_authors_batch(spread(self._t(S.COLLECT_TMX_AUTHORS))), S.CONFORM_TMX_AUTHORS)
         self.store.upsert(S.CONFORM_TMX_AUTHORS, b, update_cols=["author_role"])
 
     # X7
     def conform_leaderboards(self):
-        b = conform_leaderboards_batch(self._t(S.COLLECT_TMIO_LEADERBOARDS), self._t(S.CONFORM_TMIO),
+        b = conform_leaderboards_batch(spread(self._t(S.COLLECT_TMIO_LEADERBOARDS)), self._t(S.CONFORM_TMIO),
                                        self._t(S.CONFORM_TMX))
         self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, conform_to(b, S.CONFORM_TMIO_LEADERBOARDS),
                           update_cols=UPDATE_LEADERBOARD)

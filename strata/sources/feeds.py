@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import documents as D
+from ..operators.partitioning import spread
 from .transports import TableTransport
 
 
@@ -83,8 +84,8 @@ def paged_feed(spark: SparkSession, transport, n: int | None, land: str | None =
     reaches the driver.  The walk stops at N entries or at the first empty page.
     """
     if isinstance(transport, TableTransport):
-        pages = transport.responses.select(F.col(transport.key_cols[0]).alias("page_no"),
-                                           F.col(transport.doc_col).alias("json_data"))
+        pages = spread(transport.responses).select(F.col(transport.key_cols[0]).alias("page_no"),
+                                                   F.col(transport.doc_col).alias("json_data"))
     else:
         if land is None:
             raise ValueError("paged_feed over a live transport needs a landing folder")
