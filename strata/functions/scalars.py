@@ -106,3 +106,33 @@ def pad_fit(c: ColLike, n: int) -> Column:
     c = _col(c)
     return F.when((F.length(c) > n) & (F.length(F.rtrim(c)) <= n),
                   F.substring(c, 1, n)).otherwise(c)
+
+
+class Casts:
+    """Cast sites of one batch: strict (ANSI, a bad value fails the job) or
+    lenient (``try_cast``) with the first failing site kept as a reason."""
+
+    def __init__(self, strict: bool = True):
+        self.strict = strict
+        self._bad: list[Column] = []
+
+    def __call__(self, c: ColLike, dtype: str, name: str) -> Column:
+        c = _col(c)
+        if self.strict:
+            return c.cast(dtype)
+        v = c.try_cast(dtype)
+        self._bad.append(F.when(c.isNotNull() & v.isNull(), F.lit("bad " + name)))
+        return v
+
+    def int_list(self, c: ColLike, name: str) -> Column:
+        c = _col(c)
+        v = int_list(c, strict=self.strict)
+        if not self.strict:
+            self._bad.append(F.when(c.isNotNull() & v.isNull(), F.lit("bad " + name)))
+        return v
+
+    def reason(self) -> list[Column]:
+        """The ``_reason`` column to add to the batch (none when strict)."""
+        if self.strict or not self._bad:
+            return []
+        return [F.coalesce(*self._bad).alias("_reason")]

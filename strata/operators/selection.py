@@ -42,12 +42,13 @@ def newest_entries(entries: DataFrame, page: str, seq: str, n: int,
     TakeOrderedAndProject; positions come from per-page counts (partial
     aggregate), since every later element of a kept page is kept too.
     """
-    if n > BROADCAST_MAX_ROWS:
-        raise ValueError("newest_entries keeps at most %d rows" % BROADCAST_MAX_ROWS)
     top = entries.orderBy(F.col(page).desc(), F.col(seq).desc()).limit(n)
-    sizes = (entries.join(F.broadcast(top.select(page).distinct()), page, "left_semi")
+    # the kept rows (and so their pages) number at most N: broadcast them when
+    # N is within the broadcast bound, else leave the joins to the planner
+    small = (lambda df: F.broadcast(df)) if n <= BROADCAST_MAX_ROWS else (lambda df: df)
+    sizes = (entries.join(small(top.select(page).distinct()), page, "left_semi")
              .groupBy(page).agg(F.count(F.lit(1)).alias("_size")))
     back = F.row_number().over(Window.partitionBy(page).orderBy(F.col(seq).desc()))
-    return (top.join(F.broadcast(sizes), page)
+    return (top.join(small(sizes), page)
             .withColumn(position, (F.col("_size") - back + 1).cast("int"))
             .drop("_size"))

@@ -21,7 +21,8 @@ from ..operators.joins import either_key_join, lookup_join
 from ..operators.partitioning import spread
 from ..operators.selection import LATEST, select_days
 from ..sinks import keyed
-from ..sinks.constraints import conform_to
+from ..sinks.constraints import QUARANTINE, conform_to
+from ..session import shared_dir
 from ..sinks.store import TableStore
 from ..sources.feeds import keyed_fetch, paged_feed
 
@@ -76,36 +77,38 @@ def conform_tmio_batch(raw: DataFrame, on_bad: str = D.FAIL) -> DataFrame:
     """Daily selections, typed.  The payload is parsed once."""
     d = raw.select("data_year", "data_month", "data_day", "data_slot",
                    D.parse("json_data", TMIO_DOC, on_bad).alias("j"))
+    cast = X.Casts(strict=on_bad == D.FAIL)
     m = lambda p: D.field("j", "map." + p)
-    up = X.text_to_date(m("timestamp"))
-    out = d.select(
+    up = cast(m("timestamp"), "date", "uploaded_date")
+    return d.select(
         F.col("data_year").alias("totd_year"), F.col("data_month").alias("totd_month"),
         F.col("data_day").alias("totd_day"),
         m("mapUid").alias("map_uid"),
-        X.zero_to_null(X.strict_cast(m("exchangeid"), "int")).alias("exchange_id"),
+        X.zero_to_null(cast(m("exchangeid"), "int", "exchange_id")).alias("exchange_id"),
         m("authorplayer.name").alias("author_name"), m("authorplayer.id").alias("author_id"),
-        X.ms_to_seconds(m("authorScore")).alias("author_time"),
-        X.ms_to_seconds(m("goldScore")).alias("gold_time"),
-        X.ms_to_seconds(m("silverScore")).alias("silver_time"),
-        X.ms_to_seconds(m("bronzeScore")).alias("bronze_time"),
+        (cast(m("authorScore"), "double", "author_time") / 1000).alias("author_time"),
+        (cast(m("goldScore"), "double", "gold_time") / 1000).alias("gold_time"),
+        (cast(m("silverScore"), "double", "silver_time") / 1000).alias("silver_time"),
+        (cast(m("bronzeScore"), "double", "bronze_time") / 1000).alias("bronze_time"),
         m("submitterplayer.name").alias("submitter_name"), m("submitterplayer.id").alias("submitter_id"),
         *X.year_month_day(up, "uploaded"),
         D.field("j", "leaderboarduid").alias("leaderboard_uid"),
-        F.col("data_slot"))
-    return out
+        *cast.reason())
 
 
 def conform_tmx_batch(raw: DataFrame, on_bad: str = D.FAIL) -> DataFrame:
     """Map info, typed; Tags text -> int array."""
     d = raw.select("map_uid", D.parse("json_data", TMX_DOC, on_bad).alias("j"))
+    cast = X.Casts(strict=on_bad == D.FAIL)
     f = lambda p: D.field("j", p)
     return d.select(
-        "map_uid", X.strict_cast(f("TrackID"), "int").alias("track_id"),
+        "map_uid", cast(f("TrackID"), "int", "track_id").alias("track_id"),
         f("GbxMapName").alias("map_name"), f("StyleName").alias("style_name"),
-        f("DifficultyName").alias("difficulty_name"), X.int_list(f("Tags")).alias("map_tags"),
-        X.strict_cast(f("Laps"), "int").alias("laps"),
-        *X.year_month_day(X.text_to_date(f("UploadedAt")), "uploaded"),
-        *X.year_month_day(X.text_to_date(f("UpdatedAt")), "updated"))
+        f("DifficultyName").alias("difficulty_name"), cast.int_list(f("Tags"), "map_tags").alias("map_tags"),
+        cast(f("Laps"), "int", "laps").alias("laps"),
+        *X.year_month_day(cast(f("UploadedAt"), "date", "uploaded_date"), "uploaded"),
+        *X.year_month_day(cast(f("UpdatedAt"), "date", "updated_date"), "updated"),
+        *cast.reason())
 
 
 def conform_leaderboards_batch(raw: DataFrame, tmio: DataFrame, tmx: DataFrame,
@@ -116,13 +119,15 @@ def conform_leaderboards_batch(raw: DataFrame, tmio: DataFrame, tmx: DataFrame,
          .join(tmx.select("map_uid", F.col("track_id").alias("_tr")), "map_uid", "left"))
     tops = D.parse("json_data", LEADERBOARD_DOC, on_bad).getField("tops")
     e = j.select(X.first_key("_ex", "_tr").alias("exchange_id"), D.unnest(tops).alias("e"))
-    up = X.text_to_date(D.field("e", "timestamp"))
+    cast = X.Casts(strict=on_bad == D.FAIL)
+    up = cast(D.field("e", "timestamp"), "date", "uploaded_date")
     return e.select(
         F.col("exchange_id").cast("int").alias("exchange_id"),
         D.field("e", "player.name").alias("player_name"),
         D.field("e", "player.id").alias("player_id"),
-        X.ms_to_seconds(D.field("e", "time")).alias("replay_time"),
-        *X.year_month_day(up, "uploaded"))
+        (cast(D.field("e", "time"), "double", "replay_time") / 1000).alias("replay_time"),
+        *X.year_month_day(up, "uploaded"),
+        *cast.reason())
 
 
 def conform_authors_batch(raw: DataFrame, on_bad: str = D.FAIL) -> DataFrame:
@@ -228,6 +233,7 @@ class Refresh:
     order: str = LATEST
     tie: str = TIE_FIRST
     land: str | None = None
+    on_violation: str = "fail"           # or "quarantine": bad rows go to quarantine/<layer>_<table>
     done: set = field(default_factory=set)
 
     ORDER = ("collect_daily", "conform_daily", "collect_map_info", "conform_map_info",
@@ -250,6 +256,44 @@ class Refresh:
     def _t(self, spec):
         return self.store.read(spec)
 
+    # ---- quarantine mode (K5, P7, C3) ------------------------------------
+    @property
+    def _quarantining(self) -> bool:
+        return self.on_violation == QUARANTINE
+
+    def quarantine_path(self, spec) -> str:
+        return f"{self.store.root}/quarantine/{spec.layer}_{spec.name}"
+
+    def _quarantine(self, target, rows: DataFrame, reason) -> None:
+        cols = [c for c in rows.columns if c != "reason"]
+        (rows.select(F.lit(target.qualified).alias("table_name"),
+                     D.to_text(F.struct(*cols)).alias("payload"), reason.alias("reason"))
+         .write.mode("append").parquet(self.quarantine_path(target)))
+
+    def _raw(self, source, target) -> DataFrame:
+        """A stored collect table, spread for parsing; in quarantine mode the
+        rows that are not JSON at all are set aside first."""
+        raw = spread(self._t(source))
+        if not self._quarantining:
+            return raw
+        bad = D.is_bad_json(F.col("json_data"))
+        self._quarantine(target, raw.filter(bad), F.lit("bad json"))
+        return raw.filter(~bad)
+
+    def _typed(self, batch: DataFrame, target) -> DataFrame:
+        """K4 into the target's types; in quarantine mode the batch is
+        checkpointed once (reliable, shared folder) and split on ``reason``."""
+        if not self._quarantining:
+            return conform_to(batch, target)
+        shared_dir(self.store.spark)          # checkpoint() writes to spark.checkpoint.dir
+        typed = conform_to(batch, target, on_violation=QUARANTINE).checkpoint(eager=True)
+        self._quarantine(target, typed.filter(F.col("reason").isNotNull()), F.col("reason"))
+        return typed.filter(F.col("reason").isNull()).drop("reason")
+
+    @property
+    def _on_bad(self) -> str:
+        return D.FLAG if self._quarantining else D.FAIL
+
     def run(self, until: str | None = None) -> "Refresh":
         if until is None:
             for step in self.ORDER:
@@ -269,7 +313,7 @@ class Refresh:
 
     # X5
     def conform_daily(self):
-        b = conform_to(conform_tmio_batch(spread(self._t(S.COLLECT_TMIO))), S.CONFORM_TMIO)
+        b = self._typed(conform_tmio_batch(self._raw(S.COLLECT_TMIO, S.CONFORM_TMIO), self._on_bad), S.CONFORM_TMIO)
         self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
 
     # X2
@@ -279,7 +323,7 @@ class Refresh:
 
     # X6
     def conform_map_info(self):
-        b = conform_to(conform_tmx_batch(spread(self._t(S.COLLECT_TMX))), S.CONFORM_TMX)
+        b = self._typed(conform_tmx_batch(self._raw(S.COLLECT_TMX, S.CONFORM_TMX), self._on_bad), S.CONFORM_TMX)
         self.store.insert_ignore(S.CONFORM_TMX, b, order_by=["track_id"])
 
     # X4
@@ -294,30 +338,31 @@ class Refresh:
 
     # X8
     def conform_authors(self):
-        b = conform_to(conform_authors_batch(spread(self._t(S.COLLECT_TMX_AUTHORS))), S.CONFORM_TMX_AUTHORS)
+        b = self._typed(conform_authors_batch(self._raw(S.COLLECT_TMX_AUTHORS, S.CONFORM_TMX_AUTHORS), self._on_bad),
+                        S.CONFORM_TMX_AUTHORS)
         self.store.upsert(S.CONFORM_TMX_AUTHORS, b, update_cols=["author_role"])
 
     # X7
     def conform_leaderboards(self):
-        b = conform_leaderboards_batch(spread(self._t(S.COLLECT_TMIO_LEADERBOARDS)), self._t(S.CONFORM_TMIO),
-                                       self._t(S.CONFORM_TMX))
-        self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, conform_to(b, S.CONFORM_TMIO_LEADERBOARDS),
+        b = conform_leaderboards_batch(self._raw(S.COLLECT_TMIO_LEADERBOARDS, S.CONFORM_TMIO_LEADERBOARDS),
+                                       self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self._on_bad)
+        self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, self._typed(b, S.CONFORM_TMIO_LEADERBOARDS),
                           update_cols=UPDATE_LEADERBOARD)
 
     # X9
     def totd(self):
         b = totd_batch(self._t(S.CONFORM_TMX), self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMIO_LEADERBOARDS), self.tie)
-        self.store.upsert(S.CONSUME_TOTD, conform_to(b, S.CONSUME_TOTD), update_cols=UPDATE_TOTD)
+        self.store.upsert(S.CONSUME_TOTD, self._typed(b, S.CONSUME_TOTD), update_cols=UPDATE_TOTD)
 
     # X10
     def totd_tags(self):
-        b = conform_to(totd_tags_batch(self._t(S.CONFORM_TMX), self.feeds.tags), S.CONSUME_TOTD_TAGS)
+        b = self._typed(totd_tags_batch(self._t(S.CONFORM_TMX), self.feeds.tags), S.CONSUME_TOTD_TAGS)
         self.store.insert_ignore(S.CONSUME_TOTD_TAGS, b, order_by=["exchange_id"])
 
     # X11
     def totd_authors(self):
-        b = conform_to(totd_authors_batch(self._t(S.CONFORM_TMX_AUTHORS), self._t(S.CONFORM_TMIO)),
-                       S.CONSUME_TOTD_AUTHORS)
+        b = self._typed(totd_authors_batch(self._t(S.CONFORM_TMX_AUTHORS), self._t(S.CONFORM_TMIO)),
+                        S.CONSUME_TOTD_AUTHORS)
         self.store.insert_ignore(S.CONSUME_TOTD_AUTHORS, b, order_by=["user_id", "author_role"])
 
 

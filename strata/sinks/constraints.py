@@ -23,17 +23,31 @@ def conform_to(df: DataFrame, spec: TableSpec, strict: bool = True,
                on_violation: str = FAIL) -> DataFrame:
     """K4: select the declared columns by name and cast them.
 
-    ``on_violation='fail'`` also fails the job on NULL in a NOT NULL column
-    and on text longer than its VARCHAR(n); ``'quarantine'`` leaves those rows
-    for ``split_violations``.
+    ``on_violation='fail'`` fails the job on a bad cast (ANSI), on NULL in a
+    NOT NULL column and on text longer than its VARCHAR(n).
+    ``'quarantine'`` casts with ``try_cast`` and adds ``reason``: the first
+    rule a row breaks (``bad <col>``, ``null <col>``, ``<col> longer than n``),
+    NULL when it passes; ``split_violations`` / the runner route on it.
     """
-    out = []
+    quarantine = on_violation == QUARANTINE
+    out, bad_cast = [], []
     for c in spec.columns:
-        v = F.col(c.name)
-        v = v.cast(c.dtype) if strict else v.try_cast(c.dtype)
+        src = F.col(c.name)
+        v = src.cast(c.dtype) if (strict and not quarantine) else src.try_cast(c.dtype)
+        if quarantine:
+            bad_cast.append((f"bad {c.name}", src.isNotNull() & v.isNull()))
         if c.max_len:
             v = pad_fit(v, c.max_len)
         out.append(v.alias(c.name))
+    if quarantine:
+        # a ``_reason`` from the batch (a failed cast inside it) comes first
+        upstream = [F.col("_reason")] if "_reason" in df.columns else []
+        first_bad = F.coalesce(*upstream, *[F.when(cond, F.lit(msg)) for msg, cond in bad_cast])
+        typed = df.select(*out, first_bad.alias("_cast_reason"))
+        rules = _reasons(spec)
+        later = F.coalesce(*[F.when(cond, F.lit(msg)) for msg, cond in rules]) if rules \
+            else F.lit(None).cast("string")
+        return typed.select(*spec.names, F.coalesce(F.col("_cast_reason"), later).alias("reason"))
     typed = df.select(*out)
     if on_violation == FAIL:
         bad = _reasons(spec)

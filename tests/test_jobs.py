@@ -154,3 +154,19 @@ def test_paged_feed_walks_pages_until_n(spark, tmp_lake):
     assert rows(same, "data_year", "data_month", "data_day") == r
     everything = paged_feed(spark, tr, None, land=tmp_lake + "/land2", first_round=1)
     assert len(everything.collect()) == 65
+
+
+def test_quarantine_mode_routes_bad_rows(spark, tmp_lake):
+    st = TableStore(spark, tmp_lake)
+    st.replace(S.COLLECT_TMIO, raw_daily(spark, [
+        ((2023, 1, 2), payload("good", 5)),
+        ((2023, 1, 3), "{not json"),
+        ((2023, 1, 4), payload("badcast", "abc")),
+        ((2023, 1, 5), payload("x" * 60, 6)),
+        ((2023, 1, 6), {"leaderboarduid": "no map"}),
+    ]))
+    r = jobs.Refresh(st, feeds=None, n=None, on_violation="quarantine")
+    r.conform_daily()
+    assert [x.map_uid for x in st.read(S.CONFORM_TMIO).collect()] == ["good"]
+    q = spark.read.parquet(r.quarantine_path(S.CONFORM_TMIO))
+    assert sorted(x.reason for x in q.collect()) == ["bad exchange_id", "bad json", "map_uid longer than 50", "null map_uid"]
