@@ -17,9 +17,10 @@ def either_key_join(left: DataFrame, right: DataFrame, left_keys: list[str],
 
     Each left row is expanded to its distinct non-null keys, so a row whose two
     keys are equal meets a right row once, and a row with both keys NULL meets
-    none.  Catalyst then plans a hash or sort-merge join (AQE splits a hot key)
-    instead of the nested loop an OR condition forces.  Requires ``right_key``
-    to be unique in ``right`` for the result to equal the OR join.
+    none.  A right row has one key value, so it meets a left row at most once
+    either way: the result is the OR join's bag.  Catalyst then plans a hash
+    or sort-merge join (AQE splits a hot key) instead of the nested loop an
+    OR condition forces.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError("either_key_join supports inner and left_semi")

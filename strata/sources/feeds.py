@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import documents as D
 from ..operators.partitioning import spread
+from .datasource import read_pages
 from .transports import TableTransport
 
 
@@ -78,10 +79,10 @@ def paged_feed(spark: SparkSession, transport, n: int | None, land: str | None =
     the newest N by (page, position from the end).
 
     With a ``TableTransport`` every page is already there (``page_no`` +
-    document).  Otherwise pages are fetched on executors in rounds of growing
-    size; each round is written to ``land`` so a lost executor never makes the
-    walk fetch a page twice, and only the round's entry count (one number)
-    reaches the driver.  The walk stops at N entries or at the first empty page.
+    document).  Otherwise pages are read through the ``strata_pages`` data
+    source (one input partition per page) in rounds of growing size; each
+    round is written to ``land`` so a lost executor never makes the walk
+    fetch a page twice, and only the round's entry count reaches the driver.  The walk stops at N entries or at the first empty page.
     """
     if isinstance(transport, TableTransport):
         pages = spread(transport.responses).select(F.col(transport.key_cols[0]).alias("page_no"),
@@ -91,8 +92,7 @@ def paged_feed(spark: SparkSession, transport, n: int | None, land: str | None =
             raise ValueError("paged_feed over a live transport needs a landing folder")
         lo, size, held, r = 0, first_round, 0, 0
         while lo < max_pages:
-            keys = spark.range(lo, lo + size).select(F.col("id").alias("page_no"))
-            got = keyed_fetch(keys, transport, ["page_no"], partitions=min(size, 64))
+            got = read_pages(spark, transport, lo, size)      # one task per page
             got.write.mode("overwrite").parquet(f"{land}/round={r}")
             counts = (spark.read.parquet(f"{land}/round={r}")
                       .select(F.size(D.parse("json_data", PAGE_SCHEMA, D.FLAG).getField("days")).alias("n"))
