@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from strata import schemas as S  # noqa: E402
 from strata.plans import checks, encode, jobs  # noqa: E402
 from strata.session import build_session, scratch_path  # noqa: E402
-from strata.sinks.store import TableStore  # noqa: E402
+from strata.sinks.store import TableStore, upsert_buckets  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -28,7 +28,7 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 def full_refresh(spark, sf):
     """X12 from feeds to the consume layer in a fresh store; returns the fact."""
     root = scratch_path(spark, "bench-refresh")
-    store = TableStore(spark, f"{root}/lake")
+    store = TableStore(spark, f"{root}/lake", upsert_buckets(8))
     jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds"), n=None).run()
     return store.read(S.CONSUME_TOTD)
 

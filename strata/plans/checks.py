@@ -19,7 +19,7 @@ from ..operators.selection import AS_WRITTEN, LATEST, newest_entries, select_day
 from ..session import scratch_path
 from ..sinks import keyed
 from ..sinks.constraints import check_constraints, conform_to, split_violations
-from ..sinks.store import TableStore
+from ..sinks.store import TableStore, upsert_buckets
 from ..sources.feeds import keyed_fetch, list_head
 from ..sources.transports import ParquetTransport
 from ..streaming.landing import land_increments
@@ -387,6 +387,8 @@ def incremental_upsert(spark, sf):
 
 
 # ---- jobs over the encoded feeds ------------------------------------------------
+# Upsert targets are bucketed (the layout for large tables); 8 buckets here.
+UPSERT_BUCKETS = 8
 _REFRESHES: dict = {}
 
 
@@ -397,7 +399,7 @@ def _refresh(spark, sf, *steps) -> jobs.Refresh:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _REFRESHES:
         root = scratch_path(spark, "layers")
-        store = TableStore(spark, f"{root}/lake")
+        store = TableStore(spark, f"{root}/lake", upsert_buckets(UPSERT_BUCKETS))
         _REFRESHES[key] = jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds"), n=None)
     r = _REFRESHES[key]
     for step in steps:
@@ -471,7 +473,7 @@ def daily_fact_all_ties(spark, sf):
 def full_refresh(spark, sf):
     """V41 (X12): every job in order through the store, twice; rows per consume table."""
     root = scratch_path(spark, "full-refresh")
-    store = TableStore(spark, f"{root}/lake")
+    store = TableStore(spark, f"{root}/lake", upsert_buckets(UPSERT_BUCKETS))
     feeds = encode.encoded_feeds(spark, sf, f"{root}/feeds")
     counts = []
     for run in (1, 2):

@@ -8,6 +8,7 @@ the keyed sinks, in the order of a full refresh.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,10 @@ from ..operators.partitioning import spread
 from ..operators.selection import LATEST, select_days
 from ..sinks import keyed
 from ..sinks.constraints import QUARANTINE, conform_to
-from ..session import shared_dir
+from ..session import scratch_path, shared_dir
 from ..sinks.store import TableStore
 from ..sources.feeds import keyed_fetch, paged_feed
+from ..sources.transports import TableTransport
 
 # ---- payload schemas (every leaf a string; cast when selected) -------------
 _PLAYER = "struct<name:string, id:string>"
@@ -316,10 +318,20 @@ class Refresh:
         b = self._typed(conform_tmio_batch(self._raw(S.COLLECT_TMIO, S.CONFORM_TMIO), self._on_bad), S.CONFORM_TMIO)
         self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
 
+    def _landed(self, fetched: DataFrame, transport, name: str) -> DataFrame:
+        """Responses of a live transport are written once before any sink
+        reads them: a recomputed task must not fetch a different answer."""
+        if isinstance(transport, TableTransport):
+            return fetched
+        path = f"{self.land or scratch_path(self.store.spark, 'landing')}/{name}-{uuid.uuid4().hex[:8]}"
+        fetched.write.mode("errorifexists").parquet(path)
+        return self.store.spark.read.parquet(path)
+
     # X2
     def collect_map_info(self):
         b = collect_map_info_batch(self._t(S.CONFORM_TMIO), self.feeds.map_info, self.n, self.order)
-        self.store.insert_ignore(S.COLLECT_TMX, b, order_by=["json_data"])
+        self.store.insert_ignore(S.COLLECT_TMX, self._landed(b, self.feeds.map_info, "map_info"),
+                                 order_by=["json_data"])
 
     # X6
     def conform_map_info(self):
@@ -329,12 +341,12 @@ class Refresh:
     # X4
     def collect_authors(self):
         b = collect_authors_batch(self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.feeds.authors, self.n, self.order)
-        self.store.upsert(S.COLLECT_TMX_AUTHORS, b)
+        self.store.upsert(S.COLLECT_TMX_AUTHORS, self._landed(b, self.feeds.authors, "authors"))
 
     # X3
     def collect_leaderboards(self):
         b = collect_leaderboards_batch(self._t(S.CONFORM_TMIO), self.feeds.leaderboards, self.n, self.order)
-        self.store.upsert(S.COLLECT_TMIO_LEADERBOARDS, b)
+        self.store.upsert(S.COLLECT_TMIO_LEADERBOARDS, self._landed(b, self.feeds.leaderboards, "leaderboards"))
 
     # X8
     def conform_authors(self):

@@ -32,6 +32,17 @@ def bucket_of(key: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
 
 
+# Keyed tables that take upserts: at scale they are bucketed so an upsert
+# rewrites only the buckets its batch touches (insert-ignore tables only
+# append, so the snapshot layout suits them at any size).
+UPSERT_TARGETS = ("collect.tmx_authors", "collect.tmio_leaderboards", "conform.tmx_authors",
+                  "conform.tmio_leaderboards", "consume.totd")
+
+
+def upsert_buckets(n: int) -> dict[str, int]:
+    return {name: n for name in UPSERT_TARGETS}
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None):
         self.spark = spark
@@ -49,7 +60,7 @@ class TableStore:
         return fs.exists(p)
 
     def _versions(self, spec: TableSpec) -> list[int]:
-        fs, p = self._fs(self.path(spec))
+        fs, p = self._fs(self.table_dir(spec))
         if not fs.exists(p):
             return []
         out = []
@@ -60,21 +71,40 @@ class TableStore:
         return sorted(out)
 
     # ---- layout ------------------------------------------------------------
-    def path(self, spec: TableSpec) -> str:
+    def table_dir(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.layer}/{spec.name}"
 
+    def path(self, spec: TableSpec) -> str:
+        """Snapshot tables hold ``v=NNNNNN`` folders here; a bucketed table
+        lives in ``buckets=B`` so its bucket count is part of the layout."""
+        b = self.bucket_count(spec)
+        return f"{self.table_dir(spec)}/buckets={b}" if b else self.table_dir(spec)
+
     def bucket_count(self, spec: TableSpec) -> int:
         return self.buckets.get(spec.qualified, 0)
 
+    def _check_layout(self, spec: TableSpec) -> None:
+        """Refuse to mix layouts: reading a table with another bucket count
+        (or as a snapshot table) would miss rows."""
+        fs, p = self._fs(self.table_dir(spec))
+        if not fs.exists(p):
+            return
+        want = f"buckets={self.bucket_count(spec)}" if self.bucket_count(spec) else "v="
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith(("buckets=", "v=")) and not name.startswith(want):
+                raise ValueError(f"{spec.qualified} is stored as {name!r}, not {want!r}")
+
     def _current(self, spec: TableSpec) -> str | None:
         v = self._versions(spec)
-        return f"{self.path(spec)}/v={v[-1]:06d}" if v else None
+        return f"{self.table_dir(spec)}/v={v[-1]:06d}" if v else None
 
     def _next(self, spec: TableSpec) -> str:
         v = self._versions(spec)
-        return f"{self.path(spec)}/v={(v[-1] + 1 if v else 1):06d}"
+        return f"{self.table_dir(spec)}/v={(v[-1] + 1 if v else 1):06d}"
 
     def _read_raw(self, spec: TableSpec) -> DataFrame | None:
+        self._check_layout(spec)
         if self.bucket_count(spec):
             path = self.path(spec)
             if not self._exists(path):
@@ -90,6 +120,7 @@ class TableStore:
         return empty(self.spark, spec) if df is None else df.select(*spec.names)
 
     def replace(self, spec: TableSpec, df: DataFrame) -> None:
+        self._check_layout(spec)
         df = df.select(*spec.names)
         b = self.bucket_count(spec)
         if b:
