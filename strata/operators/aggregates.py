@@ -25,7 +25,7 @@ def group_min(df: DataFrame, key: list[str], value: str, alias: str,
 
 
 def arg_min(df: DataFrame, key: list[str], value: str, tie: str = TIE_FIRST,
-            order: list[Column | str] | None = None, method: str = "window") -> DataFrame:
+            order: list[Column | str] | None = None, method: str | None = None) -> DataFrame:
     """The rows holding the least ``value`` per key (NULL values never win).
 
     ``tie='all'`` keeps every holder, ``'first'`` keeps one by ``order``
@@ -33,8 +33,12 @@ def arg_min(df: DataFrame, key: list[str], value: str, tie: str = TIE_FIRST,
     ``method='window'`` ranks in one shuffle; ``rank``/``row_number = 1`` plans
     a partial WindowGroupLimit before the shuffle, so each map task sends at
     most its own holders of a key.  ``method='join'`` is the aggregate +
-    join-back form (J5), kept for comparison.
+    join-back form (J5): a partial minimum, then a join that AQE can split
+    when one key is hot.  By default ``tie='all'`` uses the join form (a
+    key whose rows all tie would otherwise reach one window task whole) and
+    the other policies the window form.
     """
+    method = method or ("join" if tie == TIE_ALL else "window")
     base = df.filter(F.col(value).isNotNull())
     if method == "join":
         mins = base.groupBy(*key).agg(F.min(value).alias("_min"))

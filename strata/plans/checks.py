@@ -15,6 +15,7 @@ from ..functions import documents as D
 from ..functions import scalars as X
 from ..operators.aggregates import TIE_ALL, TIE_FIRST, arg_min, group_min
 from ..operators.joins import either_key_join, lookup_join
+from ..operators.partitioning import spread
 from ..operators.selection import AS_WRITTEN, LATEST, newest_entries, select_days
 from ..session import scratch_path
 from ..sinks import keyed
@@ -121,7 +122,7 @@ def json_unnest(spark, sf):
     """V07 (U2 U3): line lists as a root array and under a key; orders
     without lines carry [] or NULL and vanish."""
     li = t(spark, sf, "lineitem")
-    chunked = li.withColumn("_chunk", (F.monotonically_increasing_id() / 16).cast("bigint"))
+    chunked = spread(li).withColumn("_chunk", (F.monotonically_increasing_id() / 16).cast("bigint"))
     lists = chunked.groupBy("l_orderkey", "_chunk").agg(
         F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_quantity", "l_shipdate")).alias("l"))
     lined = lists.select("l_orderkey", D.to_text("l").alias("root_doc"),

@@ -144,6 +144,9 @@ def encoded_feeds(spark: SparkSession, sf_dir: str, land: str | None = None) ->
     t = lambda n: read_table(spark, sf_dir, n)
     orders, customer = spread(t("orders")), t("customer")
     rows = leaderboard_rows(spread(t("lineitem")), t("supplier"))
+    if land is not None:   # both the leaderboards and the author lists list these rows
+        rows.write.mode("errorifexists").parquet(f"{land}/_listed")
+        rows = spark.read.parquet(f"{land}/_listed")
     tables = {"daily": daily_pages(orders, customer), "map_info": map_info(orders),
               "leaderboards": leaderboards(rows, orders), "authors": authors(rows, orders, customer)}
     if land is not None:

@@ -145,7 +145,7 @@ RECORD_COALESCED = "coalesced"
 
 
 def records(tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
-            record_key: str = RECORD_AS_WRITTEN, method: str = "window") -> DataFrame:
+            record_key: str = RECORD_AS_WRITTEN, method: str | None = None) -> DataFrame:
     """G1 + J7 + G2: record holders per exchange id.
 
     As written, only exchange ids that some daily selection carries count.
@@ -170,7 +170,7 @@ def records(tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
 
 
 def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
-               record_key: str = RECORD_AS_WRITTEN, method: str = "window") -> DataFrame:
+               record_key: str = RECORD_AS_WRITTEN, method: str | None = None) -> DataFrame:
     """One fact row per daily selection with its record holder.
 
     (tmx join tmio) joined to the records on either key (J6 as an equi join).
