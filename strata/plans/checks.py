@@ -233,7 +233,7 @@ def tag_lookup(spark, sf):
     ids = p.select("p_partkey", D.unnest(F.array((F.col("p_size") % 30).cast("int"),
                                                   (F.col("p_partkey") % 30).cast("int"))).alias("tag_id"))
     named = lookup_join(ids, encode.tag_reference(t(spark, sf, "nation")), "tag_id").select("p_partkey", "tag_name")
-    stored = spark.createDataFrame([], "p_partkey bigint, tag_name string")
+    stored = spark.createDataFrame([], "p_partkey bigint, tag_name string").limit(0)
     return keyed.merge_insert_ignore(stored, named, ["p_partkey", "tag_name"], order_by=["tag_name"])
 
 
@@ -295,7 +295,7 @@ EVENT_KEY = ["user_id", "event_type"]
 
 def _event_target_batch(spark, sf, cols):
     ev = t(spark, sf, "events").select(*cols)
-    stored = spark.createDataFrame([], ev.schema)
+    stored = spark.createDataFrame([], ev.schema).limit(0)
     target = keyed.merge_insert_ignore(stored, ev.filter(F.col("event_id") < 500), EVENT_KEY, ["event_id"])
     return target, ev.filter(F.col("event_id") >= 500)
 

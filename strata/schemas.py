@@ -170,7 +170,9 @@ BY_NAME = {t.qualified: t for t in ALL_TABLES}
 
 
 def empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.struct)
+    """An empty table the optimizer can see is empty (``limit(0)`` becomes an
+    empty relation), so joins and unions against it are planned away."""
+    return spark.createDataFrame([], spec.struct).limit(0)
 
 
 def seed_rows(spark: SparkSession, rows=None) -> DataFrame:
