@@ -124,6 +124,11 @@ class TableStore:
         df = df.select(*spec.names)
         b = self.bucket_count(spec)
         if b:
+            # a static overwrite deletes the folder before the job reads it:
+            # refuse a frame that reads the table it would replace
+            target = self.path(spec).replace("file:", "")
+            if any(target in f.replace("file:", "") for f in df.inputFiles()):
+                raise ValueError(f"replace({spec.qualified}) from a frame that reads it; use upsert")
             (df.withColumn(BUCKET, bucket_of(list(spec.key), b))
              .write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy(BUCKET).parquet(self.path(spec)))

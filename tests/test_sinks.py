@@ -117,3 +117,19 @@ def test_check_constraints_and_split(spark):
     assert rep == {"null k": 1, "s longer than 4": 1, "duplicate key": 1}
     out = split_violations(d, [("long", F.length("s") > 4), ("nokey", F.col("k").isNull())])
     assert sorted((r.s, r.reason) for r in out.collect()) == [("a", "nokey"), ("abc", None), ("abcdef", "long")]
+
+
+def test_bucketed_replace_refuses_its_own_input(spark, tmp_lake):
+    spec = S.TableSpec("t", "self", (S.Col("k", "int"), S.Col("v", "string"), S.Col("w", "int")), key=("k",))
+    st = TableStore(spark, tmp_lake, {spec.qualified: 2})
+    st.replace(spec, df(spark, [(1, "a", 1)]))
+    with pytest.raises(ValueError):
+        st.replace(spec, st.read(spec))
+    assert rows(st.read(spec)) == [(1, "a", 1)]
+
+
+def test_store_refuses_other_bucket_count(spark, tmp_lake):
+    spec = S.TableSpec("t", "nb", (S.Col("k", "int"), S.Col("v", "string"), S.Col("w", "int")), key=("k",))
+    TableStore(spark, tmp_lake, {spec.qualified: 2}).replace(spec, df(spark, [(1, "a", 1)]))
+    with pytest.raises(ValueError):
+        TableStore(spark, tmp_lake, {spec.qualified: 4}).read(spec)
