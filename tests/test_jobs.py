@@ -170,3 +170,12 @@ def test_quarantine_mode_routes_bad_rows(spark, tmp_lake):
     assert [x.map_uid for x in st.read(S.CONFORM_TMIO).collect()] == ["good"]
     q = spark.read.parquet(r.quarantine_path(S.CONFORM_TMIO))
     assert sorted(x.reason for x in q.collect()) == ["bad exchange_id", "bad json", "map_uid longer than 50", "null map_uid"]
+
+
+def test_record_key_coalesced_counts_every_key(spark):
+    tmx, tmio, lead = _fact_inputs(spark)
+    as_written = {r.exchange_id for r in jobs.records(tmio, lead).collect()}
+    coalesced = {r.exchange_id for r in jobs.records(tmio, lead, record_key=jobs.RECORD_COALESCED).collect()}
+    assert as_written == {11, 33, 34} and coalesced == {11, 22, 33, 34}
+    fact = {r.exchange_id for r in jobs.totd_batch(tmx, tmio, lead, record_key=jobs.RECORD_COALESCED).collect()}
+    assert 22 in fact          # the map without an exchange id keeps its record when asked to

@@ -55,3 +55,13 @@ def test_newest_entries_positions(spark):
     assert got == [(2, 5, 1), (2, 6, 2), (2, 7, 3), (2, 8, 4)]
     got = rows(newest_entries(d, "p", "s", 6, position="day"), "p", "s", "day")
     assert got[:2] == [(1, 6, 2), (1, 7, 3)]
+
+
+def test_lookup_join_falls_back_to_shuffle_join(spark):
+    from strata.operators import lookup_join
+    d = spark.createDataFrame([(i, i % 5) for i in range(100)], "id int, k int")
+    ref = spark.createDataFrame([(k, "n%d" % k) for k in range(5)], "k int, name string")
+    small = lookup_join(d, ref, "k")
+    big = lookup_join(d, ref, "k", max_rows=2)      # "too big" to broadcast
+    assert rows(small) == rows(big) and len(rows(big)) == 100
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
