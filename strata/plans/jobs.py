@@ -9,6 +9,7 @@ the keyed sinks, in the order of a full refresh.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -296,10 +297,24 @@ class Refresh:
     def _on_bad(self) -> str:
         return D.FLAG if self._quarantining else D.FAIL
 
-    def run(self, until: str | None = None) -> "Refresh":
+    # The full refresh in the reference's order; steps in one group share no
+    # table and run side by side (jobs from several driver threads share the
+    # cluster, so small stages fill idle cores).
+    GROUPS = (("collect_daily",), ("conform_daily",), ("collect_map_info",), ("conform_map_info",),
+              ("collect_authors", "collect_leaderboards"), ("conform_authors", "conform_leaderboards"),
+              ("totd", "totd_tags", "totd_authors"))
+
+    def run(self, until: str | None = None, parallel: bool = True) -> "Refresh":
         if until is None:
-            for step in self.ORDER:
-                getattr(self, step)()
+            for group in self.GROUPS:
+                if parallel and len(group) > 1:
+                    with ThreadPoolExecutor(max_workers=len(group)) as pool:
+                        for f in [pool.submit(getattr(self, step)) for step in group]:
+                            f.result()
+                else:
+                    for step in group:
+                        getattr(self, step)()
+                self.done.update(group)
             return self
         for dep in self.NEEDS[until]:
             if dep not in self.done:
