@@ -39,10 +39,21 @@ UPSERT_TARGETS = ("collect.tmx_authors", "collect.tmio_leaderboards", "conform.t
                   "conform.tmio_leaderboards", "consume.totd")
 
 
+# Insert-ignore tables: bucketing them too lets a small batch anti-join only
+# the buckets it touches instead of every stored key.
+INSERT_TARGETS = ("collect.tmio", "collect.tmx", "conform.tmio", "conform.tmx",
+                  "consume.totd_tags", "consume.totd_authors")
+
+
 def upsert_buckets(n: int) -> dict[str, int]:
     return {name: n for name in UPSERT_TARGETS}
 
 
+def keyed_buckets(n: int) -> dict[str, int]:
+    """Every keyed layer table bucketed (the layout for large lakes)."""
+    return {name: n for name in UPSERT_TARGETS + INSERT_TARGETS}
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None):
         self.spark = spark
