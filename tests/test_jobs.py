@@ -3,7 +3,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata import schemas as S
 from strata.plans import jobs
@@ -179,3 +178,19 @@ def test_record_key_coalesced_counts_every_key(spark):
     assert as_written == {11, 33, 34} and coalesced == {11, 22, 33, 34}
     fact = {r.exchange_id for r in jobs.totd_batch(tmx, tmio, lead, record_key=jobs.RECORD_COALESCED).collect()}
     assert 22 in fact          # the map without an exchange id keeps its record when asked to
+
+
+def test_live_keyed_fetch_is_landed_before_the_sink(spark, tmp_lake):
+    st = TableStore(spark, tmp_lake + "/lake")
+    tmio = spark.createDataFrame([
+        (2023, 1, d, "u%d" % d, d, "A", "p", 1.0, 1.0, 1.0, 1.0, "A", "p", 2023, 1, 1, "lb%d" % d) for d in range(1, 6)
+    ], S.CONFORM_TMIO.struct)
+    st.replace(S.CONFORM_TMIO, tmio)
+    docs = {"u%d" % d: json.dumps({"TrackID": d, "Tags": "1"}) for d in range(1, 6)}
+    feeds = type("Feeds", (), {"map_info": MemoryTransport(docs, "map_uid")})()
+    r = jobs.Refresh(st, feeds, n=3, land=tmp_lake + "/landing")
+    r.collect_map_info()
+    got = rows(st.read(S.COLLECT_TMX), "map_uid")
+    assert got == [("u3",), ("u4",), ("u5",)]          # the latest three days
+    landed = spark.read.parquet(tmp_lake + "/landing/map_info-*")
+    assert sorted(x.map_uid for x in landed.collect()) == ["u3", "u4", "u5"]

@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from strata.operators import arg_min, either_key_join, group_min, newest_entries, select_days
 from strata.operators.aggregates import TIE_ALL, TIE_FIRST

@@ -1,11 +1,10 @@
 """The correctness gate, run locally: queries() against oracle_sql() in DuckDB."""
-import math
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001, SF01
+from conftest import SF01
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 FAST = ["paged_feed", "keyed_fetch", "json_unnest", "typed_fields", "strip_codes", "tag_list", "date_functions",

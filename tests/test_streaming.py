@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from strata import schemas as S
 from strata.sinks import keyed
