@@ -28,7 +28,7 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 def full_refresh(spark, sf):
     """X12 from feeds to the consume layer in a fresh store; returns the fact."""
     root = scratch_path(spark, "bench-refresh")
-    store = TableStore(spark, f"{root}/lake", upsert_buckets(8))
+    store = TableStore(spark, f"{root}/lake", upsert_buckets(int(spark.conf.get("spark.strata.upsertBuckets", "8"))))
     jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds"), n=None).run()
     return store.read(S.CONSUME_TOTD)
 

@@ -388,8 +388,11 @@ def incremental_upsert(spark, sf):
 
 
 # ---- jobs over the encoded feeds ------------------------------------------------
-# Upsert targets are bucketed (the layout for large tables); 8 buckets here.
-UPSERT_BUCKETS = 8
+# Upsert targets are bucketed (the layout for large tables).  The bucket
+# count comes from the session (``spark.strata.upsertBuckets``, 8 when unset):
+# size it so a bucket holds a few hundred MB at the table's target size.
+def _upsert_buckets(spark) -> int:
+    return int(spark.conf.get("spark.strata.upsertBuckets", "8"))
 _REFRESHES: dict = {}
 
 
@@ -400,7 +403,7 @@ def _refresh(spark, sf, *steps) -> jobs.Refresh:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _REFRESHES:
         root = scratch_path(spark, "layers")
-        store = TableStore(spark, f"{root}/lake", upsert_buckets(UPSERT_BUCKETS))
+        store = TableStore(spark, f"{root}/lake", upsert_buckets(_upsert_buckets(spark)))
         _REFRESHES[key] = jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds"), n=None)
     r = _REFRESHES[key]
     for step in steps:
@@ -474,7 +477,7 @@ def daily_fact_all_ties(spark, sf):
 def full_refresh(spark, sf):
     """V41 (X12): every job in order through the store, twice; rows per consume table."""
     root = scratch_path(spark, "full-refresh")
-    store = TableStore(spark, f"{root}/lake", upsert_buckets(UPSERT_BUCKETS))
+    store = TableStore(spark, f"{root}/lake", upsert_buckets(_upsert_buckets(spark)))
     feeds = encode.encoded_feeds(spark, sf, f"{root}/feeds")
     counts = []
     for run in (1, 2):
