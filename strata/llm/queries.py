@@ -11,24 +11,42 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, langid, packing, quality, simhash
 from .common import prepare, read_table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op6_token_counts": op6_token_counts,
+    "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
 }
 
