@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, quality, simhash
+from . import bpe, decontam, html_text, langid, licenses, packing, quality, simhash, vafile
 from .common import prepare, read_table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -22,6 +23,27 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = read_table(spark, sf_dir, "embeddings")
+    return vafile.top_k(rows, rows.filter(F.col("vec_id") % vafile.QUERY_EVERY == 0))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "found.n_words", decontam.n_hit().alias("n_hit"),
+                        F.size("found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+                        (F.size("found.hits") > 0).alias("contaminated"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -37,6 +59,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -44,9 +71,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_top_k": op2_top_k,
+    "op3_decontamination": op3_decontamination,
+    "op4_licenses": op4_licenses,
     "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
+    "op9_main_text": op9_main_text,
     "op10_packing": op10_packing,
 }
 
