@@ -43,6 +43,14 @@ def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: str | T.StructTy
     return df.mapInArrow(run, out)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write to the cluster's shared folder and read back, so a
     lost executor re-reads files and no task is computed a second time."""

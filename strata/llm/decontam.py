@@ -155,7 +155,7 @@ def _searcher(shared, out: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_type
     kind = to_arrow_type(out)
     look.__annotations__ = {"texts": pa.Array, "before": pa.Array, "return": pa.Array}
-    return F.arrow_udf(look, out)
+    return F.arrow_udf(look, out).asNondeterministic()      # run once, though several columns come from it
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

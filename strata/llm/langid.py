@@ -149,8 +149,10 @@ def predictor(docs: DataFrame, model: Model):
             lang, score = m.score([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
+    once = predict.asNondeterministic()      # run once, though several columns come from it
+
     def column(text: str | Column) -> Column:
-        return predict(F.col(text) if isinstance(text, str) else text)
+        return once(F.col(text) if isinstance(text, str) else text)
 
     return column
 

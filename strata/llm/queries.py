@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, langid, licenses, packing, quality, simhash, vafile
+from . import bpe, decontam, html_text, langid, licenses, lpf, packing, quality, simhash, vafile
 from .common import prepare, read_table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -44,6 +44,15 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return lpf.remove_copies(docs).select(
+        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -74,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_top_k": op2_top_k,
     "op3_decontamination": op3_decontamination,
     "op4_licenses": op4_licenses,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,

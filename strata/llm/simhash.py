@@ -17,10 +17,10 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, utf8, written
+from .common import fresh, map_rows, utf8, written
 from .components import components
 
 SHINGLE = 3
@@ -57,13 +57,15 @@ def fingerprint(text: bytes, k: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """(doc_id long, fp long) for every row; ``fp`` holds the 64 bits as a signed long."""
+    """(doc_id long, text_hash long, fp long) for every row; ``fp`` holds the 64
+    bits as a signed long, ``text_hash`` is the xxhash64 of the whole text."""
     def run(batch: dict) -> dict:
         made = np.array([fingerprint(t, k) for t in batch["text"]], np.uint64)
-        return {"doc_id": batch["doc_id"], "fp": made.view(np.int64)}
+        return {"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "fp": made.view(np.int64)}
 
-    return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text")),
-                    run, "doc_id long, fp long")
+    text = utf8(text_col)
+    return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")),
+                    run, "doc_id long, text_hash long, fp long")
 
 
 def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -171,7 +173,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                     max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``.
+    """(doc_id, fingerprint, component_id, text_hash) for every row of ``docs``.
 
     ``fingerprint`` is 16 lowercase hex digits, ``component_id`` the smallest
     doc_id that can be reached over links of ``max_bits`` differing bits or
@@ -179,7 +181,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     zero and are linked like any other.  Repeated rows give a row each; rows of
     one id with different texts are told apart by their fingerprints.  A row with a null id has a fingerprint, takes no part
     in links, and has a null component.  An empty table gives an empty result;
-    extra columns are not read.
+    extra columns are not read.  ``text_hash`` is the xxhash64 of the whole text,
+    which tells rows of one id apart.
 
     Fingerprints are written once (16 bytes a document).  Copies collapse in a
     partial minimum before anything else is shuffled, so a hot text costs one
@@ -193,4 +196,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = member.join(smallest, "root").select("fp", "component_id")
     return (fps.join(named, "fp", "left")
             .select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+                    "text_hash"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, of which one document of
+    each group of near-duplicates stays: the one with the smallest id, once.  If
+    that id is repeated, the row of smallest text hash stays, then of smallest
+    other columns.  Rows with a null id are in no group and stay."""
+    found = written(near_duplicates(docs, id_col, text_col, k, max_bits), "near-duplicates")
+    hashed, place = fresh(docs, "text_hash"), fresh(docs, "place")
+    stay = (found.filter(F.col(id_col) == F.col("component_id"))
+            .groupBy(id_col).agg(F.min("text_hash").alias(hashed)))
+    same = Window.partitionBy(id_col, hashed).orderBy(*[F.col(f"`{c}`") for c, t in docs.dtypes
+                                                        if c not in (id_col, text_col) and not t.startswith(("map", "variant"))] or [F.lit(0)])
+    named = (docs.filter(F.col(id_col).isNotNull()).withColumn(hashed, F.xxhash64(utf8(text_col)))
+             .join(stay, [id_col, hashed], "left_semi")
+             .withColumn(place, F.row_number().over(same)).filter(F.col(place) == 1))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return named.select(*columns).union(docs.filter(F.col(id_col).isNull()).select(*columns))
