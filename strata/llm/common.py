@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -62,11 +64,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps now; it
-    acts when the driver's JVM collects garbage."""
-    import gc
+    """Let Spark's cleaner drop the shuffle files of finished steps now: it
+    acts on what the driver's JVM has collected as garbage.  The last step's own
+    bookkeeping still holds its files for a moment, hence the second round."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
+    spark.sparkContext._jvm.System.gc()
 
 
 def learning_rows(doc_id: str | Column) -> Column:
