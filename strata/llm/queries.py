@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontam, html_text, langid, licenses, lpf, packing, quality, simhash, vafile
 from .common import prepare, read_table
+from .oracles import ORACLES  # noqa: F401
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -91,4 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
