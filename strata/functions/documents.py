@@ -5,8 +5,10 @@ Rules that keep results equal to a row store's ``->`` / ``->>`` operators:
 * declare every leaf as ``string`` and cast afterwards - a number then
   arrives as its text, and a quoted number still casts;
 * a payload that is JSON ``null`` is a row of NULLs, not an error;
-* malformed JSON fails the job (``on_bad='fail'``) or is flagged for the
-  quarantine (``on_bad='flag'``), never silently turned into NULLs.
+* malformed JSON, and a document of another shape than the schema's (an object
+  where an array is due, text where a list is), fails the job (``on_bad='fail'``)
+  or is flagged for the quarantine (``on_bad='flag'``, ``is_bad_document``),
+  never silently turned into NULLs or into a row of its own.
 """
 
 from __future__ import annotations
@@ -34,8 +36,38 @@ def parse(c: ColLike, schema: str, on_bad: str = FAIL) -> Column:
     """Text -> typed struct/array, parsed once for all the fields read."""
     c = _null_literal_to_null(_col(c))
     if on_bad == FAIL:
-        return F.from_json(c, schema, {"mode": "FAILFAST"})
-    return F.from_json(c, schema)
+        opens = _opening(schema)
+        fits = F.when(F.ltrim(c).startswith(opens), c).when(c.isNotNull(), F.raise_error(
+            F.concat(F.lit(f"the document does not begin with {opens}: "), F.substring(c, 1, 80))))
+        return F.from_json(fits, schema, {"mode": "FAILFAST"})
+    return F.from_json(F.when(~is_bad_document(c, schema), c), schema)
+
+
+def _opening(schema: str) -> str:
+    return "[" if schema.lstrip().lower().startswith("array") else "{"
+
+
+def is_bad_document(c: ColLike, schema: str) -> Column:
+    """True when the text is not JSON, or JSON of another shape than
+    ``schema`` (struct or array of structs; leaves are strings and always fit).
+    NULL text and JSON null are not bad."""
+    c = _null_literal_to_null(_col(c))
+    if _opening(schema) == "{":
+        inner = schema.strip()[len("struct<"):-1]
+        wrong = F.from_json(c, f"struct<{inner}, _wrong:string>", {"columnNameOfCorruptRecord": "_wrong"}).getField("_wrong").isNotNull()
+    else:
+        element = schema.strip()[len("array<"):-1]
+        items = F.from_json(c, "array<string>")
+        wrong = items.isNull() | F.exists(items, lambda x: F.coalesce(_wrong_element(x, element), F.lit(False)))
+    return c.isNotNull() & (F.try_parse_json(c).isNull() | ~F.ltrim(c).startswith(_opening(schema)) | F.coalesce(wrong, F.lit(False)))
+
+
+def _wrong_element(x: Column, element: str) -> Column:
+    if not element.strip().lower().startswith("struct"):
+        return F.lit(False)
+    inner = element.strip()[len("struct<"):-1]
+    parsed = F.from_json(x, f"struct<{inner}, _wrong:string>", {"columnNameOfCorruptRecord": "_wrong"})
+    return ~F.ltrim(x).startswith("{") | parsed.getField("_wrong").isNotNull()
 
 
 def is_bad_json(c: ColLike) -> Column:

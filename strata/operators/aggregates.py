@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +16,9 @@ def group_min(df: DataFrame, key: list[str], value: str, alias: str,
               keys: DataFrame | None = None) -> DataFrame:
     """G1 (+J7): least ``value`` per key; only keys present in ``keys`` count.
 
-    The aggregate runs first (partial + final hash aggregate, so a hot key is
-    combined map-side) and the semi join then meets one row per key, already
-    hash-partitioned on the key.
+    A partial + final hash aggregate, so a hot key is combined map-side.
+    Catalyst moves the semi join below the aggregate: a key that doesn't count
+    is dropped before it is aggregated.
     """
     out = df.groupBy(*key).agg(F.min(value).alias(alias))
     if keys is not None:
@@ -26,7 +28,8 @@ def group_min(df: DataFrame, key: list[str], value: str, alias: str,
 
 def arg_min(df: DataFrame, key: list[str], value: str, tie: str = TIE_FIRST,
             order: list[Column | str] | None = None, method: str | None = None) -> DataFrame:
-    """The rows holding the least ``value`` per key (NULL values never win).
+    """The rows holding the least ``value`` per key (NULL values never win,
+    and a key with a NULL part is no group, as in the aggregate's join back).
 
     ``tie='all'`` keeps every holder, ``'first'`` keeps one by ``order``
     (after the value), ``'error'`` fails when a key has two holders.
@@ -39,7 +42,7 @@ def arg_min(df: DataFrame, key: list[str], value: str, tie: str = TIE_FIRST,
     the other policies the window form.
     """
     method = method or ("join" if tie == TIE_ALL else "window")
-    base = df.filter(F.col(value).isNotNull())
+    base = df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [value, *key]]))
     if method == "join":
         mins = base.groupBy(*key).agg(F.min(value).alias("_min"))
         out = base.join(mins, key).filter(F.col(value) == F.col("_min")).drop("_min")
@@ -49,12 +52,11 @@ def arg_min(df: DataFrame, key: list[str], value: str, tie: str = TIE_FIRST,
     w = Window.partitionBy(*key).orderBy(F.col(value).asc(), *(order or []))
     if tie == TIE_FIRST:
         return base.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    ranked = base.withColumn("_rk", F.rank().over(Window.partitionBy(*key).orderBy(F.col(value).asc())))
-    out = ranked.filter("_rk = 1").drop("_rk")
     if tie == TIE_ERROR:
-        n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-        out = (out.withColumn("_n", n)
-               .filter(F.when(F.col("_n") > 1, F.raise_error(F.lit("arg_min: several rows hold the minimum")))
-                       .otherwise(F.lit(True)))
-               .drop("_n"))
-    return out
+        # the second row of a key fails the job if it has the least value too: two rows of a map task's are enough
+        w = Window.partitionBy(*key).orderBy(F.col(value).asc())
+        two = base.withColumn("_rn", F.row_number().over(w)).withColumn("_rk", F.rank().over(w)).filter("_rn <= 2")
+        return (two.filter(F.when((F.col("_rn") == 2) & (F.col("_rk") == 1),
+                                  F.raise_error(F.lit("arg_min: several rows hold the minimum")))
+                           .otherwise(F.col("_rn") == 1)).drop("_rn", "_rk"))
+    return base.withColumn("_rk", F.rank().over(Window.partitionBy(*key).orderBy(F.col(value).asc()))).filter("_rk = 1").drop("_rk")

@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A reference side is broadcast only when a bounded count proves it small.
+# A reference side is broadcast only when this bound on its rows and bytes is proven.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def either_key_join(left: DataFrame, right: DataFrame, left_keys: list[str],
@@ -30,14 +31,22 @@ def either_key_join(left: DataFrame, right: DataFrame, left_keys: list[str],
     return expanded.join(right, expanded[k] == right[right_key], how).drop(k)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Bounded size check: reads at most ``max_rows + 1`` rows, and counts them
+    and their bytes (fixed-width columns as 8 bytes, others by their text)."""
+    width = F.lit(16 + 8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind == "string" or kind.startswith(("varchar", "char", "binary")):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        elif kind.startswith(("array", "struct", "map")):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def lookup_join(df: DataFrame, ref: DataFrame, on, how: str = "inner",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join to a reference table; broadcast it only when proven small,
-    else leave the strategy to the planner (shuffle join)."""
-    side = F.broadcast(ref) if is_small(ref, max_rows) else ref
+                max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join to a reference table; broadcast it only when proven small in
+    rows and bytes, else leave the strategy to the planner (shuffle join)."""
+    side = F.broadcast(ref) if is_small(ref, max_rows, max_bytes) else ref
     return df.join(side, on, how)

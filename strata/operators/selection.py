@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_MAX_ROWS
-
 AS_WRITTEN = "as_written"
 LATEST = "latest"
 
@@ -32,23 +30,7 @@ def select_days(df: DataFrame, n: int | None, y: str, m: str, d: str,
     return df.orderBy(*keys, *tb).limit(n)
 
 
-def newest_entries(entries: DataFrame, page: str, seq: str, n: int,
-                   position: str = "day") -> DataFrame:
-    """L3 + U4: walk pages newest first and each page from its end, keep N.
-
-    ``entries`` has one row per element of a page; ``page`` orders pages
-    (larger = newer) and ``seq`` orders elements inside a page.  The kept row's
-    ``position`` is its 1-based place in the page.  The top N is a bounded
-    TakeOrderedAndProject; positions come from per-page counts (partial
-    aggregate), since every later element of a kept page is kept too.
-    """
-    top = entries.orderBy(F.col(page).desc(), F.col(seq).desc()).limit(n)
-    # the kept rows (and so their pages) number at most N: broadcast them when
-    # N is within the broadcast bound, else leave the joins to the planner
-    small = (lambda df: F.broadcast(df)) if n <= BROADCAST_MAX_ROWS else (lambda df: df)
-    sizes = (entries.join(small(top.select(page).distinct()), page, "left_semi")
-             .groupBy(page).agg(F.count(F.lit(1)).alias("_size")))
-    back = F.row_number().over(Window.partitionBy(page).orderBy(F.col(seq).desc()))
-    return (top.join(small(sizes), page)
-            .withColumn(position, (F.col("_size") - back + 1).cast("int"))
-            .drop("_size"))
+def newest(entries: DataFrame, n: int | None, order: list[Column]) -> DataFrame:
+    """L3: the first N rows in ``order`` (newest first); all of them, unsorted,
+    if ``n`` is None."""
+    return entries if n is None else entries.orderBy(*order).limit(n)

@@ -16,13 +16,14 @@ from ..functions import scalars as X
 from ..operators.aggregates import TIE_ALL, TIE_FIRST, arg_min, group_min
 from ..operators.joins import either_key_join, lookup_join
 from ..operators.partitioning import spread
-from ..operators.selection import AS_WRITTEN, LATEST, newest_entries, select_days
+from ..operators.selection import AS_WRITTEN, LATEST, select_days
 from ..session import scratch_path
 from ..sinks import keyed
 from ..sinks.constraints import check_constraints, conform_to, split_violations
 from ..sinks.store import TableStore, upsert_buckets
+from ..sources import feeds as feed_source
 from ..sources.feeds import keyed_fetch, list_head
-from ..sources.transports import ParquetTransport
+from ..sources.transports import PageFiles, TableTransport
 from ..streaming.landing import land_increments
 from . import encode, jobs
 
@@ -31,23 +32,54 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return encode.read_table(spark, sf, name)
 
 
-def _path(sf: str, name: str) -> str:
-    return f"{sf.rstrip('/')}/{name}.parquet"
+# ---- sources -----------------------------------------------------------------
+PAGE_DAYS = 31
+NUMBER_BLOCK = 4096
+
+
+def conversation_pages(conv: DataFrame) -> DataFrame:
+    """(page_no, json_data): the newest page (0) is empty, then the
+    conversations from the highest id on, at most ``PAGE_DAYS`` turns a page, each
+    page led by a null day.  Page numbers run without a gap: a conversation's
+    first number is the count of pages before it, summed by blocks of ids."""
+    turn = F.struct("turn", F.to_json(F.struct("conv_id", "turn", "role")).alias("day"))
+    pages = (conv.withColumn("chunk", F.floor(F.col("turn") / PAGE_DAYS))
+             .groupBy("conv_id", "chunk").agg(F.array_sort(F.collect_list(turn)).alias("l")))
+    block = F.floor(F.col("conv_id") / NUMBER_BLOCK).alias("block")
+    sizes = pages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select("conv_id", "n", block)
+    before = lambda part: F.coalesce(
+        F.sum("n").over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = sizes.groupBy("block").agg(F.sum("n").alias("n"))
+    ahead = blocks.select("block", before(Window.orderBy(F.col("block").desc())).alias("ahead"))
+    first = (sizes.join(ahead, "block")
+             .select("conv_id", (F.col("ahead") + before(Window.partitionBy("block").orderBy(F.col("conv_id").desc()))).alias("first")))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("chunk").desc()))
+    # a day is kept as the JSON of its turn, so the page's list is written around it
+    days = F.concat(F.lit("[null,"), F.array_join(F.transform("l", lambda x: x["day"]), ","), F.lit("]"))
+    doc = F.concat(F.lit('{"year": 2000, "month": 1, "days": '), days, F.lit("}"))
+    numbered = pages.join(first, "conv_id").select((F.col("first") + place).cast("bigint").alias("page_no"), doc.alias("json_data"))
+    empty = conv.sparkSession.createDataFrame([(0, '{"year": 2000, "month": 2, "days": []}')], "page_no bigint, json_data string")
+    return numbered.unionByName(empty)
 
 
-# ---- sources -----------------------------------------------------------------
 def paged_feed(spark, sf):
-    """V01 (A1 U4 L3): conversations as pages, turns as days; newest 50."""
-    conv = t(spark, sf, "conversations").select("conv_id", "turn", "role")
-    return newest_entries(conv, "conv_id", "turn", 50, position="day_number") \
-        .select("conv_id", "turn", "role", "day_number")
+    """V01 (A1 U4 L3): the walk over conversations served as pages, one request
+    each, through the page source; an empty newest page, null days, newest 50."""
+    root = scratch_path(spark, "pages")
+    served = PageFiles(f"{root}/served")
+    pages = conversation_pages(t(spark, sf, "conversations").select("conv_id", "turn", "role"))
+    pages = pages.withColumn("block", F.floor(F.col("page_no") / served.block))
+    pages.repartition("block").write.partitionBy("block").parquet(served.path)
+    got = feed_source.paged_feed(spark, served, 50, land=f"{root}/landed")
+    e = D.parse("json_data", "struct<conv_id:string, turn:string, role:string>")
+    return (got.select(e.alias("e"), F.col("data_day").alias("day_number"))
+            .select(F.col("e.conv_id").cast("bigint").alias("conv_id"), F.col("e.turn").cast("int").alias("turn"), "e.role", "day_number"))
 
 
 def keyed_fetch_pages(spark, sf):
-    """V02 (A2 A3): one response per key, read on executors by the transport."""
-    keys = t(spark, sf, "pages").select("page_id")
-    tr = ParquetTransport(_path(sf, "pages"), ("page_id",), "html")
-    return keyed_fetch(keys, tr, ["page_id"], doc_col="html", partitions=8)
+    """V02 (A2 A3): one response per key; responses kept in a table are joined."""
+    pages = t(spark, sf, "pages").select("page_id", "html")
+    return keyed_fetch(pages.select("page_id"), TableTransport(pages, ("page_id",), "html"), ["page_id"], doc_col="html")
 
 
 LINE_ORDER = ["l_linenumber", "l_suppkey", "l_quantity", "l_shipdate"]
@@ -63,8 +95,8 @@ def keyed_list_head(spark, sf):
     docs = (head.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("lines"))
             .select("l_orderkey", D.to_text(F.struct(F.transform("lines", lambda x: x.dropFields("_e")).alias("lines"))).alias("json_data")))
     got = list_head(docs, "json_data", "lines", 2,
-                    "l_linenumber:string, l_suppkey:string, l_quantity:string, l_shipdate:string", ["l_orderkey"])
-    return got.select("l_orderkey", "entry_rank", F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                    "struct<l_linenumber:string, l_suppkey:string, l_quantity:string, l_shipdate:string>", ["l_orderkey"])
+    return got.select("l_orderkey", "entry_rank", "e.*").select("l_orderkey", "entry_rank", F.col("l_linenumber").cast("int").alias("l_linenumber"),
                       F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
                       F.col("l_quantity").cast("double").alias("l_quantity"))
 
@@ -238,12 +270,13 @@ def tag_lookup(spark, sf):
 
 
 def two_key_left(spark, sf):
-    """V18 (J3): left join on two keys."""
-    s = t(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("nk"),
-                                        (F.col("s_suppkey") % 50).alias("k50"))
-    c = t(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("nk"),
-                                        (F.col("c_custkey") % 50).alias("k50"))
-    return s.join(c, ["nk", "k50"], "left").select("s_suppkey", "s_name", "c_custkey", "c_name")
+    """V18 (J3): left join on two keys; the first grows with the data, so a line
+    meets one order at most."""
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("k"),
+                                         (F.col("l_suppkey") % 10).alias("digit"))
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 10).alias("digit"),
+                                      "o_custkey", "o_orderstatus")
+    return li.join(o, ["k", "digit"], "left").select("l_orderkey", "l_linenumber", "o_custkey", "o_orderstatus")
 
 
 def either_key(spark, sf):
@@ -271,6 +304,13 @@ def arg_min_first(spark, sf):
                    order=["l_shipdate", "l_suppkey"]).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
 
 
+def arg_min_null_group(spark, sf):
+    """G2 with NULL groups: both methods leave them out."""
+    li = _lines(spark, sf).withColumn("l_orderkey", F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey")))
+    both = [arg_min(li, ["l_orderkey"], "l_quantity", TIE_ALL, method=m).select(F.lit(m).alias("method"), "*") for m in ("window", "join")]
+    return both[0].unionByName(both[1]).select("method", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+
+
 def group_min_keys(spark, sf):
     """V22 (G1 J7): least quantity per order, only orders that keep an id."""
     keys = t(spark, sf, "orders").select(
@@ -335,6 +375,53 @@ def upsert_bucketed(spark, sf):
     return store.read(EVENTS_SPEC)
 
 
+def upsert_after_failure(spark, sf):
+    """V26 after a killed write: its folder, without the commit mark, is in the
+    way; it is never read, and the next upsert goes past it."""
+    target, batch = _event_target_batch(spark, sf, UPSERT_COLS)
+    store = TableStore(spark, scratch_path(spark, "upsert-after-failure"))
+    store.replace(EVENTS_SPEC, target)
+    left = store._next(EVENTS_SPEC)
+    batch.withColumn("props", F.lit("half a write")).write.parquet(left)
+    store._remove(f"{left}/_SUCCESS")
+    store.upsert(EVENTS_SPEC, batch, ["event_id", "value"], keyed.LAST, ["event_id"])
+    return store.read(EVENTS_SPEC)
+
+
+def upsert_hot_key(spark, sf):
+    """K2 where one key holds a third of all rows and a tenth have a NULL key."""
+    spec = S.TableSpec("lake", "events_hot", (S.Col("user_id", "bigint"), S.Col("event_type", "string"), S.Col("event_id", "bigint"),
+                                              S.Col("value", "double")), key=("user_id", "event_type"))
+    k = F.col("event_id")
+    ev = t(spark, sf, "events").select(
+        F.when(k % 10 == 7, F.lit(None)).when(k % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).cast("bigint").alias("user_id"),
+        F.when(k % 3 == 0, F.lit("hot")).otherwise(F.col("event_type")).alias("event_type"), "event_id", "value")
+    store = TableStore(spark, scratch_path(spark, "upsert-hot"), {spec.qualified: 8})
+    for part in (ev.filter(k < 500), ev.filter(k >= 500)):
+        store.upsert(spec, part, None, keyed.LAST, ["event_id"])
+    return store.read(spec)
+
+
+def constraint_nulls(spark, sf):
+    """K5: keys with a NULL part are no duplicates, unless NULL is to count as a value."""
+    li = t(spark, sf, "lineitem").select(F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey")).alias("l_orderkey"), "l_suppkey")
+    return (check_constraints(li, key=["l_orderkey", "l_suppkey"], table="append")
+            .unionByName(check_constraints(li, key=["l_orderkey", "l_suppkey"], table="match", null_keys=keyed.MATCH)))
+
+
+def wrong_shape_documents(spark, sf):
+    """Documents that are no JSON, or JSON of another shape, are told apart from good ones."""
+    k = F.col("o_orderkey")
+    forms = ['{"tops": [{"time": "1"}]}', '{"tops": "oops"}', '[{"time": "1"}]', "{not json", "null", '{"tops": [1, 2]}', '{"tops": {"time": 1}}', "{}"]
+    doc = F.element_at(F.array(*[F.lit(f) for f in forms]), (k % len(forms) + 1).cast("int"))
+    o = t(spark, sf, "orders").select("o_orderkey", doc.alias("doc"), F.when(k % 3 == 0, F.lit('{"error": "not found"}')).otherwise(F.lit("[]")).alias("listed"))
+
+    def status(c, schema):
+        return F.when(D.is_bad_json(c), F.lit("bad json")).when(D.is_bad_document(c, schema), F.lit("wrong shape")).otherwise(F.lit("good"))
+
+    return o.select("o_orderkey", status("doc", jobs.LEADERBOARD_DOC).alias("board"), status("listed", jobs.AUTHORS_DOC).alias("authors"))
+
+
 def constraint_report(spark, sf):
     """V28 (K5): duplicate keys, over-long text, NULL in a NOT NULL column."""
     li = check_constraints(t(spark, sf, "lineitem"), key=["l_orderkey", "l_linenumber"], table="lineitem")
@@ -375,7 +462,7 @@ def incremental_upsert(spark, sf):
     spec = S.TableSpec("lake", "events_last", (
         S.Col("user_id", "bigint"), S.Col("event_type", "string"),
         S.Col("event_id", "bigint"), S.Col("value", "double")), key=("user_id", "event_type"))
-    store = TableStore(spark, f"{root}/lake")
+    store = TableStore(spark, f"{root}/lake", {spec.qualified: 8})     # a micro-batch rewrites the buckets it touches
     ev = t(spark, sf, "events").select(*spec.names)
 
     def sink(batch, epoch_id):
@@ -474,6 +561,64 @@ def daily_fact_all_ties(spark, sf):
     return jobs.totd_batch(rd(S.CONFORM_TMX), rd(S.CONFORM_TMIO), rd(S.CONFORM_TMIO_LEADERBOARDS), TIE_ALL)
 
 
+def daily_fact_collisions(spark, sf):
+    """X9 with two maps on every (date, exchange id): the map of smaller uid is kept on request."""
+    rd = _refresh(spark, sf, "conform_leaderboards").store.read
+    tmx, tmio = rd(S.CONFORM_TMX), rd(S.CONFORM_TMIO)
+    again = F.concat(F.lit("z"), F.col("map_uid"))
+    tmx = tmx.unionByName(tmx.withColumn("map_uid", again).withColumn("map_name", F.lit("the other map")))
+    tmio = tmio.unionByName(tmio.withColumn("map_uid", again))
+    return jobs.totd_batch(tmx, tmio, rd(S.CONFORM_TMIO_LEADERBOARDS), on_collision=jobs.COLLIDE_FIRST)
+
+
+def collect_limited(spark, sf):
+    """X1-X4 with N = 25: the newest day entries, and the maps of the days in both orders."""
+    n = 25
+    r = _refresh(spark, sf, "conform_daily", "conform_map_info")
+    tmio, tmx, f = r.store.read(S.CONFORM_TMIO), r.store.read(S.CONFORM_TMX), r.feeds
+    daily = jobs.collect_daily_batch(spark, f.daily, n).select(
+        F.lit("daily").alias("feed"), F.lit(LATEST).alias("order_mode"), F.col("data_slot").cast("string").alias("key_text"))
+    out = [daily]
+    for order in (LATEST, AS_WRITTEN):
+        for feed, got in (("map_info", jobs.collect_map_info_batch(tmio, f.map_info, n, order)),
+                          ("leaderboard", jobs.collect_leaderboards_batch(tmio, f.leaderboards, n, order)),
+                          ("authors", jobs.collect_authors_batch(tmio, tmx, f.authors, n, order))):
+            got = feed_source.responses(got)
+            out.append(got.select(F.lit(feed).alias("feed"), F.lit(order).alias("order_mode"), F.col(got.columns[0]).cast("string").alias("key_text")))
+    for o in out[1:]:
+        out[0] = out[0].unionByName(o)
+    return out[0]
+
+
+_AGAIN: dict = {}
+
+
+def _refreshed_again(spark, sf) -> TableStore:
+    """A store after a first refresh and a second one over the later feeds."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _AGAIN:
+        root = scratch_path(spark, "refreshed-again")
+        store = TableStore(spark, f"{root}/lake", upsert_buckets(_upsert_buckets(spark)))
+        for later in (False, True):
+            jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds-{later}", later), n=None).run()
+        _AGAIN[key] = store
+    return _AGAIN[key]
+
+
+def refresh_content(spark, sf):
+    """V41 (X12 K1 K3): the fact after a second refresh whose feeds have other
+    times, names and payloads: records follow, names, dates and medal times stay."""
+    return _refreshed_again(spark, sf).read(S.CONSUME_TOTD)
+
+
+def refresh_roles(spark, sf):
+    """V41 (X8 X11 K1 K2): roles after a second refresh: the conform layer follows, the bridge stays."""
+    rd = _refreshed_again(spark, sf).read
+    a = rd(S.CONFORM_TMX_AUTHORS).select(F.lit("conform").alias("layer"), F.col("track_id").alias("map_key"), "username", "author_role")
+    b = rd(S.CONSUME_TOTD_AUTHORS).select(F.lit("consume").alias("layer"), F.col("exchange_id").alias("map_key"), "username", "author_role")
+    return a.unionByName(b)
+
+
 def full_refresh(spark, sf):
     """V41 (X12): every job in order through the store, twice; rows per consume table."""
     root = scratch_path(spark, "full-refresh")
@@ -506,6 +651,15 @@ QUERIES = {
     "inner_join_key": inner_join_key,
     "date_functions": date_functions,
     "tag_lookup": tag_lookup,
+    "arg_min_null_group": arg_min_null_group,
+    "upsert_after_failure": upsert_after_failure,
+    "upsert_hot_key": upsert_hot_key,
+    "constraint_nulls": constraint_nulls,
+    "wrong_shape_documents": wrong_shape_documents,
+    "collect_limited": collect_limited,
+    "daily_fact_collisions": daily_fact_collisions,
+    "refresh_content": refresh_content,
+    "refresh_roles": refresh_roles,
     "two_key_left": two_key_left,
     "either_key_join": either_key,
     "arg_min_ties": arg_min_ties,

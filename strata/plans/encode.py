@@ -21,7 +21,6 @@ plus one, so no key's rows are ever gathered into one unbounded list.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,9 +28,11 @@ from pyspark.sql import functions as F
 from ..functions import documents as D
 from ..operators.partitioning import spread
 from ..sinks.keyed import FIRST, one_per_key
+from ..sources.feeds import LIST_LENGTH
+from ..sources.live import Feeds
 from ..sources.transports import TableTransport
 
-LEADERBOARD_LENGTH = 10
+LEADERBOARD_LENGTH = LIST_LENGTH
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,17 +127,21 @@ def tag_reference(nation: DataFrame) -> DataFrame:
     return nation.select(F.col("n_nationkey").cast("int").alias("tag_id"), F.col("n_name").alias("tag_name"))
 
 
-@dataclass
-class Feeds:
-    daily: TableTransport
-    map_info: TableTransport
-    leaderboards: TableTransport
-    authors: TableTransport
-    tags: DataFrame
+LATER_SECONDS, LATER_ROLE = 7.0, "Tester"
 
 
-def encoded_feeds(spark: SparkSession, sf_dir: str, land: str | None = None) -> Feeds:
-    """The four feeds (and the tag reference) over the driver tables.
+def later_rows(rows: DataFrame) -> DataFrame:
+    """The listed entries as a later run finds them: in every third order the
+    times of every second player have changed, and every second order's listed
+    players have another role."""
+    k = F.col("l_orderkey")
+    return (rows.withColumn("l_quantity", F.when((k % 3 == 0) & (F.col("l_suppkey") % 2 == 0), F.col("l_quantity") + LATER_SECONDS).otherwise(F.col("l_quantity")))
+            .withColumn("l_returnflag", F.when(k % 2 == 0, F.lit(LATER_ROLE)).otherwise(F.col("l_returnflag"))))
+
+
+def encoded_feeds(spark: SparkSession, sf_dir: str, land: str | None = None, later: bool = False) -> Feeds:
+    """The four feeds (and the tag reference) over the driver tables; ``later``
+    as a later run finds them, with other times, roles, map names and payloads.
 
     With ``land`` (a folder on the shared file system) every response table
     is written once and read back, like responses landed from a live API:
@@ -145,6 +150,10 @@ def encoded_feeds(spark: SparkSession, sf_dir: str, land: str | None = None) ->
     t = lambda n: read_table(spark, sf_dir, n)
     orders, customer = spread(t("orders")), t("customer")
     rows = leaderboard_rows(spread(t("lineitem")), t("supplier"))
+    if later:
+        rows = later_rows(rows)
+        # a later response of a map or day already stored differs, and must not replace it
+        orders = orders.withColumn("o_orderpriority", F.lit("renamed")).withColumn("o_totalprice", F.col("o_totalprice") + 1)
     if land is not None:   # both the leaderboards and the author lists list these rows
         rows.write.mode("errorifexists").parquet(f"{land}/_listed")
         rows = spark.read.parquet(f"{land}/_listed")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import documents as D
 from ..functions import scalars as X
-from ..operators.aggregates import TIE_ALL, TIE_ERROR, TIE_FIRST, arg_min, group_min
+from ..operators.aggregates import TIE_ALL, TIE_ERROR, TIE_FIRST, arg_min
 from ..operators.joins import either_key_join, lookup_join
 from ..operators.partitioning import spread
 from ..operators.selection import LATEST, select_days
@@ -26,7 +26,7 @@ from ..sinks import keyed
 from ..sinks.constraints import QUARANTINE, conform_to
 from ..session import scratch_path, shared_dir
 from ..sinks.store import TableStore
-from ..sources.feeds import keyed_fetch, paged_feed
+from ..sources.feeds import LIST_LENGTH, keyed_fetch, list_head, paged_feed, responses
 from ..sources.transports import TableTransport
 
 # ---- payload schemas (every leaf a string; cast when selected) -------------
@@ -56,14 +56,14 @@ def latest_maps(tmio: DataFrame, n: int | None, order: str = LATEST) -> DataFram
 def collect_map_info_batch(tmio: DataFrame, transport, n: int | None, order: str = LATEST) -> DataFrame:
     """Map info for the latest N maps."""
     keys = latest_maps(tmio, n, order).select("map_uid")
-    return keyed_fetch(keys, transport, ["map_uid"]).select(*S.COLLECT_TMX.names)
+    return keyed_fetch(keys, transport, ["map_uid"]).select("map_uid", "json_data")
 
 
 def collect_leaderboards_batch(tmio: DataFrame, transport, n: int | None, order: str = LATEST) -> DataFrame:
     """Leaderboard heads for the latest N maps (two-part request key)."""
     keys = latest_maps(tmio, n, order).select("map_uid", "leaderboard_uid")
     got = keyed_fetch(keys, transport, ["map_uid", "leaderboard_uid"])
-    return got.select(*S.COLLECT_TMIO_LEADERBOARDS.names)
+    return got.select("map_uid", "json_data")
 
 
 def collect_authors_batch(tmio: DataFrame, tmx: DataFrame, transport, n: int | None,
@@ -71,8 +71,7 @@ def collect_authors_batch(tmio: DataFrame, tmx: DataFrame, transport, n: int | N
     """Author lists for the latest N maps, keyed by exchange id or track id."""
     j = tmio.join(tmx.select("map_uid", "track_id"), "map_uid")
     keys = latest_maps(j, n, order).select(X.first_key("exchange_id", "track_id").alias("track_id"))
-    got = keyed_fetch(keys, transport, ["track_id"])
-    return got.select(F.col("track_id").cast("int").alias("track_id"), "json_data")
+    return keyed_fetch(keys, transport, ["track_id"]).select("track_id", "json_data")
 
 
 # ---- conform (X5-X8) -----------------------------------------------------
@@ -120,8 +119,8 @@ def conform_leaderboards_batch(raw: DataFrame, tmio: DataFrame, tmx: DataFrame,
     the track id when the map has none (inner join to tmio, left to tmx)."""
     j = (raw.join(tmio.select("map_uid", F.col("exchange_id").alias("_ex")), "map_uid")
          .join(tmx.select("map_uid", F.col("track_id").alias("_tr")), "map_uid", "left"))
-    tops = D.parse("json_data", LEADERBOARD_DOC, on_bad).getField("tops")
-    e = j.select(X.first_key("_ex", "_tr").alias("exchange_id"), D.unnest(tops).alias("e"))
+    keyed_docs = j.select(X.first_key("_ex", "_tr").alias("exchange_id"), "json_data")
+    e = list_head(keyed_docs, "json_data", "tops", LIST_LENGTH, TOP_ENTRY, ["exchange_id"], on_bad)
     cast = X.Casts(strict=on_bad == D.FAIL)
     up = cast(D.field("e", "timestamp"), "date", "uploaded_date")
     return e.select(
@@ -158,25 +157,23 @@ def records(tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
     if record_key == RECORD_AS_WRITTEN:
         keys = tmio.select("exchange_id").filter(F.col("exchange_id").isNotNull())
         lead = lead.join(keys, "exchange_id", "left_semi")
-    if method == "join":
-        mins = group_min(lead, ["exchange_id"], "wr_replay_time", "_min")
-        out = (lead.join(mins, "exchange_id").filter(F.col("wr_replay_time") == F.col("_min"))
-               .drop("_min"))
-        if tie == TIE_ALL:
-            return out
-        return arg_min(out, ["exchange_id"], "wr_replay_time", tie,
-                       order=["wr_uploaded_date", "wr_user_id"])
     return arg_min(lead, ["exchange_id"], "wr_replay_time", tie,
-                   order=["wr_uploaded_date", "wr_user_id"])
+                   order=["wr_uploaded_date", "wr_user_id"], method=method)
+
+
+COLLIDE_ERROR, COLLIDE_FIRST = "error", "first"
 
 
 def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
-               record_key: str = RECORD_AS_WRITTEN, method: str | None = None) -> DataFrame:
+               record_key: str = RECORD_AS_WRITTEN, method: str | None = None,
+               on_collision: str = COLLIDE_ERROR) -> DataFrame:
     """One fact row per daily selection with its record holder.
 
     (tmx join tmio) joined to the records on either key (J6 as an equi join).
-    With ``tie='first'`` one row per (date, exchange id) is kept: least time,
-    then date, then player id.
+    With ``tie='first'`` a map whose two ids both hold a record gives one row:
+    least time, then date, then player id.  Two maps on one (date, exchange id)
+    stay two rows, which the keyed sink refuses (``on_collision='error'``), or the
+    map of smaller uid is kept (``'first'``); rows without a date never collide.
     """
     a = tmx.select("map_uid", "track_id", "map_name", "laps",
                    F.col("uploaded_year").alias("x_y"), F.col("uploaded_month").alias("x_m"),
@@ -189,7 +186,7 @@ def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_
     totd = X.build_date("totd_year", "totd_month", "totd_day")
     up = X.build_date("x_y", "x_m", "x_d")
     fact = j.select(
-        totd.alias("totd_date"), X.weekday_name(totd).alias("totd_day_of_week"),
+        "map_uid", totd.alias("totd_date"), X.weekday_name(totd).alias("totd_day_of_week"),
         X.first_key("io_ex", "track_id").alias("exchange_id"),
         X.strip_codes("map_name").alias("map_name"),
         X.greater_flag("laps", 1).alias("is_multilap_flag"),
@@ -197,9 +194,14 @@ def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_
         "author_time", "gold_time", "silver_time", "bronze_time",
         "wr_username", "wr_user_id", "wr_replay_time", "wr_uploaded_date")
     if tie == TIE_FIRST:
-        fact = keyed.one_per_key(fact, ["totd_date", "exchange_id"], keyed.FIRST,
-                                 ["wr_replay_time", "wr_uploaded_date", "wr_user_id"])
-    return fact
+        fact = keyed.one_per_key(fact, ["map_uid"], keyed.FIRST, ["wr_replay_time", "wr_uploaded_date", "wr_user_id"])
+    if on_collision == COLLIDE_FIRST:
+        if tie != TIE_FIRST:
+            raise ValueError("on_collision='first' needs tie='first'")
+        fact = keyed.one_per_key(fact, ["totd_date", "exchange_id"], keyed.FIRST, ["map_uid"], keyed.APPEND).drop(keyed.SALT)
+    elif on_collision != COLLIDE_ERROR:
+        raise ValueError(on_collision)
+    return fact.drop("map_uid")
 
 
 def totd_tags_batch(tmx: DataFrame, tags: DataFrame) -> DataFrame:
@@ -239,10 +241,11 @@ class Refresh:
     on_violation: str = "fail"           # or "quarantine": bad rows go to quarantine/<layer>_<table>
     done: set = field(default_factory=set)
 
-    ORDER = ("collect_daily", "conform_daily", "collect_map_info", "conform_map_info",
+    ORDER = ("seed_reference", "collect_daily", "conform_daily", "collect_map_info", "conform_map_info",
              "collect_authors", "collect_leaderboards", "conform_authors", "conform_leaderboards",
              "totd", "totd_tags", "totd_authors")
     NEEDS = {
+        "seed_reference": (),
         "collect_daily": (),
         "conform_daily": ("collect_daily",),
         "collect_map_info": ("conform_daily",),
@@ -252,7 +255,7 @@ class Refresh:
         "conform_authors": ("collect_authors",),
         "conform_leaderboards": ("collect_leaderboards", "conform_daily", "conform_map_info"),
         "totd": ("conform_daily", "conform_map_info", "conform_leaderboards"),
-        "totd_tags": ("conform_map_info",),
+        "totd_tags": ("conform_map_info", "seed_reference"),
         "totd_authors": ("conform_authors", "conform_daily"),
     }
 
@@ -264,23 +267,39 @@ class Refresh:
     def _quarantining(self) -> bool:
         return self.on_violation == QUARANTINE
 
-    def quarantine_path(self, spec) -> str:
-        return f"{self.store.root}/quarantine/{spec.layer}_{spec.name}"
+    @staticmethod
+    def quarantine_spec(spec) -> S.TableSpec:
+        """The keyed table of the rows set aside on the way into ``spec``: a
+        row that is set aside again by a later run is stored once."""
+        return S.TableSpec("quarantine", f"{spec.layer}_{spec.name}", (
+            S.Col("table_name", "string"), S.Col("payload", "string"), S.Col("reason", "string")),
+            key=("table_name", "payload", "reason"))
+
+    def quarantined(self, spec) -> DataFrame:
+        return self.store.read(self.quarantine_spec(spec))
 
     def _quarantine(self, target, rows: DataFrame, reason) -> None:
         cols = [c for c in rows.columns if c != "reason"]
-        (rows.select(F.lit(target.qualified).alias("table_name"),
-                     D.to_text(F.struct(*cols)).alias("payload"), reason.alias("reason"))
-         .write.mode("append").parquet(self.quarantine_path(target)))
-
-    def _raw(self, source, target) -> DataFrame:
-        """A stored collect table, spread for parsing; in quarantine mode the
-        rows that are not JSON at all are set aside first."""
-        raw = spread(self._t(source))
+        self.store.insert_ignore(self.quarantine_spec(target), rows.select(
+            F.lit(target.qualified).alias("table_name"), D.to_text(F.struct(*cols)).alias("payload"),
+            reason.cast("string").alias("reason")), order_by=["payload"])
+
+    def _raw(self, source, target, schema: str, new_only: bool = False) -> DataFrame:
+        """A stored collect table, spread for parsing; with ``new_only`` the
+        documents whose key the target does not hold yet (insert-ignore would
+        drop the others after parsing them).  In quarantine mode the documents
+        that are not JSON, or of another shape than ``schema``, are set aside first."""
+        raw = self._t(source)
+        if new_only:
+            raw = raw.join(self._t(target).select(*target.key), list(target.key), "left_anti")
+        else:
+            raw = spread(raw)
         if not self._quarantining:
             return raw
-        bad = D.is_bad_json(F.col("json_data"))
-        self._quarantine(target, raw.filter(bad), F.lit("bad json"))
+        doc = F.col("json_data")
+        bad = D.is_bad_document(doc, schema)
+        reason = F.when(D.is_bad_json(doc), F.lit("bad json")).otherwise(F.lit("wrong shape"))
+        self._quarantine(target, raw.filter(bad), reason)
         return raw.filter(~bad)
 
     def _typed(self, batch: DataFrame, target) -> DataFrame:
@@ -300,7 +319,7 @@ class Refresh:
     # The full refresh in the reference's order; steps in one group share no
     # table and run side by side (jobs from several driver threads share the
     # cluster, so small stages fill idle cores).
-    GROUPS = (("collect_daily",), ("conform_daily",), ("collect_map_info",), ("conform_map_info",),
+    GROUPS = (("seed_reference", "collect_daily"), ("conform_daily",), ("collect_map_info",), ("conform_map_info",),
               ("collect_authors", "collect_leaderboards"), ("conform_authors", "conform_leaderboards"),
               ("totd", "totd_tags", "totd_authors"))
 
@@ -323,55 +342,75 @@ class Refresh:
         self.done.add(until)
         return self
 
+    # The reference layer, seeded like any keyed table
+    def seed_reference(self):
+        self.store.insert_ignore(S.REF_TMX_TAGS, conform_to(self.feeds.tags, S.REF_TMX_TAGS), order_by=["tag_name"])
+
+    def _land(self, name: str) -> str:
+        """A landing folder of this run's own for one live feed."""
+        return f"{self.land or scratch_path(self.store.spark, 'landing')}/{name}-{uuid.uuid4().hex[:8]}"
+
     # X1
     def collect_daily(self):
-        self.store.insert_ignore(S.COLLECT_TMIO, collect_daily_batch(self.store.spark, self.feeds.daily, self.n, self.land),
-                                 order_by=["json_data"])
+        b = collect_daily_batch(self.store.spark, self.feeds.daily, self.n,
+                                None if isinstance(self.feeds.daily, TableTransport) else self._land("daily"))
+        self.store.insert_ignore(S.COLLECT_TMIO, conform_to(b, S.COLLECT_TMIO), order_by=["json_data"])
 
     # X5
     def conform_daily(self):
-        b = self._typed(conform_tmio_batch(self._raw(S.COLLECT_TMIO, S.CONFORM_TMIO), self._on_bad), S.CONFORM_TMIO)
+        b = self._typed(conform_tmio_batch(self._raw(S.COLLECT_TMIO, S.CONFORM_TMIO, TMIO_DOC), self._on_bad), S.CONFORM_TMIO)
         self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
 
-    def _landed(self, fetched: DataFrame, transport, name: str) -> DataFrame:
+    def _landed(self, fetched: DataFrame, transport, name: str, spec) -> DataFrame:
         """Responses of a live transport are written once before any sink
-        reads them: a recomputed task must not fetch a different answer."""
-        if isinstance(transport, TableTransport):
-            return fetched
-        path = f"{self.land or scratch_path(self.store.spark, 'landing')}/{name}-{uuid.uuid4().hex[:8]}"
-        fetched.write.mode("errorifexists").parquet(path)
-        return self.store.spark.read.parquet(path)
+        reads them: a recomputed task must not fetch a different answer.  Each
+        body is parsed before it is landed, and the landed rows obey the collect
+        table's declaration; in quarantine mode bad bodies and rows are set aside."""
+        if self._quarantining:
+            fetched = fetched.filter(F.col("json_data").isNotNull())
+        else:
+            fetched = responses(fetched)
+        if not isinstance(transport, TableTransport):
+            path = self._land(name)
+            fetched.write.mode("errorifexists").parquet(path)
+            fetched = self.store.spark.read.schema(fetched.schema).parquet(path)
+        if self._quarantining:
+            bad = D.is_bad_json(F.col("json_data"))
+            self._quarantine(spec, fetched.filter(bad), F.lit("bad json"))
+            return self._typed(fetched.filter(~bad), spec)
+        return conform_to(fetched, spec)
 
     # X2
     def collect_map_info(self):
         b = collect_map_info_batch(self._t(S.CONFORM_TMIO), self.feeds.map_info, self.n, self.order)
-        self.store.insert_ignore(S.COLLECT_TMX, self._landed(b, self.feeds.map_info, "map_info"),
+        self.store.insert_ignore(S.COLLECT_TMX, self._landed(b, self.feeds.map_info, "map_info", S.COLLECT_TMX),
                                  order_by=["json_data"])
 
     # X6
     def conform_map_info(self):
-        b = self._typed(conform_tmx_batch(self._raw(S.COLLECT_TMX, S.CONFORM_TMX), self._on_bad), S.CONFORM_TMX)
+        b = self._typed(conform_tmx_batch(self._raw(S.COLLECT_TMX, S.CONFORM_TMX, TMX_DOC, new_only=True), self._on_bad), S.CONFORM_TMX)
         self.store.insert_ignore(S.CONFORM_TMX, b, order_by=["track_id"])
 
     # X4
     def collect_authors(self):
         b = collect_authors_batch(self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.feeds.authors, self.n, self.order)
-        self.store.upsert(S.COLLECT_TMX_AUTHORS, self._landed(b, self.feeds.authors, "authors"))
+        self.store.upsert(S.COLLECT_TMX_AUTHORS, self._landed(b, self.feeds.authors, "authors", S.COLLECT_TMX_AUTHORS))
 
     # X3
     def collect_leaderboards(self):
         b = collect_leaderboards_batch(self._t(S.CONFORM_TMIO), self.feeds.leaderboards, self.n, self.order)
-        self.store.upsert(S.COLLECT_TMIO_LEADERBOARDS, self._landed(b, self.feeds.leaderboards, "leaderboards"))
+        self.store.upsert(S.COLLECT_TMIO_LEADERBOARDS,
+                          self._landed(b, self.feeds.leaderboards, "leaderboards", S.COLLECT_TMIO_LEADERBOARDS))
 
     # X8
     def conform_authors(self):
-        b = self._typed(conform_authors_batch(self._raw(S.COLLECT_TMX_AUTHORS, S.CONFORM_TMX_AUTHORS), self._on_bad),
-                        S.CONFORM_TMX_AUTHORS)
+        raw = self._raw(S.COLLECT_TMX_AUTHORS, S.CONFORM_TMX_AUTHORS, AUTHORS_DOC)
+        b = self._typed(conform_authors_batch(raw, self._on_bad), S.CONFORM_TMX_AUTHORS)
         self.store.upsert(S.CONFORM_TMX_AUTHORS, b, update_cols=["author_role"])
 
     # X7
     def conform_leaderboards(self):
-        b = conform_leaderboards_batch(self._raw(S.COLLECT_TMIO_LEADERBOARDS, S.CONFORM_TMIO_LEADERBOARDS),
+        b = conform_leaderboards_batch(self._raw(S.COLLECT_TMIO_LEADERBOARDS, S.CONFORM_TMIO_LEADERBOARDS, LEADERBOARD_DOC),
                                        self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self._on_bad)
         self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, self._typed(b, S.CONFORM_TMIO_LEADERBOARDS),
                           update_cols=UPDATE_LEADERBOARD)
@@ -383,7 +422,7 @@ class Refresh:
 
     # X10
     def totd_tags(self):
-        b = self._typed(totd_tags_batch(self._t(S.CONFORM_TMX), self.feeds.tags), S.CONSUME_TOTD_TAGS)
+        b = self._typed(totd_tags_batch(self._t(S.CONFORM_TMX), self._t(S.REF_TMX_TAGS)), S.CONSUME_TOTD_TAGS)
         self.store.insert_ignore(S.CONSUME_TOTD_TAGS, b, order_by=["exchange_id"])
 
     # X11

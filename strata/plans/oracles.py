@@ -7,7 +7,7 @@ encodings or the Spark plans.  Column names and types equal the Spark side.
 from __future__ import annotations
 
 from ..schemas import TMX_TAGS
-from .encode import LEADERBOARD_LENGTH
+from .encode import LATER_ROLE, LATER_SECONDS, LEADERBOARD_LENGTH
 
 # The tag catalogue as a VALUES list (the same fixed values as schemas.TMX_TAGS).
 _TAG_VALUES = ", ".join(f"({i}, '{n}')" for i, n in TMX_TAGS)
@@ -57,6 +57,9 @@ JOIN wr_all w ON w.l_orderkey = o.o_orderkey
 WHERE o.o_orderkey % 10 <> 0 AND __WR_FILTER__"""
 
 DAILY_FACT = _FACT_BODY.replace("__WR_FILTER__", "w.wr_rank = 1")
+# the fact after a second refresh: some players' times are later, nothing else of it has changed
+_LATER = f"l_quantity + CASE WHEN l_orderkey % 3 = 0 AND l_suppkey % 2 = 0 THEN {LATER_SECONDS} ELSE 0 END"
+REFRESH_CONTENT = DAILY_FACT.replace("lb AS (SELECT * FROM lb_all", f"lb AS (SELECT * REPLACE ({_LATER} AS l_quantity) FROM lb_all")
 DAILY_FACT_ALL_TIES = _FACT_BODY.replace("__WR_FILTER__", "w.tie_rank = 1")
 
 TOTD_TAGS = """
@@ -89,9 +92,9 @@ FROM {_EV_FIRST} t FULL OUTER JOIN {_EV_LAST} b ON t.user_id = b.user_id AND t.e
 
 ORACLES = {
     "paged_feed": """
-SELECT t.conv_id, t.turn, t.role, CAST(t.turn - f.t0 + 1 AS INTEGER) AS day_number
-FROM (SELECT conv_id, turn, role FROM conversations ORDER BY conv_id DESC, turn DESC LIMIT 50) t
-JOIN (SELECT conv_id, min(turn) AS t0 FROM conversations GROUP BY conv_id) f ON f.conv_id = t.conv_id""",
+SELECT conv_id, CAST(turn AS INTEGER) AS turn, role, CAST(place + 1 AS INTEGER) AS day_number
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn // 31 ORDER BY turn) AS place FROM conversations)
+ORDER BY conv_id DESC, turn DESC LIMIT 50""",
 
     "keyed_fetch": "SELECT page_id, html FROM pages",
 
@@ -161,8 +164,66 @@ UNION
 SELECT p_partkey, n_name AS tag_name FROM part JOIN nation ON n_nationkey = p_partkey % 30""",
 
     "two_key_left": """
-SELECT s.s_suppkey, s.s_name, c.c_custkey, c.c_name
-FROM supplier s LEFT JOIN customer c ON s.s_nationkey = c.c_nationkey AND s.s_suppkey % 50 = c.c_custkey % 50""",
+SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, o.o_orderstatus
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey AND l.l_suppkey % 10 = o.o_custkey % 10""",
+
+    "arg_min_null_group": """
+WITH held AS (
+    SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity) AS r FROM lineitem WHERE l_orderkey % 10 <> 0)
+SELECT method, l_orderkey, l_linenumber, l_suppkey, l_quantity
+FROM held CROSS JOIN (VALUES ('window'), ('join')) AS m(method) WHERE r = 1""",
+
+    "upsert_hot_key": """
+WITH ev AS (
+    SELECT CASE WHEN event_id % 10 = 7 THEN NULL WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id,
+           CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE event_type END AS event_type, event_id, value FROM events)
+SELECT user_id, event_type, event_id, value FROM ev WHERE user_id IS NULL
+UNION ALL
+SELECT user_id, event_type, max(event_id), arg_max(value, event_id) FROM ev WHERE user_id IS NOT NULL GROUP BY user_id, event_type""",
+
+    "constraint_nulls": """
+WITH k AS (SELECT CASE WHEN l_orderkey % 10 <> 0 THEN l_orderkey END AS a, l_suppkey AS b FROM lineitem)
+SELECT 'append' AS table_name, 'duplicate key' AS rule, 'l_orderkey,l_suppkey' AS column_name,
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM k WHERE a IS NOT NULL GROUP BY a, b)) AS violations
+UNION ALL
+SELECT 'match', 'duplicate key', 'l_orderkey,l_suppkey',
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM k GROUP BY a, b))""",
+
+    "wrong_shape_documents": """
+SELECT o_orderkey,
+       CASE o_orderkey % 8 WHEN 0 THEN 'good' WHEN 3 THEN 'bad json' WHEN 4 THEN 'good' WHEN 7 THEN 'good' ELSE 'wrong shape' END AS board,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'wrong shape' ELSE 'good' END AS authors
+FROM orders""",
+
+    "collect_limited": """
+WITH m AS (SELECT 'm' || o_orderkey AS map_uid, o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS mo, day(o_orderdate) AS d
+           FROM orders JOIN customer ON c_custkey = o_custkey),
+picked AS (
+    (SELECT 'latest' AS order_mode, map_uid, o_orderkey FROM m ORDER BY y DESC, mo DESC, d DESC, map_uid LIMIT 25)
+    UNION ALL
+    (SELECT 'as_written', map_uid, o_orderkey FROM m ORDER BY y, mo, d DESC, map_uid LIMIT 25)),
+newest AS (SELECT o_orderkey FROM m ORDER BY y DESC, mo DESC, o_orderkey DESC LIMIT 25),
+listed AS (SELECT DISTINCT l_orderkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
+SELECT 'daily' AS feed, 'latest' AS order_mode, CAST(o_orderkey AS VARCHAR) AS key_text FROM newest
+UNION ALL
+SELECT 'map_info', order_mode, map_uid FROM picked
+UNION ALL
+SELECT 'leaderboard', order_mode, map_uid FROM picked WHERE o_orderkey IN (SELECT l_orderkey FROM listed)
+UNION ALL
+SELECT 'authors', order_mode, CAST(o_orderkey AS VARCHAR) FROM picked""",
+
+    "refresh_content": REFRESH_CONTENT,
+
+    "refresh_roles": f"""
+WITH {_LB}
+SELECT 'conform' AS layer, CAST(o_orderkey AS INTEGER) AS map_key, c_name AS username, CAST(NULL AS VARCHAR) AS author_role
+FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL
+SELECT 'conform', CAST(l_orderkey AS INTEGER), s_name, CASE WHEN l_orderkey % 2 = 0 THEN '{LATER_ROLE}' ELSE l_returnflag END FROM lb
+UNION ALL
+SELECT 'consume', CAST(o_orderkey AS INTEGER), c_name, CAST(NULL AS VARCHAR) FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL
+SELECT 'consume', CAST(l_orderkey AS INTEGER), s_name, l_returnflag FROM lb""",
 
     "either_key_join": """
 SELECT o.o_orderkey, o.o_custkey, c.c_custkey, c.c_name
@@ -206,6 +267,7 @@ WHERE rn = 1""",
 
     "upsert_some": UPSERT_SOME,
     "upsert_bucketed": UPSERT_SOME,
+    "upsert_after_failure": UPSERT_SOME,
 
     "constraint_report": """
 SELECT 'lineitem' AS table_name, 'duplicate key' AS rule, 'l_orderkey,l_linenumber' AS column_name,
@@ -243,7 +305,7 @@ UNION ALL
 SELECT 'map_info', 'm' || o_orderkey, CAST(o_orderkey AS VARCHAR) FROM orders
 UNION ALL
 SELECT 'leaderboard', 'm' || o.o_orderkey, CAST(n.c AS VARCHAR)
-FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS c FROM lb GROUP BY l_orderkey) n ON n.l_orderkey = o.o_orderkey
+FROM orders o JOIN (SELECT l_orderkey, count(*) AS c FROM lb GROUP BY l_orderkey) n ON n.l_orderkey = o.o_orderkey
 UNION ALL
 SELECT 'authors', CAST(o_orderkey AS VARCHAR), c_name FROM orders JOIN customer ON c_custkey = o_custkey""",
 
@@ -283,6 +345,7 @@ SELECT CAST(l_orderkey AS INTEGER), s_name, l_returnflag FROM lb""",
     "totd_tags": TOTD_TAGS,
     "totd_authors": TOTD_AUTHORS,
     "daily_fact": DAILY_FACT,
+    "daily_fact_collisions": DAILY_FACT,
     "daily_fact_all_ties": DAILY_FACT_ALL_TIES,
 
     "full_refresh": f"""

@@ -46,7 +46,9 @@ class TableSpec:
 
     @property
     def ddl(self) -> str:
-        return ", ".join(f"{c.name} {c.dtype}" for c in self.columns)
+        """The columns as a catalog declares them: lengths and NOT NULL included."""
+        return ", ".join(f"{c.name} {f'varchar({c.max_len})' if c.max_len else c.dtype}"
+                         f"{' NOT NULL' if c.name in self.not_null else ''}" for c in self.columns)
 
     @property
     def not_null(self) -> list[str]:
@@ -166,7 +168,22 @@ ALL_TABLES = [
     CONFORM_TMIO, CONFORM_TMIO_LEADERBOARDS, CONFORM_TMX, CONFORM_TMX_AUTHORS,
     CONSUME_TOTD, CONSUME_TOTD_TAGS, CONSUME_TOTD_AUTHORS, REF_TMX_TAGS,
 ]
-BY_NAME = {t.qualified: t for t in ALL_TABLES}
+
+
+def create_statements(tables: list[TableSpec] | None = None, location: str | None = None) -> list[str]:
+    """K6: the statements that declare the layers (databases) and their tables
+    in a catalog; with ``location`` (a shared folder) as external tables there."""
+    tables = ALL_TABLES if tables is None else tables
+    out = [f"CREATE DATABASE IF NOT EXISTS {layer}" for layer in dict.fromkeys(t.layer for t in tables)]
+    for t in tables:
+        where = f" LOCATION '{location.rstrip('/')}/{t.layer}/{t.name}'" if location else ""
+        out.append(f"CREATE TABLE IF NOT EXISTS {t.qualified} ({t.ddl}) USING parquet{where}")
+    return out
+
+
+def create_tables(spark: SparkSession, tables: list[TableSpec] | None = None, location: str | None = None) -> None:
+    for statement in create_statements(tables, location):
+        spark.sql(statement)
 
 
 def empty(spark: SparkSession, spec: TableSpec) -> DataFrame:

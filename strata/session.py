@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# A session that keeps other values for these would give other answers.
+ANSWERS_DEPEND_ON = ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")
 
 
 def build_session(master: str = "local[*]", app: str = "strata",
@@ -41,10 +43,10 @@ def apply_conf(spark: SparkSession) -> None:
     """Put the runtime settings on a session someone else built, and make
     the package importable on executors."""
     for k, v in BASE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave it
-            pass
+        spark.conf.set(k, v)
+    for k in ANSWERS_DEPEND_ON:
+        if spark.conf.get(k) != BASE_CONF[k]:
+            raise RuntimeError(f"{k} is {spark.conf.get(k)!r} and can't be set to {BASE_CONF[k]!r}")
     ship_package(spark)
 
 
@@ -76,16 +78,24 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def is_local_master(master: str) -> bool:
+    """One JVM on one machine (``local``, ``local[N]``), not a cluster of any kind."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Clusters set it; only when it is unset (local tests) do we make one.
+    Only a ``local`` master may leave it unset; a temporary folder is made
+    then.  On a cluster each executor would write such a folder on its own disk.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
+            if not is_local_master(sc.master):
+                raise RuntimeError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
             path = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path

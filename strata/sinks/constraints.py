@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import pad_fit
 from ..schemas import TableSpec
+from .keyed import APPEND, MATCH
 
 FAIL, QUARANTINE = "fail", "quarantine"
 
@@ -55,12 +56,19 @@ def conform_to(df: DataFrame, spec: TableSpec, strict: bool = True,
             # The check rides on a projected column, not a filter: a filter
             # would be pushed below the projection and re-evaluate the
             # (JSON-parsing) column expressions once per rule.
-            first = F.coalesce(*[F.when(cond, F.lit(msg)) for msg, cond in bad])
+            # Every column carries its own rules, and the first column all of
+            # them, so a narrower selection still checks what it selects.
+            def guarded(c: str, rules: list[tuple[str, Column]]) -> Column:
+                if not rules:
+                    return F.col(c)
+                first = F.coalesce(*[F.when(cond, F.lit(msg)) for msg, cond in rules])
+                stop = F.raise_error(F.concat(F.lit(spec.qualified + ": "), first))
+                return F.when(first.isNotNull(), stop).otherwise(F.col(c)).cast(spec.column(c).dtype).alias(c)
+
             lead = (list(spec.key) or spec.names)[0]
-            guarded = F.when(first.isNotNull(), F.raise_error(
-                F.concat(F.lit(spec.qualified + ": "), first))).otherwise(F.col(lead))
-            typed = typed.select(*[guarded.cast(spec.column(c).dtype).alias(c) if c == lead else F.col(c)
-                                   for c in spec.names])
+            own = {c: _reasons(spec, {c: n for k, n in spec.lengths.items() if k == c}, [k for k in spec.not_null if k == c])
+                   for c in spec.names}
+            typed = typed.select(*[guarded(c, bad if c == lead else own[c]) for c in spec.names])
     return typed
 
 
@@ -76,9 +84,12 @@ def _reasons(spec: TableSpec, lengths: dict[str, int] | None = None,
 
 def check_constraints(df: DataFrame, key: list[str] | None = None,
                       lengths: dict[str, int] | None = None,
-                      not_null: list[str] | None = None, table: str = "") -> DataFrame:
+                      not_null: list[str] | None = None, table: str = "", null_keys: str = APPEND) -> DataFrame:
     """K5 report: one row per rule with the number of violating rows.
 
+    A key with a NULL part never clashes, so it is no duplicate
+    (``null_keys='match'`` counts NULL as a value).
+
     Length and NOT NULL rules are one global aggregate (partial per task);
     ``duplicate key`` counts rows beyond the first per key, from a grouped
     count that is combined map-side, so a hot key is no problem.
@@ -95,7 +106,8 @@ def check_constraints(df: DataFrame, key: list[str] | None = None,
         stack = ", ".join(f"'{name}', '{col}', r{i}" for i, (name, col, _) in enumerate(rules))
         parts.append(agg.selectExpr(f"stack({len(rules)}, {stack}) as (rule, column_name, violations)"))
     if key:
-        dup = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        whole = df if null_keys == MATCH else df.dropna(subset=key)
+        dup = (whole.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
                .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"))
                .select(F.lit("duplicate key").alias("rule"),
                        F.lit(",".join(key)).alias("column_name"), "violations"))
@@ -109,7 +121,3 @@ def split_violations(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFram
     reason = F.coalesce(*[F.when(cond, F.lit(name)) for name, cond in rules]) if rules \
         else F.lit(None).cast("string")
     return df.withColumn("reason", reason)
-
-
-def spec_rules(spec: TableSpec) -> list[tuple[str, Column]]:
-    return _reasons(spec)

@@ -84,11 +84,12 @@ def one_per_key(batch: DataFrame, key: list[str], keep: str,
         batch = _with_salt(batch, key, null_keys, unique=True)
     part = _group_key(key, null_keys)
     if keep == ERROR:
-        n = F.count(F.lit(1)).over(Window.partitionBy(*part))
-        out = (batch.withColumn("_n", n)
-               .filter(F.when(F.col("_n") > 1, F.raise_error(
+        # two rows of a key are enough to fail, so a map task sends two at most
+        w = Window.partitionBy(*part).orderBy(*part)
+        out = (batch.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
+               .filter(F.when(F.col("_rn") > 1, F.raise_error(
                    F.lit("batch holds two rows for one key " + ",".join(key)))).otherwise(F.lit(True)))
-               .drop("_n"))
+               .drop("_rn"))
     else:
         w = Window.partitionBy(*part).orderBy(*_order(order_by, keep))
         out = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -1,16 +1,22 @@
 """Layer tables on Parquet with keyed writes (K1-K3, K6).
 
+Every rewrite of a table goes to a new folder ``v=NNNNNN``; readers take the
+newest one that Spark committed (``_SUCCESS``).  A killed write leaves the old
+version readable and the next write takes the number after any folder that is
+there.  A version that has been followed by two newer ones is removed.
+
 Two layouts per table:
 
-* **snapshot** (default, small tables): every rewrite goes to a new folder
-  ``v=NNNNNN``; readers take the newest one that Spark committed
-  (``_SUCCESS``), so a failed or killed job leaves the old version in place.
+* **snapshot** (default, small tables): an upsert writes the whole new content.
   Insert-ignore only appends its new rows to the current version.
-* **bucketed** (large tables): rows carry ``_bucket = pmod(xxhash64(key), B)``
-  as a partition column.  A batch touches few buckets; only those are read
-  (partition filter), merged and rewritten with dynamic partition overwrite,
-  the other buckets' files are left alone.  Insert-ignore appends into the
-  touched buckets.
+* **bucketed** (large tables): rows carry ``_bucket`` (a hash of the key) as a
+  partition column.  A batch touches few buckets; only those are read
+  (partition filter), merged and rewritten with dynamic partition overwrite
+  inside the current version; the other buckets' files are left alone.
+  Insert-ignore appends into the touched buckets.
+
+A batch is computed once: it is staged in the table's own root, and the buckets
+it touches and the merge are both taken from the staged rows.
 
 The root should be on the shared file system (``spark.checkpoint.dir`` or a
 lake path); nothing here uses a machine-local folder on a cluster.
@@ -18,6 +24,11 @@ lake path); nothing here uses a machine-local folder on a cluster.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -26,10 +37,19 @@ from ..schemas import TableSpec, empty
 from . import keyed
 
 BUCKET = "_bucket"
+#: Files a bucket is written in, at most: one write task each.
+FILES_PER_BUCKET = 4
 
 
-def bucket_of(key: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+def bucket_of(key: list[str], columns: list[str], buckets: int, null_keys: str = keyed.APPEND) -> Column:
+    """The bucket of a row.  A key with a NULL part never clashes
+    (``null_keys='append'``), so such rows are spread by all their columns
+    instead of meeting in one bucket; they are never looked up."""
+    b = F.xxhash64(*[F.col(k) for k in key])
+    if null_keys == keyed.APPEND:
+        null = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in key])
+        b = F.when(null, F.xxhash64(*[F.col(c) for c in columns])).otherwise(b)
+    return F.pmod(b, F.lit(buckets)).cast("int")
 
 
 # Keyed tables that take upserts: at scale they are bucketed so an upsert
@@ -55,10 +75,12 @@ def keyed_buckets(n: int) -> dict[str, int]:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None):
+    def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None,
+                 files_per_bucket: int = FILES_PER_BUCKET):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets or {}
+        self.files_per_bucket = files_per_bucket
 
     # ---- file system helpers (Hadoop FS, so any shared store works) --------
     def _fs(self, path: str):
@@ -66,28 +88,21 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _exists(self, path: str) -> bool:
+    def _names(self, path: str) -> list[str]:
         fs, p = self._fs(path)
-        return fs.exists(p)
-
-    def _versions(self, spec: TableSpec) -> list[int]:
-        fs, p = self._fs(self.table_dir(spec))
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _remove(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
 
     # ---- layout ------------------------------------------------------------
     def table_dir(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.layer}/{spec.name}"
 
     def path(self, spec: TableSpec) -> str:
-        """Snapshot tables hold ``v=NNNNNN`` folders here; a bucketed table
-        lives in ``buckets=B`` so its bucket count is part of the layout."""
+        """The folder of a table's versions.  A bucketed table lives in
+        ``buckets=B``, so its bucket count is part of the layout."""
         b = self.bucket_count(spec)
         return f"{self.table_dir(spec)}/buckets={b}" if b else self.table_dir(spec)
 
@@ -97,33 +112,74 @@ class TableStore:
     def _check_layout(self, spec: TableSpec) -> None:
         """Refuse to mix layouts: reading a table with another bucket count
         (or as a snapshot table) would miss rows."""
-        fs, p = self._fs(self.table_dir(spec))
-        if not fs.exists(p):
-            return
-        want = f"buckets={self.bucket_count(spec)}" if self.bucket_count(spec) else "v="
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(("buckets=", "v=")) and not name.startswith(want):
-                raise ValueError(f"{spec.qualified} is stored as {name!r}, not {want!r}")
+        b = self.bucket_count(spec)
+        for name in self._names(self.table_dir(spec)):
+            if name.startswith(("buckets=", "v=")) and not (name == f"buckets={b}" if b else name.startswith("v=")):
+                raise ValueError(f"{spec.qualified} is stored as {name!r}, not {f'buckets={b}' if b else 'v='!r}; "
+                                 "move it over with copy_to")
+
+    def _versions(self, spec: TableSpec, committed: bool = True) -> list[int]:
+        base = self.path(spec)
+        out = [int(name[2:]) for name in self._names(base) if name.startswith("v=")]
+        return sorted(v for v in out if not committed or "_SUCCESS" in self._names(f"{base}/v={v:06d}"))
 
     def _current(self, spec: TableSpec) -> str | None:
         v = self._versions(spec)
-        return f"{self.table_dir(spec)}/v={v[-1]:06d}" if v else None
+        return f"{self.path(spec)}/v={v[-1]:06d}" if v else None
 
     def _next(self, spec: TableSpec) -> str:
-        v = self._versions(spec)
-        return f"{self.table_dir(spec)}/v={(v[-1] + 1 if v else 1):06d}"
+        """The number after the highest folder in any state: a killed write's
+        folder is never written into, and never read."""
+        v = self._versions(spec, committed=False)
+        return f"{self.path(spec)}/v={(v[-1] + 1 if v else 1):06d}"
+
+    def _retire(self, spec: TableSpec) -> None:
+        """Remove what is older than the version before the newest (a reader
+        may still be on that one), uncommitted folders included."""
+        done = self._versions(spec)
+        if len(done) > 1:
+            for v in self._versions(spec, committed=False):
+                if v < done[-2]:
+                    self._remove(f"{self.path(spec)}/v={v:06d}")
 
     def _read_raw(self, spec: TableSpec) -> DataFrame | None:
         self._check_layout(spec)
+        current = self._current(spec)
+        if current is None:
+            return None
+        schema = spec.struct
         if self.bucket_count(spec):
-            path = self.path(spec)
-            if not self._exists(path):
-                return None
-            schema = spec.struct.add(BUCKET, IntegerType())
-            return self.spark.read.schema(schema).parquet(path)
-        cur = self._current(spec)
-        return None if cur is None else self.spark.read.schema(spec.struct).parquet(cur)
+            schema = schema.add(BUCKET, IntegerType())
+        return self.spark.read.schema(schema).parquet(current)
+
+    def _write(self, spec: TableSpec, df: DataFrame, path: str, mode: str, null_keys: str = keyed.APPEND) -> None:
+        b = self.bucket_count(spec)
+        if not b:
+            df.write.mode(mode).parquet(path)
+            return
+        # a bucket's rows meet in a few tasks, so it gets a few files and is still split
+        part = F.pmod(F.hash(*[F.col(c) for c in spec.names if not spec.column(c).dtype.startswith("map")]), F.lit(self.files_per_bucket))
+        (df.withColumn(BUCKET, bucket_of(list(spec.key), spec.names, b, null_keys))
+         .repartition(F.col(BUCKET), part)
+         .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(path))
+
+    @contextmanager
+    def _staged(self, spec: TableSpec, batch: DataFrame) -> Iterator[DataFrame]:
+        """The batch, computed once and read back."""
+        path = f"{self.root}/_staged/{spec.layer}_{spec.name}-{uuid.uuid4().hex[:12]}"
+        batch.select(*spec.names).write.mode("errorifexists").parquet(path)
+        try:
+            yield self.spark.read.schema(spec.struct).parquet(path)
+        finally:
+            self._remove(path)
+
+    def _touched(self, raw: DataFrame, spec: TableSpec, staged: DataFrame, null_keys: str) -> DataFrame:
+        """The stored rows of the buckets that the staged batch touches.  At
+        most B small ints reach the driver: the bucket ids, never rows."""
+        b = bucket_of(list(spec.key), spec.names, self.bucket_count(spec), null_keys)
+        ids = [r[0] for r in staged.select(b.alias(BUCKET)).distinct().collect()]
+        return raw.filter(F.col(BUCKET).isin(ids)).select(*spec.names)
 
     # ---- reads and writes --------------------------------------------------
     def read(self, spec: TableSpec) -> DataFrame:
@@ -131,65 +187,45 @@ class TableStore:
         return empty(self.spark, spec) if df is None else df.select(*spec.names)
 
     def replace(self, spec: TableSpec, df: DataFrame) -> None:
+        """New content as a new version; ``df`` may read the table itself."""
         self._check_layout(spec)
-        df = df.select(*spec.names)
-        b = self.bucket_count(spec)
-        if b:
-            # a static overwrite deletes the folder before the job reads it:
-            # refuse a frame that reads the table it would replace
-            target = self.path(spec).replace("file:", "")
-            if any(target in f.replace("file:", "") for f in df.inputFiles()):
-                raise ValueError(f"replace({spec.qualified}) from a frame that reads it; use upsert")
-            (df.withColumn(BUCKET, bucket_of(list(spec.key), b))
-             .write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy(BUCKET).parquet(self.path(spec)))
-        else:
-            df.write.mode("errorifexists").parquet(self._next(spec))
+        self._write(spec, df.select(*spec.names), self._next(spec), "errorifexists")
+        self._retire(spec)
+
+    def copy_to(self, spec: TableSpec, other: TableStore) -> None:
+        """Rewrite a table into the layout of another store (another root or
+        bucket count)."""
+        other.replace(spec, self.read(spec))
 
     def insert_ignore(self, spec: TableSpec, batch: DataFrame,
                       order_by: list[Column | str] | None = None,
                       null_keys: str = keyed.APPEND) -> None:
         """K1: append batch rows whose key is not stored (first per key)."""
         key = list(spec.key)
-        b = self.bucket_count(spec)
         raw = self._read_raw(spec)
+        current = self._current(spec)
         if raw is None:
-            target = empty(self.spark, spec)
-        elif b:
-            target = raw.filter(F.col(BUCKET).isin(self._touched(batch, key, b))).select(*spec.names)
-        else:
-            target = raw
-        fresh = keyed.new_rows(target, batch, key, order_by, null_keys)
-        if b:
-            (fresh.withColumn(BUCKET, bucket_of(key, b))
-             .write.mode("append").partitionBy(BUCKET).parquet(self.path(spec)))
+            fresh = keyed.new_rows(empty(self.spark, spec), batch, key, order_by, null_keys)
+            self._write(spec, fresh, self._next(spec), "errorifexists", null_keys)
+        elif not self.bucket_count(spec):
+            self._write(spec, keyed.new_rows(raw, batch, key, order_by, null_keys), current, "append")
         else:
-            cur = self._current(spec)
-            if cur is None:
-                fresh.write.mode("errorifexists").parquet(self._next(spec))
-            else:
-                fresh.write.mode("append").parquet(cur)
+            with self._staged(spec, batch) as staged:
+                target = self._touched(raw, spec, staged, null_keys)
+                self._write(spec, keyed.new_rows(target, staged, key, order_by, null_keys), current, "append", null_keys)
 
     def upsert(self, spec: TableSpec, batch: DataFrame, update_cols: list[str] | None = None,
                on_duplicate: str = keyed.ERROR, order_by: list[Column | str] | None = None,
                null_keys: str = keyed.APPEND) -> None:
         """K2/K3: rewrite only what the batch touches."""
-        key = list(spec.key)
-        b = self.bucket_count(spec)
+        merge = lambda target, rows: keyed.merge_upsert(
+            target, rows, list(spec.key), update_cols, on_duplicate, order_by, null_keys)
         raw = self._read_raw(spec)
-        if b:
-            target = (empty(self.spark, spec) if raw is None else
-                      raw.filter(F.col(BUCKET).isin(self._touched(batch, key, b))).select(*spec.names))
-            merged = keyed.merge_upsert(target, batch, key, update_cols, on_duplicate, order_by, null_keys)
-            (merged.withColumn(BUCKET, bucket_of(key, b))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(self.path(spec)))
-        else:
+        if raw is None or not self.bucket_count(spec):
             target = empty(self.spark, spec) if raw is None else raw
-            merged = keyed.merge_upsert(target, batch, key, update_cols, on_duplicate, order_by, null_keys)
-            merged.write.mode("errorifexists").parquet(self._next(spec))
-
-    def _touched(self, batch: DataFrame, key: list[str], b: int) -> list[int]:
-        # At most B small ints reach the driver: the bucket ids, never rows.
-        rows = batch.select(bucket_of(key, b).alias(BUCKET)).distinct().collect()
-        return [r[0] for r in rows]
+            self._write(spec, merge(target, batch.select(*spec.names)), self._next(spec), "errorifexists", null_keys)
+            self._retire(spec)
+        else:
+            with self._staged(spec, batch) as staged:
+                merged = merge(self._touched(raw, spec, staged, null_keys), staged)
+                self._write(spec, merged, self._current(spec), "overwrite", null_keys)

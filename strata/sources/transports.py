@@ -1,8 +1,8 @@
 """Transports: how a request key becomes a response document.
 
 A transport is a small picklable object with ``fetch(keys) -> texts``; it
-runs inside ``mapInPandas`` on executors, one call per Arrow batch.  Whatever
-text comes back is stored (no status check), a missing response is NULL.
+runs on executors, one call per Arrow batch.  Every part of a key is text.  A
+missing response is NULL; what else comes back is checked before it is stored.
 
 ``TableTransport`` is different: when the responses already sit in a Spark
 table (a replay of earlier landings, or test feeds), fetching is a join and
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import urllib.error
 import urllib.request
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -20,45 +21,31 @@ from pyspark.sql import DataFrame
 
 @dataclass
 class HttpTransport:
-    """GET ``url.format(**key)`` per key; the body text is the document."""
+    """GET ``url.format(**key)`` per key; the body text is the document.
+
+    A request that the server has nothing for (status 404 or 410) is a missing
+    response; any other error status fails.  ``opener`` takes a request and a
+    timeout and gives the open response; tests put their own in its place.
+    """
     url: str
     headers: dict = field(default_factory=dict)
     timeout: float = 30.0
+    opener: Callable = urllib.request.urlopen
 
     def fetch(self, keys: list[dict]) -> list[str | None]:
         out = []
         for k in keys:
             req = urllib.request.Request(self.url.format(**k), headers=self.headers)
             try:
-                with urllib.request.urlopen(req, timeout=self.timeout) as resp:
+                with self.opener(req, timeout=self.timeout) as resp:
                     out.append(resp.read().decode("utf-8"))
-            except urllib.error.HTTPError as e:  # the body is stored as it is
-                out.append(e.read().decode("utf-8", "replace"))
+            except urllib.error.HTTPError as e:
+                if e.code not in (404, 410):
+                    raise
+                out.append(None)
         return out
 
 
-@dataclass
-class ParquetTransport:
-    """Responses kept in a Parquet dataset, read on the executor per batch
-    with a key filter pushed into the Arrow scan."""
-    path: str
-    key_cols: tuple[str, ...]
-    doc_col: str
-
-    def fetch(self, keys: list[dict]) -> list[str | None]:
-        import pyarrow.compute as pc
-        import pyarrow.dataset as ds
-
-        dset = ds.dataset(self.path, format="parquet")
-        if len(self.key_cols) != 1:
-            raise ValueError("ParquetTransport takes one key column")
-        kc = self.key_cols[0]
-        wanted = [k[kc] for k in keys]
-        tbl = dset.to_table(columns=[kc, self.doc_col], filter=pc.field(kc).isin(wanted))
-        found = dict(zip(tbl.column(kc).to_pylist(), tbl.column(self.doc_col).to_pylist()))
-        return [found.get(k) for k in wanted]
-
-
 @dataclass
 class TableTransport:
     """Responses in a DataFrame: ``key_cols`` + ``doc_col``; fetch = join."""
@@ -70,9 +57,37 @@ class TableTransport:
 @dataclass
 class MemoryTransport:
     """Responses held in a dict (request key -> text); for tests and replays
-    of a handful of saved responses.  Keys are the first key column's value."""
+    of a handful of saved responses.  Keys are the first key column's value, as text."""
     responses: dict
     key_col: str
 
+    def __post_init__(self):
+        self.responses = {str(k): v for k, v in self.responses.items()}
+
     def fetch(self, keys: list[dict]) -> list[str | None]:
-        return [self.responses.get(k[self.key_col]) for k in keys]
+        return [self.responses.get(str(k[self.key_col])) for k in keys]
+
+
+@dataclass
+class PageFiles:
+    """Pages kept as files that Spark wrote, one folder ``block=N`` for every
+    ``block`` page numbers (columns ``page_no``, ``json_data``); a request opens
+    the one block that holds its page."""
+    path: str
+    block: int = 256
+
+    def fetch(self, keys: list[dict]) -> list[str | None]:
+        import pyarrow.dataset as ds
+        import pyarrow.fs as fs
+
+        filesystem, root = fs.FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{self.path}")
+        out = []
+        for k in keys:
+            page = int(k["page_no"])
+            folder = f"{root}/block={page // self.block}"
+            if filesystem.get_file_info(folder).type == fs.FileType.NotFound:
+                out.append(None)
+                continue
+            rows = ds.dataset(folder, format="parquet", filesystem=filesystem).to_table(columns=["json_data"], filter=ds.field("page_no") == page)
+            out.append(rows.column(0)[0].as_py() if len(rows) else None)
+        return out

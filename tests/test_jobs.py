@@ -3,6 +3,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata import schemas as S
 from strata.plans import jobs
@@ -167,8 +168,59 @@ def test_quarantine_mode_routes_bad_rows(spark, tmp_lake):
     r = jobs.Refresh(st, feeds=None, n=None, on_violation="quarantine")
     r.conform_daily()
     assert [x.map_uid for x in st.read(S.CONFORM_TMIO).collect()] == ["good"]
-    q = spark.read.parquet(r.quarantine_path(S.CONFORM_TMIO))
-    assert sorted(x.reason for x in q.collect()) == ["bad exchange_id", "bad json", "map_uid longer than 50", "null map_uid"]
+    want = ["bad exchange_id", "bad json", "map_uid longer than 50", "null map_uid"]
+    assert sorted(x.reason for x in r.quarantined(S.CONFORM_TMIO).collect()) == want
+    r.conform_daily()                                     # a second run sets the same rows aside, once
+    assert sorted(x.reason for x in r.quarantined(S.CONFORM_TMIO).collect()) == want
+
+
+def test_wrong_shapes_fail_or_are_set_aside(spark, tmp_lake):
+    docs = [("a", '{"tops": [{"player": {"name": "x", "id": "1"}, "time": 5}]}'), ("b", '{"tops": "oops"}'), ("c", '{"tops": null}')]
+    tmio = spark.createDataFrame([(2023, 1, d, u, d, "A", "p", 1.0, 1.0, 1.0, 1.0, "A", "p", 2023, 1, 1, "lb")
+                                  for d, (u, _) in enumerate(docs, 1)], S.CONFORM_TMIO.struct)
+    for mode, authors in (("fail", '{"error": "not found"}'), ("quarantine", '{"error": "not found"}')):
+        st = TableStore(spark, f"{tmp_lake}/{mode}")
+        st.replace(S.CONFORM_TMIO, tmio)
+        st.replace(S.CONFORM_TMX, S.empty(spark, S.CONFORM_TMX))
+        st.replace(S.COLLECT_TMIO_LEADERBOARDS, spark.createDataFrame(docs, S.COLLECT_TMIO_LEADERBOARDS.struct))
+        st.replace(S.COLLECT_TMX_AUTHORS, spark.createDataFrame([(10, authors), (11, '[{"Username": "u", "Role": "r"}]')], S.COLLECT_TMX_AUTHORS.struct))
+        r = jobs.Refresh(st, feeds=None, n=None, on_violation=mode)
+        if mode == "fail":
+            for step in (r.conform_leaderboards, r.conform_authors):
+                with pytest.raises(Exception):
+                    step()
+        else:
+            r.conform_leaderboards()
+            r.conform_authors()
+            assert rows(st.read(S.CONFORM_TMX_AUTHORS)) == [(11, "u", "r")]
+            assert rows(st.read(S.CONFORM_TMIO_LEADERBOARDS), "exchange_id", "player_id") == [(1, "1")]
+            assert [x.reason for x in r.quarantined(S.CONFORM_TMIO_LEADERBOARDS).collect()] == ["wrong shape"]
+            assert [x.reason for x in r.quarantined(S.CONFORM_TMX_AUTHORS).collect()] == ["wrong shape"]
+
+
+def test_two_maps_on_one_key_fail_or_go_by_uid(spark, tmp_lake):
+    tmx, tmio, lead = _fact_inputs(spark)
+    twin = tmio.filter("map_uid = 'u1'").replace({"u1": "z1"}, subset=["map_uid"])
+    tmio = tmio.unionByName(twin)
+    tmx = tmx.unionByName(tmx.filter("map_uid = 'u1'").replace({"u1": "z1"}, subset=["map_uid"]).replace({"$fffName$iWor": "Twin"}, subset=["map_name"]))
+    st = TableStore(spark, tmp_lake)
+    with pytest.raises(Exception, match="two rows for one key"):
+        st.upsert(S.CONSUME_TOTD, conform_to(jobs.totd_batch(tmx, tmio, lead), S.CONSUME_TOTD))
+    fact = {r.exchange_id: r for r in jobs.totd_batch(tmx, tmio, lead, on_collision=jobs.COLLIDE_FIRST).collect()}
+    assert set(fact) == {11, 33, 34} and fact[11].map_name == "Namer"
+    undated = tmio.withColumn("totd_year", F.lit(None).cast("int"))
+    assert len([r for r in jobs.totd_batch(tmx, undated, lead, on_collision=jobs.COLLIDE_FIRST).collect() if r.exchange_id == 11]) == 2
+
+
+def test_seeding_the_reference_layer_twice_gives_the_catalogue(spark, tmp_lake):
+    st = TableStore(spark, tmp_lake)
+    feeds = type("Feeds", (), {"tags": S.seed_rows(spark)})()
+    for _ in range(2):
+        jobs.Refresh(st, feeds).seed_reference()
+    assert st.read(S.REF_TMX_TAGS).count() == 47
+    st.replace(S.CONFORM_TMX, spark.createDataFrame([("u", 5, "n", None, None, [3, 99], 1, 2023, 1, 1, None, None, None)], S.CONFORM_TMX.struct))
+    jobs.Refresh(st, None).totd_tags()                    # reads the stored catalogue
+    assert rows(st.read(S.CONSUME_TOTD_TAGS)) == [(5, "Tech")]
 
 
 def test_record_key_coalesced_counts_every_key(spark):

@@ -2,8 +2,11 @@ import datetime as dt
 import random
 
 
-from strata.operators import arg_min, either_key_join, group_min, newest_entries, select_days
-from strata.operators.aggregates import TIE_ALL, TIE_FIRST
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators import arg_min, either_key_join, group_min, newest, select_days
+from strata.operators.aggregates import TIE_ALL, TIE_ERROR, TIE_FIRST
 from strata.operators.selection import AS_WRITTEN, LATEST
 from conftest import rows
 
@@ -46,14 +49,33 @@ def test_select_days_as_written_vs_latest(spark):
     assert len(select_days(d, None, "y", "m", "d").collect()) == 4
 
 
-def test_newest_entries_positions(spark):
-    data = [(p, s, "%d-%d" % (p, s)) for p in range(3) for s in range(5, 5 + p + 2)]
-    d = spark.createDataFrame(data, "p int, s int, x string")
-    got = rows(newest_entries(d, "p", "s", 4, position="day"), "p", "s", "day")
-    # page 2 has seqs 5..8 (4 entries): all four, numbered 1..4 from the start
-    assert got == [(2, 5, 1), (2, 6, 2), (2, 7, 3), (2, 8, 4)]
-    got = rows(newest_entries(d, "p", "s", 6, position="day"), "p", "s", "day")
-    assert got[:2] == [(1, 6, 2), (1, 7, 3)]
+def test_newest_takes_pages_from_their_end(spark):
+    data = [(p, d) for p in range(3) for d in range(1, p + 3)]
+    order = [F.col("page").asc(), F.col("day").desc()]
+    d = spark.createDataFrame(data, "page int, day int")
+    assert rows(newest(d, 4, order)) == [(0, 1), (0, 2), (1, 2), (1, 3)]
+    assert len(newest(d, None, order).collect()) == len(data)
+
+
+def test_arg_min_methods_agree_on_null_groups_and_ties_fail(spark):
+    d = spark.createDataFrame([(None, 1.0, 1), (None, 1.0, 2), (1, 2.0, 3), (1, 2.0, 4), (2, 1.0, 5), (2, 3.0, 6)], "g int, v double, i int")
+    for tie in (TIE_ALL, TIE_FIRST):
+        got = [rows(arg_min(d, ["g"], "v", tie, order=["i"], method=m)) for m in ("window", "join")]
+        assert got[0] == got[1] and all(r[0] is not None for r in got[0])
+    assert rows(arg_min(d.filter("g = 2"), ["g"], "v", TIE_ERROR)) == [(2, 1.0, 5)]
+    with pytest.raises(Exception):
+        arg_min(d, ["g"], "v", TIE_ERROR).collect()
+
+
+def test_spread_is_off_unless_set(spark):
+    from strata.operators.partitioning import SETTING, spread
+    one = spark.range(10).coalesce(1)
+    assert spread(one, 0).rdd.getNumPartitions() == 1 and spread(one, 6).rdd.getNumPartitions() == 6
+    spark.conf.set(SETTING, "3")
+    try:
+        assert spread(one).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(SETTING)
 
 
 def test_lookup_join_falls_back_to_shuffle_join(spark):
@@ -62,5 +84,7 @@ def test_lookup_join_falls_back_to_shuffle_join(spark):
     ref = spark.createDataFrame([(k, "n%d" % k) for k in range(5)], "k int, name string")
     small = lookup_join(d, ref, "k")
     big = lookup_join(d, ref, "k", max_rows=2)      # "too big" to broadcast
-    assert rows(small) == rows(big) and len(rows(big)) == 100
+    wide = lookup_join(d, ref, "k", max_bytes=40)   # few rows, too many bytes
+    assert rows(small) == rows(big) == rows(wide) and len(rows(big)) == 100
+    assert "hint" not in wide._jdf.queryExecution().analyzed().toString().lower()
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()

@@ -119,13 +119,100 @@ def test_check_constraints_and_split(spark):
     assert sorted((r.s, r.reason) for r in out.collect()) == [("a", "nokey"), ("abc", None), ("abcdef", "long")]
 
 
-def test_bucketed_replace_refuses_its_own_input(spark, tmp_lake):
-    spec = S.TableSpec("t", "self", (S.Col("k", "int"), S.Col("v", "string"), S.Col("w", "int")), key=("k",))
-    st = TableStore(spark, tmp_lake, {spec.qualified: 2})
-    st.replace(spec, df(spark, [(1, "a", 1)]))
-    with pytest.raises(ValueError):
-        st.replace(spec, st.read(spec))
-    assert rows(st.read(spec)) == [(1, "a", 1)]
+KV = S.TableSpec("t", "kv", (S.Col("k", "int"), S.Col("v", "string"), S.Col("w", "int")), key=("k",))
+
+
+def folders(st, spec):
+    return sorted(n for n in st._names(st.path(spec)) if n.startswith("v="))
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_replace_may_read_its_own_table_and_old_versions_go(spark, tmp_lake, buckets):
+    st = TableStore(spark, tmp_lake, {KV.qualified: buckets})
+    st.replace(KV, df(spark, [(1, "a", 1)]))
+    for _ in range(4):
+        st.replace(KV, st.read(KV).unionByName(df(spark, [(2, "b", 2)])).dropDuplicates(["k"]))
+    assert rows(st.read(KV)) == [(1, "a", 1), (2, "b", 2)] and len(folders(st, KV)) == 2
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_a_killed_write_is_never_read_and_never_in_the_way(spark, tmp_lake, buckets):
+    st = TableStore(spark, tmp_lake, {KV.qualified: buckets})
+    st.replace(KV, df(spark, [(1, "a", 1)]))
+    left = st._next(KV)
+    df(spark, [(9, "half", 9)]).write.parquet(left)
+    st._remove(left + "/_SUCCESS")
+    assert rows(st.read(KV)) == [(1, "a", 1)]
+    st.upsert(KV, df(spark, [(2, "b", 2)]))
+    st.replace(KV, st.read(KV))
+    st.replace(KV, st.read(KV))
+    assert rows(st.read(KV)) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_bucketed_upsert_computes_its_batch_once_and_trusts_no_second_pass(spark, tmp_lake):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    st = TableStore(spark, tmp_lake, {KV.qualified: 8})
+    st.replace(KV, spark.range(1_000).selectExpr("CAST(id AS INT) k", "'s' v", "0 w"))
+    batch = spark.range(200).selectExpr("CAST(id AS INT) k", "'b' v", "1 w").mapInPandas(count, SCHEMA)
+    st.upsert(KV, batch)
+    assert seen.value == 200
+    # a batch that gives other keys each time it is computed loses no stored row
+    unstable = spark.range(300).selectExpr("CAST(rand() * 100000 AS INT) + 1000 k", "'u' v", "2 w").dropDuplicates(["k"])
+    st.upsert(KV, unstable)
+    assert st.read(KV).filter("k < 1000").count() == 1_000
+    assert not st._names(f"{st.root}/_staged")
+
+
+def test_a_bucket_gets_few_files(spark, tmp_lake):
+    st = TableStore(spark, tmp_lake, {KV.qualified: 4}, files_per_bucket=2)
+    st.replace(KV, spark.range(5_000, numPartitions=8).selectExpr("CAST(id AS INT) k", "'s' v", "0 w"))
+    import glob
+    files = glob.glob(st._current(KV).replace("file:", "") + "/_bucket=*/*.parquet")
+    assert 4 <= len(files) <= 8
+
+
+def test_null_keys_spread_over_the_buckets(spark, tmp_lake):
+    st = TableStore(spark, tmp_lake, {KV.qualified: 4})
+    st.upsert(KV, spark.range(400).selectExpr("CAST(NULL AS INT) k", "CAST(id AS STRING) v", "0 w"))
+    st.upsert(KV, df(spark, [(1, "a", 1), (None, "n", 1)]))
+    raw = st._read_raw(KV)
+    assert raw.count() == 402 and raw.filter("k IS NULL").select("_bucket").distinct().count() == 4
+
+
+def test_copy_into_another_bucket_count(spark, tmp_lake):
+    a = TableStore(spark, tmp_lake + "/a", {KV.qualified: 2})
+    b = TableStore(spark, tmp_lake + "/b", {KV.qualified: 5})
+    a.replace(KV, df(spark, [(i, "x", i) for i in range(50)]))
+    a.copy_to(KV, b)
+    assert rows(a.read(KV)) == rows(b.read(KV))
+
+
+def test_duplicate_check_sends_two_rows_of_a_key_at_most(spark):
+    batch = spark.range(1_000).selectExpr("CAST(id % 7 AS INT) k", "'x' v", "CAST(id AS INT) w")
+    with pytest.raises(Exception, match="two rows for one key"):
+        keyed.one_per_key(batch, ["k"], keyed.ERROR).collect()
+    plan = keyed.one_per_key(batch, ["k"], keyed.ERROR)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_null_keys_are_no_duplicates(spark):
+    d = spark.createDataFrame([(1, None), (1, None), (1, None), (1, 2), (1, 2)], "a int, b int")
+    assert check_constraints(d, ["a", "b"]).first().violations == 1
+    assert check_constraints(d, ["a", "b"], null_keys=keyed.MATCH).first().violations == 3
+
+
+def test_a_narrow_selection_still_checks_what_it_selects(spark):
+    spec = S.TableSpec("t", "x", (S.Col("a", "int", not_null=True), S.Col("s", "string", 3)), key=("a",))
+    bad = spark.createDataFrame([(None, "abcd")], "a string, s string")
+    for c in ("a", "s"):
+        with pytest.raises(Exception):
+            conform_to(bad, spec).select(c).collect()
 
 
 def test_store_refuses_other_bucket_count(spark, tmp_lake):
