@@ -3,7 +3,7 @@
 A page is cut at block-level tags into a flat list of text blocks.  A block's
 features are its own word count and link density and those of its two
 neighbours, where it stands (inside the article, outside it, or on a page that
-marks none), and whether it is inside an element named for page furniture or a
+marks none; the surest mark counts), and whether it is inside an element named for page furniture or a
 heading.  A small labelled table trains a decision tree, which keeps or drops each
 block; kept blocks are joined in page order.
 """
@@ -33,13 +33,15 @@ FURNITURE_TAGS = frozenset("aside button dialog footer form menu nav search".spl
 ARTICLE_TAGS = frozenset("article main".split())
 FURNITURE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 FURNITURE_NAMES = frozenset(
-    "ad ads adsense advert advertisement advertising adverts affix banner breadcrumb breadcrumbs byline captcha cc "
-    "comment comments consent cookie cookies copyright discussion disqus dropdown feedback footer footnav form gdpr "
-    "header hidden login logo masthead menu meta modal nav navbar navigation newsletter notice notices notification "
-    "overlay pager pagination paywall popup promo promoted promotion rail recommended related replies reply respond "
-    "rss search share sharing sidebar sidenav signin signup skip social sponsor sponsored subscribe subscription tags "
-    "teaser toc toolbar topbar widget widgets".split())
-ARTICLE_NAMES = frozenset("article articlebody entry maincontent post postbody story storybody".split())
+    "ad adbox ads adsense adslot adunit advert advertisement advertising adverts alert announcement banner breadcrumb "
+    "breadcrumbs captcha comment commentlist comments consent cookie cookies copyright discussion disqus disclaimer "
+    "feedback footer footnav form gdpr header hidden login logo mainmenu mainnav masthead menu menubar modal nav navbar "
+    "navigation newsletter notice notices notification overlay pageheader pager pagination paywall popup promo promoted "
+    "promotion rail recommended related replies reply respond rss search share sharing sidebar sidenav signin signup "
+    "siteheader sitenav skip social sponsor sponsored subscribe subscription toolbar topbar topnav widget widgets".split())
+ARTICLE_NAMES = frozenset("article articlebody content entry main maincontent post postbody story storybody".split())
+#: A class that begins so says what a page has, not what the element is.
+SAYS_ABOUT = frozenset("has is no not with without".split())
 
 # The labelled table.  words and link density of the block before, the block itself and the block after;
 # place (2 inside the article, 0 outside it, 1 where the page marks no article); inside furniture; a heading; kept.
@@ -151,7 +153,7 @@ class Block:
     text: str
     words: int
     link_density: float
-    article: bool
+    marks: frozenset[int]       # the marks of an article it stands in
     furniture: bool
     heading: bool
 
@@ -167,26 +169,35 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PREFORMATTED_SPACE = re.compile(r"\s+")
 
 
-def _kind(name: str, rest: str, in_article: bool) -> str:
-    """'unseen', 'furniture', 'article' or '' for an element's own tag."""
+#: How sure a mark of the article is; the surest one on a page counts.
+NAMED, MAIN, ARTICLE = 1, 2, 3
+
+
+def _kind(name: str, rest: str, inside: int) -> tuple[str, int]:
+    """What an element's own tag says: 'unseen', 'furniture' or '', and the
+    mark of an article (0 if none).  ``inside`` is the mark it stands in."""
     if name in UNSEEN_TAGS:
-        return "unseen"
-    furniture = name in FURNITURE_TAGS or (name == "header" and not in_article)
-    article = name in ARTICLE_TAGS
+        return "unseen", 0
+    mark = ARTICLE if name == "article" else MAIN if name == "main" else 0
+    furniture = name in FURNITURE_TAGS or (name == "header" and not inside)
     if rest.strip(" /\t\r\n"):
         for key, value in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), unescape(value.strip("\"'"))
             if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _HIDDEN.search(value)):
-                return "unseen"
+                return "unseen", 0
             if key == "role":
                 furniture |= value.lower() in FURNITURE_ROLES
-                article |= value.lower() in ("main", "article")
+                mark = max(mark, {"article": ARTICLE, "main": MAIN}.get(value.lower(), 0))
             elif key in ("class", "id") and name not in ("html", "body"):
                 for part in value.split():
                     names = _NAME.findall(_CAMEL.sub(" ", part).lower())
-                    furniture |= not FURNITURE_NAMES.isdisjoint(names)
-                    article |= len(names) <= 2 and (not ARTICLE_NAMES.isdisjoint(names) or "".join(names) in ARTICLE_NAMES)
-    return "article" if name in ARTICLE_TAGS else "furniture" if furniture else "article" if article else ""
+                    if name in ARTICLE_TAGS:       # an article that is a reader's comment, or an advert, says so in a word
+                        furniture |= part.lower() in FURNITURE_NAMES
+                    elif names and names[0] not in SAYS_ABOUT:
+                        furniture |= not FURNITURE_NAMES.isdisjoint(names)
+                        if len(names) <= 2 and (not ARTICLE_NAMES.isdisjoint(names) or "".join(names) in ARTICLE_NAMES):
+                            mark = max(mark, NAMED)
+    return ("furniture", 0) if furniture else ("", mark)
 
 
 def blocks(html: str) -> list[Block]:
@@ -195,9 +206,10 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = 0                                  # words inside links of the open block
-    stack: list[tuple[str, str]] = []           # open elements that hold blocks or have a kind
-    depth = {"unseen": 0, "furniture": 0, "article": 0, "": 0}
-    link_from, heading, unseen_end = -1, False, ""
+    stack: list[tuple[str, str, int]] = []      # open elements that hold blocks or say something: name, kind, mark
+    depth = {"unseen": 0, "furniture": 0, "": 0}
+    marks = {0: 0, NAMED: 0, MAIN: 0, ARTICLE: 0}
+    link_from, heading, article_seen = -1, False, False
 
     def close_link() -> None:
         nonlocal linked, link_from
@@ -205,6 +217,12 @@ def blocks(html: str) -> list[Block]:
             linked += len("".join(parts[link_from:]).split())
             link_from = -1
 
+    def close(i: int) -> None:
+        for _, k, mark in stack[i:]:
+            depth[k] -= 1
+            marks[mark] -= 1
+        del stack[i:]
+
     def end_block() -> None:
         nonlocal linked, link_from
         open_link = link_from >= 0
@@ -212,7 +230,8 @@ def blocks(html: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             n = text.count(" ") + 1
-            out.append(Block(text, n, min(1.0, linked / n), depth["article"] > 0, depth["furniture"] > 0, heading))
+            out.append(Block(text, n, min(1.0, linked / n), frozenset(m for m in (NAMED, MAIN, ARTICLE) if marks[m]),
+                             depth["furniture"] > 0, heading))
         parts.clear()
         linked, link_from = 0, 0 if open_link else -1
 
@@ -237,9 +256,7 @@ def blocks(html: str) -> list[Block]:
                     heading = False
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    for _, k in stack[i:]:
-                        depth[k] -= 1
-                    del stack[i:]
+                    close(i)
                     break
             continue
         if name == "br":
@@ -259,22 +276,30 @@ def blocks(html: str) -> list[Block]:
             continue
         if name == "p":                          # a paragraph ends where the next block begins
             if stack and stack[-1][0] == "p":
-                depth[stack.pop()[1]] -= 1
-        kind = _kind(name, m["rest"], depth["article"] > 0)
-        if kind or name in BLOCK_TAGS:
-            stack.append((name, kind))
+                close(len(stack) - 1)
+        kind, mark = _kind(name, m["rest"], max(k for k, n_open in marks.items() if n_open or not k))
+        if mark >= MAIN and not article_seen:    # the page's article is no furniture, whatever it is wrapped in
+            article_seen = mark == ARTICLE
+            for i, (tag, k, its_mark) in enumerate(stack):
+                if k == "furniture":
+                    depth[k] -= 1
+                    depth[""] += 1
+                    stack[i] = tag, "", its_mark
+        if kind or mark or name in BLOCK_TAGS:
+            stack.append((name, kind, mark))
             depth[kind] += 1
+            marks[mark] += 1
     end_block()
     return out
 
 
 def features(flat: list[Block]) -> list[tuple]:
     """The features of each block, in the order of the labelled table."""
-    marked = any(b.article and not b.furniture for b in flat)
+    mark = max((m for b in flat if not b.furniture for m in b.marks), default=0)      # the surest mark on the page
     words = [0, *(b.words for b in flat), 0]
     links = [0.0, *(b.link_density for b in flat), 0.0]
     return [(words[i], links[i], b.words, b.link_density, words[i + 2], links[i + 2],
-             2 if b.article else 0 if marked else 1, int(b.furniture), int(b.heading)) for i, b in enumerate(flat)]
+             1 if not mark else 2 if mark in b.marks else 0, int(b.furniture), int(b.heading)) for i, b in enumerate(flat)]
 
 
 def main_text(html: str, tree: Node) -> str:
