@@ -48,12 +48,37 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+#: Pre-tokens that a worker keeps in each of two generations.
+CACHE = 200_000
+
+
+class Remembered(dict):
+    """Pre-token -> what ``make`` gives for it, made when first asked for.
+
+    Bounded: a full generation becomes the old one and the one before it is
+    forgotten; what is asked for again moves to the new one.  No result depends
+    on what is remembered.
+    """
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, word: str):
+        made = self.old.get(word)
+        if made is None:
+            made = self.make(word)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = made
+        return made
+
+
 class MergeCounter:
-    """Counts the tokens of whole texts.  ``spec`` is the vocabulary file's
-    JSON.  ``cache_size`` bounds the counts kept for pre-tokens seen before;
-    the cache is emptied when full, which changes no result."""
+    """Counts the tokens of whole texts.  ``spec`` is the vocabulary file's JSON."""
 
-    def __init__(self, spec: bytes, cache_size: int = 600_000):
+    def __init__(self, spec: bytes, cache_size: int = CACHE):
         d = json.loads(spec)
         vocab = d["model"]["vocab"]
         self.start = [vocab[c] for c in byte_symbols()]
@@ -65,8 +90,7 @@ class MergeCounter:
             self.made.append(vocab[a + b])
         special = [t["content"] for t in d.get("added_tokens", [])]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.cache: dict[str, int] = {}
-        self.cache_size = cache_size
+        self.counts = Remembered(lambda word: self.merged(word.encode()), cache_size)
 
     def merged(self, word: bytes) -> int:
         """Tokens of one pre-token: its bytes less the merges made."""
@@ -112,21 +136,7 @@ class MergeCounter:
         return len(parts) - 1 + sum(map(self._plain, parts))
 
     def _plain(self, text: str) -> int:
-        words, cache = pre_tokens(text), self.cache
-        try:
-            return sum(map(cache.__getitem__, words))
-        except KeyError:
-            if len(cache) + len(words) > self.cache_size:
-                cache.clear()
-            total = 0
-            for w in words:
-                c = cache.get(w)
-                if c is None:
-                    c = self.merged(w.encode())
-                    if len(cache) < self.cache_size:
-                        cache[w] = c
-                total += c
-            return total
+        return sum(map(self.counts.__getitem__, pre_tokens(text)))
 
 
 _COUNTERS: dict[int, MergeCounter] = {}

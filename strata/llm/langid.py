@@ -9,11 +9,10 @@ sparse product: the rows of all grams of a batch are gathered and summed per tex
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,9 +130,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         return out
 
     sums = (map_rows(sample.select("lang", "text"), count, "lang string, bucket int, n long")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
+            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     counts = np.full((BUCKETS, len(languages)), 0.5)      # smoothing
-    np.add.at(counts, (sums["bucket"].to_numpy(), np.searchsorted(languages, sums["lang"].to_numpy(str)) if len(sums) else []), sums["n"].to_numpy())
+    if sums.num_rows:
+        column = np.searchsorted(languages, np.array(sums["lang"].to_pylist()))
+        np.add.at(counts, (sums["bucket"].to_numpy(), column), sums["n"].to_numpy())
     n = np.array([sizes[k] for k in languages], float)
     return Model(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32), np.log(n / n.sum()))
 
@@ -142,14 +143,12 @@ def predictor(docs: DataFrame, model: Model):
     """A column function text -> struct(lang_pred, score), the model broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        for texts in parts:
-            lang, score = m.score([t if isinstance(t, str) else None for t in texts])
-            yield pd.DataFrame({"lang_pred": lang, "score": score})
+    def predict(texts: pa.Array) -> pa.Array:
+        lang, score = shared.value.score(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
 
-    once = predict.asNondeterministic()      # run once, though several columns come from it
+    predict.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    once = F.arrow_udf(predict, "lang_pred string, score double").asNondeterministic()   # run once, though several columns come from it
 
     def column(text: str | Column) -> Column:
         return once(F.col(text) if isinstance(text, str) else text)

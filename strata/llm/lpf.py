@@ -271,7 +271,7 @@ def _order_runs(length: int, group_runs: int | None):
         owner, within, at = owner[twice], within[twice], at[twice]
         if not len(at):
             return None
-        suffixes = np.ascontiguousarray(text[at[:, None] + np.arange(length)]).view(f"S{length}").ravel()
+        suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, length)[at]).view(f"S{length}").ravel()
         copy = has_previous_factor(suffixes, doc[owner])
         owner, within = owner[copy], within[copy]
         if not len(owner):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import pre_tokens
+from .bpe import CACHE, Remembered, pre_tokens
 from .common import map_rows, written
 
 WINDOW = 2048
@@ -27,29 +27,16 @@ END_ID = 1
 GROUP_PIECES = 20_000
 
 
-class PreTokenIds(dict):
-    """Pre-token -> its ids, encoded by the library when first asked for."""
-
-    def __init__(self, tok):
-        super().__init__()
-        self.tok = tok
-
-    def __missing__(self, word: str) -> bytes:
-        made = self[word] = array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
-        return made
-
-
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
     The ``tokenizers`` library encodes each pre-token once; pre-tokens are
     merged apart from one another, so a text's ids are its pre-tokens' ids in
     turn.  Special strings inside a text get their own id, the library's
-    default.  ``cache_size`` bounds the pre-tokens kept; the cache is emptied
-    when full, which changes no result.
+    default.
     """
 
-    def __init__(self, spec: bytes, cache_size: int = 600_000):
+    def __init__(self, spec: bytes, cache_size: int = CACHE):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec.decode())
         self.tok.no_padding()
@@ -57,12 +44,9 @@ class Encoder:
         added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.special_ids = {c: i.to_bytes(4, "little") for c, i in added.items()}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.ids = PreTokenIds(self.tok)
-        self.cache_size = cache_size
+        self.ids = Remembered(lambda word: array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes(), cache_size)
 
     def plain(self, text: str) -> bytes:
-        if len(self.ids) > self.cache_size:
-            self.ids.clear()
         return b"".join(map(self.ids.__getitem__, pre_tokens(text)))
 
     def encode(self, text: str) -> bytes:
