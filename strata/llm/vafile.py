@@ -11,13 +11,13 @@ the order of falling upper bounds until the k-th best exact score is certain.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import written
 
 K = 5
@@ -144,7 +144,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec
 
     Queries go in blocks of at most ``query_block`` (checked by counting), each
     broadcast and held against all candidates in one narrow scan; a task sends
-    on its k best per query only.
+    on its k best per query only.  Several blocks run one after another, each
+    written to the shared folder.
     """
     spark = candidates.sparkSession
     rows = integers(candidates, id_col, vector_col)
@@ -155,11 +156,22 @@ def top_k(candidates: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec
         if asked.groupBy(block).count().agg(F.max("count")).first()[0] <= query_block:
             break
         parts *= 2
-    found = []
-    for p in range(parts):
+    schema = "query_id long, vec_id long, score long"
+
+    def scan(p: int):
         own = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == p).orderBy("vec_id").collect()
         shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in own], np.int64), [np.array(r["v"], float) for r in own]))
-        found.append(rows.mapInArrow(_scan(shared, k), "query_id long, vec_id long, score long"))
+        return rows.mapInArrow(_scan(shared, k), schema), shared
+
+    if parts == 1:
+        found = scan(0)[0]
+    else:        # one job a block, so that one block's queries are in memory at a time
+        path = scratch_path(spark, "top-k")
+        for p in range(parts):
+            block, shared = scan(p)
+            block.write.parquet(f"{path}/block={p}")
+            shared.destroy()
+        found = spark.read.schema(schema + ", block int").parquet(path).drop("block")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
