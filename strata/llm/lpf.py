@@ -42,7 +42,9 @@ START_BITS, TAG_BITS = 31, 22
 PIECE = 1 << 20
 COMBINE = 8 << 20
 #: Different runs under one hash that one task puts in order; larger groups are dealt out by their strings.
-GROUP_RUNS = 20_000
+GROUP_RUNS = 2_000
+#: Runs put in order together, so that small groups share numpy's fixed costs.
+ORDER_ROWS = 5_000
 
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -249,10 +251,9 @@ def has_previous_factor(suffixes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return result
 
 
-def _order_runs(length: int, group_runs: int | None):
-    """Runs with their bytes, sorted by h: (doc, run, null, null) of the copies,
-    or, for groups of more than ``group_runs`` runs, the rows as they came."""
-    schema = pa.schema([("doc", pa.int64()), ("run", pa.int64()), ("h", pa.int64()), ("bytes", pa.binary())])
+def _order_runs(length: int):
+    """Runs with their bytes, sorted by h: (doc, run) of the copies."""
+    schema = pa.schema([("doc", pa.int64()), ("run", pa.int64())])
 
     def judged(rows: list[tuple]) -> pa.RecordBatch | None:
         doc, run = (np.array([r[i] for r in rows], np.int64) for i in (1, 2))
@@ -283,38 +284,25 @@ def _order_runs(length: int, group_runs: int | None):
         tag = run[own] >> np.int64(START_BITS + RUN_BITS)
         start = ((run[own] >> np.int64(RUN_BITS)) & np.int64((1 << START_BITS) - 1)) + within[begin]
         made = (tag << np.int64(START_BITS + RUN_BITS)) | (start << np.int64(RUN_BITS)) | (n - 1)
-        return pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(made), pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.binary())], schema=schema)
-
-    def passed(rows: list[tuple]) -> pa.RecordBatch:
-        h, doc, run, text = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(run, pa.int64()), pa.array(h, pa.int64()), pa.array(text, pa.binary())], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(made)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole: list[tuple] = []                 # finished groups
         group: list[tuple] = []                 # the one that may go on
-        passing = None
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in ("h", "doc", "run", "bytes"))):
                 if group and row[0] != group[0][0]:
                     whole += group
                     group = []
-                    if len(whole) >= group_rows:
+                    if len(whole) >= ORDER_ROWS:
                         if (made := judged(whole)) is not None:
                             yield made
                         whole = []
-                if row[0] != passing:
-                    passing = None
                 group.append(row)
-                if group_runs is not None and len(group) > (0 if passing is not None else group_runs):
-                    passing = row[0]
-                    if len(group) >= 1:
-                        yield passed(group)
-                        group = []
         whole += group
         if whole and (made := judged(whole)) is not None:
             yield made
 
-    group_rows = min(5_000, group_runs or 5_000)
     return run
 
 
@@ -328,17 +316,20 @@ def copies(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs:
     judged = written(found.repartition("h").sortWithinPartitions("h", "key", "doc", "run")
                      .mapInArrow(_judge_runs, "doc long, run long, h long"), "lpf-runs")
     f = _runs_sql()
-    asked = (judged.filter("h IS NOT NULL").withColumn("tag", F.expr(f["tag"]))
-             .join(docs, ["doc", "tag"])
-             .select("h", "doc", "run", F.expr(f"substring(text, CAST({f['start']} AS INT) + 1, CAST({f['places']} AS INT) + {length - 1})").alias("bytes")))
-    ordered = written(asked.repartition("h").sortWithinPartitions("h")
-                      .mapInArrow(_order_runs(length, group_runs), "doc long, run long, h long, bytes binary"), "lpf-ordered")
-    out = judged.filter("h IS NULL").select("doc", "run").union(ordered.filter("h IS NULL").select("doc", "run"))
-    large = ordered.filter("h IS NOT NULL")
-    if large.limit(1).count():
-        # a group too large for one task: its strings are dealt out one by one, and the smallest document of each is kept
-        places = (large.select("doc", F.expr(f["tag"]).alias("tag"), F.expr(f["start"]).alias("start"), "bytes",
-                               F.explode(F.expr(f"sequence(0, CAST({f['places']} AS INT) - 1)")).alias("i"))
+    asked = judged.filter("h IS NOT NULL").withColumn("tag", F.expr(f["tag"]))
+    large = asked.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > group_runs).select("h")
+    some_large = large.limit(1).count() > 0
+    with_bytes = written(asked.join(docs, ["doc", "tag"]).select("h", "doc", "run", F.expr(
+        f"substring(text, CAST({f['start']} AS INT) + 1, CAST({f['places']} AS INT) + {length - 1})").alias("bytes")), "lpf-bytes")
+    small = with_bytes.join(large, "h", "left_anti") if some_large else with_bytes
+    out = judged.filter("h IS NULL").select("doc", "run").union(
+        small.repartition("h").sortWithinPartitions("h").mapInArrow(_order_runs(length), "doc long, run long"))
+    if some_large:
+        # a group too large for one task: its strings are dealt out one by one, and the smallest document of each is
+        # found by a partial minimum; Spark may split both joins where they are skewed
+        places = (with_bytes.join(large, "h", "left_semi")
+                  .select("doc", F.expr(f["tag"]).alias("tag"), F.expr(f["start"]).alias("start"), "bytes",
+                          F.explode(F.expr(f"sequence(0, CAST({f['places']} AS INT) - 1)")).alias("i"))
                   .select("doc", F.expr(f"shiftleft(tag, {START_BITS + RUN_BITS}) | shiftleft(start + i, {RUN_BITS})").alias("run"),
                           F.expr(f"substring(bytes, i + 1, {length})").alias("s")))
         first = places.groupBy("s").agg(F.min("doc").alias("first"))

@@ -194,7 +194,7 @@ def test_copies_of_random_pieces(spark, monkeypatch, seed):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = without_copies(rows)
     assert lpf_digest(df) == want
-    assert lpf_digest(df, group_runs=1) == want               # every group by the way for large ones
+    assert lpf_digest(df, group_runs=1) == want               # groups of two runs or more by the way for large ones
 
 
 def test_copies_in_odd_documents(spark):
