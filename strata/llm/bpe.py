@@ -48,30 +48,25 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
-#: Pre-tokens that a worker keeps in each of two generations.
-CACHE = 200_000
+#: Pre-tokens that a worker remembers, about 100 MB of them.
+CACHE = 500_000
 
 
 class Remembered(dict):
     """Pre-token -> what ``make`` gives for it, made when first asked for.
 
-    Bounded: a full generation becomes the old one and the one before it is
-    forgotten; what is asked for again moves to the new one.  No result depends
-    on what is remembered.
+    Bounded: when full it forgets everything and starts anew.  No result
+    depends on what is remembered.
     """
 
     def __init__(self, make, size: int):
         super().__init__()
-        self.make, self.size, self.old = make, size, {}
+        self.make, self.size = make, size
 
     def __missing__(self, word: str):
-        made = self.old.get(word)
-        if made is None:
-            made = self.make(word)
         if len(self) >= self.size:
-            self.old = dict(self)
             self.clear()
-        self[word] = made
+        made = self[word] = self.make(word)
         return made
 
 
