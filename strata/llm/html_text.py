@@ -2,7 +2,7 @@
 
 A page is cut at block-level tags into a flat list of text blocks.  A block's
 features are its own word count and link density and those of its two
-neighbours, where it stands (inside the article, outside it, or on a page that
+neighbours in the same region, where it stands (inside the article, outside it, or on a page that
 marks none; the surest mark counts), and whether it is inside an element named for page furniture or a
 heading.  A small labelled table trains a decision tree, which keeps or drops each
 block; kept blocks are joined in page order.
@@ -10,6 +10,7 @@ block; kept blocks are joined in page order.
 
 from __future__ import annotations
 
+import itertools
 import re
 from dataclasses import dataclass
 from html import unescape
@@ -103,6 +104,31 @@ LABELLED = [
 ]
 
 
+def _label(before: tuple, own: tuple, after: tuple, place: int, furniture: int) -> int:
+    """Kept or not, for the rows of the table that go over all combinations."""
+    (wb, lb), (words, links), (wa, la) = before, own, after
+    if furniture or place == 0:
+        return 0
+    if place == 2:                               # neighbours, length and links drop nothing inside the article
+        return 1
+    if links > 0.5:                              # a list of links
+        return 0
+    if words >= 10:                              # a paragraph, with a few links or many
+        return 1
+    text_after = wa >= 6 and la <= 0.5
+    if links <= 0.1:                             # a short line: before text, alone, or among other short lines at the top
+        return int(text_after or (wa < 6 and la <= 0.5 and wb <= 3 and lb <= 0.5))
+    return int(0.05 <= la <= 0.5)
+
+
+# The table's other rows: every combination, so that no block falls where no row decides.
+LABELLED += [(*before, *own, *after, place, furniture, heading, _label(before, own, after, place, furniture))
+             for before in ((0, 0.0), (3, 0.0), (3, 0.5), (4, 0.0), (4, 0.6), (60, 0.0), (60, 1.0))
+             for after in ((0, 0.0), (5, 0.0), (5, 0.05), (5, 0.6), (6, 0.0), (6, 0.5), (6, 0.6), (60, 0.0), (60, 1.0))
+             for own in itertools.product((1, 9, 10, 300), (0.0, 0.1, 0.15, 0.5, 0.6, 1.0))
+             for place in (0, 1, 2) for furniture in (0, 1) for heading in (0, 1)]
+
+
 @dataclass
 class Node:
     """A cut (``feature`` below ``cut`` goes to ``low``) or, without one, a leaf."""
@@ -294,12 +320,21 @@ def blocks(html: str) -> list[Block]:
 
 
 def features(flat: list[Block]) -> list[tuple]:
-    """The features of each block, in the order of the labelled table."""
+    """The features of each block, in the order of the labelled table.  A block's
+    neighbours are the nearest of its own region: of one place, in furniture or not."""
     mark = max((m for b in flat if not b.furniture for m in b.marks), default=0)      # the surest mark on the page
-    words = [0, *(b.words for b in flat), 0]
-    links = [0.0, *(b.link_density for b in flat), 0.0]
-    return [(words[i], links[i], b.words, b.link_density, words[i + 2], links[i + 2],
-             1 if not mark else 2 if mark in b.marks else 0, int(b.furniture), int(b.heading)) for i, b in enumerate(flat)]
+    region = [(1 if not mark else 2 if mark in b.marks else 0, int(b.furniture)) for b in flat]
+
+    def beside(order: range) -> dict[int, tuple[int, float]]:
+        last: dict[tuple, tuple[int, float]] = {}
+        found = {}
+        for i in order:
+            found[i] = last.get(region[i], (0, 0.0))
+            last[region[i]] = flat[i].words, flat[i].link_density
+        return found
+
+    before, after = beside(range(len(flat))), beside(range(len(flat) - 1, -1, -1))
+    return [(*before[i], b.words, b.link_density, *after[i], *region[i], int(b.heading)) for i, b in enumerate(flat)]
 
 
 def main_text(html: str, tree: Node) -> str:
