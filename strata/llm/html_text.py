@@ -30,6 +30,18 @@ UNSEEN_TAGS = frozenset(
     "applet audio canvas embed head iframe math noembed noframes noscript object script select style svg template "
     "textarea title video".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEAD_TAGS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Elements whose end tag may be left out: which open ones a start tag ends, and which open ones it does not look beyond.
+ENDS_PARAGRAPH = BLOCK_TAGS - frozenset("body caption frameset html legend optgroup option tbody td tfoot th thead tr".split())
+_BEYOND_PARAGRAPH = UNSEEN_TAGS | frozenset("button caption html table td th".split())
+_BEYOND_ITEM = UNSEEN_TAGS | BLOCK_TAGS - frozenset("address dd div dt li p".split())
+_BEYOND_CELL = UNSEEN_TAGS | frozenset(["table"])
+IMPLIED_ENDS = {
+    "li": (frozenset(["li"]), _BEYOND_ITEM), **dict.fromkeys(("dd", "dt"), (frozenset(["dd", "dt"]), _BEYOND_ITEM)),
+    **dict.fromkeys(("td", "th"), (frozenset(["caption", "td", "th"]), _BEYOND_CELL | {"tr"})),
+    "tr": (frozenset(["caption", "td", "th", "tr"]), _BEYOND_CELL),
+    **dict.fromkeys(("tbody", "tfoot", "thead"), (frozenset("caption tbody td tfoot th thead tr".split()), _BEYOND_CELL)),
+}
 FURNITURE_TAGS = frozenset("aside button dialog footer form menu nav search".split())
 ARTICLE_TAGS = frozenset("article main".split())
 FURNITURE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -236,6 +248,7 @@ def blocks(html: str) -> list[Block]:
     depth = {"unseen": 0, "furniture": 0, "": 0}
     marks = {0: 0, NAMED: 0, MAIN: 0, ARTICLE: 0}
     link_from, heading, article_seen = -1, False, False
+    paragraphs = 0                              # open ones
 
     def close_link() -> None:
         nonlocal linked, link_from
@@ -244,11 +257,41 @@ def blocks(html: str) -> list[Block]:
             link_from = -1
 
     def close(i: int) -> None:
-        for _, k, mark in stack[i:]:
+        nonlocal paragraphs
+        for tag, k, mark in stack[i:]:
             depth[k] -= 1
             marks[mark] -= 1
+            paragraphs -= tag == "p"
         del stack[i:]
 
+    def close_implied(name: str) -> None:
+        """Ends the open elements without an end tag that a start tag ends."""
+        if stack and stack[-1][0] == "head" and name not in HEAD_TAGS:
+            close(len(stack) - 1)
+        elif name == "body" and depth["unseen"]:
+            heads = [i for i, (tag, *_) in enumerate(stack) if tag == "head"]
+            if heads:
+                close(heads[0])
+        if paragraphs and name in ENDS_PARAGRAPH:
+            for i in range(len(stack) - 1, -1, -1):
+                tag, _, mark = stack[i]
+                if tag == "p":
+                    if not mark or name == "p" and i == len(stack) - 1:   # a paragraph named for the article holds what follows
+                        close(i)
+                    break
+                if tag in _BEYOND_PARAGRAPH:
+                    break
+        if name in IMPLIED_ENDS:
+            names, beyond = IMPLIED_ENDS[name]
+            first = -1
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in names:
+                    first = i
+                elif stack[i][0] in beyond:
+                    break
+            if first >= 0:
+                close(first)
+
     def end_block() -> None:
         nonlocal linked, link_from
         open_link = link_from >= 0
@@ -267,6 +310,8 @@ def blocks(html: str) -> list[Block]:
         at = m.end()
         text, name = m["text"], m["name"]
         if text is not None:
+            if stack and stack[-1][0] == "head" and not text.isspace():
+                close(len(stack) - 1)
             if not depth["unseen"]:
                 parts.append(unescape(text) if "&" in text else text)
             continue
@@ -284,25 +329,26 @@ def blocks(html: str) -> list[Block]:
                 if stack[i][0] == name:
                     close(i)
                     break
+                if name == "p" and stack[i][0] in BLOCK_TAGS:    # its paragraph has ended already
+                    break
             continue
         if name == "br":
             parts.append(" ")
             continue
+        if name in BLOCK_TAGS and not depth["unseen"]:
+            end_block()
+        close_implied(name)
         if name in ("script", "style", "textarea", "title", "iframe", "noembed", "noframes"):
             found = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(html, at)   # raw text up to its end tag
             at = found.end() if found else n
             continue
         if name in BLOCK_TAGS and not depth["unseen"]:
-            end_block()
             heading = name[0] == "h" and name[1:].isdigit()
         if name == "a":
             close_link()
             link_from = len(parts)
         if name in VOID_TAGS or m["rest"].endswith("/") and name not in BLOCK_TAGS:
             continue
-        if name == "p":                          # a paragraph ends where the next block begins
-            if stack and stack[-1][0] == "p":
-                close(len(stack) - 1)
         kind, mark = _kind(name, m["rest"], max(k for k, n_open in marks.items() if n_open or not k))
         if mark >= MAIN and not article_seen:    # the page's article is no furniture, whatever it is wrapped in
             article_seen = mark == ARTICLE
@@ -315,6 +361,7 @@ def blocks(html: str) -> list[Block]:
             stack.append((name, kind, mark))
             depth[kind] += 1
             marks[mark] += 1
+            paragraphs += name == "p"
     end_block()
     return out
 

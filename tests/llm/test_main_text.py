@@ -38,3 +38,24 @@ def test_neighbours_are_of_the_same_region():
     flat = html_text.blocks("<nav><a href=x>Home</a></nav><article><p>one two</p><aside>s</aside><p>three</p></article><footer>f</footer>")
     found = [f for f, b in zip(html_text.features(flat), flat) if not b.furniture]
     assert [f[:6] for f in found] == [(0, 0.0, 2, 0.0, 1, 0.0), (2, 0.0, 1, 0.0, 0, 0.0)]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><meta charset=utf-8><title>t</title><style>p{}</style><body><article><p>story</article>", "story"),
+    ("<head><link rel=x><script>no</script><noscript><style>p{}</style></noscript><article><p>story</article>", "story"),
+    ("<head><noscript><img src=x><body><article><p>story</article>", "story"), ("<head><title>t</title>plain story", "plain story"),
+    ("<head><template><p>no</p></template><title>t</title></head><article>story</article>", "story"),
+    ("<article><p class=ad>x<div>story</div></article>", "story"), ("<article><p class=ad>x<ul><li>story</ul><h2>more</h2></article>", "story\nmore"),
+    ("<article><p class=ad>x <b>y<table><tr><td>story</table></article>", "story"), ("<article><p class=ad>x</p><div>story</div></p>more</article>", "story\nmore"),
+    ("<article><ul><li class=ad>x<li>story</ul><dl><dt class=ad>x<dd>more</dl></article>", "story\nmore"),
+    ("<article><ul><li class=ad>x<ul><li>y</ul><li>story</ul></article>", "story"),
+    ("<article><table><caption class=ad>c<tr class=ad><td>x<tr><td class=ad>y<td>story<tbody><tr><td>more</table></article>", "story\nmore"),
+    ("<div class=story>story<div>more</div><p class=ad>x<div>still</div></p>end</div>", "story\nmore\nstill\nend"),
+])
+def test_end_tags_left_out(page, want):
+    assert text(page) == want
+
+
+def test_deep_pages_take_linear_time():
+    for page in ("<p>" * 100_000, "<div>" * 100_000, "<ul><li>" * 50_000, "<table><tr><td>" * 30_000, "<div><p>" * 50_000, "<object>" * 100_000):
+        html_text.blocks(page)
