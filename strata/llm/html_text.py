@@ -52,12 +52,19 @@ FURNITURE_NAMES = frozenset(
     "navigation newsletter notice notices notification overlay pageheader pager pagination paywall popup promo promoted "
     "promotion rail recommended related replies reply respond rss search share sharing sidebar sidenav signin signup "
     "siteheader sitenav skip social sponsor sponsored subscribe subscription toolbar topbar topnav widget widgets".split())
+#: What a class or id of several words says by its first or last one ("ad-slot", "post-footer").
+PART_NAMES = FURNITURE_NAMES - frozenset(
+    "advertising alert announcement copyright discussion disclaimer feedback form header hidden navigation notice notices promotion "
+    "rail search share skip social".split())
+#: What an id may as well say as the title of a part of the article.
+TITLE_NAMES = (FURNITURE_NAMES - PART_NAMES - {"header", "hidden", "rail", "skip"}) | frozenset(
+    "advertisement comment consent newsletter notification paywall recommended related replies reply respond sharing sponsor subscription".split())
 ARTICLE_NAMES = frozenset("article articlebody content entry main maincontent post postbody story storybody".split())
-#: A class that begins so says what a page has, not what the element is.
+#: From such a word on, a class says what a page has, not what the element is.
 SAYS_ABOUT = frozenset("has is no not with without".split())
 
 # The labelled table.  words and link density of the block before, the block itself and the block after;
-# place (2 inside the article, 0 outside it, 1 where the page marks no article); inside furniture; a heading; kept.
+# place (2 inside the article, 0 outside it, 1 where the page marks no article); inside furniture (0.5 what may be); a heading; kept.
 LABELLED = [
     # inside the article blocks are kept, long or short, unless they stand in furniture
     (6, 0.0, 9, 0.0, 60, 0.0, 2, 0, 1, 1), (9, 0.0, 60, 0.0, 80, 0.0, 2, 0, 0, 1),
@@ -116,11 +123,14 @@ LABELLED = [
 ]
 
 
-def _label(before: tuple, own: tuple, after: tuple, place: int, furniture: int) -> int:
+def _label(before: tuple, own: tuple, after: tuple, place: int, furniture: float, heading: int) -> int:
     """Kept or not, for the rows of the table that go over all combinations."""
     (wb, lb), (words, links), (wa, la) = before, own, after
-    if furniture or place == 0:
+    if furniture == 1 or place == 0:
         return 0
+    if furniture:                                # in what may be furniture: paragraphs, and what stands next to one
+        long = 12 if place == 2 else 20
+        return int(links <= 0.3 and (words >= long or (wb >= long and lb <= 0.3) or (wa >= (3 if heading else long) and la <= 0.3)))
     if place == 2:                               # neighbours, length and links drop nothing inside the article
         return 1
     if links > 0.5:                              # a list of links
@@ -133,12 +143,20 @@ def _label(before: tuple, own: tuple, after: tuple, place: int, furniture: int)
     return int(0.05 <= la <= 0.5)
 
 
+def _rows(before: tuple, after: tuple, words: tuple, links: tuple, furniture: tuple) -> list[tuple]:
+    """Rows for all combinations of what is given, in every place, heading or not."""
+    return [(*b, *own, *a, place, f, heading, _label(b, own, a, place, f, heading))
+            for b in before for a in after for own in itertools.product(words, links)
+            for place in (0, 1, 2) for f in furniture for heading in (0, 1)]
+
+
 # The table's other rows: every combination, so that no block falls where no row decides.
-LABELLED += [(*before, *own, *after, place, furniture, heading, _label(before, own, after, place, furniture))
-             for before in ((0, 0.0), (3, 0.0), (3, 0.5), (4, 0.0), (4, 0.6), (60, 0.0), (60, 1.0))
-             for after in ((0, 0.0), (5, 0.0), (5, 0.05), (5, 0.6), (6, 0.0), (6, 0.5), (6, 0.6), (60, 0.0), (60, 1.0))
-             for own in itertools.product((1, 9, 10, 300), (0.0, 0.1, 0.15, 0.5, 0.6, 1.0))
-             for place in (0, 1, 2) for furniture in (0, 1) for heading in (0, 1)]
+LABELLED += _rows(((0, 0.0), (3, 0.0), (3, 0.5), (4, 0.0), (4, 0.6), (60, 0.0), (60, 1.0)),
+                  ((0, 0.0), (5, 0.0), (5, 0.05), (5, 0.3), (5, 0.6), (6, 0.0), (6, 0.5), (6, 0.6), (60, 0.0), (60, 0.3), (60, 1.0)),
+                  (1, 9, 10, 300), (0.0, 0.1, 0.15, 0.5, 0.6, 1.0), (0, 1))
+LABELLED += _rows(((0, 0.0), (11, 0.0), (12, 0.0), (19, 0.0), (20, 0.3), (60, 0.4)),
+                  ((0, 0.0), (2, 0.0), (3, 0.0), (11, 0.0), (12, 0.0), (19, 0.0), (20, 0.3), (60, 0.4)),
+                  (1, 11, 12, 19, 20, 300), (0.0, 0.3, 0.4, 1.0), (0.5,))
 
 
 @dataclass
@@ -192,7 +210,7 @@ class Block:
     words: int
     link_density: float
     marks: frozenset[int]       # the marks of an article it stands in
-    furniture: bool
+    furniture: float            # 1 in furniture, 0.5 in what may be furniture, else 0
     heading: bool
 
 
@@ -211,31 +229,51 @@ _PREFORMATTED_SPACE = re.compile(r"\s+")
 NAMED, MAIN, ARTICLE = 1, 2, 3
 
 
+def _names_furniture(names: list[str], name: str, key: str, inside: int) -> float:
+    """How far the words of a class or id name furniture: 1 as a whole or by the
+    first or last one; 0.5 by another, or where the id may be a title; else 0."""
+    heading = name[0] == "h" and name[1:].isdigit()
+    if heading and key == "id":                  # a link target made of the heading's own words
+        return 0
+    if names[-1] == "header" and (heading or inside and (len(names) == 1 or names[0] in ARTICLE_NAMES)):
+        return 0                                 # the article's own, like <header> inside it
+    said = [w in FURNITURE_NAMES for w in names if not w.isdigit()]
+    if said and all(said) or "".join(names) in FURNITURE_NAMES:
+        return 0.5 if key == "id" and len(said) == 1 and names[0] in TITLE_NAMES else 1
+    if not any(said):
+        return 0
+    parts = PART_NAMES if key == "class" else PART_NAMES - TITLE_NAMES if name != "section" else ()
+    return 1 if names[0] in parts or names[-1] in parts else 0.5
+
+
 def _kind(name: str, rest: str, inside: int) -> tuple[str, int]:
-    """What an element's own tag says: 'unseen', 'furniture' or '', and the
-    mark of an article (0 if none).  ``inside`` is the mark it stands in."""
+    """What an element's own tag says: 'unseen', 'furniture', 'doubtful' (it may
+    be furniture) or '', and the mark of an article (0 if none).  ``inside`` is
+    the mark it stands in."""
     if name in UNSEEN_TAGS:
         return "unseen", 0
     mark = ARTICLE if name == "article" else MAIN if name == "main" else 0
-    furniture = name in FURNITURE_TAGS or (name == "header" and not inside)
+    furniture = float(name in FURNITURE_TAGS or (name == "header" and not inside))
     if rest.strip(" /\t\r\n"):
         for key, value in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), unescape(value.strip("\"'"))
             if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _HIDDEN.search(value)):
                 return "unseen", 0
             if key == "role":
-                furniture |= value.lower() in FURNITURE_ROLES
+                furniture = max(furniture, float(value.lower() in FURNITURE_ROLES))
                 mark = max(mark, {"article": ARTICLE, "main": MAIN}.get(value.lower(), 0))
             elif key in ("class", "id") and name not in ("html", "body"):
                 for part in value.split():
                     names = _NAME.findall(_CAMEL.sub(" ", part).lower())
                     if name in ARTICLE_TAGS:       # an article that is a reader's comment, or an advert, says so in a word
-                        furniture |= part.lower() in FURNITURE_NAMES
-                    elif names and names[0] not in SAYS_ABOUT:
-                        furniture |= not FURNITURE_NAMES.isdisjoint(names)
+                        furniture = max(furniture, float(part.lower() in FURNITURE_NAMES))
+                        continue
+                    names = list(itertools.takewhile(lambda w: w not in SAYS_ABOUT, names))
+                    if names:
+                        furniture = max(furniture, _names_furniture(names, name, key, inside))
                         if len(names) <= 2 and (not ARTICLE_NAMES.isdisjoint(names) or "".join(names) in ARTICLE_NAMES):
                             mark = max(mark, NAMED)
-    return ("furniture", 0) if furniture else ("", mark)
+    return ("furniture", 0) if furniture == 1 else ("doubtful", 0) if furniture else ("", mark)
 
 
 def blocks(html: str) -> list[Block]:
@@ -245,7 +283,7 @@ def blocks(html: str) -> list[Block]:
     parts: list[str] = []
     linked = 0                                  # words inside links of the open block
     stack: list[tuple[str, str, int]] = []      # open elements that hold blocks or say something: name, kind, mark
-    depth = {"unseen": 0, "furniture": 0, "": 0}
+    depth = {"unseen": 0, "furniture": 0, "doubtful": 0, "": 0}
     marks = {0: 0, NAMED: 0, MAIN: 0, ARTICLE: 0}
     link_from, heading, article_seen = -1, False, False
     paragraphs = 0                              # open ones
@@ -300,7 +338,7 @@ def blocks(html: str) -> list[Block]:
         if text:
             n = text.count(" ") + 1
             out.append(Block(text, n, min(1.0, linked / n), frozenset(m for m in (NAMED, MAIN, ARTICLE) if marks[m]),
-                             depth["furniture"] > 0, heading))
+                             1 if depth["furniture"] else 0.5 if depth["doubtful"] else 0, heading))
         parts.clear()
         linked, link_from = 0, 0 if open_link else -1
 
@@ -353,7 +391,7 @@ def blocks(html: str) -> list[Block]:
         if mark >= MAIN and not article_seen:    # the page's article is no furniture, whatever it is wrapped in
             article_seen = mark == ARTICLE
             for i, (tag, k, its_mark) in enumerate(stack):
-                if k == "furniture":
+                if k in ("furniture", "doubtful"):
                     depth[k] -= 1
                     depth[""] += 1
                     stack[i] = tag, "", its_mark
@@ -369,8 +407,8 @@ def blocks(html: str) -> list[Block]:
 def features(flat: list[Block]) -> list[tuple]:
     """The features of each block, in the order of the labelled table.  A block's
     neighbours are the nearest of its own region: of one place, in furniture or not."""
-    mark = max((m for b in flat if not b.furniture for m in b.marks), default=0)      # the surest mark on the page
-    region = [(1 if not mark else 2 if mark in b.marks else 0, int(b.furniture)) for b in flat]
+    mark = max((m for b in flat for m in b.marks if not b.furniture or b.furniture < 1 and m >= MAIN), default=0)   # the surest on the page
+    region = [(1 if not mark else 2 if mark in b.marks else 0, b.furniture) for b in flat]
 
     def beside(order: range) -> dict[int, tuple[int, float]]:
         last: dict[tuple, tuple[int, float]] = {}

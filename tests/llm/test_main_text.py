@@ -59,3 +59,38 @@ def test_end_tags_left_out(page, want):
 def test_deep_pages_take_linear_time():
     for page in ("<p>" * 100_000, "<div>" * 100_000, "<ul><li>" * 50_000, "<table><tr><td>" * 30_000, "<div><p>" * 50_000, "<object>" * 100_000):
         html_text.blocks(page)
+
+
+WORDY = "this section of the article is about something that its name does not tell at all to anyone"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1>T</h1><h2 id=related-work>Related work</h2><p>a b</p><h2 id='search-results'>Search results</h2><p>c</p></article>",
+     "T\nRelated work\na b\nSearch results\nc"),
+    (f"<article><section id=discussion><h2>Discussion</h2><p>{WORDY}</p><p>short end</p></section></article>", f"Discussion\n{WORDY}\nshort end"),
+    (f"<article><section id=cookie-recipes><h2>Cookie recipes</h2><p>{WORDY}</p></section></article>", f"Cookie recipes\n{WORDY}"),
+    ("<div class='article-with-sidebar'><p>short</p><p>text</p></div><div>other</div>", "short\ntext"),
+    (f"<article><div class='text-search-block'><p>{WORDY}</p></div></article>", WORDY),
+    (f"<h1 class='page-header'>Title</h1><p>{WORDY}</p>", f"Title\n{WORDY}"),
+    ("<article><div class='article-header'><h1>Title</h1></div><p>x</p></article>", "Title\nx"),
+])
+def test_a_furniture_word_alone_drops_no_text(page, want):
+    assert text(page) == want
+
+
+@pytest.mark.parametrize("part", [
+    "<div class=ad>{}</div>", "<div class='ad-slot big'>{}</div>", "<div id=cookie-banner>{}</div>", "<section id=comments>{}</section>",
+    "<section class='discussion'>{}</section>", "<div class='post-comments'>{}</div>", "<aside>{}</aside>", "<div id='siteFooter'>{}</div>",
+    "<div class='related-posts'>{}</div>", "<div role=search>{}</div>", "<div id='newsletter-signup'>{}</div>",
+])
+def test_furniture_is_dropped_at_any_length(part):
+    assert text(f"<article><p>story</p>{part.format(f'<p>{WORDY}</p>')}</article>") == "story"
+    assert text(f"<p>{LONG}</p>{part.format(f'<p>{WORDY}</p>')}") == LONG
+
+
+@pytest.mark.parametrize("part", [
+    "<section id=related><h2>Related</h2><ul><li><a href=x>One story</a><li><a href=y>Another story</a></ul></section>",
+    "<div class='my-share-box'><p>Share this</p></div>", "<section id=search><p>Search here</p></section>",
+])
+def test_short_and_linked_blocks_of_doubtful_parts_are_dropped(part):
+    assert text(f"<article><p>story</p>{part}</article>") == "story"
