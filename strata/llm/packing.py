@@ -164,16 +164,16 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     doc_id and start.  An empty table gives no rows; extra columns are not read.
 
     The texts are read and encoded once; the pieces (five integers each) are
-    written to the shared folder, counted, and dealt into groups by a hash of
-    the piece.  A group holds ``group_pieces`` rows on average whatever the
+    written to the shared folder with a number for the row, counted, and dealt into
+    groups by a hash of the piece and that number, which tells equal pieces apart.  A group holds ``group_pieces`` rows on average whatever the
     input's size and whichever documents are long, since each piece is dealt on
     its own.  Full windows are sequences as they are and skip the packing.
     """
     spark = docs.sparkSession
-    cut = written(pieces(docs, vocabulary, id_col, text_col, window), "pieces")
+    cut = written(pieces(docs, vocabulary, id_col, text_col, window).withColumn("row", F.monotonically_increasing_id()), "pieces")
     rest = cut.filter(F.col("length") < window)
     groups = max(1, -(-rest.count() // group_pieces))
-    dealt = (rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    dealt = (rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(groups))).drop("row")
              .repartition(min(groups, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "grp")
              .sortWithinPartitions("grp", F.col("length").desc(), "doc_id", "start", "ids_crc32"))
 
@@ -197,7 +197,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     packed = dealt.mapInArrow(run, schema)
     # full windows: even numbers are the packed windows, odd ones the full windows
-    full = (cut.filter(F.col("length") == window)
+    full = (cut.drop("row").filter(F.col("length") == window)
             .withColumn("sequence_id", 2 * F.monotonically_increasing_id() + 1)
             .withColumn("offset", F.lit(0).cast("long")))
     return packed.withColumn("sequence_id", F.col("sequence_id") * 2).unionByName(full).withColumnRenamed("doc_id", id_col)
