@@ -171,6 +171,18 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS
     return found
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, max_bits: int, key_rows: int) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id) for every row: ``root`` is the
+    smallest fingerprint of the row's group, ``component_id`` its smallest id."""
+    fps = written(fingerprints(docs, id_col, text_col, k), "fingerprints")
+    classes = fps.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(classes, max_bits, key_rows)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    member = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = member.join(smallest, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp", "left")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                     max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id, text_hash) for every row of ``docs``.
@@ -188,13 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     partial minimum before anything else is shuffled, so a hot text costs one
     class.  The classes of a hot key are compared in blocks.
     """
-    fps = written(fingerprints(docs, id_col, text_col, k), "fingerprints")
-    classes = fps.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(classes, max_bits, key_rows)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    member = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = member.join(smallest, "root").select("fp", "component_id")
-    return (fps.join(named, "fp", "left")
+    return (_grouped(docs, id_col, text_col, k, max_bits, key_rows)
             .select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
                     "text_hash"))
@@ -203,12 +209,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, all columns as they are, of which one document of
     each group of near-duplicates stays: the one with the smallest id, once.  If
-    that id is repeated, the row of smallest text hash stays, then of smallest
-    other columns.  Rows with a null id are in no group and stay."""
-    found = written(near_duplicates(docs, id_col, text_col, k, max_bits), "near-duplicates")
+    that id is repeated in the group, the row of smallest text hash stays, then of
+    smallest other columns.  An id that is the smallest of several groups (on
+    unrelated texts) stays once in each.  Rows with a null id are in no group and stay."""
     hashed, place = fresh(docs, "text_hash"), fresh(docs, "place")
-    stay = (found.filter(F.col(id_col) == F.col("component_id"))
-            .groupBy(id_col).agg(F.min("text_hash").alias(hashed)))
+    stay = written(_grouped(docs, id_col, text_col, k, max_bits, KEY_ROWS).filter("doc_id = component_id")
+                   .groupBy("root", F.col("doc_id").alias(id_col)).agg(F.min("text_hash").alias(hashed))
+                   .select(id_col, hashed), "near-duplicates")
     same = Window.partitionBy(id_col, hashed).orderBy(*[F.col(f"`{c}`") for c, t in docs.dtypes
                                                         if c not in (id_col, text_col) and not t.startswith(("map", "variant"))] or [F.lit(0)])
     named = (docs.filter(F.col(id_col).isNotNull()).withColumn(hashed, F.xxhash64(utf8(text_col)))
