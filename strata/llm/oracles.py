@@ -82,9 +82,26 @@ SELECT n.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
        sha256(coalesce(from_hex(k), t)) AS kept_sha256
 FROM n LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+JACCARD_JOIN = """
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM d),
+class AS (SELECT list_sort(s) AS s, min(doc_id) AS rep, CAST(len(s) AS BIGINT) AS n FROM s WHERE len(s) > 0 GROUP BY list_sort(s), len(s)),
+token AS (SELECT rep, n, unnest(s) AS t FROM class),
+common AS (SELECT a.rep AS a, b.rep AS b, a.n AS an, b.n AS bn, count(*) AS i FROM token a JOIN token b ON a.t = b.t AND a.rep < b.rep GROUP BY ALL),
+link AS (SELECT a, b FROM common WHERE 100 * i >= 80 * (an + bn - i)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT rep AS a, rep AS b FROM class UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+least AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(least.component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN class ON list_sort(s.s) = class.s LEFT JOIN least USING (rep)"""
+
 ORACLES = {
     "op2_top_k": TOP_K,
     "op3_decontamination": DECONTAMINATION,
     "op4_licenses": LICENSES,
     "op5_suffix_dedup": SUFFIX_DEDUP,
+    "op12_jaccard_join": JACCARD_JOIN,
 }
