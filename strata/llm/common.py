@@ -56,13 +56,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, free: bool = True) -> DataFrame:
     """Cut lineage: write to the cluster's shared folder and read back, so a
-    lost executor re-reads files and no task is computed a second time."""
+    lost executor re-reads files and no task is computed a second time.  With
+    ``free`` the shuffle files of finished steps go at once, worth its time after large steps."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    release(spark)
+    if free:
+        release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,7 @@ def _mark(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, free: bool = True) -> DataFrame:
     """(node, component) of every node in ``links`` (a long, b long);
     ``component`` is the smallest node that can be reached.
 
@@ -20,11 +20,11 @@ def components(links: DataFrame) -> DataFrame:
     node to its smallest neighbour, so chains halve and a finished component is
     a star around its smallest node.  A step is a grouped minimum (partial
     first) and a join on the node that Spark may split when skewed; every round
-    is written to the shared folder, and the driver sees two numbers a round.
+    is written to the shared folder (``free``: see ``written``), and the driver sees two numbers a round.
     Null ends and self-links are left out; an empty table gives an empty result.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                    .filter("a != b").distinct(), "links")
+                    .filter("a != b").distinct(), "links", free)
     seen = _mark(edges)
     while seen[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -34,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct())
-        edges = written(small, "links")
+        edges = written(small, "links", free)
         now = _mark(edges)
         if now == seen:
             break

@@ -304,15 +304,15 @@ def links(texts: DataFrame, reps: DataFrame, k: int = SHINGLE, percent: int = PE
         if found is None:
             named = meeting.withColumn("component", F.col("id"))
         else:
-            groups = components(found).withColumnRenamed("node", "id")
+            groups = components(found, free=False).withColumnRenamed("node", "id")
             named = meeting.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
         met = named.repartition("key").sortWithinPartitions(*order).select("key", "asks", "id", "n", "component")
         met = met.mapInArrow(_candidates(skip, leaders, percent), "a long, b long").distinct()
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
-        met = written(met, "jaccard-candidates")
+        met = written(met, "jaccard-candidates", free=False)
         pairs = met.filter("a IS NOT NULL")
-        new = written(verified(pairs, texts, k, percent), "jaccard-links")
+        new = written(verified(pairs, texts, k, percent), "jaccard-links", free=False)
         found, tested = (new, pairs) if found is None else (found.union(new), tested.union(pairs))
         if not met.filter("a IS NULL").limit(1).count():
             return found
@@ -340,12 +340,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(rows.mapInArrow(_summaries(k), "doc long, n long, h1 long, h2 long"), "jaccard-sets")
     own = sets.filter("n > 0 AND doc IS NOT NULL")
     classes = own.groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"))
-    named = written(own.join(classes, ["n", "h1", "h2"]).select("doc", "rep"), "jaccard-classes")
+    named = written(own.join(classes, ["n", "h1", "h2"]).select("doc", "rep"), "jaccard-classes", free=False)
     least = named.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
     # an id on different texts connects their classes
     again = named.join(least.filter("rep < last").select("doc", F.col("rep").alias("b")), "doc").filter("rep > b").select(F.col("rep").alias("a"), "b")
     found = links(rows.filter("id IS NOT NULL"), named.select(F.col("rep").alias("id")).distinct(), k, percent)
-    groups = components(found.union(again)).withColumnRenamed("node", "rep")
+    groups = components(found.union(again), free=False).withColumnRenamed("node", "rep")
     place = least.join(groups, "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
     return (sets.join(place, "doc", "left")
             .select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")))

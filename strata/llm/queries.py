@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, jaccard, langid, licenses, lpf, packing, quality, simhash, vafile
+from . import bpe, decontam, html_text, jaccard, langid, licenses, lpf, negatives, packing, quality, simhash, vafile
 from .common import prepare, read_table
 from .oracles import ORACLES  # noqa: F401
 
@@ -84,6 +84,12 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = negatives.relabelled(read_table(spark, sf_dir, "embeddings"))
+    return negatives.mine(rows, rows.filter(F.col("vec_id") % negatives.ANCHOR_EVERY == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_top_k": op2_top_k,
@@ -96,5 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_packing": op10_packing,
     "op12_jaccard_join": op12_jaccard_join,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 

@@ -34,14 +34,14 @@ READ = 16
 EXACT = 2.0**53
 
 
-def integers(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id long, v array<double>): whole-number components.  Rows with a
+def integers(df: DataFrame, id_col: str, vector_col: str, *more: str) -> DataFrame:
+    """(vec_id long, ``more`` columns, v array<double>): whole-number components.  Rows with a
     null id, a null vector, or a null or non-finite component are left out."""
     v = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
     finite = F.forall(F.col(vector_col), lambda x: F.coalesce(
         ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
     return (df.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(finite)
-            .select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")))
+            .select(F.col(id_col).cast("long").alias("vec_id"), *more, v.alias("v")))
 
 
 class Best:
