@@ -82,6 +82,63 @@ SELECT n.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
        sha256(coalesce(from_hex(k), t)) AS kept_sha256
 FROM n LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+# CRC-32 by its table, a shortest path backwards by recursion, and the least of the cheapest edits forwards.
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE
+crc AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+        FROM (SELECT CAST(range AS BIGINT) AS n FROM range(256))),
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+fault AS (SELECT raw.*, xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT)),
+                            lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 20 AS f FROM raw, crc),
+damaged AS (
+    SELECT c, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM fault, (SELECT unnest([1, 2]) AS copy) WHERE f <> 0 AND (copy = 1 OR f = 3)),
+placed AS (
+    SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
+           row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM damaged),
+row AS (
+    SELECT c, i, turn, role, text, left(role, 1) AS initial, core = '' AS blank, core <> '' AND again AS duplicate,
+           core <> '' AND NOT again AND right(core, 1) NOT IN ('.', '!', '?') AS truncated, core = '' OR again AS gone FROM placed),
+size AS (SELECT c, max(i) AS n FROM row GROUP BY c),
+back AS (
+    SELECT c, n + 1 AS i, CAST(0 AS BIGINT) AS b0, CAST(10 AS BIGINT) AS b1, CAST(5 AS BIGINT) AS b2, CAST(0 AS BIGINT) AS b3 FROM size
+    UNION ALL
+    SELECT c, i, least(r0, r2 + 5, r3 + 10), least(r1, r2 + 5, r3 + 10), least(r2, r3 + 5), least(r3, r2 + 5)
+    FROM (SELECT row.c, row.i,
+                 least(2 + b0, CASE WHEN gone THEN 1000000000 ELSE least(1 + b2, CASE initial WHEN 'u' THEN b2 WHEN 's' THEN b1 ELSE 1000000000 END) + e END) AS r0,
+                 least(2 + b1, CASE WHEN gone THEN 1000000000 ELSE least(1 + b2, CASE initial WHEN 'u' THEN b2 ELSE 1000000000 END) + e END) AS r1,
+                 least(2 + b2, CASE WHEN gone THEN 1000000000 ELSE least(1 + b3, CASE initial WHEN 'a' THEN b3 ELSE 1000000000 END) + e END) AS r2,
+                 least(2 + b3, CASE WHEN gone THEN 1000000000 ELSE least(1 + b2, CASE initial WHEN 'u' THEN b2 ELSE 1000000000 END) + e END) AS r3
+          FROM back JOIN (SELECT *, CASE WHEN truncated THEN 5 ELSE 0 END AS e FROM row) AS row ON row.c = back.c AND row.i = back.i - 1)),
+b AS (SELECT c, i, [b0, b1, b2, b3] AS b FROM back),
+walk AS (
+    SELECT c, CAST(1 AS BIGINT) AS i, 0 AS s, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM size
+    UNION ALL
+    SELECT c, CASE edit WHEN 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE nxt END, audit || edit,
+           CASE edit WHEN 'D' THEN lines WHEN 'K' THEN lines || [role || ':' || text]
+                     ELSE lines || [CASE nxt WHEN 2 THEN 'user:' ELSE 'assistant:' END || CASE edit WHEN 'R' THEN text ELSE '' END] END
+    FROM (SELECT w.*, role, text, nxt, kept,
+                 CASE WHEN w.i <= n AND 2 + after.b[s + 1] = now.b[s + 1] THEN 'D' WHEN 5 + now.b[nxt + 1] = now.b[s + 1] THEN 'I'
+                      WHEN NOT gone AND kept IS NOT NULL AND after.b[kept + 1] + e = now.b[s + 1] THEN 'K' ELSE 'R' END AS edit
+          FROM (SELECT walk.*, n, CASE s WHEN 2 THEN 3 ELSE 2 END AS nxt FROM walk JOIN size USING (c)) w
+          JOIN b AS now ON now.c = w.c AND now.i = w.i
+          LEFT JOIN b AS after ON after.c = w.c AND after.i = w.i + 1
+          LEFT JOIN (SELECT *, CASE WHEN truncated THEN 5 ELSE 0 END AS e FROM row) AS row ON row.c = w.c AND row.i = w.i,
+          LATERAL (SELECT CASE WHEN initial = 's' AND s = 0 THEN 1 WHEN initial = 'u' AND s <> 2 THEN 2 WHEN initial = 'a' AND s = 2 THEN 3 END AS kept)
+          WHERE w.i <= n OR s IN (1, 2))),
+made AS (SELECT walk.c, audit, array_to_string(lines, chr(10)) AS body FROM walk JOIN size USING (c) WHERE walk.i = n + 1 AND s IN (0, 3)),
+stat AS (
+    SELECT c, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+           count(*) FILTER (truncated) AS truncated, count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT *, lag(initial) OVER (PARTITION BY c ORDER BY i) AS before FROM row) GROUP BY c),
+conv AS (SELECT DISTINCT c, conv_id FROM raw)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(b.b[1], 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM conv LEFT JOIN stat USING (c) LEFT JOIN b ON b.c = conv.c AND b.i = 1 LEFT JOIN made ON made.c = conv.c"""
+
 JACCARD_JOIN = """
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -121,6 +178,7 @@ ORACLES = {
     "op3_decontamination": DECONTAMINATION,
     "op4_licenses": LICENSES,
     "op5_suffix_dedup": SUFFIX_DEDUP,
+    "op11_conversation_repair": CONVERSATION_REPAIR,
     "op12_jaccard_join": JACCARD_JOIN,
     "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, jaccard, langid, licenses, lpf, negatives, packing, quality, simhash, vafile
+from . import bpe, decontam, dialogue, html_text, jaccard, langid, licenses, lpf, negatives, packing, quality, simhash, vafile
 from .common import prepare, read_table
 from .oracles import ORACLES  # noqa: F401
 
@@ -79,6 +79,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return dialogue.repair(dialogue.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_main_text": op9_main_text,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_jaccard_join": op12_jaccard_join,
     "op13_hard_negatives": op13_hard_negatives,
 }
