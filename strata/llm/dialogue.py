@@ -334,7 +334,7 @@ def _edits(shared):
         for b in batches:
             out = []
             for conv, part, codes in zip(*(b.column(c).to_pylist() for c in ("conv_id", "part", "codes"))):
-                end, state, last = shared.value[conv, part]
+                end, state, last, _ = shared.value[conv, part]
                 out.append({"conv_id": conv, "part": part, "seq": 0, "audit": trace(codes, backward(codes, end), state, last)[0]})
             yield _batch(out, _TRACED)
 

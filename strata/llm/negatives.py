@@ -130,10 +130,11 @@ class Anchors:
     """Some anchors of one length: ids, labels, whole-number vectors, and the
     windows (smallest and largest score) in which each looks for rows."""
 
-    def __init__(self, rows: list, dim: int):
+    def __init__(self, rows: list[dict], dim: int):
         self.ids, self.labels = (np.array([r[c] for r in rows], np.int64) for c in ("vec_id", "label"))
         self.vectors = np.array([r["v"] for r in rows], float).reshape(len(rows), dim)
         self.positives = [[(x["vec_id"], x["score"]) for x in r["positives"] or []] if "positives" in r else [] for r in rows]
+        self.floor = np.array([-np.inf if r.get("floor") is None else r["floor"] for r in rows], float)        # scores known to be reached
         self.up, self.down = np.maximum(self.vectors, 0), np.minimum(self.vectors, 0)
 
     def bounds(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +169,31 @@ def _zones(shared, select):
     return run
 
 
+def _likeliest(shared):
+    """Zone maps only: of this task's blocks that may hold an anchor's label the one of the
+    highest upper bound, for each anchor."""
+    schema = pa.schema([("block", pa.string()), ("asked", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = {d: (a, np.full(len(a.ids), -np.inf), np.full(len(a.ids), None, object)) for d, a in shared.value.items()}
+        for b in batches:
+            for block, dim, n, label_low, label_high, low, high in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if dim in sides:
+                    anchors, most, where = sides[dim]
+                    upper = anchors.bounds(np.array(low), np.array(high))[1]
+                    better = (upper > most) & (anchors.labels >= label_low) & (anchors.labels <= label_high)
+                    most[better], where[better] = upper[better], block
+        asked: dict[str, list[int]] = {}
+        for _, _, where in sides.values():
+            for i, block in enumerate(where):
+                if block is not None:
+                    asked.setdefault(block, []).append(i)
+        if asked:
+            yield pa.RecordBatch.from_arrays([pa.array(list(asked)), pa.array([np.array(x, np.int32).tobytes() for x in asked.values()])], schema=schema)
+
+    return run
+
+
 _FOUND = "anchor_id long, place int, vec_id long, score long"
 _FOUND_ARROW = pa.schema([("anchor_id", pa.int64()), ("place", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -207,7 +233,7 @@ def _read(shared, k: int, positives: bool, low: int, high: int):
                 for i in np.frombuffer(asked, np.int32):
                     own = int(anchors.ids[i])
                     if positives:
-                        if most[i] < best.floor((own, 0)):
+                        if most[i] < max(anchors.floor[i], best.floor((own, 0))):
                             continue                  # what this task has read beats the whole block
                         take = (labels == anchors.labels[i]) & (ids != own)
                         if take.any():
@@ -230,20 +256,9 @@ def _read(shared, k: int, positives: bool, low: int, high: int):
     return run
 
 
-def _for_positives(k: int):
-    """Blocks that may hold one of an anchor's k best rows of its label: those whose
-    upper bound reaches the k-th lower bound that blocks of that label alone give in this task."""
-    def select(anchors: Anchors, n: int, label_low: int, label_high: int, least, most, state) -> np.ndarray:
-        floor = state.setdefault("floor", np.full((len(anchors.ids), k + 1), -np.inf))
-        asked = (anchors.labels >= label_low) & (anchors.labels <= label_high) & (most >= floor[:, 0])
-        if label_low == label_high:                    # all n rows (the anchor itself may be one) score ``least`` or more
-            sure = np.flatnonzero(anchors.labels == label_low)
-            if len(sure):
-                more = np.repeat(least[sure][:, None], min(n, k + 1), axis=1)
-                floor[sure] = np.sort(np.concatenate((floor[sure], more), axis=1), axis=1)[:, -(k + 1):]
-        return asked
-
-    return select
+def _for_positives(anchors: Anchors, n: int, label_low: int, label_high: int, least, most, state) -> np.ndarray:
+    """Blocks that may hold a row of the anchor's label at or above the score it is sure of."""
+    return (anchors.labels >= label_low) & (anchors.labels <= label_high) & (most >= anchors.floor)
 
 
 def _for_windows(low: int, high: int):
@@ -272,16 +287,17 @@ def _blocks_of(df: DataFrame, at_once: int) -> int:
         parts *= 2
 
 
-def _search(blocks: DataFrame, anchors: DataFrame, parts: int, select, k: int, positives: bool, low: int, high: int, name: str) -> DataFrame:
-    """(anchor_id, place, vec_id, score): the k best of every anchor and window, part by part."""
+def _search(blocks: DataFrame, anchors: DataFrame, parts: int, choose, k: int, positives: bool, low: int, high: int, name: str) -> DataFrame:
+    """(anchor_id, place, vec_id, score, rank): the k best of every anchor and window, part by part,
+    in the blocks that ``choose`` names from the zone maps."""
     spark = blocks.sparkSession
     path, zones = scratch_path(spark, name), ("block", "dim", "n", "label_low", "label_high", "low", "high")
     for p in range(parts):
         sides: dict[int, list] = {}
         for r in anchors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == p).orderBy("vec_id").collect():
-            sides.setdefault(len(r["v"]), []).append(r)
+            sides.setdefault(len(r["v"]), []).append(r.asDict())
         shared = spark.sparkContext.broadcast({d: Anchors(rows, d) for d, rows in sides.items()})
-        chosen = written(blocks.select(*zones).mapInArrow(_zones(shared, select), "block string, asked binary"), "chosen-blocks", free=False)
+        chosen = written(blocks.select(*zones).mapInArrow(choose(shared), "block string, asked binary"), "chosen-blocks", free=False)
         read = blocks.join(chosen, "block").mapInArrow(_read(shared, k, positives, low, high), _FOUND)
         order = Window.partitionBy("anchor_id", "place").orderBy(F.col("score").desc(), "vec_id")
         (read.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).write.parquet(f"{path}/part={p}"))
@@ -319,11 +335,15 @@ def mine(candidates: DataFrame, anchors: DataFrame, id_col: str = "vec_id", vect
     asked = written(rows(anchors).groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("first"))
                     .select("vec_id", "first.label", "first.v"), "anchors", free=False)
     parts = _blocks_of(asked, anchor_block)
-    best = _search(blocks, asked, parts, _for_positives(positives), positives, True, low, high, "positives")
+    # the likeliest block of each task first: its k-th score is a floor for the search proper
+    first = _search(blocks, asked, parts, _likeliest, positives, True, low, high, "floors")
+    floors = first.filter(F.col("rank") == positives).select(F.col("anchor_id").alias("vec_id"), F.col("score").alias("floor"))
+    asked = written(asked.join(floors, "vec_id", "left"), "anchors-with-floors", free=False)
+    best = _search(blocks, asked, parts, lambda shared: _zones(shared, _for_positives), positives, True, low, high, "positives")
     own = best.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.expr(
         "transform(array_sort(collect_list(struct(rank, vec_id AS positive_id, score))), x -> struct(x.positive_id AS vec_id, x.score))").alias("positives"))
     paired = written(asked.join(own, "vec_id"), "anchors-with-positives", free=False)
-    found = _search(blocks, paired, parts, _for_windows(low, high), negatives, False, low, high, "negatives")
+    found = _search(blocks, paired, parts, lambda shared: _zones(shared, _for_windows(low, high)), negatives, False, low, high, "negatives")
     # a row is one anchor, one of its positives by place, and a negative
     positive = best.select("anchor_id", (F.col("rank") - 1).alias("place"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     return (found.withColumnRenamed("vec_id", "negative_id").withColumnRenamed("score", "negative_score").join(positive, ["anchor_id", "place"])

@@ -96,9 +96,9 @@ damaged AS (
            CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
     FROM fault, (SELECT unnest([1, 2]) AS copy) WHERE f <> 0 AND (copy = 1 OR f = 3)),
 placed AS (
-    SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
-           row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
-           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM damaged),
+    SELECT c, i, turn, role, text, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core
+    FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)),
 row AS (
     SELECT c, i, turn, role, text, left(role, 1) AS initial, core = '' AS blank, core <> '' AND again AS duplicate,
            core <> '' AND NOT again AND right(core, 1) NOT IN ('.', '!', '?') AS truncated, core = '' OR again AS gone FROM placed),
