@@ -19,6 +19,7 @@ from ..operators.partitioning import spread
 from ..operators.selection import AS_WRITTEN, LATEST, select_days
 from ..session import scratch_path
 from ..sinks import keyed
+from ..sinks.changes import pending
 from ..sinks.constraints import check_constraints, conform_to, split_violations
 from ..sinks.store import TableStore, upsert_buckets
 from ..sources import feeds as feed_source
@@ -619,6 +620,50 @@ def refresh_roles(spark, sf):
     return a.unionByName(b)
 
 
+CHANGED_EVERY = 7
+_CHANGED: dict = {}
+
+
+def _refreshed_in_part(spark, sf) -> tuple[TableStore, DataFrame]:
+    """A store after a first refresh and a second one in whose feeds one order in
+    seven differs, and the leaderboard documents that the second one took in."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CHANGED:
+        root = scratch_path(spark, "refreshed-in-part")
+        store = TableStore(spark, f"{root}/lake", upsert_buckets(_upsert_buckets(spark)))
+        jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds"), n=None).run()
+        later = jobs.Refresh(store, encode.encoded_feeds(spark, sf, f"{root}/feeds-later", True, CHANGED_EVERY), n=None)
+        later.run("collect_leaderboards")
+        pending(store, "conform_leaderboards", S.COLLECT_TMIO_LEADERBOARDS, S.CONFORM_TMIO_LEADERBOARDS,
+                later.leaderboard_digests()).write.parquet(f"{root}/taken")
+        later.run()
+        _CHANGED[key] = store, spark.read.parquet(f"{root}/taken").select("map_uid")
+    return _CHANGED[key]
+
+
+def refresh_in_part(spark, sf):
+    """The fact after a second refresh that recomputes only what one order in seven reaches."""
+    return _refreshed_in_part(spark, sf)[0].read(S.CONSUME_TOTD)
+
+
+def refresh_changes(spark, sf):
+    """The leaderboard documents that such a refresh parses."""
+    return _refreshed_in_part(spark, sf)[1]
+
+
+def whole_leaderboards(spark, sf):
+    """Every entry of documents of up to some dozens of entries: those of five successive orders."""
+    li = t(spark, sf, "lineitem").withColumn("board", F.expr("CAST(l_orderkey DIV 5 AS INT)"))
+    e = F.struct("l_linenumber", F.struct(F.col("l_linenumber").cast("string").alias("name"),
+                                          F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").alias("id")).alias("player"),
+                 (F.col("l_quantity") * 1000).alias("time"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
+    docs = li.groupBy("board").agg(F.array_sort(F.collect_list(e)).alias("tops")).select(
+        F.concat(F.lit("m"), F.col("board").cast("string")).alias("map_uid"), "board", D.to_text(F.struct("tops")).alias("json_data"))
+    tmio = docs.select("map_uid", F.col("board").alias("exchange_id"))
+    tmx = docs.limit(0).select("map_uid", F.col("board").alias("track_id"))
+    return jobs.conform_leaderboards_batch(docs.select("map_uid", "json_data"), tmio, tmx)
+
+
 def full_refresh(spark, sf):
     """V41 (X12): every job in order through the store, twice; rows per consume table."""
     root = scratch_path(spark, "full-refresh")
@@ -660,6 +705,9 @@ QUERIES = {
     "daily_fact_collisions": daily_fact_collisions,
     "refresh_content": refresh_content,
     "refresh_roles": refresh_roles,
+    "refresh_in_part": refresh_in_part,
+    "refresh_changes": refresh_changes,
+    "whole_leaderboards": whole_leaderboards,
     "two_key_left": two_key_left,
     "either_key_join": either_key,
     "arg_min_ties": arg_min_ties,

@@ -9,8 +9,11 @@ the keyed sinks, in the order of a full refresh.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +26,11 @@ from ..operators.joins import either_key_join, lookup_join
 from ..operators.partitioning import spread
 from ..operators.selection import LATEST, select_days
 from ..sinks import keyed
+from ..sinks.changes import Changes, changed
 from ..sinks.constraints import QUARANTINE, conform_to
 from ..session import scratch_path, shared_dir
-from ..sinks.store import TableStore
-from ..sources.feeds import LIST_LENGTH, keyed_fetch, list_head, paged_feed, responses
+from ..sinks.store import DIGEST, TableStore
+from ..sources.feeds import keyed_fetch, list_head, paged_feed, responses
 from ..sources.transports import TableTransport
 
 # ---- payload schemas (every leaf a string; cast when selected) -------------
@@ -115,12 +119,13 @@ def conform_tmx_batch(raw: DataFrame, on_bad: str = D.FAIL) -> DataFrame:
 
 def conform_leaderboards_batch(raw: DataFrame, tmio: DataFrame, tmx: DataFrame,
                                on_bad: str = D.FAIL) -> DataFrame:
-    """Leaderboard entries of landed maps; the key is the exchange id, or
-    the track id when the map has none (inner join to tmio, left to tmx)."""
+    """Every leaderboard entry of landed maps; the key is the exchange id, or
+    the track id when the map has none (inner join to tmio, left to tmx).  How many
+    entries a document has is up to the request."""
     j = (raw.join(tmio.select("map_uid", F.col("exchange_id").alias("_ex")), "map_uid")
          .join(tmx.select("map_uid", F.col("track_id").alias("_tr")), "map_uid", "left"))
     keyed_docs = j.select(X.first_key("_ex", "_tr").alias("exchange_id"), "json_data")
-    e = list_head(keyed_docs, "json_data", "tops", LIST_LENGTH, TOP_ENTRY, ["exchange_id"], on_bad)
+    e = list_head(keyed_docs, "json_data", "tops", None, TOP_ENTRY, ["exchange_id"], on_bad)
     cast = X.Casts(strict=on_bad == D.FAIL)
     up = cast(D.field("e", "timestamp"), "date", "uploaded_date")
     return e.select(
@@ -164,9 +169,26 @@ def records(tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
 COLLIDE_ERROR, COLLIDE_FIRST = "error", "first"
 
 
+def touched_facts(base: DataFrame, maps: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``base`` that a change of ``maps`` (map_uid) or of the records of
+    ``ids`` (exchange_id) reaches, with the rows of their (date, exchange id), and the
+    ids whose records those rows need."""
+    parts = ["totd_year", "totd_month", "totd_day"]
+    keyed_base = base.withColumn("_key", X.first_key("io_ex", "track_id"))
+    by_map = base.join(maps.select("map_uid").distinct(), "map_uid", "left_semi")
+    ids = ids.select("exchange_id").filter("exchange_id IS NOT NULL").distinct()
+    by_id = [base.join(ids.withColumnRenamed("exchange_id", c), c, "left_semi").select(*base.columns) for c in ("io_ex", "track_id")]
+    hit = by_map.select(*base.columns).union(by_id[0]).union(by_id[1]).select(*parts, X.first_key("io_ex", "track_id").alias("_key"), "map_uid")
+    keys = hit.select(*parts, "_key").distinct()
+    same = reduce(lambda x, c: x & keyed_base[c].eqNullSafe(keys[c]), [*parts, "_key"], F.lit(True))
+    found = keyed_base.join(keys, same, "left_semi").drop("_key")
+    needed = found.select(F.explode(F.array("io_ex", "track_id")).alias("exchange_id")).filter("exchange_id IS NOT NULL").distinct()
+    return found, needed
+
+
 def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_FIRST,
                record_key: str = RECORD_AS_WRITTEN, method: str | None = None,
-               on_collision: str = COLLIDE_ERROR) -> DataFrame:
+               on_collision: str = COLLIDE_ERROR, touched: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One fact row per daily selection with its record holder.
 
     (tmx join tmio) joined to the records on either key (J6 as an equi join).
@@ -174,6 +196,10 @@ def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_
     least time, then date, then player id.  Two maps on one (date, exchange id)
     stay two rows, which the keyed sink refuses (``on_collision='error'``), or the
     map of smaller uid is kept (``'first'``); rows without a date never collide.
+
+    ``touched`` (map_uid; exchange_id) limits the work to the facts of those maps and of
+    maps that can hold a record of those ids, each recomputed from all its
+    entries (a time may have risen as well as fallen), and to the facts they could collide with.
     """
     a = tmx.select("map_uid", "track_id", "map_name", "laps",
                    F.col("uploaded_year").alias("x_y"), F.col("uploaded_month").alias("x_m"),
@@ -181,6 +207,9 @@ def totd_batch(tmx: DataFrame, tmio: DataFrame, lead: DataFrame, tie: str = TIE_
     b = tmio.select("map_uid", F.col("exchange_id").alias("io_ex"), "totd_year", "totd_month", "totd_day",
                     "author_time", "gold_time", "silver_time", "bronze_time")
     base = a.join(b, "map_uid")
+    if touched is not None:
+        base, ids = touched_facts(base, *touched)
+        lead = lead.join(ids, "exchange_id", "left_semi")
     wr = records(tmio, lead, tie, record_key, method)
     j = either_key_join(base, wr, ["io_ex", "track_id"], "exchange_id")
     totd = X.build_date("totd_year", "totd_month", "totd_day")
@@ -239,6 +268,7 @@ class Refresh:
     tie: str = TIE_FIRST
     land: str | None = None
     on_violation: str = "fail"           # or "quarantine": bad rows go to quarantine/<layer>_<table>
+    changed_only: bool = True            # jobs take in what changed since they last finished; else all that is stored
     done: set = field(default_factory=set)
 
     ORDER = ("seed_reference", "collect_daily", "conform_daily", "collect_map_info", "conform_map_info",
@@ -284,16 +314,18 @@ class Refresh:
             F.lit(target.qualified).alias("table_name"), D.to_text(F.struct(*cols)).alias("payload"),
             reason.cast("string").alias("reason")), order_by=["payload"])
 
-    def _raw(self, source, target, schema: str, new_only: bool = False) -> DataFrame:
-        """A stored collect table, spread for parsing; with ``new_only`` the
-        documents whose key the target does not hold yet (insert-ignore would
-        drop the others after parsing them).  In quarantine mode the documents
-        that are not JSON, or of another shape than ``schema``, are set aside first."""
-        raw = self._t(source)
-        if new_only:
-            raw = raw.join(self._t(target).select(*target.key), list(target.key), "left_anti")
+    @contextmanager
+    def _changed(self, consumer: str, source, target, current: DataFrame | None = None) -> Iterator[Changes]:
+        if self.changed_only:
+            with changed(self.store, consumer, source, target, current) as found:
+                yield found
         else:
-            raw = spread(raw)
+            yield Changes(self.store, source, self.store.digests(source), True)
+
+    def _raw(self, found: Changes, target, schema: str) -> DataFrame:
+        """The changed documents, spread for parsing.  In quarantine mode the documents
+        that are not JSON, or of another shape than ``schema``, are set aside first."""
+        raw = spread(found.rows())
         if not self._quarantining:
             return raw
         doc = F.col("json_data")
@@ -358,8 +390,10 @@ class Refresh:
 
     # X5
     def conform_daily(self):
-        b = self._typed(conform_tmio_batch(self._raw(S.COLLECT_TMIO, S.CONFORM_TMIO, TMIO_DOC), self._on_bad), S.CONFORM_TMIO)
-        self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
+        with self._changed("conform_daily", S.COLLECT_TMIO, S.CONFORM_TMIO) as found:
+            if found.any or not self.store.exists(S.CONFORM_TMIO):
+                b = self._typed(conform_tmio_batch(self._raw(found, S.CONFORM_TMIO, TMIO_DOC), self._on_bad), S.CONFORM_TMIO)
+                self.store.insert_ignore(S.CONFORM_TMIO, b, order_by=["totd_year", "totd_month", "totd_day", "author_id"])
 
     def _landed(self, fetched: DataFrame, transport, name: str, spec) -> DataFrame:
         """Responses of a live transport are written once before any sink
@@ -388,48 +422,84 @@ class Refresh:
 
     # X6
     def conform_map_info(self):
-        b = self._typed(conform_tmx_batch(self._raw(S.COLLECT_TMX, S.CONFORM_TMX, TMX_DOC, new_only=True), self._on_bad), S.CONFORM_TMX)
-        self.store.insert_ignore(S.CONFORM_TMX, b, order_by=["track_id"])
+        with self._changed("conform_map_info", S.COLLECT_TMX, S.CONFORM_TMX) as found:
+            if found.any or not self.store.exists(S.CONFORM_TMX):
+                b = self._typed(conform_tmx_batch(self._raw(found, S.CONFORM_TMX, TMX_DOC), self._on_bad), S.CONFORM_TMX)
+                self.store.insert_ignore(S.CONFORM_TMX, b, order_by=["track_id"])
 
     # X4
     def collect_authors(self):
         b = collect_authors_batch(self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.feeds.authors, self.n, self.order)
-        self.store.upsert(S.COLLECT_TMX_AUTHORS, self._landed(b, self.feeds.authors, "authors", S.COLLECT_TMX_AUTHORS))
+        self._upsert_changes(S.COLLECT_TMX_AUTHORS, self._landed(b, self.feeds.authors, "authors", S.COLLECT_TMX_AUTHORS))
 
     # X3
     def collect_leaderboards(self):
         b = collect_leaderboards_batch(self._t(S.CONFORM_TMIO), self.feeds.leaderboards, self.n, self.order)
-        self.store.upsert(S.COLLECT_TMIO_LEADERBOARDS,
-                          self._landed(b, self.feeds.leaderboards, "leaderboards", S.COLLECT_TMIO_LEADERBOARDS))
+        self._upsert_changes(S.COLLECT_TMIO_LEADERBOARDS,
+                             self._landed(b, self.feeds.leaderboards, "leaderboards", S.COLLECT_TMIO_LEADERBOARDS))
+
+    def _upsert_changes(self, spec, batch: DataFrame) -> None:
+        """K2 of the documents that are not stored as they are; the check for two
+        documents on one key comes first."""
+        self.store.upsert(spec, self.store.changes_only(spec, keyed.one_per_key(batch, list(spec.key), keyed.ERROR)))
 
     # X8
     def conform_authors(self):
-        raw = self._raw(S.COLLECT_TMX_AUTHORS, S.CONFORM_TMX_AUTHORS, AUTHORS_DOC)
-        b = self._typed(conform_authors_batch(raw, self._on_bad), S.CONFORM_TMX_AUTHORS)
-        self.store.upsert(S.CONFORM_TMX_AUTHORS, b, update_cols=["author_role"])
-
-    # X7
+        with self._changed("conform_authors", S.COLLECT_TMX_AUTHORS, S.CONFORM_TMX_AUTHORS) as found:
+            if found.any or not self.store.exists(S.CONFORM_TMX_AUTHORS):
+                raw = self._raw(found, S.CONFORM_TMX_AUTHORS, AUTHORS_DOC)
+                b = self._typed(conform_authors_batch(raw, self._on_bad), S.CONFORM_TMX_AUTHORS)
+                self.store.upsert(S.CONFORM_TMX_AUTHORS, b, update_cols=["author_role"])
+
+    def leaderboard_digests(self) -> DataFrame:
+        """Of each leaderboard document with a daily selection: its digest and the exchange id it stands for."""
+        ids = (self._t(S.CONFORM_TMIO).select("map_uid", F.col("exchange_id").alias("_ex"))
+               .join(self._t(S.CONFORM_TMX).select("map_uid", F.col("track_id").alias("_tr")), "map_uid", "left")
+               .select("map_uid", X.first_key("_ex", "_tr").alias("_id")))
+        return self.store.digests(S.COLLECT_TMIO_LEADERBOARDS).join(ids, "map_uid").select(
+            "map_uid", F.concat_ws(" ", DIGEST, F.col("_id").cast("string")).alias(DIGEST))
+
+    # A document's key comes from two other tables, so it is part of what can change
     def conform_leaderboards(self):
-        b = conform_leaderboards_batch(self._raw(S.COLLECT_TMIO_LEADERBOARDS, S.CONFORM_TMIO_LEADERBOARDS, LEADERBOARD_DOC),
-                                       self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self._on_bad)
-        self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, self._typed(b, S.CONFORM_TMIO_LEADERBOARDS),
-                          update_cols=UPDATE_LEADERBOARD)
-
-    # X9
+        tmio, tmx, current = self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.leaderboard_digests()
+        with self._changed("conform_leaderboards", S.COLLECT_TMIO_LEADERBOARDS, S.CONFORM_TMIO_LEADERBOARDS, current) as found:
+            if found.any or not self.store.exists(S.CONFORM_TMIO_LEADERBOARDS):
+                b = conform_leaderboards_batch(self._raw(found, S.CONFORM_TMIO_LEADERBOARDS, LEADERBOARD_DOC), tmio, tmx, self._on_bad)
+                self.store.upsert(S.CONFORM_TMIO_LEADERBOARDS, self._typed(b, S.CONFORM_TMIO_LEADERBOARDS),
+                                  update_cols=UPDATE_LEADERBOARD)
+
+    # Only the facts that a changed map or a changed record reaches
     def totd(self):
-        b = totd_batch(self._t(S.CONFORM_TMX), self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMIO_LEADERBOARDS), self.tie)
-        self.store.upsert(S.CONSUME_TOTD, self._typed(b, S.CONSUME_TOTD), update_cols=UPDATE_TOTD)
-
-    # X10
+        first = not self.store.exists(S.CONSUME_TOTD) or not self.changed_only
+        with self._changed("totd_maps", S.CONFORM_TMX, S.CONSUME_TOTD) as tmx, \
+                self._changed("totd_days", S.CONFORM_TMIO, S.CONSUME_TOTD) as tmio, \
+                self._changed("totd_records", S.CONFORM_TMIO_LEADERBOARDS, S.CONSUME_TOTD) as lead:
+            if not (first or tmx.any or tmio.any or lead.any):
+                return
+            touched = None
+            if not first:
+                days = tmio.rows().select("map_uid", "exchange_id")
+                # a day's exchange id makes that id's entries count, for other maps too
+                touched = (tmx.keys.select("map_uid").union(days.select("map_uid")),
+                           lead.keys.select("exchange_id").union(days.select("exchange_id")))
+            b = totd_batch(self._t(S.CONFORM_TMX), self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMIO_LEADERBOARDS), self.tie, touched=touched)
+            self.store.upsert(S.CONSUME_TOTD, self._typed(b, S.CONSUME_TOTD), update_cols=UPDATE_TOTD)
+
+    # New maps, or every map when the catalogue has changed
     def totd_tags(self):
-        b = self._typed(totd_tags_batch(self._t(S.CONFORM_TMX), self._t(S.REF_TMX_TAGS)), S.CONSUME_TOTD_TAGS)
-        self.store.insert_ignore(S.CONSUME_TOTD_TAGS, b, order_by=["exchange_id"])
-
-    # X11
+        with self._changed("totd_tags", S.CONFORM_TMX, S.CONSUME_TOTD_TAGS) as maps, \
+                self._changed("totd_tags_catalogue", S.REF_TMX_TAGS, S.CONSUME_TOTD_TAGS) as tags:
+            if maps.any or tags.any or not self.store.exists(S.CONSUME_TOTD_TAGS):
+                tmx = self._t(S.CONFORM_TMX) if tags.any else maps.rows()
+                b = self._typed(totd_tags_batch(tmx, self._t(S.REF_TMX_TAGS)), S.CONSUME_TOTD_TAGS)
+                self.store.insert_ignore(S.CONSUME_TOTD_TAGS, b, order_by=["exchange_id"])
+
+    # X11: a stored author keeps the user id of the first run, so only changed authors matter
     def totd_authors(self):
-        b = self._typed(totd_authors_batch(self._t(S.CONFORM_TMX_AUTHORS), self._t(S.CONFORM_TMIO)),
-                        S.CONSUME_TOTD_AUTHORS)
-        self.store.insert_ignore(S.CONSUME_TOTD_AUTHORS, b, order_by=["user_id", "author_role"])
+        with self._changed("totd_authors", S.CONFORM_TMX_AUTHORS, S.CONSUME_TOTD_AUTHORS) as found:
+            if found.any or not self.store.exists(S.CONSUME_TOTD_AUTHORS):
+                b = self._typed(totd_authors_batch(found.rows(), self._t(S.CONFORM_TMIO)), S.CONSUME_TOTD_AUTHORS)
+                self.store.insert_ignore(S.CONSUME_TOTD_AUTHORS, b, order_by=["user_id", "author_role"])
 
 
 __all__ = ["Refresh", "TIE_ALL", "TIE_ERROR", "TIE_FIRST"]

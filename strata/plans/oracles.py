@@ -60,6 +60,9 @@ DAILY_FACT = _FACT_BODY.replace("__WR_FILTER__", "w.wr_rank = 1")
 # the fact after a second refresh: some players' times are later, nothing else of it has changed
 _LATER = f"l_quantity + CASE WHEN l_orderkey % 3 = 0 AND l_suppkey % 2 = 0 THEN {LATER_SECONDS} ELSE 0 END"
 REFRESH_CONTENT = DAILY_FACT.replace("lb AS (SELECT * FROM lb_all", f"lb AS (SELECT * REPLACE ({_LATER} AS l_quantity) FROM lb_all")
+# the same where only one order in seven has other times
+_LATER_IN_PART = f"l_quantity + CASE WHEN l_orderkey % 7 = 0 AND l_orderkey % 3 = 0 AND l_suppkey % 2 = 0 THEN {LATER_SECONDS} ELSE 0 END"
+REFRESH_IN_PART = DAILY_FACT.replace("lb AS (SELECT * FROM lb_all", f"lb AS (SELECT * REPLACE ({_LATER_IN_PART} AS l_quantity) FROM lb_all")
 DAILY_FACT_ALL_TIES = _FACT_BODY.replace("__WR_FILTER__", "w.tie_rank = 1")
 
 TOTD_TAGS = """
@@ -213,6 +216,18 @@ UNION ALL
 SELECT 'authors', order_mode, CAST(o_orderkey AS VARCHAR) FROM picked""",
 
     "refresh_content": REFRESH_CONTENT,
+    "refresh_in_part": REFRESH_IN_PART,
+
+    "refresh_changes": f"""
+WITH {_LB}
+SELECT DISTINCT 'm' || l_orderkey AS map_uid FROM lb JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+WHERE l_orderkey % 7 = 0 AND l_orderkey % 3 = 0 AND l_suppkey % 2 = 0""",
+
+    "whole_leaderboards": f"""
+SELECT CAST(l_orderkey // 5 AS INTEGER) AS exchange_id, CAST(l_linenumber AS VARCHAR) AS player_name,
+       l_orderkey || '-' || l_linenumber || '-' || l_suppkey || '-' || l_partkey AS player_id,
+       l_quantity * 1000 / 1000 AS replay_time, {_ymd('l_shipdate', 'uploaded')}
+FROM lineitem""",
 
     "refresh_roles": f"""
 WITH {_LB}

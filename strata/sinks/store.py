@@ -31,12 +31,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType
 
 from ..schemas import TableSpec, empty
 from . import keyed
 
 BUCKET = "_bucket"
+#: A digest of a row's non-key columns, written with the row (``strata.sinks.changes``).
+DIGEST = "_digest"
 #: Files a bucket is written in, at most: one write task each.
 FILES_PER_BUCKET = 4
 
@@ -65,6 +67,16 @@ INSERT_TARGETS = ("collect.tmio", "collect.tmx", "conform.tmio", "conform.tmx",
                   "consume.totd_tags", "consume.totd_authors")
 
 
+# Tables whose rows carry a digest: what later jobs read.
+DIGESTED = ("collect.tmio", "collect.tmx", "collect.tmx_authors", "collect.tmio_leaderboards", "conform.tmio", "conform.tmx",
+            "conform.tmx_authors", "conform.tmio_leaderboards", "ref.tmx_tags")
+
+
+def digest_of(spec: TableSpec) -> Column:
+    """128 bits of the non-key columns; a NULL column differs from an empty one."""
+    return F.md5(F.to_json(F.struct(*[c for c in spec.names if c not in spec.key]), {"ignoreNullFields": "false"}))
+
+
 def upsert_buckets(n: int) -> dict[str, int]:
     return {name: n for name in UPSERT_TARGETS}
 
@@ -76,11 +88,12 @@ def keyed_buckets(n: int) -> dict[str, int]:
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None,
-                 files_per_bucket: int = FILES_PER_BUCKET):
+                 files_per_bucket: int = FILES_PER_BUCKET, digested: tuple[str, ...] = DIGESTED):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets or {}
+        self.buckets = dict(buckets or {})
         self.files_per_bucket = files_per_bucket
+        self.digested = digested
 
     # ---- file system helpers (Hadoop FS, so any shared store works) --------
     def _fs(self, path: str):
@@ -148,12 +161,16 @@ class TableStore:
         if current is None:
             return None
         schema = spec.struct
+        if spec.qualified in self.digested:
+            schema = schema.add(DIGEST, StringType())
         if self.bucket_count(spec):
             schema = schema.add(BUCKET, IntegerType())
         return self.spark.read.schema(schema).parquet(current)
 
     def _write(self, spec: TableSpec, df: DataFrame, path: str, mode: str, null_keys: str = keyed.APPEND) -> None:
         b = self.bucket_count(spec)
+        if spec.qualified in self.digested:
+            df = df.withColumn(DIGEST, digest_of(spec))
         if not b:
             df.write.mode(mode).parquet(path)
             return
@@ -186,6 +203,34 @@ class TableStore:
         df = self._read_raw(spec)
         return empty(self.spark, spec) if df is None else df.select(*spec.names)
 
+    def exists(self, spec: TableSpec) -> bool:
+        return self._current(spec) is not None
+
+    def digests(self, spec: TableSpec) -> DataFrame:
+        """The key and digest of every stored row, and no other column.  Rows written
+        before digests were kept have a null one."""
+        df = self._read_raw(spec)
+        if df is None:
+            df = empty(self.spark, spec).withColumn(DIGEST, F.lit(None).cast("string"))
+        return df.select(*spec.key, DIGEST)
+
+    def rows_of(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
+        """The stored rows whose key is in ``keys`` (NULL as a value)."""
+        raw = self._read_raw(spec)
+        if raw is None:
+            return empty(self.spark, spec)
+        if self.bucket_count(spec) and not any(keys.filter(F.col(k).isNull()).limit(1).count() for k in spec.key):
+            ids = [r[0] for r in keys.select(bucket_of(list(spec.key), list(spec.key), self.bucket_count(spec)).alias(BUCKET)).distinct().collect()]
+            raw = raw.filter(F.col(BUCKET).isin(ids))
+        raw, keys = raw.select(*spec.names), keys.select(*spec.key).distinct()
+        return raw.join(keys, reduce(lambda a, b: a & b, [raw[k].eqNullSafe(keys[k]) for k in spec.key]), "left_semi")
+
+    def changes_only(self, spec: TableSpec, batch: DataFrame) -> DataFrame:
+        """The batch without rows that are stored already, with the same key and content."""
+        if spec.qualified not in self.digested or not self.exists(spec):
+            return batch
+        return batch.withColumn(DIGEST, digest_of(spec)).join(self.digests(spec), [*spec.key, DIGEST], "left_anti").select(*batch.columns)
+
     def replace(self, spec: TableSpec, df: DataFrame) -> None:
         """New content as a new version; ``df`` may read the table itself."""
         self._check_layout(spec)
@@ -208,7 +253,7 @@ class TableStore:
             fresh = keyed.new_rows(empty(self.spark, spec), batch, key, order_by, null_keys)
             self._write(spec, fresh, self._next(spec), "errorifexists", null_keys)
         elif not self.bucket_count(spec):
-            self._write(spec, keyed.new_rows(raw, batch, key, order_by, null_keys), current, "append")
+            self._write(spec, keyed.new_rows(raw.select(*spec.names), batch, key, order_by, null_keys), current, "append")
         else:
             with self._staged(spec, batch) as staged:
                 target = self._touched(raw, spec, staged, null_keys)
@@ -222,10 +267,12 @@ class TableStore:
             target, rows, list(spec.key), update_cols, on_duplicate, order_by, null_keys)
         raw = self._read_raw(spec)
         if raw is None or not self.bucket_count(spec):
-            target = empty(self.spark, spec) if raw is None else raw
+            target = empty(self.spark, spec) if raw is None else raw.select(*spec.names)
             self._write(spec, merge(target, batch.select(*spec.names)), self._next(spec), "errorifexists", null_keys)
             self._retire(spec)
         else:
             with self._staged(spec, batch) as staged:
+                if not staged.limit(1).count():
+                    return                                # nothing to merge: no bucket is rewritten
                 merged = merge(self._touched(raw, spec, staged, null_keys), staged)
                 self._write(spec, merged, self._current(spec), "overwrite", null_keys)

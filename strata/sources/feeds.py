@@ -61,12 +61,14 @@ def responses(fetched: DataFrame, doc_col: str = "json_data") -> DataFrame:
 LIST_LENGTH = 10        # a leaderboard is asked for from offset 0, this long
 
 
-def list_head(docs: DataFrame, doc: str, list_path: str, length: int, element_schema: str, keep: list[str],
+def list_head(docs: DataFrame, doc: str, list_path: str, length: int | None, element_schema: str, keep: list[str],
               on_bad: str = D.FAIL) -> DataFrame:
-    """A4 consumer side: the first ``length`` entries of a listed array, one row
+    """A4 consumer side: the first ``length`` entries of a listed array (``None``: all), one row
     each: ``keep``, the 1-based ``entry_rank`` and the entry ``e``."""
     parsed = D.parse(doc, f"struct<{list_path}:array<{element_schema}>>", on_bad)
-    head = F.slice(parsed.getField(list_path), 1, length)
+    head = parsed.getField(list_path)
+    if length is not None:
+        head = F.slice(head, 1, length)
     return (docs.select(*keep, F.posexplode(head).alias("_pos", "e"))
             .select(*keep, (F.col("_pos") + 1).cast("int").alias("entry_rank"), "e"))
 
