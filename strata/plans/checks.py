@@ -25,7 +25,7 @@ from ..sinks.store import TableStore, upsert_buckets
 from ..sources import feeds as feed_source
 from ..sources.feeds import keyed_fetch, list_head
 from ..sources.transports import PageFiles, TableTransport
-from ..streaming.landing import land_increments
+from ..streaming.landing import EpochSink, land_increments
 from . import encode, jobs
 
 
@@ -475,6 +475,36 @@ def incremental_upsert(spark, sf):
     return store.read(spec)
 
 
+def landing_replay(spark, sf):
+    """ST1 K1: events landed in three files, a tenth of them without a user.  The second batch fails
+    after its rows are written, and its re-run appends none of them twice."""
+    root = scratch_path(spark, "replay")
+    land, ckpt = f"{root}/landing", f"{root}/checkpoint"
+    spec = S.TableSpec("lake", "events_first", (
+        S.Col("user_id", "bigint"), S.Col("event_type", "string"),
+        S.Col("event_id", "bigint"), S.Col("value", "double")), key=("user_id", "event_type"))
+    sink = EpochSink(TableStore(spark, f"{root}/lake"), spec, "events",
+                     lambda store, spec, rows: store.insert_ignore(spec, rows, order_by=["event_id"]))
+    ev = t(spark, sf, "events").select(F.when(F.col("event_id") % 10 != 7, F.col("user_id")).alias("user_id"), *spec.names[1:])
+    failed = []
+
+    def failing(batch, epoch):
+        sink(batch, epoch)
+        if epoch == 1 and not failed:
+            failed.append(epoch)
+            raise RuntimeError("lost after the write, before the commit")
+
+    for part in range(3):
+        ev.filter(F.col("event_id") % 3 == part).write.mode("append").json(land)
+        try:
+            land_increments(spark, land, spec.struct, failing, ckpt)
+        except Exception:
+            if not failed:
+                raise
+            land_increments(spark, land, spec.struct, failing, ckpt)
+    return sink.read()
+
+
 # ---- jobs over the encoded feeds ------------------------------------------------
 # Upsert targets are bucketed (the layout for large tables).  The bucket
 # count comes from the session (``spark.strata.upsertBuckets``, 8 when unset):
@@ -722,6 +752,7 @@ QUERIES = {
     "quarantine_split": quarantine_split,
     "conform_schema": conform_schema,
     "incremental_upsert": incremental_upsert,
+    "landing_replay": landing_replay,
     "collect_jobs": collect_jobs,
     "conform_tmio": conform_tmio,
     "conform_tmx": conform_tmx,

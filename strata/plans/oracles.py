@@ -308,6 +308,14 @@ FROM orders""",
     "incremental_upsert": """
 SELECT user_id, event_type, event_id, value
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1""",
+
+    "landing_replay": """
+WITH ev AS (SELECT CASE WHEN event_id % 10 <> 7 THEN user_id END AS user_id, event_type, event_id, value FROM events)
+SELECT * FROM ev WHERE user_id IS NULL
+UNION ALL
+SELECT user_id, event_type, event_id, value
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3, event_id) AS rn FROM ev WHERE user_id IS NOT NULL)
 WHERE rn = 1""",
 
     "collect_jobs": f"""

@@ -237,6 +237,14 @@ class TableStore:
         self._write(spec, df.select(*spec.names), self._next(spec), "errorifexists")
         self._retire(spec)
 
+    def append(self, spec: TableSpec, rows: DataFrame) -> None:
+        """Rows added to a snapshot table by Spark's committer: all of them are
+        seen, or none (an append that fails leaves no file that a reader lists)."""
+        if self.bucket_count(spec):
+            raise ValueError(f"{spec.qualified} is bucketed by its key; append is for tables without one")
+        current = self._current(spec)
+        self._write(spec, rows.select(*spec.names), current or self._next(spec), "append" if current else "errorifexists")
+
     def copy_to(self, spec: TableSpec, other: TableStore) -> None:
         """Rewrite a table into the layout of another store (another root or
         bucket count)."""

@@ -1,3 +1,3 @@
 """Incremental landing with Structured Streaming (ST1)."""
 
-from .landing import land_increments  # noqa: F401
+from .landing import EpochSink, land_increments  # noqa: F401
