@@ -7,11 +7,13 @@ listed under the subset it has in every segment, and in a few reserve segments
 under its one-deletion neighbourhood too: the subset without each one of its
 shingles.  The larger set of a pair allots a radius to each segment: -1 (not asked),
 0 (equal subsets) or 1 (subsets that differ in one shingle).  When radius + 1 adds
-up to H + 1 or more, some segment must find the pair; the cheapest allotment is
-taken, which leaves out empty and small subsets, the ones that unrelated sets share.
+up to H + 1 or more, some segment must find the pair.  The cost of a radius is the
+company its keys have, counted over all sets, and the cheapest allotment is taken.  A set
+that can allot H + 1 without company has no partner; a subset that many unrelated
+sets share, or an empty one, is asked only by a set that has no other way.
 
-Sets that meet under a key are candidates.  They are compared, shingle by shingle,
-with a growing number of leaders of the key; sets already connected are not
+Sets that meet under an asked key are candidates.  They are compared, shingle by
+shingle, with a growing number of leaders of the key; sets already connected are not
 compared again, so a key of n near copies costs n comparisons and not n squared.
 """
 
@@ -34,8 +36,8 @@ SHINGLE = 5
 PERCENT = 80
 #: One segment in so many (and one more) also lists one-deletion neighbourhoods.
 RESERVE = 16
-#: Expected company of an empty subset against a large one, and how fast it falls with each shingle more.
-EMPTY_COST, FALL = 1e6, 16.0
+#: Company is counted up to here; keys with more cost the same.
+COMPANY = 256
 #: Leaders of a key in the first round of comparisons, and by how much they grow.
 LEADERS, GROWTH = 1, 8
 #: Comparisons with one set that one task makes; more are dealt over several tasks.
@@ -101,54 +103,55 @@ def segments(number: int, percent: int) -> int:
     return most_apart(high, high * 100 // percent, percent) + 1
 
 
-def allotment(sizes: np.ndarray, reserve: int, need: int) -> np.ndarray:
-    """Radius (-1, 0 or 1) of each segment: the cheapest ones whose radius + 1
-    add up to ``need``.  The cost of a key is the company expected under it, which
-    falls with the subset's size; a radius of 1, open to the first ``reserve``
-    segments, asks for the subset without each of its shingles."""
-    company = lambda n: 1 + EMPTY_COST * FALL ** -n.astype(float)
-    equal = company(sizes)
-    few = sizes[:reserve]
-    wider = np.where(few > 0, few * company(np.maximum(few - 1, 0)) + equal[:reserve], 2 * EMPTY_COST)
-    taken = np.argsort(np.concatenate((equal, wider)), kind="stable")[:need]
-    return np.bincount(np.where(taken < len(sizes), taken, taken - len(sizes)), minlength=len(sizes)) - 1
+def units(n: int, number: int, percent: int) -> tuple[int, int, int]:
+    """(segments, reserve segments, radius + 1 to allot) of a set of size ``n`` that asks in a band, its own or the one below."""
+    m = segments(number, percent)
+    return m, min(m, m // RESERVE + 1), most_apart(min(n, band(number, percent)[1]), n, percent) + 1
 
 
-LISTED, ASKS = 1, 2
+def asked_bands(n: int, percent: int) -> list[int]:
+    """The bands in which a set may have a smaller partner: its own first."""
+    own = band_of(n, percent)
+    return [own, own - 1] if own and n * percent <= 100 * band(own - 1, percent)[1] else [own]
+
+
+#: What an entry is: the set's own subset listed, a neighbour of it listed, its own subset asked, a neighbour asked.
+LISTED, NEAR, ASKS, WIDE = 1, 2, 4, 8
 
 
-def entries(hashes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(key, role) of one set: where it is listed, and where it asks as the larger set of a pair."""
+def entries(hashes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, kind, unit) of one set: where it is listed, and where it can ask as the larger of a
+    pair.  ``unit`` is 2 * segment, one more in the band below its own."""
     n = len(hashes)
-    own = band_of(n, percent)
-    keys, roles = [], []
-    for number in (own, own - 1):
-        if number < 0 or (number < own and n * percent > 100 * band(number, percent)[1]):
-            continue
-        m = segments(number, percent)
-        reserve = min(m, m // RESERVE + 1)
+    keys, kinds, places = [], [], []
+    for below, number in enumerate(asked_bands(n, percent)):
+        m, reserve, _ = units(n, number, percent)
         seed = np.uint64(number * 0x9E3779B97F4A7C15 & (2**64 - 1))
         part = ((mixed(hashes + seed, _B) >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         value = mixed(hashes, _A)
-        sizes = np.bincount(part, minlength=m)
         total = np.zeros(m, np.uint64)
         np.add.at(total, part, value)
-        need = most_apart(n if number == own else band(number, percent)[1], n, percent) + 1
-        radius = allotment(sizes, reserve, need)
         place = seed + (np.arange(m, dtype=np.uint64) + np.uint64(1)) * _B
-        role = np.where(radius >= 0, ASKS, 0)
-        if number == own:
-            role |= LISTED
-        used = role > 0
-        keys.append(mixed(total + place, _C)[used])
-        roles.append(role[used])
         near = part < reserve                      # subsets without one shingle
         p = part[near]
-        role = np.where(radius[p] == 1, ASKS, 0) | (LISTED if number == own else 0)
-        used = role > 0
-        keys.append(mixed(total[p] - value[near] + place[p], _C)[used])
-        roles.append(role[used])
-    return np.concatenate(keys).view(np.int64), np.concatenate(roles)
+        keys += [mixed(total + place, _C), mixed(total[p] - value[near] + place[p], _C)]
+        kinds += [np.full(m, ASKS if below else LISTED | ASKS), np.full(len(p), WIDE if below else NEAR | WIDE)]
+        places += [2 * np.arange(m) + below, 2 * p + below]
+    return np.concatenate(keys).view(np.int64), np.concatenate(kinds), np.concatenate(places)
+
+
+def allotment(n: int, percent: int, costs: dict[tuple[int, int], int]) -> set[tuple[int, int]]:
+    """The (unit, radius) with company that a set of size ``n`` must ask, by their
+    ``costs`` (those left out have none): in each band the cheapest that make up H + 1."""
+    chosen = set()
+    for below, number in enumerate(asked_bands(n, percent)):
+        m, reserve, need = units(n, number, percent)
+        own = {(u, r): c for (u, r), c in costs.items() if u % 2 == below and (r == 0 or u // 2 < reserve)}
+        for u, r in list(own):                     # a radius of 1 comes after one of 0
+            if r == 0 and u // 2 < reserve:
+                own[u, 1] = max(own[u, 0], own.get((u, 1), 0))
+        chosen.update(sorted(own, key=lambda x: (own[x], x[1], x[0]))[:max(0, need - (m + reserve - len(own)))])
+    return chosen
 
 
 # ---- Spark steps ------------------------------------------------------------------
@@ -170,19 +173,22 @@ def _summaries(k: int):
     return run
 
 
-_ENTRIES = pa.schema([("key", pa.int64()), ("asks", pa.int32()), ("id", pa.int64()), ("n", pa.int64())])
+#: ``size`` holds the set's size in its low 32 bits and 31 bits of its hash, which tell the texts of one id apart.
+_ENTRIES = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("unit", pa.int32()), ("id", pa.int64()), ("size", pa.int64())])
+_MET = pa.schema([*_ENTRIES, ("company", pa.int32()), ("wider", pa.int32())])
 
 
 def _listing(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = shingle_hashes(text, k)
                 if not len(h):
                     continue
-                key, role = entries(h, percent)
-                for c, v in zip(out, (key, role.astype(np.int32), np.full(len(key), doc), np.full(len(key), len(h)))):
+                size = len(h) | int(mixed(h, _B).sum(dtype=np.uint64)) >> 33 << 32
+                key, kind, unit = entries(h, percent)
+                for c, v in zip(out, (key, kind.astype(np.int32), unit.astype(np.int32), np.full(len(key), doc), np.full(len(key), size))):
                     c.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=_ENTRIES)
@@ -190,39 +196,81 @@ def _listing(k: int, percent: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, askers first, those of keys that hold several and an asker."""
-    held = None                                      # last row of the batch before, and whether its key went on
-    key_asks = False
-    for b in batches:
-        cols = [b.column(c).to_numpy() for c in ("key", "asks", "id", "n")]
-        if not len(cols[0]):
-            continue
-        if held is not None:
-            cols = [np.concatenate((h, c)) for h, c in zip(held, cols)]
-        key = cols[0]
-        new = np.concatenate(([True], key[1:] != key[:-1]))
-        first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        asks = cols[1][first] >= ASKS
-        if held is not None and key_asks is not None:
-            asks[first == 0] = key_asks[0]
-        again = ~new
+def _company(most: int):
+    """Rows sorted by key -> those of keys with an asker in company.  ``company`` counts
+    the other sets an own subset or a neighbour equals, ``wider`` the neighbours
+    that an own subset equals too.  A key of more than ``most`` rows is passed on as it comes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, hot = None, None
+
+        def counted(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key, kind = cols[0], cols[1]
+            if not len(key):
+                return
+            begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            rows = np.diff(begin, append=len(key))
+            own, near = (np.repeat(np.add.reduceat((kind & bit > 0).astype(np.int64), begin), rows) for bit in (LISTED, NEAR))
+            large = np.repeat(rows > most, rows) | (key == hot if hot is not None else False)
+            own, near = (np.where(large, most, np.minimum(x, most)) for x in (own, near))
+            asks = kind & ASKS > 0
+            company = np.where(asks, own - (kind & LISTED > 0), np.where(kind & WIDE > 0, own, 0))
+            wider = np.where(asks, near, 0)
+            some = large | np.repeat(np.add.reduceat(((company > 0) | (wider > 0)).astype(np.int64), begin) > 0, rows)
+            if some.any():
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[some]) for c in cols), pa.array(company[some].astype(np.int32)),
+                                                  pa.array(wider[some].astype(np.int32))], schema=_MET)
+
+        for b in batches:
+            cols = [b.column(c).to_numpy() for c in _ENTRIES.names]
+            if held is not None:
+                cols = [np.concatenate((h, c)) for h, c in zip(held, cols)]
+            key = cols[0]
+            if not len(key):
+                continue
+            last = int(np.searchsorted(key, key[-1]))                  # the last key may go on in the next batch
+            if len(key) - last > most or key[-1] == hot:
+                last, now = len(key), key[-1]
+            else:
+                now = None
+            yield from counted([c[:last] for c in cols])
+            held = [c[last:] for c in cols]
+            hot = now if now is not None else hot
         if held is not None:
-            again[0] = key_asks[1]
-        on = again | np.concatenate((key[1:] == key[:-1], [False]))
-        out = on[:-1] & asks[:-1]
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[:-1][out]) for c in cols], schema=_ENTRIES)
-        held, key_asks = [c[-1:] for c in cols], (bool(asks[-1]), bool(again[-1]))
-    if held is not None and key_asks[0] and key_asks[1]:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], schema=_ENTRIES)
+            yield from counted(held)
+
+    return run
+
+
+def _allot(percent: int):
+    """Each set's asks that have company -> the keys it must ask."""
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for i, size, asks in zip(*(b.column(c).to_pylist() for c in ("id", "size", "asks"))):
+                n, costs = size & 0xFFFFFFFF, {}
+                for a in asks:
+                    if a["kind"] & ASKS:
+                        if a["company"]:
+                            costs[a["unit"], 0] = costs.get((a["unit"], 0), 0) + a["company"]
+                        if a["wider"]:
+                            costs[a["unit"], 1] = costs.get((a["unit"], 1), 0) + a["wider"]
+                    elif a["company"]:
+                        costs[a["unit"], 1] = costs.get((a["unit"], 1), 0) + a["company"]
+                chosen = allotment(n, percent, costs)
+                out += {(a["key"], i, n) for a in asks if (a["unit"], 1) in chosen or (a["kind"] & ASKS and (a["unit"], 0) in chosen)}
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+
+    return run
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _candidates(skip: int, leaders: int, percent: int):
-    """Of rows sorted by key, askers first: each row with those of ``leaders``
+    """Of rows sorted by key, askers first (``asks`` 2 or 3): each row with those of ``leaders``
     leaders of its key, after the first ``skip``, that are not connected with it and
     not too far from its size.  A row with null a says that the key has more leaders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +283,9 @@ def _candidates(skip: int, leaders: int, percent: int):
                     key, group = k, c
                     place, ahead, beyond, apart = 0, [], False, False
                 for j, jn, jc in ahead:
-                    if c != jc and min(n, jn) * 100 >= max(n, jn) * percent and ((n, i) < (jn, j) or asks >= ASKS):
+                    if c != jc and min(n, jn) * 100 >= max(n, jn) * percent and ((n, i) < (jn, j) or asks >= 2):
                         pairs.add((min(i, j), max(i, j)))
-                if place >= skip and asks >= ASKS:
+                if place >= skip and asks >= 2:
                     if len(ahead) < leaders:
                         ahead.append((i, n, c))
                     else:
@@ -295,9 +343,17 @@ def links(texts: DataFrame, reps: DataFrame, k: int = SHINGLE, percent: int = PE
     """Links (a, b) between the documents ``reps`` (id long) of ``texts`` (id long, text
     binary) that connect what all pairs of ``percent`` % or more would connect."""
     listed = (texts.join(reps, "id", "left_semi").distinct()
-              .mapInArrow(_listing(k, percent), "key long, asks int, id long, n long"))
+              .mapInArrow(_listing(k, percent), "key long, kind int, unit int, id long, size long"))
+    met = written(listed.repartition("key").sortWithinPartitions("key").mapInArrow(
+        _company(COMPANY), "key long, kind int, unit int, id long, size long, company int, wider int"), "jaccard-keys")
+    asks = (met.filter("company > 0 OR wider > 0").groupBy("id", "size")
+            .agg(F.collect_list(F.struct("key", "kind", "unit", "company", "wider")).alias("asks"))
+            .mapInArrow(_allot(percent), "key long, id long, n long"))
+    asks = written(asks, "jaccard-asks", free=False)
+    named = met.filter(f"kind & {LISTED | NEAR} > 0").select("key", "id", F.expr("size & 4294967295L").alias("n")).join(
+        asks.select("key").distinct(), "key", "left_semi").withColumn("asks", F.lit(1)).unionByName(asks.withColumn("asks", F.lit(2)))
+    meeting = written(named.repartition("key").groupBy("key", "id", "n").agg(F.bit_or("asks").alias("asks")), "jaccard-meeting", free=False)
     order = ("key", F.col("asks").desc(), "id")
-    meeting = written(listed.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared, listed.schema), "jaccard-keys")
     found = tested = None
     skip, leaders = 0, LEADERS
     while True:

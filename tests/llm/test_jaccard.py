@@ -86,10 +86,14 @@ def test_no_linked_pair_goes_unmet(percent):
         if not len(a) or not len(b) or 100 * common < percent * (len(a) + len(b) - common):
             continue
         small, large = sorted((a, b), key=len)
-        key, role = J.entries(small, percent)
-        listed = set(key[role & J.LISTED > 0].tolist())
-        key, role = J.entries(large, percent)
-        assert listed & set(key[role & J.ASKS > 0].tolist())
+        key, kind, _ = J.entries(small, percent)
+        listed, near = (set(key[kind & bit > 0].tolist()) for bit in (J.LISTED, J.NEAR))
+        key, kind, unit = J.entries(large, percent)
+        units = {(u, r): int(rng.integers(1, 9)) for u in unit.tolist() for r in (0, 1)}     # every key has company
+        chosen = J.allotment(len(large), percent, units)
+        hit = [(u, 0) in chosen and x in listed or (u, 1) in chosen and x in near if k & J.ASKS else (u, 1) in chosen and x in listed
+               for x, k, u in zip(key.tolist(), kind.tolist(), unit.tolist())]
+        assert any(hit)
         met += 1
     assert met > 100
 
@@ -102,7 +106,7 @@ def test_a_key_of_many_unrelated_sets(spark, monkeypatch):
     rows += [(100 + i, rows[5][1] + f" end{i}") for i in range(30)]
     monkeypatch.setattr(J, "GROWTH", 2)
     monkeypatch.setattr(J, "DEAL", 3)
-    monkeypatch.setattr(J, "FALL", 1.0)                 # any segment may be asked
+    monkeypatch.setattr(J, "COMPANY", 4)                # every hot key costs the same
     got = J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert bag(got.collect()) == brute(rows)
 
@@ -129,11 +133,15 @@ def test_no_documents(spark):
 
 
 def test_keys_split_between_batches(spark):
-    rows = [(k, 3, i, 9) for k in (1, 2, 3) for i in range(k)] + [(4, 1, 1, 9), (4, 1, 2, 9)]
-    df = spark.createDataFrame(rows, "key long, asks int, id long, n long").coalesce(1).sortWithinPartitions("key", F.col("asks").desc(), "id")
+    both, wide = J.LISTED | J.ASKS, J.NEAR | J.WIDE
+    rows = [(k, both, 0, i, 9) for k in (1, 2, 3, 9) for i in range(k)] + [(4, J.LISTED, 0, 1, 9), (4, J.NEAR, 0, 2, 9), (5, J.ASKS, 0, 1, 9),
+                                                                            (5, wide, 0, 2, 9), (6, wide, 0, 1, 9), (6, wide, 0, 2, 9)]
+    df = spark.createDataFrame(rows, "key long, kind int, unit int, id long, size long").coalesce(1).sortWithinPartitions("key")
+    schema = "key long, kind int, unit int, id long, size long, company int, wider int"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     try:
-        got = bag(df.mapInArrow(J._shared, df.schema).collect())
+        got = bag(r[:1] + r[3:4] + r[5:] for r in map(tuple, df.mapInArrow(J._company(5), schema).collect()))
     finally:
         prepare(spark)
-    assert got == bag(r for r in rows if r[0] in (2, 3))
+    want = [(k, i, k - 1, 0) for k in (2, 3) for i in range(k)] + [(5, 1, 0, 1), (5, 2, 0, 0)] + [(9, i, 4, 5) for i in range(9)]
+    assert got == bag(want)
