@@ -57,25 +57,26 @@ def latest_maps(tmio: DataFrame, n: int | None, order: str = LATEST) -> DataFram
     return select_days(tmio, n, "totd_year", "totd_month", "totd_day", order, tiebreak=["map_uid"])
 
 
-def collect_map_info_batch(tmio: DataFrame, transport, n: int | None, order: str = LATEST) -> DataFrame:
+def collect_map_info_batch(tmio: DataFrame, transport, n: int | None, order: str = LATEST,
+                           error_col: str | None = None) -> DataFrame:
     """Map info for the latest N maps."""
     keys = latest_maps(tmio, n, order).select("map_uid")
-    return keyed_fetch(keys, transport, ["map_uid"]).select("map_uid", "json_data")
+    return keyed_fetch(keys, transport, ["map_uid"], error_col=error_col)
 
 
-def collect_leaderboards_batch(tmio: DataFrame, transport, n: int | None, order: str = LATEST) -> DataFrame:
+def collect_leaderboards_batch(tmio: DataFrame, transport, n: int | None, order: str = LATEST,
+                               error_col: str | None = None) -> DataFrame:
     """Leaderboard heads for the latest N maps (two-part request key)."""
     keys = latest_maps(tmio, n, order).select("map_uid", "leaderboard_uid")
-    got = keyed_fetch(keys, transport, ["map_uid", "leaderboard_uid"])
-    return got.select("map_uid", "json_data")
+    return keyed_fetch(keys, transport, ["map_uid", "leaderboard_uid"], error_col=error_col).drop("leaderboard_uid")
 
 
 def collect_authors_batch(tmio: DataFrame, tmx: DataFrame, transport, n: int | None,
-                          order: str = LATEST) -> DataFrame:
+                          order: str = LATEST, error_col: str | None = None) -> DataFrame:
     """Author lists for the latest N maps, keyed by exchange id or track id."""
     j = tmio.join(tmx.select("map_uid", "track_id"), "map_uid")
     keys = latest_maps(j, n, order).select(X.first_key("exchange_id", "track_id").alias("track_id"))
-    return keyed_fetch(keys, transport, ["track_id"]).select("track_id", "json_data")
+    return keyed_fetch(keys, transport, ["track_id"], error_col=error_col)
 
 
 # ---- conform (X5-X8) -----------------------------------------------------
@@ -252,6 +253,10 @@ UPDATE_LEADERBOARD = ["replay_time", "uploaded_year", "uploaded_month", "uploade
 UPDATE_TOTD = ["wr_username", "wr_user_id", "wr_replay_time", "wr_uploaded_date"]
 
 
+SET_ASIDE = "set_aside"
+NO_ANSWER = "_no_answer"
+
+
 @dataclass
 class Refresh:
     """Every job in order against a ``TableStore``.
@@ -268,6 +273,7 @@ class Refresh:
     tie: str = TIE_FIRST
     land: str | None = None
     on_violation: str = "fail"           # or "quarantine": bad rows go to quarantine/<layer>_<table>
+    on_no_answer: str = "fail"           # or "set_aside": keys without an answer go to failed/<layer>_<table>
     changed_only: bool = True            # jobs take in what changed since they last finished; else all that is stored
     done: set = field(default_factory=set)
 
@@ -314,6 +320,24 @@ class Refresh:
             F.lit(target.qualified).alias("table_name"), D.to_text(F.struct(*cols)).alias("payload"),
             reason.cast("string").alias("reason")), order_by=["payload"])
 
+    # ---- keys without an answer (A2-A4) ------------------------------------
+    @property
+    def _reason(self) -> str | None:
+        """The column that a fetch gives reasons in; without one, a key without an answer fails the job."""
+        if self.on_no_answer not in ("fail", SET_ASIDE):
+            raise ValueError(self.on_no_answer)
+        return NO_ANSWER if self.on_no_answer == SET_ASIDE else None
+
+    @staticmethod
+    def failed_spec(spec) -> S.TableSpec:
+        """The keys that the last fetch for ``spec`` got no answer for, each with the
+        reason.  They are asked again by the next run, whose own list takes this one's place."""
+        return S.TableSpec("failed", f"{spec.layer}_{spec.name}", (
+            *[c for c in spec.columns if c.name in spec.key], S.Col("reason", "string")), key=spec.key)
+
+    def failed(self, spec) -> DataFrame:
+        return self.store.read(self.failed_spec(spec))
+
     @contextmanager
     def _changed(self, consumer: str, source, target, current: DataFrame | None = None) -> Iterator[Changes]:
         if self.changed_only:
@@ -400,7 +424,15 @@ class Refresh:
         reads them: a recomputed task must not fetch a different answer.  Each
         body is parsed before it is landed, and the landed rows obey the collect
         table's declaration; in quarantine mode bad bodies and rows are set aside."""
-        if self._quarantining:
+        reason = self._reason
+        if reason is not None:
+            body = F.col("json_data")
+            if not self._quarantining:           # there, a body that is not JSON is a quarantined row
+                fetched = (fetched.withColumn(reason, F.coalesce(reason, F.when(D.is_bad_json(body), F.concat(
+                    F.lit("the response is not JSON: "), F.substring(body, 1, 80)))))
+                    .withColumn("json_data", F.when(F.col(reason).isNull(), body)))
+            fetched = fetched.filter(body.isNotNull() | F.col(reason).isNotNull())
+        elif self._quarantining:
             fetched = fetched.filter(F.col("json_data").isNotNull())
         else:
             fetched = responses(fetched)
@@ -408,6 +440,11 @@ class Refresh:
             path = self._land(name)
             fetched.write.mode("errorifexists").parquet(path)
             fetched = self.store.spark.read.schema(fetched.schema).parquet(path)
+        if reason is not None:
+            failed = fetched.filter(F.col(reason).isNotNull()).select(*spec.key, F.col(reason).alias("reason"))
+            self.store.replace(self.failed_spec(spec), conform_to(keyed.one_per_key(failed, list(spec.key), keyed.FIRST, ["reason"]).select(
+                *spec.key, "reason"), self.failed_spec(spec)))
+            fetched = fetched.filter(F.col(reason).isNull()).drop(reason)
         if self._quarantining:
             bad = D.is_bad_json(F.col("json_data"))
             self._quarantine(spec, fetched.filter(bad), F.lit("bad json"))
@@ -416,7 +453,7 @@ class Refresh:
 
     # X2
     def collect_map_info(self):
-        b = collect_map_info_batch(self._t(S.CONFORM_TMIO), self.feeds.map_info, self.n, self.order)
+        b = collect_map_info_batch(self._t(S.CONFORM_TMIO), self.feeds.map_info, self.n, self.order, self._reason)
         self.store.insert_ignore(S.COLLECT_TMX, self._landed(b, self.feeds.map_info, "map_info", S.COLLECT_TMX),
                                  order_by=["json_data"])
 
@@ -429,12 +466,13 @@ class Refresh:
 
     # X4
     def collect_authors(self):
-        b = collect_authors_batch(self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.feeds.authors, self.n, self.order)
+        b = collect_authors_batch(self._t(S.CONFORM_TMIO), self._t(S.CONFORM_TMX), self.feeds.authors, self.n, self.order,
+                                  self._reason)
         self._upsert_changes(S.COLLECT_TMX_AUTHORS, self._landed(b, self.feeds.authors, "authors", S.COLLECT_TMX_AUTHORS))
 
     # X3
     def collect_leaderboards(self):
-        b = collect_leaderboards_batch(self._t(S.CONFORM_TMIO), self.feeds.leaderboards, self.n, self.order)
+        b = collect_leaderboards_batch(self._t(S.CONFORM_TMIO), self.feeds.leaderboards, self.n, self.order, self._reason)
         self._upsert_changes(S.COLLECT_TMIO_LEADERBOARDS,
                              self._landed(b, self.feeds.leaderboards, "leaderboards", S.COLLECT_TMIO_LEADERBOARDS))
 

@@ -13,12 +13,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import documents as D
 from ..operators.selection import newest
+from .asking import Answer
 from .datasource import read_pages
 from .transports import TableTransport
 
 
 def keyed_fetch(keys: DataFrame, transport, key_cols: list[str], doc_col: str = "json_data",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, error_col: str | None = None) -> DataFrame:
     """A2/A3/A4: one response per key -> rows(key..., doc_col).
 
     Repeated keys are asked once; a key with a NULL part can't be asked for and
@@ -26,24 +27,38 @@ def keyed_fetch(keys: DataFrame, transport, key_cols: list[str], doc_col: str =
     Keys are spread over ``partitions`` tasks, so fetches run in parallel (the
     session's ``spark.strata.fetchTasks``, else its default parallelism).  A key
     without a response has a NULL document; ``responses`` settles what is stored.
+
+    A key whose request failed for good fails the job, unless ``error_col`` names a
+    column for the reason: then every key has its row, and only those that failed
+    have a reason.
     """
     keys = keys.select(*key_cols).dropna().dropDuplicates(key_cols)
     if isinstance(transport, TableTransport):
         resp = transport.responses.select(
             *[F.col(a).alias(b) for a, b in zip(transport.key_cols, key_cols)],
             F.col(transport.doc_col).alias(doc_col))
-        return keys.join(resp, key_cols, "left")
+        got = keys.join(resp, key_cols, "left")
+        return got if error_col is None else got.withColumn(error_col, F.lit(None).cast("string"))
     spark = keys.sparkSession
     n = partitions or int(spark.conf.get("spark.strata.fetchTasks", str(spark.sparkContext.defaultParallelism)))
     keys = keys.repartition(n, *key_cols)
     asked = keys.select(*key_cols, *[F.col(c).cast("string").alias(f"_asked_{c}") for c in key_cols])
-    schema = StructType(list(keys.schema.fields) + [StructField(doc_col, StringType())])
+    extra = [doc_col] if error_col is None else [doc_col, error_col]
+    schema = StructType(list(keys.schema.fields) + [StructField(c, StringType()) for c in extra])
 
     def fetch(batches):
+        asker = transport.asker(n) if hasattr(transport, "asker") else None
         for pdf in batches:
             requests = [dict(zip(key_cols, r)) for r in zip(*(pdf[f"_asked_{c}"] for c in key_cols))]
-            docs = transport.fetch(requests) if requests else []
-            yield pdf[key_cols].assign(**{doc_col: pd.Series(docs, index=pdf.index, dtype=object)})
+            if asker is None:
+                answers = [Answer(text) for text in (transport.fetch(requests) if requests else [])]
+            else:
+                answers = asker.ask(requests)
+            failed = next((f"no answer for {k}: {a.error}" for k, a in zip(requests, answers) if a.error is not None), None)
+            if failed is not None and error_col is None:
+                raise RuntimeError(failed)
+            found = dict(zip((doc_col, error_col), zip(*answers))) if answers else {doc_col: [], error_col: []}
+            yield pdf[key_cols].assign(**{c: pd.Series(found[c], index=pdf.index, dtype=object) for c in extra})
 
     return asked.mapInPandas(fetch, schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -9,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
+from .asking import AskPolicy
 from .feeds import LIST_LENGTH
 from .transports import HttpTransport
 
@@ -30,12 +32,13 @@ class Feeds:
 
 
 def live_feeds(spark: SparkSession, daily_base: str, maps_base: str, user_agent: str, tags: DataFrame | None = None,
-               timeout: float = 30.0, opener: Callable = urllib.request.urlopen) -> Feeds:
+               timeout: float = 30.0, opener: Callable = urllib.request.urlopen,
+               policy: AskPolicy = AskPolicy(), sleep: Callable = time.sleep) -> Feeds:
     """``daily_base`` serves the daily pages and leaderboards, ``maps_base`` the
     map info and author lists (addresses without a trailing path).  Every
-    request names ``user_agent``."""
+    request names ``user_agent``; ``policy`` bounds how each feed is asked."""
     def get(base: str, path: str) -> HttpTransport:
-        return HttpTransport(base.rstrip("/") + path, {"User-Agent": user_agent}, timeout, opener)
+        return HttpTransport(base.rstrip("/") + path, {"User-Agent": user_agent}, timeout, opener, policy, sleep)
 
     return Feeds(daily=get(daily_base, DAILY_PATH), map_info=get(maps_base, MAP_INFO_PATH),
                  leaderboards=get(daily_base, LEADERBOARD_PATH), authors=get(maps_base, AUTHORS_PATH),

@@ -3,6 +3,8 @@
 A transport is a small picklable object with ``fetch(keys) -> texts``; it
 runs on executors, one call per Arrow batch.  Every part of a key is text.  A
 missing response is NULL; what else comes back is checked before it is stored.
+A transport whose requests can fail also has ``asker(tasks)``, made once a task,
+whose ``ask(keys)`` gives an ``Answer`` per key: the text, or the error.
 
 ``TableTransport`` is different: when the responses already sit in a Spark
 table (a replay of earlier landings, or test feeds), fetching is a join and
@@ -11,39 +13,46 @@ stays entirely in Spark.
 
 from __future__ import annotations
 
-import urllib.error
+import time
 import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from .asking import Asker, AskPolicy
+
 
 @dataclass
 class HttpTransport:
     """GET ``url.format(**key)`` per key; the body text is the document.
 
     A request that the server has nothing for (status 404 or 410) is a missing
-    response; any other error status fails.  ``opener`` takes a request and a
-    timeout and gives the open response; tests put their own in its place.
+    response.  One that fails is asked again as ``policy`` says; ``fetch`` raises when a key
+    stays without an answer.  ``opener`` takes a request and a timeout and gives the
+    open response, ``sleep`` waits; tests put their own in their place.
     """
     url: str
     headers: dict = field(default_factory=dict)
     timeout: float = 30.0
     opener: Callable = urllib.request.urlopen
+    policy: AskPolicy = AskPolicy()
+    sleep: Callable = time.sleep
+
+    def request(self, key: dict) -> str:
+        req = urllib.request.Request(self.url.format(**key), headers=self.headers)
+        with self.opener(req, timeout=self.timeout) as resp:
+            return resp.read().decode("utf-8")
+
+    def asker(self, tasks: int = 1) -> Asker:
+        return Asker(self.request, self.policy, tasks, sleep=self.sleep)
 
     def fetch(self, keys: list[dict]) -> list[str | None]:
-        out = []
-        for k in keys:
-            req = urllib.request.Request(self.url.format(**k), headers=self.headers)
-            try:
-                with self.opener(req, timeout=self.timeout) as resp:
-                    out.append(resp.read().decode("utf-8"))
-            except urllib.error.HTTPError as e:
-                if e.code not in (404, 410):
-                    raise
-                out.append(None)
-        return out
+        answers = self.asker().ask(keys)
+        for k, a in zip(keys, answers):
+            if a.error is not None:
+                raise RuntimeError(f"no answer for {k}: {a.error}")
+        return [a.text for a in answers]
 
 
 @dataclass
