@@ -25,6 +25,7 @@ from ..sinks.store import TableStore, upsert_buckets
 from ..sources import feeds as feed_source
 from ..sources.feeds import keyed_fetch, list_head
 from ..sources.transports import PageFiles, TableTransport
+from ..sources.walk import resumed_feed
 from ..streaming.landing import EpochSink, land_increments
 from . import encode, jobs
 
@@ -77,6 +78,40 @@ def paged_feed(spark, sf):
             .select(F.col("e.conv_id").cast("bigint").alias("conv_id"), F.col("e.turn").cast("int").alias("turn"), "e.role", "day_number"))
 
 
+def month_pages(days: DataFrame) -> DataFrame:
+    """(page_no, json_data): a page a month up to the newest month of ``days`` (day, n_orders); a
+    month without days is an empty page, a day without orders a null."""
+    month = (F.year("day") * 12 + F.month("day") - 1).alias("month")
+    span = days.select(month).agg(F.min("month").alias("low"), F.max("month").alias("high"))
+    months = span.select("high", F.explode(F.sequence("low", "high")).alias("month"))
+    own = days.groupBy(month).agg(F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("day"), "n_orders"))).alias("orders"))
+    numbers = F.sequence(F.lit(1), F.coalesce(F.array_max(F.map_keys("orders")), F.lit(0)))
+    text = F.transform(F.when(F.col("orders").isNotNull(), numbers).otherwise(F.array().cast("array<int>")), lambda d: F.coalesce(
+        F.concat(F.lit('{"n_orders":'), F.try_element_at("orders", d).cast("string"), F.lit("}")), F.lit("null")))
+    doc = F.concat(F.lit('{"year": '), F.floor(F.col("month") / 12), F.lit(', "month": '), F.col("month") % 12 + 1,
+                   F.lit(', "days": ['), F.array_join(text, ","), F.lit("]}"))
+    return months.join(own, "month", "left").select((F.col("high") - F.col("month")).cast("bigint").alias("page_no"), doc.alias("json_data"))
+
+
+RESUMED_DAYS = 90
+
+
+def resumed_walk(spark, sf):
+    """V01 (A1 U4 L3 ST1): the newest days with their orders, by a walk that is resumed:
+    first over the feed as it was some months ago, then over all of it."""
+    root = scratch_path(spark, "months")
+    days = t(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_orders"))
+    last = days.agg(F.max("day")).first()[0]
+    got = None
+    for part, upto in (("earlier", F.date_sub(F.lit(last), 100)), ("now", F.lit(last))):
+        served = PageFiles(f"{root}/{part}", block=1)
+        month_pages(days.filter(F.col("day") <= upto)).withColumn("block", F.col("page_no")).write.partitionBy("block").parquet(served.path)
+        got = resumed_feed(spark, served, RESUMED_DAYS, f"{root}/walk")
+    e = D.parse("json_data", "struct<n_orders:string>")
+    return got.select(X.build_date(F.col("data_year"), F.col("data_month"), F.col("data_day")).alias("day"),
+                      X.strict_cast(D.field(e, "n_orders"), "bigint").alias("n_orders"))
+
+
 def keyed_fetch_pages(spark, sf):
     """V02 (A2 A3): one response per key; responses kept in a table are joined."""
     pages = t(spark, sf, "pages").select("page_id", "html")
@@ -709,6 +744,7 @@ def full_refresh(spark, sf):
 
 QUERIES = {
     "paged_feed": paged_feed,
+    "resumed_walk": resumed_walk,
     "keyed_fetch": keyed_fetch_pages,
     "keyed_list_head": keyed_list_head,
     "json_rowset": json_rowset,

@@ -32,6 +32,7 @@ from ..session import scratch_path, shared_dir
 from ..sinks.store import DIGEST, TableStore
 from ..sources.feeds import keyed_fetch, list_head, paged_feed, responses
 from ..sources.transports import TableTransport
+from ..sources.walk import resumed_feed
 
 # ---- payload schemas (every leaf a string; cast when selected) -------------
 _PLAYER = "struct<name:string, id:string>"
@@ -272,6 +273,7 @@ class Refresh:
     order: str = LATEST
     tie: str = TIE_FIRST
     land: str | None = None
+    walk: str | None = None              # a shared folder that remembers how far the daily feed has been walked
     on_violation: str = "fail"           # or "quarantine": bad rows go to quarantine/<layer>_<table>
     on_no_answer: str = "fail"           # or "set_aside": keys without an answer go to failed/<layer>_<table>
     changed_only: bool = True            # jobs take in what changed since they last finished; else all that is stored
@@ -408,8 +410,11 @@ class Refresh:
 
     # X1
     def collect_daily(self):
-        b = collect_daily_batch(self.store.spark, self.feeds.daily, self.n,
-                                None if isinstance(self.feeds.daily, TableTransport) else self._land("daily"))
+        if self.walk is not None and not isinstance(self.feeds.daily, TableTransport):
+            b = resumed_feed(self.store.spark, self.feeds.daily, self.n, self.walk).select(*S.COLLECT_TMIO.names)
+        else:
+            b = collect_daily_batch(self.store.spark, self.feeds.daily, self.n,
+                                    None if isinstance(self.feeds.daily, TableTransport) else self._land("daily"))
         self.store.insert_ignore(S.COLLECT_TMIO, conform_to(b, S.COLLECT_TMIO), order_by=["json_data"])
 
     # X5

@@ -99,6 +99,10 @@ SELECT conv_id, CAST(turn AS INTEGER) AS turn, role, CAST(place + 1 AS INTEGER)
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn // 31 ORDER BY turn) AS place FROM conversations)
 ORDER BY conv_id DESC, turn DESC LIMIT 50""",
 
+    "resumed_walk": """
+SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_orders
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 90""",
+
     "keyed_fetch": "SELECT page_id, html FROM pages",
 
     "keyed_list_head": """
