@@ -4,22 +4,23 @@ Every two consecutive words of a text are hashed and joined to the places of
 the same two words in license templates.  A match votes for the diagonal text
 place less template place, so a template standing in the text gathers its votes
 on one diagonal, or on neighbouring ones where words were put in or left out.
-Votes are summed per diagonal, neighbouring diagonals are merged into spans,
-and a span counts when enough of the template's word pairs, compared word by
-word, are in it.
+Votes are summed per diagonal, each diagonal is merged with its neighbours, and
+the span is verified: of the matches, compared word by word, the longest
+run that goes forward both in the text and in the template must hold enough of the
+template's word pairs.  A place of the template counts once, however often the text has it.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 2
-#: Diagonals of one template this far apart or less belong to one span.
+#: A span is a diagonal with those of its template this far from it or less.
 SLACK = 6
-#: Share of a template's word pairs that its span must hold.
+#: Share of a template's word pairs that its span must hold in order.
 COVERAGE = 0.7
 
 # Phrases that name a license, and their labels.
@@ -48,9 +49,20 @@ TEXTS = [
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
      "granted provided that the above copyright notice and this permission notice appear in all copies", "isc"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl"),
+    ("this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+     "compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+     "commercial or non commercial and by any means", "unlicense"),
+    ("permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license the software to use reproduce display distribute execute and "
+     "transmit the software and to prepare derivative works of the software", "boost"),
+    ("this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+     "purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+     "restrictions", "zlib"),
 ]
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Stands after the last word of every text and in no word: brings each row, and its count, to the end.
 _END = "\u0001"
 
@@ -72,39 +84,65 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack
     of words.  ``row`` tells repeated rows apart.
 
     A phrase is found where all its words stand consecutively; a longer text
-    where ``coverage`` of its word pairs stand on diagonals at most ``slack``
-    apart, each diagonal with two votes at least, in a span no longer than twice
-    the template.  The pairs of a text are joined where they are scanned: the
-    template side is a broadcast of a few hundred rows, and what is shuffled
-    are votes already summed per text and diagonal.
+    where ``coverage`` of its distinct word pairs stand in order on a diagonal of two
+    votes or more and its neighbours, at most ``slack`` away.  Of spans that share
+    diagonals the one that holds most is kept.  The pairs of a text are joined where they
+    are scanned: the template side is a broadcast of a few hundred rows, and what is
+    shuffled are votes already summed per text and diagonal, with the places they stand
+    for (at most the template's length).
     """
     spark = docs.sparkSession
     templates = spark.createDataFrame(
         template_pairs(), "template int, label string, phrase boolean, pairs int, place int, t1 string, t2 string"
     ).withColumn("pair", F.xxhash64("t1", "t2"))
     words = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                         F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+                         F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower()).alias("text"))
              .select("row", "doc_id", F.array_append(F.regexp_extract_all("text", F.lit(WORD), 0), _END).alias("words")))
     pairs = (words.select("row", "doc_id", "words", F.posexplode("words").alias("at", "w1"))
              .withColumn("w2", F.get("words", F.col("at") + 1)).drop("words")
              .withColumn("pair", F.xxhash64("w1", "w2")))
+    whole = F.col("phrase") | (F.col("template") == 0)
     votes = (pairs.join(F.broadcast(templates), "pair")
              .filter((F.col("w1") == F.col("t1")) & F.col("w2").eqNullSafe(F.col("t2")))
              .groupBy("row", "doc_id", "template", "label", "phrase", "pairs", (F.col("at") - F.col("place")).alias("diagonal"))
-             .agg(F.count("*").alias("votes"), F.min("at").alias("first"), F.max("at").alias("last"))
-             .filter(F.when(F.col("phrase") | (F.col("template") == 0), F.col("votes") == F.col("pairs"))
-                     .otherwise(F.col("votes") >= 2)))
-    by_template = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.when(F.col("phrase") | (F.col("template") == 0), 0).otherwise(slack)
-    bands = (votes.withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(by_template) > apart).cast("int"))
-             .withColumn("band", F.sum(F.coalesce("new", F.lit(0))).over(by_template))
-             .groupBy("row", "doc_id", "template", "label", "phrase", "pairs", "band")
-             .agg(F.sum("votes").alias("votes"), F.min("first").cast("long").alias("first_word"),
-                  (F.max("last") + 1).cast("long").alias("last_word")))
-    held = F.least(F.lit(1.0), F.col("votes") / F.col("pairs"))
-    return (bands.withColumn("coverage", held)
-            .filter((F.col("coverage") >= coverage) & (F.col("last_word") - F.col("first_word") <= 2 * F.col("pairs")))
-            .select("row", "doc_id", "template", "label", "phrase", "first_word", "last_word", "coverage"))
+             .agg(F.count("*").cast("int").alias("votes"), F.collect_list("place").alias("places"), F.min("at").alias("first"))
+             .filter(F.when(whole, F.col("votes") == F.col("pairs")).otherwise(F.col("votes") >= 2)))
+    found = ("row", "doc_id", "template", "label", "phrase", "first_word", "last_word", "coverage")
+    phrases = votes.filter(whole).select(
+        "row", "doc_id", "template", "label", "phrase", F.col("first").cast("long").alias("first_word"),
+        (F.col("first") + F.col("pairs")).cast("long").alias("last_word"), F.lit(1.0).alias("coverage"))
+    near = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(-slack, slack)
+    enough = F.col("pairs") * F.lit(float(coverage))
+    texts = (votes.filter(~whole)
+             .withColumn("around", F.sum("votes").over(near))
+             .withColumn("near", F.collect_list(F.struct("diagonal", "places")).over(near))
+             .filter((F.col("around") >= enough) & (F.size(F.array_distinct(F.flatten("near.places"))) >= enough))
+             .withColumn("run", _longest_run(F.col("near"), F.col("pairs")))
+             .filter(F.col("run.held") >= enough)
+             .withColumn("rank", F.struct("run.held", "votes", (-F.col("diagonal")).alias("early")))
+             .withColumn("best", F.max("rank").over(near)).filter("rank = best")
+             .withColumn("first_word", F.col("run.first").cast("long")).withColumn("last_word", (F.lit(1) - F.col("run.back")).cast("long"))
+             .withColumn("coverage", F.col("run.held") / F.col("pairs")))
+    return phrases.select(*found).union(texts.select(*found))
+
+
+def _longest_run(near: Column, pairs: Column) -> Column:
+    """Of the matches on diagonals ``near``, the most that go forward in text and template
+    both: struct(held, first, back), ``first`` the first match's word and ``back`` the last one's, negated.
+
+    ``best[i]`` is the longest run over template places below i.  Matches come in the
+    order of the text, those at one word from the template's end on, so none follows another at its own word."""
+    matches = F.array_sort(F.flatten(F.transform(near, lambda d: F.transform(
+        d["places"], lambda p: F.struct((d["diagonal"] + p).alias("at"), (-p).alias("back"))))))
+
+    def take(best: Column, match: Column) -> Column:
+        before = F.get(best, -match["back"])
+        longer = F.struct((before["held"] + 1).alias("held"), F.when(before["held"] == 0, match["at"]).otherwise(before["first"]).alias("first"),
+                          (-match["at"]).alias("back"))
+        return F.transform(best, lambda run, i: F.when(i > -match["back"], F.greatest(run, longer)).otherwise(run))
+
+    none = F.struct(F.lit(0).alias("held"), F.lit(0).alias("first"), F.lit(0).alias("back"))
+    return F.aggregate(matches, F.array_repeat(none, pairs + 1), take, lambda best: F.get(best, pairs))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -48,14 +48,20 @@ WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 t AS (SELECT * FROM (VALUES {_PAIRS}) AS t(template, label, phrase, pairs, place, t1, t2)),
 places AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d),
 pair AS (SELECT doc_id, i - 1 AS word_at, w[i] AS t1, w[i + 1] AS t2 FROM places),
-votes AS (SELECT doc_id, template, label, phrase, pairs, word_at - place AS diagonal, count(*) AS votes, min(word_at) AS a, max(word_at) + 1 AS z
-          FROM pair JOIN t USING (t1, t2) GROUP BY ALL HAVING CASE WHEN phrase THEN count(*) = pairs ELSE count(*) >= 2 END),
-apart AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER part > CASE WHEN phrase THEN 0 ELSE {SLACK} END THEN 1 ELSE 0 END AS new
-          FROM votes WINDOW part AS (PARTITION BY doc_id, template ORDER BY diagonal)),
-band AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS band FROM apart),
-span AS (SELECT doc_id, label, phrase, min(a) AS a, least(1.0, sum(votes) / any_value(pairs)) AS held
-         FROM band GROUP BY doc_id, template, label, phrase, band
-         HAVING held >= {COVERAGE} AND max(z) - min(a) <= 2 * any_value(pairs)),
+hit AS (SELECT doc_id, template, label, phrase, pairs, word_at, place, word_at - place AS diagonal, count(*) OVER (PARTITION BY doc_id, template, word_at - place) AS votes
+        FROM pair JOIN t USING (t1, t2)),
+diag AS (SELECT DISTINCT doc_id, template, diagonal FROM hit WHERE NOT phrase AND votes >= 2),
+near AS (SELECT diag.doc_id, diag.template, diag.diagonal, any_value(label) AS label, any_value(pairs) AS pairs,
+                list({{'p': CAST(place AS BIGINT), 'f': CAST([] AS BIGINT[])}} ORDER BY word_at, place DESC) AS l
+         FROM diag JOIN hit ON hit.doc_id = diag.doc_id AND hit.template = diag.template AND hit.votes >= 2 AND abs(hit.diagonal - diag.diagonal) <= {SLACK}
+         GROUP BY ALL HAVING count(DISTINCT place) >= {COVERAGE} * any_value(pairs)),
+run AS (SELECT doc_id, label, pairs, list_reduce(
+            [{{'p': CAST(-1 AS BIGINT), 'f': list_transform(range(pairs + 1), lambda i: CAST(0 AS BIGINT))}}] || l,
+            lambda s, h: {{'p': h.p, 'f': list_transform(s.f, lambda x, i: CASE WHEN i - 1 > h.p THEN greatest(x, s.f[h.p + 1] + 1) ELSE x END)}}).f[pairs + 1] AS held
+        FROM near),
+span AS (SELECT doc_id, label, true AS phrase, min(word_at) AS a, 1.0 AS held FROM hit WHERE phrase
+         GROUP BY doc_id, template, label, pairs, diagonal HAVING count(*) = pairs
+         UNION ALL SELECT doc_id, label, false, NULL, held / pairs FROM run WHERE held >= {COVERAGE} * pairs),
 found AS (SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(a) FILTER (phrase) AS first_word, max(a) FILTER (phrase) AS last_word,
                  coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (phrase)), ','), '') AS base_labels,
                  array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(held) AS score FROM span GROUP BY doc_id)

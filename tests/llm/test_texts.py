@@ -215,6 +215,38 @@ def test_license_texts_with_words_put_in_and_left_out(spark):
     assert [(s.first_word, s.last_word) for s in spans] == [(1, len(edited))]
 
 
+def longest_run(text, template):
+    """The most word pairs of ``template`` that stand in ``text`` in order, by the plain table of all pairs of places."""
+    a, b = list(zip(text, text[1:])), list(zip(template, template[1:]))
+    best = [0] * (len(b) + 1)
+    for x in a:
+        best = [0] + [max(best[j + 1], old) if x != y else best[j] + 1 for j, (y, old) in enumerate(zip(b, best[1:]))]
+        for j in range(1, len(best)):
+            best[j] = max(best[j], best[j - 1])
+    return max(best) / len(b)
+
+
+def test_license_spans_hold_distinct_places_in_order(spark):
+    mpl, mit, bsd = (next(t for t, k in licenses.TEXTS if k == name).split() for name in ("mpl", "mit", "bsd"))
+    docs = [
+        ("this source code form " * 4, ""), ("this source code form " * 500, ""), ("public license v 2 0 " * 9, ""),
+        ("this source code form " * 50 + " ".join(mpl), "mpl"), (" ".join(mpl + mpl), "mpl"), (" ".join(mpl[5:] + mpl[:5]), ""),
+        (" ".join(mit[:20] + bsd[:10] + mit[20:]), ""), (" ".join(mit[:20] + ["x"] * 5 + mit[20:40] + ["y"] * 5 + mit[40:]), "mit"),
+        (" ".join(mit[20:40] + mit[:20] + mit[40:]), ""), (" ".join(mit).upper(), "mit"), (" ".join(mit[:40]), ""),
+        (" ".join(mit).replace("software", "softwar\u0130"), None), (" ".join(mit) + " z" * 40 + " " + " ".join(bsd), "bsd,mit"),
+    ] + [(t, k) for t, k in licenses.TEXTS]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for i, (text, want) in enumerate(docs):
+        if want is not None:
+            assert {k for k in rows[i].labels.split(",") if k} - {k for k in rows[i].base_labels.split(",")} == {k for k in want.split(",") if k} - set(rows[i].base_labels.split(",")), text[:60]
+        if rows[i].labels and not rows[i].base_labels:
+            assert rows[i].score == pytest.approx(max(longest_run(words(text), t.split()) for t, _ in licenses.TEXTS)), text[:60]
+    found = licenses.spans(df.filter("doc_id IN (3, 7)")).filter("template > 0 AND NOT phrase").collect()
+    assert {(s.doc_id, s.first_word, s.last_word) for s in found} == {(3, 200, 200 + len(mpl) - 1), (7, 0, len(mit) + 9)}
+    assert len(licenses.spans(df.filter("doc_id = 4")).filter("template > 0 AND NOT phrase").collect()) == 2
+
+
 # ---- 9 main text --------------------------------------------------------------------
 PAGES = [
     ("<article><h1>Title</h1><p>One.<p>Two <b>bold</b><br>line</article>", "Title\nOne.\nTwo bold line"),
