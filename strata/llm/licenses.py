@@ -13,6 +13,7 @@ template's word pairs.  A place of the template counts once, however often the t
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,7 +63,11 @@ TEXTS = [
 ]
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: The one letter outside A-Z that lower-casing turns into one of a-z: put aside before, by another that
+#: stands in no template, so that only A-Z is folded where a template can tell.
+KELVIN, OTHER = "\u212A", "\uFFFD"
+#: Places of a template held by one long.
+BITS = 62
 #: Stands after the last word of every text and in no word: brings each row, and its count, to the end.
 _END = "\u0001"
 
@@ -89,14 +94,17 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack
     diagonals the one that holds most is kept.  The pairs of a text are joined where they
     are scanned: the template side is a broadcast of a few hundred rows, and what is
     shuffled are votes already summed per text and diagonal, with the places they stand
-    for (at most the template's length).
+    for as bits.
     """
     spark = docs.sparkSession
+    rows = template_pairs()
+    masks = [f"m{i}" for i in range(max(r[3] for r in rows) // BITS + 1)]
     templates = spark.createDataFrame(
-        template_pairs(), "template int, label string, phrase boolean, pairs int, place int, t1 string, t2 string"
+        [(*r, *((1 << r[4] % BITS) * (r[4] // BITS == i) for i in range(len(masks)))) for r in rows],
+        "template int, label string, phrase boolean, pairs int, place int, t1 string, t2 string, " + ", ".join(f"{m} long" for m in masks)
     ).withColumn("pair", F.xxhash64("t1", "t2"))
     words = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                         F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower()).alias("text"))
+                         F.lower(F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(KELVIN), F.lit(OTHER))).alias("text"))
              .select("row", "doc_id", F.array_append(F.regexp_extract_all("text", F.lit(WORD), 0), _END).alias("words")))
     pairs = (words.select("row", "doc_id", "words", F.posexplode("words").alias("at", "w1"))
              .withColumn("w2", F.get("words", F.col("at") + 1)).drop("words")
@@ -105,35 +113,34 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack
     votes = (pairs.join(F.broadcast(templates), "pair")
              .filter((F.col("w1") == F.col("t1")) & F.col("w2").eqNullSafe(F.col("t2")))
              .groupBy("row", "doc_id", "template", "label", "phrase", "pairs", (F.col("at") - F.col("place")).alias("diagonal"))
-             .agg(F.count("*").cast("int").alias("votes"), F.collect_list("place").alias("places"), F.min("at").alias("first"))
+             .agg(F.count("*").cast("int").alias("votes"), *[F.bit_or(m).alias(m) for m in masks], F.min("at").alias("first"))
              .filter(F.when(whole, F.col("votes") == F.col("pairs")).otherwise(F.col("votes") >= 2)))
-    found = ("row", "doc_id", "template", "label", "phrase", "first_word", "last_word", "coverage")
-    phrases = votes.filter(whole).select(
-        "row", "doc_id", "template", "label", "phrase", F.col("first").cast("long").alias("first_word"),
-        (F.col("first") + F.col("pairs")).cast("long").alias("last_word"), F.lit(1.0).alias("coverage"))
     near = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(-slack, slack)
     enough = F.col("pairs") * F.lit(float(coverage))
-    texts = (votes.filter(~whole)
-             .withColumn("around", F.sum("votes").over(near))
-             .withColumn("near", F.collect_list(F.struct("diagonal", "places")).over(near))
-             .filter((F.col("around") >= enough) & (F.size(F.array_distinct(F.flatten("near.places"))) >= enough))
-             .withColumn("run", _longest_run(F.col("near"), F.col("pairs")))
-             .filter(F.col("run.held") >= enough)
-             .withColumn("rank", F.struct("run.held", "votes", (-F.col("diagonal")).alias("early")))
-             .withColumn("best", F.max("rank").over(near)).filter("rank = best")
-             .withColumn("first_word", F.col("run.first").cast("long")).withColumn("last_word", (F.lit(1) - F.col("run.back")).cast("long"))
-             .withColumn("coverage", F.col("run.held") / F.col("pairs")))
-    return phrases.select(*found).union(texts.select(*found))
-
-
-def _longest_run(near: Column, pairs: Column) -> Column:
-    """Of the matches on diagonals ``near``, the most that go forward in text and template
+    distinct = reduce(lambda a, b: a + b, [F.bit_count(F.bit_or(m).over(near)) for m in masks])
+    return (votes.withColumn("distinct", distinct).withColumn("near", F.collect_list(F.struct("diagonal", *masks)).over(near))
+            .filter(whole | (F.col("distinct") >= enough))
+            .withColumn("run", F.when(whole, F.struct(F.col("pairs").alias("held"), "first", (-F.col("first") - F.col("pairs") + 1).alias("back")))
+                        .otherwise(_longest_run(F.col("near"), F.col("pairs"), masks)))
+            .filter(F.col("run.held") >= enough)
+            .withColumn("rank", F.struct("run.held", "votes", (-F.col("diagonal")).alias("early")))
+            .withColumn("best", F.max("rank").over(near)).filter(whole | (F.col("rank") == F.col("best")))
+            .select("row", "doc_id", "template", "label", "phrase", F.col("run.first").cast("long").alias("first_word"),
+                    (F.lit(1) - F.col("run.back")).cast("long").alias("last_word"), (F.col("run.held") / F.col("pairs")).alias("coverage")))
+
+
+def _longest_run(near: Column, pairs: Column, masks: list[str]) -> Column:
+    """Of the matches on diagonals ``near`` (each with the places matched on it, as bits), the most that go forward in text and template
     both: struct(held, first, back), ``first`` the first match's word and ``back`` the last one's, negated.
 
     ``best[i]`` is the longest run over template places below i.  Matches come in the
     order of the text, those at one word from the template's end on, so none follows another at its own word."""
+    def on(diagonal: Column, p: Column) -> Column:
+        return F.getbit(F.get(F.array(*[diagonal[m] for m in masks]), (p / BITS).cast("int")), p % BITS) == 1
+
     matches = F.array_sort(F.flatten(F.transform(near, lambda d: F.transform(
-        d["places"], lambda p: F.struct((d["diagonal"] + p).alias("at"), (-p).alias("back"))))))
+        F.filter(F.sequence(F.lit(0), pairs - 1), lambda p: on(d, p)),
+        lambda p: F.struct((d["diagonal"] + p).alias("at"), (-p).alias("back"))))))
 
     def take(best: Column, match: Column) -> Column:
         before = F.get(best, -match["back"])
