@@ -43,6 +43,28 @@ def parse(c: ColLike, schema: str, on_bad: str = FAIL) -> Column:
     return F.from_json(F.when(~is_bad_document(c, schema), c), schema)
 
 
+#: Stand for an escaped backslash, an escaped quote and the ends of a number while ``numbers_as_text``
+#: works; no JSON text holds these characters unescaped.
+_BACKSLASH, _QUOTE, _NUMBER = "\u0002", "\u0003", "\u0001"
+_TOKEN = '("[^"]*+")|(-?[0-9][0-9.eE+-]*+)'
+
+
+def numbers_as_text(c: ColLike) -> Column:
+    """The JSON text with each bare number quoted, so that ``1.50``, ``1e3`` or thirty
+    digits are read as they are written (the parser would give ``1.5``, ``1000.0`` and a rounded double).
+
+    Numbers inside strings, keys and everything else stay.  Text that is not JSON is
+    returned as it is, so that it still fails or is flagged.  Use it where the leaves are
+    read as text; a sub-document that is kept as text has its numbers quoted as well."""
+    c = _col(c)
+    hidden = F.replace(F.replace(c, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    # a string is followed by two marks, which go again; a number stands between two
+    marked = F.regexp_replace(hidden, _TOKEN, f"$1{_NUMBER}$2{_NUMBER}")
+    quoted = F.replace(F.replace(marked, F.lit(_NUMBER * 2), F.lit("")), F.lit(_NUMBER), F.lit('"'))
+    shown = F.replace(F.replace(quoted, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.when(is_bad_json(c), c).otherwise(shown)
+
+
 def _opening(schema: str) -> str:
     return "[" if schema.lstrip().lower().startswith("array") else "{"
 

@@ -168,6 +168,19 @@ def json_fields(spark, sf):
     return ev.select("event_id", X.strict_cast(D.field(p, "k"), "int").alias("k"))
 
 
+def number_text(spark, sf):
+    """V06 (C2 C3 K7): numbers read as they are written: trailing zeros, exponents,
+    more digits than a double holds; beside them strings that look like numbers, quotes and backslashes."""
+    li = t(spark, sf, "lineitem")
+    key = F.concat_ws("", "l_orderkey", "l_partkey", "l_suppkey")
+    written = {"fixed": F.concat(F.col("l_linenumber"), F.lit(".50")), "power": F.concat(F.lit("-"), F.col("l_linenumber"), F.lit("e"), F.col("l_suppkey") % 40),
+               "long": F.concat(F.lit("9007199254740993"), key, F.lit(".10"))}
+    quoted = F.concat(F.lit('"quoted": "1.50 \\" '), key, F.lit('.0 \\\\"'))
+    doc = F.concat(F.lit("{"), *[F.concat(F.lit(f'"{name}": '), text, F.lit(", ")) for name, text in written.items()], quoted, F.lit("}"))
+    d = li.select("l_orderkey", "l_linenumber", D.parse(D.numbers_as_text(doc), "struct<fixed:string, power:string, long:string, quoted:string>").alias("j"))
+    return d.select("l_orderkey", "l_linenumber", *[D.field("j", f).alias(f) for f in (*written, "quoted")])
+
+
 def json_roundtrip(spark, sf):
     """V06 (K7 C1-C3): nested record encoded as text and read back."""
     o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -750,6 +763,7 @@ QUERIES = {
     "json_rowset": json_rowset,
     "seed_lookup": seed_lookup,
     "json_fields": json_fields,
+    "number_text": number_text,
     "json_roundtrip": json_roundtrip,
     "json_unnest": json_unnest,
     "sentinel_null": sentinel_null,

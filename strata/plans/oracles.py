@@ -119,6 +119,12 @@ FROM customer c JOIN (VALUES {_TAG_VALUES}) AS t(tag_id, tag_name) ON t.tag_id =
 
     "json_fields": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 
+    "number_text": """
+SELECT l_orderkey, l_linenumber, l_linenumber || '.50' AS fixed, '-' || l_linenumber || 'e' || l_suppkey % 40 AS power,
+       '9007199254740993' || l_orderkey || l_partkey || l_suppkey || '.10' AS long,
+       '1.50 " ' || l_orderkey || l_partkey || l_suppkey || '.0 ' || chr(92) AS quoted
+FROM lineitem""",
+
     "json_roundtrip": """
 SELECT o_orderkey, c_name, c_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date
 FROM orders JOIN customer ON c_custkey = o_custkey""",

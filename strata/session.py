@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -68,6 +69,7 @@ def ship_package(spark: SparkSession) -> None:
     pkg = os.path.dirname(os.path.abspath(__file__))
     fd, archive = tempfile.mkstemp(prefix="strata-", suffix=".zip")
     os.close(fd)
+    atexit.register(lambda: os.path.exists(archive) and os.unlink(archive))     # executors fetch it as long as the application lives
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:

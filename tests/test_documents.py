@@ -57,3 +57,17 @@ def test_rowset_root_array(spark):
 def test_path_text_root_array(spark):
     df = spark.createDataFrame([('[{"Username": "u1"}]',)], "j string")
     assert df.select(D.path_text("j", "[0].Username")).first()[0] == "u1"
+
+
+def test_numbers_are_read_as_they_are_written(spark):
+    cases = [
+        ('{"a": 1.50, "b": 1e3}', "1.50", "1e3"), ('{"a":-0.0,"b":12345678901234567890.10}', "-0.0", "12345678901234567890.10"),
+        ('{"a": "1.50 \\\\", "b": [1.0, "2.0", -3E+5]}', "1.50 \\", '["1.0","2.0","-3E+5"]'), ('{"a": "x\\"5.0\\"", "b": true}', 'x"5.0"', "true"),
+        ('{"a": "\\\\\\"7.0", "b": null}', '\\"7.0', None), ('{"a": "' + "9.0 \\\\ " * 20_000 + '", "b": 2.0}', "9.0 \\ " * 20_000, "2.0"),
+        ("{}", None, None), ("null", None, None), (None, None, None), ('{"1.0": 5, "a": 5.00}', "5.00", None),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, j string")
+    got = df.select("i", D.parse(D.numbers_as_text("j"), "struct<a:string, b:string>").alias("d")).select("i", "d.a", "d.b").collect()
+    assert {r.i: (r.a, r.b) for r in got} == {i: c[1:] for i, c in enumerate(cases)}
+    bad = spark.createDataFrame([('{"a": 1.2.3}',), ("<html>1.0",), ("",), ('{"a": 01}',)], "j string")
+    assert bad.filter(D.is_bad_json(D.numbers_as_text("j"))).count() == 4
