@@ -159,6 +159,10 @@ LABELLED += _rows(((0, 0.0), (11, 0.0), (12, 0.0), (19, 0.0), (20, 0.3), (60, 0.
                   (1, 11, 12, 19, 20, 300), (0.0, 0.3, 0.4, 1.0), (0.5,))
 
 
+#: Words of a block that is surely a paragraph, in weighing marks against each other.
+PARAGRAPH = 20
+
+
 @dataclass
 class Node:
     """A cut (``feature`` below ``cut`` goes to ``low``) or, without one, a leaf."""
@@ -404,11 +408,26 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def _region_mark(flat: list[Block]) -> tuple[int, set[int]]:
+    """The surest mark on the page, and the surer ones that were passed over: those that only
+    mark cards or teasers, beside which the next mark holds paragraphs of twice their words."""
+    marks = sorted({m for b in flat for m in b.marks if not b.furniture or b.furniture < 1 and m >= MAIN}, reverse=True)
+    cards: set[int] = set()
+    for mark, wider in zip(marks, marks[1:]):
+        inside = sum(b.words for b in flat if mark in b.marks and b.furniture != 1)
+        paragraphs = sum(b.words for b in flat if wider in b.marks and mark not in b.marks and not b.furniture
+                         and b.words >= PARAGRAPH and b.link_density <= 0.3)
+        if paragraphs < 2 * max(1, inside):
+            return mark, cards
+        cards.add(mark)
+    return (marks[-1] if marks else 0), cards
+
+
 def features(flat: list[Block]) -> list[tuple]:
     """The features of each block, in the order of the labelled table.  A block's
     neighbours are the nearest of its own region: of one place, in furniture or not."""
-    mark = max((m for b in flat for m in b.marks if not b.furniture or b.furniture < 1 and m >= MAIN), default=0)   # the surest on the page
-    region = [(1 if not mark else 2 if mark in b.marks else 0, b.furniture) for b in flat]
+    mark, cards = _region_mark(flat)
+    region = [(1 if not mark else 2 if mark in b.marks and not cards & set(b.marks) else 0, b.furniture) for b in flat]
 
     def beside(order: range) -> dict[int, tuple[int, float]]:
         last: dict[tuple, tuple[int, float]] = {}

@@ -94,3 +94,13 @@ def test_furniture_is_dropped_at_any_length(part):
 ])
 def test_short_and_linked_blocks_of_doubtful_parts_are_dropped(part):
     assert text(f"<article><p>story</p>{part}</article>") == "story"
+
+
+def test_cards_marked_as_articles_do_not_hide_the_story():
+    tree = html_text.train(html_text.LABELLED)
+    story = " ".join(f"word{i}" for i in range(60))
+    cards = "".join(f"<article><h3>Card {i}</h3><p>read this next</p></article>" for i in range(3))
+    assert html_text.main_text(f"<main><h1>Title</h1><p>{story}</p><section>{cards}</section></main>", tree) == f"Title\n{story}"
+    assert html_text.main_text(f"<div class='content'><p>{story}</p></div><article><p>a teaser of few words</p></article>", tree) == story
+    # an article of its own size stays the story, whatever stands beside it
+    assert html_text.main_text(f"<main><p>{story}</p><article><p>{story} end</p></article></main>", tree) == f"{story} end"
