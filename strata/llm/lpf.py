@@ -15,8 +15,16 @@ are dealt out so that any two sharing their first ``length`` bytes meet:
 2. Runs of equal bytes collapse: all but those of the smallest document are
    copies as a whole.  What is left needs an order only where several different
    runs meet under one hash; a few percent of all runs.
-3. The bytes of those runs are fetched, and their suffixes, cut at ``length``
-   bytes, are put in order and decided by previous and next smaller documents.
+3. The bytes of those runs are fetched, and their suffixes are dealt out again, now
+   by the smallest hash among strings of nearly ``length`` bytes.  The shorter runs
+   that come of it collapse where their bytes are equal; again only different
+   runs that meet go on.
+4. Their suffixes, cut at ``length`` bytes, are put in order: a block of neighbouring
+   groups at a time, where previous and next smaller documents decide, and what
+   the blocks leave over all blocks, by Spark's sort.  There the first row of equal
+   strings is the nearest smaller one of all that follow.
+
+Each group of any size takes this one way, with a constant state beside the sorts.
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +42,8 @@ from .common import fresh, utf8, written
 
 LENGTH = 50
 GRAM = 20
+#: How much shorter than the wanted length the strings of the second dealing are.
+CLOSER = 10
 #: Places in one run at most, and bits that hold a run's length.
 RUN_BITS = 10
 RUN = 1 << RUN_BITS
@@ -41,9 +52,7 @@ START_BITS, TAG_BITS = 31, 22
 #: Bytes of one text looked at together, and of several texts between two map-side combines.
 PIECE = 1 << 20
 COMBINE = 8 << 20
-#: Different runs under one hash that one task puts in order; larger groups are dealt out by their strings.
-GROUP_RUNS = 2_000
-#: Runs put in order together, so that small groups share numpy's fixed costs.
+#: Runs that a task deals out or puts in order together.
 ORDER_ROWS = 5_000
 
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
@@ -161,39 +170,45 @@ def _find_runs(length: int, gram: int):
 
 
 _JUDGED = pa.schema([("doc", pa.int64()), ("run", pa.int64()), ("h", pa.int64())])
+_CLOSER = pa.schema([("h", pa.int64()), ("key", pa.binary()), ("doc", pa.int64()), ("run", pa.int64())])
 
 
-def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, key, doc, run).  Out go copies (h null), and the runs that
-    need an order: the first document's, where several keys and documents meet
-    under one h.  Kept between batches is one group's latest key and, until a
+def _changes(key: pa.Array) -> np.ndarray:
+    """Where a key differs from the one before it; the first place is left open."""
+    return pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy(zero_copy_only=False)
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None, pa.Array | None]]:
+    """Rows (h, key, doc, run) sorted by these -> (doc, run, None, None) of copies, and (doc,
+    run, h, key) of the runs that need an order: the first document's, where several
+    keys and documents meet under one h.  ``key`` is a hash of the run's bytes or the
+    bytes themselves.  Kept between batches is one group's latest key and, until a
     second key and document turn up, the runs of one document."""
     last = {"h": None, "key": None, "first": None, "keys": 0, "low": None, "high": None, "row": None}
-    waiting: list[np.ndarray] = []
-
-    def out(doc, run, h=None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(run), pa.nulls(len(doc), pa.int64()) if h is None else pa.array(h)], schema=_JUDGED)
+    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
 
     for b in batches:
-        h, key, doc, run = (b.column(c).to_numpy() for c in ("h", "key", "doc", "run"))
+        h, key, doc, run = b.column("h").to_numpy(), b.column("key"), b.column("doc").to_numpy(), b.column("run").to_numpy()
         done = run < 0
         if done.any():
-            yield out(doc[done], -1 - run[done])
-            h, key, doc, run = h[~done], key[~done], doc[~done], run[~done]
-        if not len(h):
-            continue
-        again = np.concatenate(([last["row"] == (key[0], doc[0], run[0])], (run[1:] == run[:-1]) & (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])))
-        h, key, doc, run = h[~again], key[~again], doc[~again], run[~again]
+            yield doc[done], -1 - run[done], None, None
+            h, key, doc, run = h[~done], key.filter(pa.array(~done)), doc[~done], run[~done]
         if not len(h):
             continue
+        same_key = ~_changes(key)
+        again = np.concatenate(([last["row"] == (key[0].as_py(), doc[0], run[0])], (run[1:] == run[:-1]) & (doc[1:] == doc[:-1]) & same_key))
+        if again.any():
+            h, key, doc, run = h[~again], key.filter(pa.array(~again)), doc[~again], run[~again]
+            if not len(h):
+                continue
         new_h = np.concatenate(([h[0] != last["h"]], h[1:] != h[:-1]))
-        new_key = new_h | np.concatenate(([key[0] != last["key"]], key[1:] != key[:-1]))
+        new_key = new_h | np.concatenate(([key[0].as_py() != last["key"]], _changes(key)))
         at = np.flatnonzero(new_key)
         number = np.cumsum(new_key)
         first = np.concatenate(([last["first"] if last["first"] is not None else 0], doc[at]))[number]
         copy = doc > first
         if copy.any():
-            yield out(doc[copy], run[copy])
+            yield doc[copy], run[copy], None, None
         # group by h; group 0 goes on from the batch before
         group = np.cumsum(new_h)
         n = int(group[-1]) + 1
@@ -205,20 +220,71 @@ def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys[0] += last["keys"]
             low[0], high[0] = min(low[0], last["low"]), max(high[0], last["high"])
         meets = (keys > 1) & (low != high)
-        if waiting and not new_h[0] and meets[0]:
-            w = np.concatenate(waiting)
-            yield out(w[:, 0].copy(), w[:, 1].copy(), np.full(len(w), last["h"], np.int64))
+        if not new_h[0] and meets[0]:
+            yield from waiting
         if new_h.any() or meets[0]:
             waiting = []
         ask = ~copy & meets[group]
         if ask.any():
-            yield out(doc[ask], run[ask], h[ask])
+            yield doc[ask], run[ask], h[ask], key.filter(pa.array(ask))
         if not meets[-1]:
             mine = ~copy & (group == n - 1)
             if mine.any():
-                waiting.append(np.stack((doc[mine], run[mine]), axis=1))
-        last = {"h": h[-1], "key": key[-1], "first": first[-1], "keys": int(keys[-1]), "low": int(low[-1]), "high": int(high[-1]),
-                "row": (key[-1], doc[-1], run[-1])}
+                waiting.append((doc[mine], run[mine], h[mine], key.filter(pa.array(mine))))
+        last = {"h": h[-1], "key": key[-1].as_py(), "first": first[-1], "keys": int(keys[-1]), "low": int(low[-1]), "high": int(high[-1]),
+                "row": (key[-1].as_py(), doc[-1], run[-1])}
+
+
+def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (h, key, doc, run): copies (h null), and the runs that need an order."""
+    for doc, run, h, _ in _meeting(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(run), pa.nulls(len(doc), pa.int64()) if h is None else pa.array(h)], schema=_JUDGED)
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Arrow batches joined to blocks of at least ``rows`` rows, but the last."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _places(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of runs, joined, and of each of their places: its run, where in the run, where in the joined bytes."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    places = sizes - (length - 1)
+    owner = np.repeat(np.arange(len(texts)), places)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(places) - places, places)
+    return np.frombuffer(b"".join(texts), np.uint8), owner, within, (np.cumsum(sizes) - sizes)[owner] + within
+
+
+def part_of(run: np.ndarray, within: np.ndarray, places: np.ndarray | int) -> np.ndarray:
+    """Of packed runs the parts of ``places`` places that begin ``within`` them."""
+    start = ((run >> np.int64(RUN_BITS)) & np.int64((1 << START_BITS) - 1)) + within
+    return packed(run >> np.int64(START_BITS + RUN_BITS), start, np.asarray(places))
+
+
+def _deal_closer(length: int, gram: int):
+    """Runs with their bytes -> shorter runs with theirs, by the smallest hash of longer strings."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _in_blocks(batches, ORDER_ROWS):
+            doc, runs = b.column("doc").to_numpy(), b.column("run").to_numpy()
+            text, owner, within, at = _places(b.column("bytes").to_pylist(), length)
+            least = sliding_least(gram_hashes(text, gram), length - gram + 1)[at]
+            begin = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (least[1:] != least[:-1]))))
+            places = np.diff(begin, append=len(owner))
+            own, whole = owner[begin], text.tobytes()
+            key = [whole[i:j] for i, j in zip(at[begin].tolist(), (at[begin] + places + (length - 1)).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(least[begin].view(np.int64)), pa.array(key, pa.binary()), pa.array(doc[own]),
+                                              pa.array(part_of(runs[own], within[begin], places))], schema=_CLOSER)
+
+    return run
 
 
 def nearest_smaller(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,62 +317,57 @@ def has_previous_factor(suffixes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return result
 
 
-def _order_runs(length: int):
-    """Runs with their bytes, sorted by h: (doc, run) of the copies."""
-    schema = pa.schema([("doc", pa.int64()), ("run", pa.int64())])
-
-    def judged(rows: list[tuple]) -> pa.RecordBatch | None:
-        doc, run = (np.array([r[i] for r in rows], np.int64) for i in (1, 2))
-        sizes = np.array([len(r[3]) for r in rows])
-        text = np.frombuffer(b"".join([r[3] for r in rows]), np.uint8)
-        places = sizes - (length - 1)
-        owner = np.repeat(np.arange(len(rows)), places)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(places) - places, places)
-        at = (np.cumsum(sizes) - sizes)[owner] + within
-        # strings that stand once can't be copies: a hash leaves them out ahead of the sort
-        power, inverse = _powers(len(text) + 1)
-        sums = np.concatenate(([np.uint64(0)], np.cumsum((text.astype(np.uint64) + np.uint64(7)) * power[:len(text)])))
-        hashed = (sums[at + length] - sums[at]) * inverse[at]
-        _, inverse_at, times = np.unique(hashed, return_inverse=True, return_counts=True)
-        twice = times[inverse_at] > 1
-        owner, within, at = owner[twice], within[twice], at[twice]
-        if not len(at):
-            return None
-        suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, length)[at]).view(f"S{length}").ravel()
-        copy = has_previous_factor(suffixes, doc[owner])
-        owner, within = owner[copy], within[copy]
-        if not len(owner):
-            return None
-        new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (within[1:] != within[:-1] + 1)))
-        begin = np.flatnonzero(new)
-        n = np.diff(begin, append=len(owner))
-        own = owner[begin]
-        tag = run[own] >> np.int64(START_BITS + RUN_BITS)
-        start = ((run[own] >> np.int64(RUN_BITS)) & np.int64((1 << START_BITS) - 1)) + within[begin]
-        made = (tag << np.int64(START_BITS + RUN_BITS)) | (start << np.int64(RUN_BITS)) | (n - 1)
-        return pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(made)], schema=schema)
+_ORDERED = pa.schema([("s", pa.binary()), ("doc", pa.int64()), ("run", pa.int64())])
+
+
+def _order_runs(length: int, order_rows: int):
+    """Runs with their bytes, sorted by (h, bytes, doc, run): copies (s null), and of the
+    places of runs that need an order those (s, doc, run) that are no copy within their block."""
+    def ordered(held: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> Iterator[pa.RecordBatch]:
+        doc, run = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+        text, owner, within, at = _places([t for x in held for t in x[2].to_pylist()], length)
+        suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, length)[at])
+        copy = has_previous_factor(suffixes.view(f"S{length}").ravel(), doc[owner])
+        for rows in (copy, ~copy):
+            if rows.any():
+                own = owner[rows]
+                strings = pa.nulls(len(own), pa.binary()) if rows is copy else pa.array(suffixes[rows].view(f"V{length}").ravel().tolist(), pa.binary())
+                yield pa.RecordBatch.from_arrays([strings, pa.array(doc[own]), pa.array(part_of(run[own], within[rows], 1))], schema=_ORDERED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: list[tuple] = []                 # finished groups
-        group: list[tuple] = []                 # the one that may go on
-        for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("h", "doc", "run", "bytes"))):
-                if group and row[0] != group[0][0]:
-                    whole += group
-                    group = []
-                    if len(whole) >= ORDER_ROWS:
-                        if (made := judged(whole)) is not None:
-                            yield made
-                        whole = []
-                group.append(row)
-        whole += group
-        if whole and (made := judged(whole)) is not None:
-            yield made
+        held, size = [], 0
+        for doc, run, h, text in _meeting(batches):
+            if h is None:
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.binary()), pa.array(doc), pa.array(run)], schema=_ORDERED)
+                continue
+            held.append((doc, run, text))
+            size += len(doc)
+            if size >= order_rows:
+                yield from ordered(held)
+                held, size = [], 0
+        if held:
+            yield from ordered(held)
 
     return run
 
 
-def copies(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs: int = GROUP_RUNS) -> DataFrame:
+def _first_of_equals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places sorted by (s, doc): those whose string stands in a smaller document.  The
+    smallest document of the latest string is carried on."""
+    last, least = None, 0
+    for b in batches:
+        s, doc, run = b.column("s"), b.column("doc").to_numpy(), b.column("run").to_numpy()
+        if not len(doc):
+            continue
+        new = np.concatenate(([s[0].as_py() != last], _changes(s)))
+        first = np.concatenate(([least], doc[new]))[np.cumsum(new)]
+        copy = doc > first
+        if copy.any():
+            yield pa.RecordBatch.from_arrays([pa.array(doc[copy]), pa.array(run[copy])], names=["doc", "run"])
+        last, least = s[-1].as_py(), int(first[-1])
+
+
+def copies(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, order_rows: int = ORDER_ROWS) -> DataFrame:
     """(doc, run): the runs of later copies in ``docs`` (doc long, tag long,
     text binary); see ``packed``.  Together they name every place whose longest
     previous factor has ``length`` bytes."""
@@ -317,24 +378,14 @@ def copies(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs:
                      .mapInArrow(_judge_runs, "doc long, run long, h long"), "lpf-runs")
     f = _runs_sql()
     asked = judged.filter("h IS NOT NULL").withColumn("tag", F.expr(f["tag"]))
-    large = asked.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > group_runs).select("h")
-    some_large = large.limit(1).count() > 0
-    with_bytes = written(asked.join(docs, ["doc", "tag"]).select("h", "doc", "run", F.expr(
-        f"substring(text, CAST({f['start']} AS INT) + 1, CAST({f['places']} AS INT) + {length - 1})").alias("bytes")), "lpf-bytes")
-    small = with_bytes.join(large, "h", "left_anti") if some_large else with_bytes
-    out = judged.filter("h IS NULL").select("doc", "run").union(
-        small.repartition("h").sortWithinPartitions("h").mapInArrow(_order_runs(length), "doc long, run long"))
-    if some_large:
-        # a group too large for one task: its strings are dealt out one by one, and the smallest document of each is
-        # found by a partial minimum; Spark may split both joins where they are skewed
-        places = (with_bytes.join(large, "h", "left_semi")
-                  .select("doc", F.expr(f["tag"]).alias("tag"), F.expr(f["start"]).alias("start"), "bytes",
-                          F.explode(F.expr(f"sequence(0, CAST({f['places']} AS INT) - 1)")).alias("i"))
-                  .select("doc", F.expr(f"shiftleft(tag, {START_BITS + RUN_BITS}) | shiftleft(start + i, {RUN_BITS})").alias("run"),
-                          F.expr(f"substring(bytes, i + 1, {length})").alias("s")))
-        first = places.groupBy("s").agg(F.min("doc").alias("first"))
-        out = out.union(places.join(first, "s").filter("doc > first").select("doc", "run"))
-    return out
+    with_bytes = asked.join(docs, ["doc", "tag"]).select("doc", "run", F.expr(
+        f"substring(text, CAST({f['start']} AS INT) + 1, CAST({f['places']} AS INT) + {length - 1})").alias("bytes"))
+    closer = with_bytes.mapInArrow(_deal_closer(length, max(gram, length - CLOSER)), "h long, key binary, doc long, run long")
+    ordered = written(closer.repartition("h").sortWithinPartitions("h", "key", "doc", "run")
+                      .mapInArrow(_order_runs(length, order_rows), "s binary, doc long, run long"), "lpf-order")
+    rest = (ordered.filter("s IS NOT NULL").repartition("s").sortWithinPartitions("s", "doc")
+            .mapInArrow(_first_of_equals, "doc long, run long"))
+    return judged.filter("h IS NULL").select("doc", "run").union(ordered.filter("s IS NULL").select("doc", "run")).union(rest)
 
 
 def merged(runs: list[int], length: int) -> list[tuple[int, int]]:
@@ -353,7 +404,7 @@ def merged(runs: list[int], length: int) -> list[tuple[int, int]]:
 
 
 def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                  group_runs: int = GROUP_RUNS, spans_col: str = "spans", kept_col: str = "kept", as_text: bool = False) -> DataFrame:
+                  order_rows: int = ORDER_ROWS, spans_col: str = "spans", kept_col: str = "kept", as_text: bool = False) -> DataFrame:
     """``docs`` with two columns more: ``spans`` array<struct<start, end>>, the
     maximal byte runs of the whole text that are covered by ``length``-byte
     strings which also start in a document of a smaller id, and ``kept`` binary,
@@ -370,6 +421,8 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The texts are scanned once for their runs (about one row of four numbers for
     17 bytes, copies within a task combined before the shuffle), and joined
     twice by id: to fetch the runs that need an order, and to cut the copies.
+    The runs that collapse first are equal by two 64-bit hashes, one of them of all
+    their bytes; everything after that compares the bytes themselves.
     """
     taken = {c.lower() for c in docs.columns}
     if {spans_col.lower(), kept_col.lower()} & taken:
@@ -378,7 +431,7 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     doc, tag, runs, cut_col = (fresh(docs, c) for c in ("lpf_doc", "lpf_tag", "lpf_runs", "lpf_cut"))
     keyed = (docs.withColumn(doc, F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
              .withColumn(tag, F.xxhash64(utf8(text_col)).bitwiseAND(F.lit((1 << TAG_BITS) - 1))))
-    found = copies(keyed.select(F.col(doc).alias("doc"), F.col(tag).alias("tag"), utf8(text_col).alias("text")), length, gram, group_runs)
+    found = copies(keyed.select(F.col(doc).alias("doc"), F.col(tag).alias("tag"), utf8(text_col).alias("text")), length, gram, order_rows)
     by_row = (found.groupBy(F.col("doc").alias(doc), F.expr(_runs_sql()["tag"]).alias(tag))
               .agg(F.collect_set("run").alias(runs)))
 

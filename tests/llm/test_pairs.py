@@ -182,7 +182,7 @@ def lpf_digest(df, **options):
 
 
 @pytest.mark.parametrize("seed", range(5))
-def test_copies_of_random_pieces(spark, monkeypatch, seed):
+def test_copies_of_random_pieces(spark, seed):
     rng = random.Random(seed)
     letters = ["a", "ab", "abc", "é", "ab\n"][seed] + "x"
     pieces = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 90))) for _ in range(6)]
@@ -194,7 +194,16 @@ def test_copies_of_random_pieces(spark, monkeypatch, seed):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = without_copies(rows)
     assert lpf_digest(df) == want
-    assert lpf_digest(df, group_runs=1) == want               # groups of two runs or more by the way for large ones
+    assert lpf_digest(df, order_rows=1) == want                # blocks as small as the batches: the rest falls to Spark's sort
+
+
+@pytest.mark.parametrize("n", [10, 2_000, 20_000])
+def test_group_of_one_passage_with_other_surroundings(spark, n):
+    """A passage of 70 bytes in every document, cut off by bytes of its own on both sides: one group of n different runs at either edge."""
+    passage = "".join(random.Random(4).choice("abcdefghij") for _ in range(70))
+    rows = [(d, f"{d * 7919 % 100_003:06d}{passage}{d % 7}{d * 104_729 % 1_000_003:07d}") for d in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert lpf_digest(df) == without_copies(rows)
 
 
 def test_copies_in_odd_documents(spark):
