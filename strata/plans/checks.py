@@ -16,7 +16,7 @@ from ..functions import scalars as X
 from ..operators.aggregates import TIE_ALL, TIE_FIRST, arg_min, group_min
 from ..operators.joins import either_key_join, lookup_join
 from ..operators.partitioning import spread
-from ..operators.selection import AS_WRITTEN, LATEST, select_days
+from ..operators.selection import AS_WRITTEN, LATEST, select_days, select_days_by_month, write_by_month
 from ..session import scratch_path
 from ..sinks import keyed
 from ..sinks.changes import pending
@@ -378,6 +378,19 @@ def select_days_both(spark, sf):
     return a.unionByName(b)
 
 
+def select_orders_by_month(spark, sf):
+    """L1, L2 over a stored table: the 50 first orders each way, from the months that hold them."""
+    o = t(spark, sf, "orders")
+    o = o.select(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.dayofmonth("o_orderdate").alias("d"),
+                 F.col("o_orderkey").cast("long").alias("order_key"))
+    path = scratch_path(spark, "orders-by-month")
+    write_by_month(o, path, "y", "m")
+    stored = spark.read.schema(o.schema).parquet(path)
+    each = [select_days_by_month(stored, 50, "y", "m", "d", order, ["order_key"])
+            .select(F.lit(order).alias("order_mode"), "y", "m", "d", "order_key") for order in (AS_WRITTEN, LATEST)]
+    return each[0].unionByName(each[1])
+
+
 # ---- sinks -----------------------------------------------------------------------
 EVENT_KEY = ["user_id", "event_type"]
 
@@ -794,6 +807,7 @@ QUERIES = {
     "arg_min_first": arg_min_first,
     "group_min": group_min_keys,
     "select_days": select_days_both,
+    "select_by_month": select_orders_by_month,
     "insert_ignore": insert_ignore,
     "upsert_all": upsert_all,
     "upsert_some": upsert_some,

@@ -277,6 +277,13 @@ WITH days AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_order
 UNION ALL
 (SELECT 'latest' AS order_mode, y, m, d, n_orders FROM days ORDER BY y DESC, m DESC, d DESC LIMIT 10)""",
 
+    "select_by_month": """
+WITH o AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
+                  CAST(day(o_orderdate) AS INTEGER) AS d, CAST(o_orderkey AS BIGINT) AS order_key FROM orders)
+(SELECT 'as_written' AS order_mode, y, m, d, order_key FROM o ORDER BY y, m, d DESC, order_key LIMIT 50)
+UNION ALL
+(SELECT 'latest' AS order_mode, y, m, d, order_key FROM o ORDER BY y DESC, m DESC, d DESC, order_key LIMIT 50)""",
+
     "insert_ignore": """
 SELECT user_id, event_type, event_id, value
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import arg_min, either_key_join, group_min, newest, select_days
+from strata.operators import arg_min, either_key_join, group_min, newest, select_days, select_days_by_month, write_by_month
 from strata.operators.aggregates import TIE_ALL, TIE_ERROR, TIE_FIRST
 from strata.operators.selection import AS_WRITTEN, LATEST
 from conftest import rows
@@ -88,3 +88,40 @@ def test_lookup_join_falls_back_to_shuffle_join(spark):
     assert rows(small) == rows(big) == rows(wide) and len(rows(big)) == 100
     assert "hint" not in wide._jdf.queryExecution().analyzed().toString().lower()
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def _by_month(spark, path, rows):
+    df = spark.createDataFrame(rows, "y int, m int, d int, k long")
+    write_by_month(df, path, "y", "m")
+    return df, spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def test_months_beyond_the_wanted_rows_are_not_opened(spark, tmp_path):
+    days = [(2020 + i // 24, i // 2 % 12 + 1, i % 2 + 1, i) for i in range(72)]            # two days a month, three years
+    path = str(tmp_path / "days")
+    df, stored = _by_month(spark, path, days)
+    for order, kept in ((AS_WRITTEN, {(2020, 1), (2020, 2), (2020, 3)}), (LATEST, {(2022, 12), (2022, 11), (2022, 10)})):
+        want = rows(select_days(df, 5, "y", "m", "d", order))
+        whole = {f: f.read_bytes() for f in (tmp_path / "days").rglob("*.parquet")
+                 if not any(f"y={y}/m={m}/" in str(f) for y, m in kept)}
+        for f in whole:                                       # a file that is opened now fails the query
+            f.write_bytes(b"no table")
+            crc = f.with_name(f".{f.name}.crc")
+            if crc.exists():
+                crc.unlink()
+        assert rows(select_days_by_month(stored, 5, "y", "m", "d", order)) == want
+        for f, data in whole.items():
+            f.write_bytes(data)
+
+
+def test_days_by_month_equal_days_of_the_whole_table(spark, tmp_path):
+    days = [(y, m, d, 10 * k + (d or 7)) for k, (y, m) in enumerate([(2021, 3), (None, 2), (2021, None), (2020, 12), (2022, 1)]) for d in (1, 1, 2, None)]
+    df, stored = _by_month(spark, str(tmp_path / "days"), days)
+    for order in (AS_WRITTEN, LATEST):
+        for n in (0, 1, 4, 5, 9, 19, 20, 50):
+            got, want = (f(x, n, "y", "m", "d", order, ["k"]) for f, x in ((select_days_by_month, stored), (select_days, df)))
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert select_days_by_month(stored, None, "y", "m", "d").count() == 20
+    write_by_month(df, str(tmp_path / "days"), "y", "m")                                   # a later write adds to the months
+    again = spark.read.schema(df.schema).parquet(str(tmp_path / "days"))
+    assert select_days_by_month(again, 3, "y", "m", "d", LATEST, ["k"]).count() == 3 and again.count() == 40

@@ -10,7 +10,7 @@ from strata.plans.checks import QUERIES
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 FAST = ["paged_feed", "resumed_walk", "number_text", "keyed_fetch", "json_unnest", "typed_fields", "strip_codes", "tag_list", "date_functions",
         "tag_lookup", "two_key_left", "either_key_join", "arg_min_ties", "arg_min_first", "group_min",
-        "select_days", "insert_ignore", "upsert_all", "upsert_some", "upsert_bucketed", "constraint_report",
+        "select_days", "select_by_month", "insert_ignore", "upsert_all", "upsert_some", "upsert_bucketed", "constraint_report",
         "quarantine_split", "conform_schema", "incremental_upsert", "daily_fact", "totd_tags", "collect_jobs",
         "arg_min_null_group", "upsert_after_failure", "upsert_hot_key", "constraint_nulls", "wrong_shape_documents",
         "collect_limited", "daily_fact_collisions", "refresh_content", "refresh_roles"]
