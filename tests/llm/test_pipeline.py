@@ -100,6 +100,6 @@ def test_language_stage_fills_but_never_changes_lang(spark):
 
 def test_every_operator_is_registered_once():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and [n for n, _ in C.STAGES] == [
         "language ID", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "packing"]
