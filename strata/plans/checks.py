@@ -196,6 +196,7 @@ def json_roundtrip(spark, sf):
                     X.text_to_date(D.field("j", "o_orderdate")).alias("order_date"))
 
 
+UNNEST_LINES = 500_000
 UNNEST_ELEMENT = "l_linenumber:string, l_suppkey:string, l_quantity:string, l_shipdate:string"
 
 
@@ -204,11 +205,15 @@ def json_unnest(spark, sf):
     without lines carry [] or NULL and vanish."""
     li = t(spark, sf, "lineitem")
     chunked = spread(li).withColumn("_chunk", (F.monotonically_increasing_id() / 16).cast("bigint"))
+    # dealt ahead of the lists, over tasks that grow in number with the lines: none sorts more of them as the table grows
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // UNNEST_LINES))
+    chunked = chunked.select("l_orderkey", "_chunk", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate").repartition(tasks, "l_orderkey", "_chunk")
     lists = chunked.groupBy("l_orderkey", "_chunk").agg(
         F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_quantity", "l_shipdate")).alias("l"))
     lined = lists.select("l_orderkey", D.to_text("l").alias("root_doc"),
                          D.to_text(F.struct(F.col("l").alias("tops"))).alias("key_doc"))
-    empty = (t(spark, sf, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    listed = li.select("l_orderkey").repartition(tasks, "l_orderkey")
+    empty = (t(spark, sf, "orders").repartition(tasks, "o_orderkey").join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
              .select(F.col("o_orderkey").alias("l_orderkey"),
                      F.when(F.col("o_orderkey") % 2 == 0, F.lit("[]")).alias("root_doc"),
                      F.when(F.col("o_orderkey") % 2 == 0, F.lit('{"tops": []}'))

@@ -71,3 +71,16 @@ def test_numbers_are_read_as_they_are_written(spark):
     assert {r.i: (r.a, r.b) for r in got} == {i: c[1:] for i, c in enumerate(cases)}
     bad = spark.createDataFrame([('{"a": 1.2.3}',), ("<html>1.0",), ("",), ('{"a": 01}',)], "j string")
     assert bad.filter(D.is_bad_json(D.numbers_as_text("j"))).count() == 4
+
+
+def test_lines_are_dealt_before_they_are_listed(spark, tmp_path, monkeypatch):
+    """Tasks grow in number with the lines; an order of many lines is dealt over several."""
+    from strata.plans import checks
+    spark.range(2_000).selectExpr("IF(id < 1500, 1, id) l_orderkey", "CAST(id AS INT) l_linenumber", "id l_suppkey", "CAST(id AS DOUBLE) l_quantity",
+                                  "TIMESTAMP '2020-01-02 00:00:00' l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1, 2).selectExpr("id o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(checks, "UNNEST_LINES", 100)
+    got = checks.json_unnest(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 20), REPARTITION_BY_NUM" in plan
+    assert got.count() == 4_000 and got.select("form", "l_linenumber").distinct().count() == 4_000
