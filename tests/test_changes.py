@@ -155,3 +155,75 @@ def test_a_second_refresh_parses_nothing_and_rewrites_no_bucket(spark, tmp_lake,
         monkeypatch.setattr(jobs, name, lambda *a, name=name, **k: parsed.append(name))
     jobs.Refresh(st, feeds, n=None).run(parallel=False)
     assert parsed == [] and files() == before
+
+
+# ---- a first run reads and writes nothing twice -------------------------------------
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_a_first_run_looks_no_key_up(spark, tmp_lake, buckets):
+    st = store_of(spark, tmp_lake, buckets)
+    st.upsert(SOURCE, docs(spark, [(1, 1, "x"), (None, 1, "n"), (None, 1, "m")]))
+    st.replace(TARGET, spark.createDataFrame([(1,)], TARGET.struct))
+    with changed(st, "job", SOURCE, TARGET) as found:
+        assert "Join" not in found.rows()._jdf.queryExecution().optimizedPlan().toString()
+        assert found.rows().count() == 3 and not st._names(f"{tmp_lake}/progress/job")     # marked in the end
+    st.upsert(SOURCE, docs(spark, [(1, 1, "y")]))
+    with changed(st, "job", SOURCE, TARGET) as found:          # one of the rows on (NULL, 1) was remembered
+        assert "Join" in found.rows()._jdf.queryExecution().optimizedPlan().toString()
+        assert found.keys.filter("a = 1").count() == 1 and found.keys.count() == 2
+
+
+def test_a_failed_first_run_marks_nothing(spark, tmp_lake):
+    st = store_of(spark, tmp_lake, 4)
+    st.upsert(SOURCE, docs(spark, [(1, 1, "x")]))
+    st.replace(TARGET, spark.createDataFrame([(1,)], TARGET.struct))
+    with pytest.raises(RuntimeError):
+        with changed(st, "job", SOURCE, TARGET):
+            raise RuntimeError("killed")
+    assert pending(st, "job", SOURCE, TARGET).count() == 1 and not st._names(f"{st.root}/_changed")
+
+
+def test_a_first_load_is_shuffled_once_and_coded(spark, tmp_lake, monkeypatch):
+    from strata.sinks import store as module
+    st = store_of(spark, tmp_lake, 4)
+    dealt = []
+    real = module.TableStore._write
+    monkeypatch.setattr(module.TableStore, "_write", lambda self, *a, as_dealt=False, **k: (dealt.append(as_dealt), real(self, *a, as_dealt=as_dealt, **k))[1])
+    st.upsert(SOURCE, docs(spark, [(i, 1, "x") for i in range(50)]))
+    st.upsert(SOURCE, docs(spark, [(i, 1, "y") for i in range(60)]))
+    assert dealt == [True, False] and st.read(SOURCE).filter("json_data = 'y'").count() == 60
+    assert all(".zstd." in f for f in st._read_raw(SOURCE).inputFiles())
+
+
+def test_a_feed_is_encoded_when_a_job_asks_for_it(spark, tmp_lake):
+    from strata.plans import encode
+    st = TableStore(spark, tmp_lake)
+    feeds = encode.encoded_feeds(spark, "/root/testdata/sf0.001", f"{tmp_lake}/feeds")
+    assert st._names(f"{tmp_lake}/feeds") == []
+    assert feeds.map_info.responses.count() > 0 and feeds.map_info.responses.count() > 0
+    assert st._names(f"{tmp_lake}/feeds") == ["map_info"]
+
+
+def test_listed_entries_meet_their_order_once(spark):
+    """Repeated customers, orders without entries or customer, entries without an order."""
+    import datetime
+    from strata.plans import encode
+    day = datetime.datetime(2020, 1, 2)
+    rows = spark.createDataFrame([(1, 1, "S", 7, 2.0, day, "R"), (1, 2, "T", 8, 3.0, day, "N"), (9, 1, "S", 7, 1.0, day, "A")],
+                                 "l_orderkey long, entry int, s_name string, l_suppkey long, l_quantity double, l_shipdate timestamp, l_returnflag string")
+    orders = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "o_orderkey long, o_custkey long")
+    customer = spark.createDataFrame([(5, "C"), (5, "C")], "c_custkey long, c_name string")
+    lists = encode.order_lists(rows, orders, customer)
+    board = encode.leaderboards(lists).collect()
+    assert [(r.map_uid, r.leaderboard_uid) for r in board] == [("m1", "lb5")]
+    assert board[0].json_data.startswith('{"tops":[{"player":{"name":"S","id":7},"time":2000.0,"timestamp":"2020-01-02T00:00:00+00:00"}')
+    own = '{"Username":"C","Role":""}'
+    assert {r.track_id: r.json_data for r in encode.authors(lists).collect()} == {
+        1: f'[{own},{own},{{"Username":"S","Role":"R"}},{{"Username":"T","Role":"N"}}]', 2: f"[{own},{own}]", 9: '[{"Username":"S","Role":"A"}]'}
+
+
+def test_shuffles_are_removed_while_a_refresh_runs(spark, tmp_lake, monkeypatch):
+    from strata.session import CLEANUP
+    before, seen = spark.conf.get(CLEANUP), []
+    monkeypatch.setattr(jobs.Refresh, "seed_reference", lambda self: seen.append(spark.conf.get(CLEANUP)))
+    jobs.Refresh(TableStore(spark, tmp_lake), None).run("seed_reference")
+    assert seen == ["true"] and spark.conf.get(CLEANUP) == before
