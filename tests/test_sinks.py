@@ -2,9 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata import schemas as S
+from strata.session import DEALT_BYTES, PARTITION_BYTES, SCAN_BYTES, small_tasks
 from strata.sinks import keyed
 from strata.sinks.constraints import check_constraints, conform_to, split_violations
 from strata.sinks.store import TableStore
+from strata.sources.feeds import keyed_fetch
+from strata.sources.transports import TableTransport
 from conftest import rows
 
 SCHEMA = "k int, v string, w int"
@@ -220,3 +223,68 @@ def test_store_refuses_other_bucket_count(spark, tmp_lake):
     TableStore(spark, tmp_lake, {spec.qualified: 2}).replace(spec, df(spark, [(1, "a", 1)]))
     with pytest.raises(ValueError):
         TableStore(spark, tmp_lake, {spec.qualified: 4}).read(spec)
+
+
+PAIR = S.TableSpec("conform", "pairs_of_text", (S.Col("k", "string"), S.Col("n", "int"), S.Col("doc", "string")), key=("k", "n"))
+
+
+def _not_ranked(*_, **__):
+    raise AssertionError("whole rows were ranked")
+
+
+def test_first_load_shuffles_only_keys(spark, tmp_lake, monkeypatch):
+    batch = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 1, "z"), (None, 1, "z")], PAIR.struct)
+    monkeypatch.setattr(keyed, "one_per_key", _not_ranked)
+    for buckets in ({}, {PAIR.qualified: 3}):
+        for write in ("insert_ignore", "upsert"):
+            st = TableStore(spark, f"{tmp_lake}/{write}-{len(buckets)}", buckets)
+            getattr(st, write)(PAIR, batch)
+            assert rows(st.read(PAIR)) == rows(batch)
+            assert st._names(f"{st.root}/_staged") == []
+
+
+def test_first_load_ranks_only_keys_on_several_rows(spark, tmp_lake):
+    batch = spark.createDataFrame([("a", 1, "y"), ("a", 1, "x"), ("b", 1, "z"), (None, 1, "v"), (None, 1, "u")], PAIR.struct)
+    expected = rows(keyed.merge_insert_ignore(S.empty(spark, PAIR), batch, ["k", "n"], ["doc"]))
+    for buckets in ({}, {PAIR.qualified: 3}):
+        st = TableStore(spark, f"{tmp_lake}/{len(buckets)}", buckets)
+        st.insert_ignore(PAIR, batch, order_by=["doc"])
+        assert rows(st.read(PAIR)) == expected and len(expected) == 4
+        other = TableStore(spark, f"{tmp_lake}/error-{len(buckets)}", buckets)
+        with pytest.raises(ValueError, match="two rows for one key"):
+            other.upsert(PAIR, batch)
+        assert not other.exists(PAIR)
+        other.upsert(PAIR, batch, on_duplicate=keyed.LAST, order_by=["doc"])
+        assert [r for r in rows(other.read(PAIR)) if r[0] == "a"] == [("a", 1, "y")]
+    st = TableStore(spark, f"{tmp_lake}/match")
+    st.insert_ignore(PAIR, batch, order_by=["doc"], null_keys=keyed.MATCH)
+    assert rows(st.read(PAIR)) == [("a", 1, "x"), ("b", 1, "z"), (None, 1, "u")]
+
+
+def test_upsert_of_whole_rows_looks_up_only_keys(spark):
+    stored = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), (None, 1, "v")], PAIR.struct)
+    batch = spark.createDataFrame([("a", 1, None), ("c", 1, "w"), (None, 1, "u")], PAIR.struct)
+    merged = keyed.merge_upsert(stored, batch, ["k", "n"])
+    assert "FullOuter" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(merged) == rows(spark.createDataFrame(
+        [("a", 1, None), ("b", 1, "y"), ("c", 1, "w"), (None, 1, "v"), (None, 1, "u")], PAIR.struct))
+
+
+def test_documents_stream_past_the_keys_they_are_fetched_for(spark):
+    docs = spark.range(1000).selectExpr("CAST(id AS STRING) AS map_uid", "'{}' AS json_data")
+    got = keyed_fetch(docs.select("map_uid"), TableTransport(docs, ("map_uid",), "json_data"), ["map_uid"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildLeft" in plan and "SortMergeJoin" not in plan
+    assert got.count() == 1000
+
+
+def test_small_tasks_only_refine_settings_and_put_them_back(spark):
+    scan, dealt, parts = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    before = [spark.conf.get(c) for c in (scan, dealt, parts)]
+    spark.conf.set(dealt, "1m")
+    with small_tasks(spark, 100 * PARTITION_BYTES):
+        assert (spark.conf.get(scan), spark.conf.get(dealt), spark.conf.get(parts)) == (f"{SCAN_BYTES}b", f"{1 << 20}b", "100")
+    spark.conf.unset(dealt)
+    with small_tasks(spark):
+        assert (spark.conf.get(dealt), spark.conf.get(parts)) == (f"{DEALT_BYTES}b", before[2])
+    assert [spark.conf.get(c) for c in (scan, dealt, parts)] == before
