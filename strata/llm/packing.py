@@ -9,6 +9,7 @@ grows with the number of pieces, so no task holds more than a bounded share.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -26,6 +27,11 @@ END_ID = 1
 #: Pieces of a packing group on average: enough that best fit leaves little open.
 GROUP_PIECES = 20_000
 
+#: Pre-tokens that a worker remembers, about 200 MB of them.
+REMEMBERED = 2 * CACHE
+#: Characters of texts whose pre-tokens are held and learnt together; a longer text goes alone.
+LEARN_CHARS = 500_000
+
 
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
@@ -36,7 +42,8 @@ class Encoder:
     default.
     """
 
-    def __init__(self, spec: bytes, cache_size: int = CACHE):
+    def __init__(self, spec: bytes, cache_size: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"         # a task has one core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec.decode())
         self.tok.no_padding()
@@ -55,6 +62,27 @@ class Encoder:
         return b"".join([self.special_ids[p] if k % 2 else self.plain(p)
                          for k, p in enumerate(self.special.split(text))])
 
+    def learn(self, words: set[str]) -> None:
+        """Has the library encode those not remembered in one call, which costs less than one each."""
+        new = [w for w in words if w not in self.ids]
+        if new and len(self.ids) + len(new) <= self.ids.size:
+            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
+                self.ids[w] = array("I", e.ids).tobytes()
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """``encode`` of each text; the new pre-tokens of several texts are learnt together."""
+        at = 0
+        while at < len(texts):
+            end, left = at, LEARN_CHARS
+            while end < len(texts) and (end == at or left >= len(texts[end])):
+                left -= len(texts[end])
+                end += 1
+            cut = [None if self.special and self.special.search(t) else pre_tokens(t) for t in texts[at:end]]
+            self.learn({w for words in cut if words for w in words})
+            for t, words in zip(texts[at:end], cut):
+                yield self.encode(t) if words is None else b"".join(map(self.ids.__getitem__, words))
+            at = end
+
 
 _ENCODERS: dict[int, Encoder] = {}
 
@@ -138,9 +166,8 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, window:
 
     def run(batch: dict) -> dict:
         out: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
-        encode = encoder_of(spec.value).encode
-        for doc, text in zip(batch["doc_id"], batch["text"]):
-            ids = encode(text) + end
+        for doc, encoded in zip(batch["doc_id"], encoder_of(spec.value).encode_all(batch["text"])):
+            ids = encoded + end
             for at in range(0, len(ids), step):
                 piece = ids[at:at + step]
                 for c, v in (("doc_id", doc), ("start", at // 4), ("length", len(piece) // 4),

@@ -52,6 +52,26 @@ def test_token_counts(spark, library, clash):
     assert bpe.token_counts(no_documents(spark), PATH).count() == 0
 
 
+def test_texts_encoded_together_are_encoded_alike(library, monkeypatch):
+    texts = ["", "one two  three", "<|endoftext|> \n x", "ab " * 400, "\u4e2d \u00e9 's", "one", "two three", "x" * 300, " \n \n"]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    with open(PATH, "rb") as f:
+        spec = f.read()
+    for chars, size in ((1, 500), (700, 500), (10**6, 500), (10**6, 3)):
+        monkeypatch.setattr(packing, "LEARN_CHARS", chars)
+        got = list(packing.Encoder(spec, cache_size=size).encode_all(texts))
+        assert [list(memoryview(x).cast("I")) for x in got] == expected
+
+
+def test_new_words_of_several_texts_are_encoded_in_one_call(monkeypatch):
+    with open(PATH, "rb") as f:
+        encoder = packing.Encoder(f.read())
+    words = []
+    encoder.ids.make = words.append
+    list(encoder.encode_all(["one two", "two three", "three one"]))
+    assert not words
+
+
 def check_packing(rows, docs, library, window=2048):
     want = collections.Counter()
     for d, t, *_ in docs:
