@@ -227,3 +227,46 @@ def test_shuffles_are_removed_while_a_refresh_runs(spark, tmp_lake, monkeypatch)
     monkeypatch.setattr(jobs.Refresh, "seed_reference", lambda self: seen.append(spark.conf.get(CLEANUP)))
     jobs.Refresh(TableStore(spark, tmp_lake), None).run("seed_reference")
     assert seen == ["true"] and spark.conf.get(CLEANUP) == before
+
+
+def test_digests_tell_where_a_null_and_an_element_stands(spark, tmp_lake):
+    spec = TableSpec("conform", "wide", (Col("k", "int"), Col("a", "string"), Col("b", "string"), Col("l", "array<int>")), key=("k",))
+    st = TableStore(spark, tmp_lake, digested=(spec.qualified,))
+    rows = [("x", None, None), (None, "x", None), ("x", "", None), ("", "x", None), ("xx", "", None), (None, None, []), (None, None, None),
+            (None, None, [None]), (None, None, [1]), (None, None, [1, None]), (None, None, [None, 1])]
+    st.upsert(spec, spark.createDataFrame([(i, *r) for i, r in enumerate([*rows, rows[0]])], spec.struct))
+    found = dict(st.digests(spec).collect())
+    assert len(set(found.values())) == len(rows) and found[0] == found[len(rows)]
+    assert all(0 < len(d) <= 16 for d in found.values())
+
+
+def test_responses_are_not_stored_beside_the_layers(spark, tmp_lake):
+    """What a refresh stores of a feed are its collect tables; only rows that feeds share are landed."""
+    from strata.plans import encode
+    st = TableStore(spark, f"{tmp_lake}/lake")
+    jobs.Refresh(st, encode.encoded_feeds(spark, "/root/testdata/sf0.001", f"{tmp_lake}/feeds"), n=None).run("totd", parallel=False)
+    assert sorted(st._names(f"{tmp_lake}/feeds")) == ["_listed", "map_info"]
+    landed = spark.read.parquet(f"{tmp_lake}/feeds/_listed").columns + spark.read.parquet(f"{tmp_lake}/feeds/map_info").columns
+    assert "json_data" not in landed and st.read(S.CONSUME_TOTD).count() > 0
+
+
+def test_map_info_is_dealt_before_it_is_encoded(spark):
+    from strata.plans import encode
+    from strata.sources.feeds import keyed_fetch, responses
+    from strata.sources.transports import TableTransport
+    orders = encode.read_table(spark, "/root/testdata/sf0.001", "orders")
+    made = TableTransport(encode.map_info(orders), ("map_uid",), "json_data")
+    got = responses(keyed_fetch(made.responses.select("map_uid"), made, ["map_uid"]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    encoded = [i for i, line in enumerate(plan) if "StructsToJson" in line]
+    dealt = [i for i, line in enumerate(plan) if "RepartitionByExpression [map_uid" in line]
+    assert len(encoded) == 1 and any(i > encoded[0] for i in dealt)
+    assert got.count() == orders.count()
+
+
+def test_lines_are_dealt_once_to_be_listed(spark):
+    from strata.plans import encode
+    t = lambda n: encode.read_table(spark, "/root/testdata/sf0.001", n)
+    rows = encode.leaderboard_rows(t("lineitem"), t("supplier"))
+    plan = rows.groupBy("l_orderkey").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(l_orderkey" in plan
