@@ -15,6 +15,8 @@ from strata.llm import decontam, langid, lpf, packing, simhash
 from strata.llm.common import fresh, prepare, read_table, written
 
 VOCABULARY = "byte_bpe_50k.json"
+#: Pre-tokens that a worker keeps, about 50 MB of them: it goes on to hold what the other stages need.
+REMEMBERED = packing.REMEMBERED // 4
 
 
 def columns_of(docs: DataFrame) -> list:
@@ -64,7 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document, cut and packed into training sequences."""
     prepare(spark)
-    return packing.pack(docs, public_tokenizers.path(VOCABULARY))
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY), remembered=REMEMBERED)
 
 
 STAGES = [

@@ -84,14 +84,14 @@ class Encoder:
             at = end
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple[int, int], Encoder] = {}
 
 
-def encoder_of(spec: bytes) -> Encoder:
-    key = hash(spec)
+def encoder_of(spec: bytes, remembered: int = REMEMBERED) -> Encoder:
+    key = hash(spec), remembered
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(spec)
+        _ENCODERS[key] = Encoder(spec, remembered)
     return _ENCODERS[key]
 
 
@@ -157,7 +157,7 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     return [packer.place(n) for n in lengths]
 
 
-def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, window: int) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, window: int, remembered: int = REMEMBERED) -> DataFrame:
     """Each document's ids, end id included, cut into full windows and a rest:
     (doc_id, start, length, ids_crc32, doc_tokens)."""
     with open(vocabulary, "rb") as f:
@@ -166,7 +166,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, window:
 
     def run(batch: dict) -> dict:
         out: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
-        for doc, encoded in zip(batch["doc_id"], encoder_of(spec.value).encode_all(batch["text"])):
+        for doc, encoded in zip(batch["doc_id"], encoder_of(spec.value, remembered).encode_all(batch["text"])):
             ids = encoded + end
             for at in range(0, len(ids), step):
                 piece = ids[at:at + step]
@@ -180,7 +180,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, window:
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, group_pieces: int = GROUP_PIECES) -> DataFrame:
+         window: int = WINDOW, group_pieces: int = GROUP_PIECES, remembered: int = REMEMBERED) -> DataFrame:
     """Pack every document of ``docs`` into windows of at most ``window`` tokens.
 
     One row per piece: doc_id, start (its document's ids before it), length,
@@ -195,9 +195,10 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     groups by a hash of the piece and that number, which tells equal pieces apart.  A group holds ``group_pieces`` rows on average whatever the
     input's size and whichever documents are long, since each piece is dealt on
     its own.  Full windows are sequences as they are and skip the packing.
+    ``remembered``: pre-tokens whose ids a worker keeps; fewer cost time, not results.
     """
     spark = docs.sparkSession
-    cut = written(pieces(docs, vocabulary, id_col, text_col, window).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    cut = written(pieces(docs, vocabulary, id_col, text_col, window, remembered).withColumn("row", F.monotonically_increasing_id()), "pieces")
     rest = cut.filter(F.col("length") < window)
     groups = max(1, -(-rest.count() // group_pieces))
     dealt = (rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(groups))).drop("row")

@@ -103,3 +103,20 @@ def test_every_operator_is_registered_once():
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and [n for n, _ in C.STAGES] == [
         "language ID", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "packing"]
+
+
+def test_the_last_stage_remembers_less_and_packs_the_same(spark, tmp_path, monkeypatch):
+    """A worker of the pipeline holds what other stages need too."""
+    from strata.llm import packing
+    asked, real = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **k: (asked.append(k.get("remembered")), real(*a, **k))[1])
+    docs = spark.createDataFrame([(i, f"word{i % 7} und so weiter {i}" * (i % 40)) for i in range(60)], "doc_id long, text string")
+    packed = C.pack_documents(spark, docs, str(tmp_path))
+    assert asked and 0 < asked[0] <= packing.REMEMBERED // 4
+    whole = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    few = real(docs, public_tokenizers.path(VOCABULARY), remembered=3)
+    more = real(docs, public_tokenizers.path(VOCABULARY))
+    assert bag(packed.select(*whole).collect()) == bag(few.select(*whole).collect()) == bag(more.select(*whole).collect())
+    with open(public_tokenizers.path(VOCABULARY), "rb") as f:
+        spec = f.read()
+    assert packing.encoder_of(spec, 3).ids.size == 3 and packing.encoder_of(spec).ids.size == packing.REMEMBERED
