@@ -12,9 +12,12 @@ company its keys have, counted over all sets, and the cheapest allotment is take
 that can allot H + 1 without company has no partner; a subset that many unrelated
 sets share, or an empty one, is asked only by a set that has no other way.
 
-Sets that meet under an asked key are candidates.  They are compared, shingle by
-shingle, with a growing number of leaders of the key; sets already connected are not
-compared again, so a key of n near copies costs n comparisons and not n squared.
+Sets that meet under an asked key are candidates for a growing number of leaders of the
+key; sets already connected are not compared again, so a key of n near copies costs n
+comparisons and not n squared.  A set carries the parity of its shingles in each of some
+hundred bins.  Every shingle that only one of two sets has turns one bin, so sets whose
+parities differ in more than H bins can't be linked and never become a pair.  The
+others are compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -39,7 +42,9 @@ RESERVE = 16
 #: Company is counted up to here; keys with more cost the same.
 COMPANY = 256
 #: Leaders of a key in the first round of comparisons, and by how much they grow.
-LEADERS, GROWTH = 1, 8
+LEADERS, GROWTH = 1, 32
+#: Bins of a set's parities: between these, and two to four for each shingle.
+BINS = 256, 8192
 #: Comparisons with one set that one task makes; more are dealt over several tasks.
 DEAL = 500
 
@@ -154,21 +159,53 @@ def allotment(n: int, percent: int, costs: dict[tuple[int, int], int]) -> set[tu
     return chosen
 
 
+# ---- parities -----------------------------------------------------------------
+def bins(n: int) -> int:
+    """How many bins a set of size ``n`` has, a power of two."""
+    return min(max(BINS[0], 2 << n.bit_length()), BINS[1])
+
+
+def parities(hashes: np.ndarray) -> bytes:
+    """Whether each bin holds an odd number of the set's shingles, one bit each."""
+    w = bins(len(hashes))
+    place = (mixed(hashes, _C) >> np.uint64(20)) & np.uint64(w - 1)
+    return np.packbits((np.bincount(place.astype(np.int64), minlength=w) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(parity: int, wide: int, narrow: int) -> int:
+    """Parities of ``wide`` bins as the same set has them in ``narrow`` ones."""
+    while wide > narrow:
+        wide //= 2
+        parity = (parity >> wide) ^ (parity & (1 << wide) - 1)
+    return parity
+
+
+def too_far(n: int, own: int, m: int, other: int, percent: int) -> bool:
+    """True when sets of these sizes and parities can't be linked."""
+    if min(n, m) * 100 < max(n, m) * percent:
+        return True
+    w, v = bins(n), bins(m)
+    if w != v:
+        own, other = folded(own, w, min(w, v)), folded(other, v, min(w, v))
+    return (own ^ other).bit_count() > most_apart(n, m, percent)
+
+
 # ---- Spark steps ------------------------------------------------------------------
-_SETS = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
+_SETS = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("parity", pa.binary())])
 
 
 def _summaries(k: int):
-    """Size and 128 bits of each row's set."""
+    """Size, 128 bits and parities of each row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, h1, h2 = [], [], []
+            n, h1, h2, parity = [], [], [], []
             for text in b.column(1).to_pylist():
                 h = shingle_hashes(text, k)
                 n.append(len(h))
                 h1.append(int(mixed(h, _B).sum(dtype=np.uint64).view(np.int64)))
                 h2.append(int(mixed(h + _A, _C).sum(dtype=np.uint64).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n, h1, h2))], schema=_SETS)
+                parity.append(parities(h))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), pa.array(parity, pa.binary())], schema=_SETS)
 
     return run
 
@@ -243,7 +280,7 @@ def _company(most: int):
 
 def _allot(percent: int):
     """Each set's asks that have company -> the keys it must ask."""
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -259,7 +296,7 @@ def _allot(percent: int):
                     elif a["company"]:
                         costs[a["unit"], 1] = costs.get((a["unit"], 1), 0) + a["company"]
                 chosen = allotment(n, percent, costs)
-                out += {(a["key"], i, n) for a in asks if (a["unit"], 1) in chosen or (a["kind"] & ASKS and (a["unit"], 0) in chosen)}
+                out += {(a["key"], i, size) for a in asks if (a["unit"], 1) in chosen or (a["kind"] & ASKS and (a["unit"], 0) in chosen)}
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
 
@@ -272,22 +309,23 @@ _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def _candidates(skip: int, leaders: int, percent: int):
     """Of rows sorted by key, askers first (``asks`` 2 or 3): each row with those of ``leaders``
     leaders of its key, after the first ``skip``, that are not connected with it and
-    not too far from its size.  A row with null a says that the key has more leaders."""
+    not too far from its size and parities.  A row with null a says that the key has more leaders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = None
         place, ahead, beyond, apart, group, more = 0, [], False, False, None, False
         for b in batches:
             pairs = set()
-            for k, asks, i, n, c in zip(*(b.column(x).to_pylist() for x in ("key", "asks", "id", "n", "component"))):
+            for k, asks, i, size, c, parity in zip(*(b.column(x).to_pylist() for x in ("key", "asks", "id", "size", "component", "parity"))):
                 if k != key:
                     key, group = k, c
                     place, ahead, beyond, apart = 0, [], False, False
-                for j, jn, jc in ahead:
-                    if c != jc and min(n, jn) * 100 >= max(n, jn) * percent and ((n, i) < (jn, j) or asks >= 2):
+                n, own = size & 0xFFFFFFFF, int.from_bytes(parity, "little")
+                for j, jn, jc, other in ahead:
+                    if c != jc and ((n, i) < (jn, j) or asks >= 2) and not too_far(n, own, jn, other, percent):
                         pairs.add((min(i, j), max(i, j)))
                 if place >= skip and asks >= 2:
                     if len(ahead) < leaders:
-                        ahead.append((i, n, c))
+                        ahead.append((i, n, c, own))
                     else:
                         beyond = True
                 apart = apart or c != group
@@ -329,7 +367,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     """Of ``pairs`` (a, b) those whose sets are linked, by the shingles themselves.
     The comparisons with one set are dealt over several tasks when there are many."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = written(texts.join(asked, "id", "left_semi").distinct(), "jaccard-texts")
+    own = written(texts.join(asked, "id", "left_semi"), "jaccard-texts", free=False)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("parts"))
     leading = (parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
                .join(own.withColumnRenamed("id", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text"))
@@ -339,39 +377,42 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
             .mapInArrow(_verify(k, percent), "a long, b long").distinct())
 
 
-def links(texts: DataFrame, reps: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def links(texts: DataFrame, reps: DataFrame, sketches: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between the documents ``reps`` (id long) of ``texts`` (id long, text
-    binary) that connect what all pairs of ``percent`` % or more would connect."""
-    listed = (texts.join(reps, "id", "left_semi").distinct()
-              .mapInArrow(_listing(k, percent), "key long, kind int, unit int, id long, size long"))
+    binary) that connect what all pairs of ``percent`` % or more would connect.
+    ``sketches`` (id, size, parity): the parities of each set."""
+    own = written(texts.join(reps, "id", "left_semi").distinct(), "jaccard-texts")
+    listed = (own.mapInArrow(_listing(k, percent), "key long, kind int, unit int, id long, size long"))
     met = written(listed.repartition("key").sortWithinPartitions("key").mapInArrow(
         _company(COMPANY), "key long, kind int, unit int, id long, size long, company int, wider int"), "jaccard-keys")
     asks = (met.filter("company > 0 OR wider > 0").groupBy("id", "size")
             .agg(F.collect_list(F.struct("key", "kind", "unit", "company", "wider")).alias("asks"))
-            .mapInArrow(_allot(percent), "key long, id long, n long"))
+            .mapInArrow(_allot(percent), "key long, id long, size long"))
     asks = written(asks, "jaccard-asks", free=False)
-    named = met.filter(f"kind & {LISTED | NEAR} > 0").select("key", "id", F.expr("size & 4294967295L").alias("n")).join(
+    named = met.filter(f"kind & {LISTED | NEAR} > 0").select("key", "id", "size").join(
         asks.select("key").distinct(), "key", "left_semi").withColumn("asks", F.lit(1)).unionByName(asks.withColumn("asks", F.lit(2)))
-    meeting = written(named.repartition("key").groupBy("key", "id", "n").agg(F.bit_or("asks").alias("asks")), "jaccard-meeting", free=False)
+    meeting = named.groupBy("key", "id", "size").agg(F.bit_or("asks").alias("asks"))
+    meeting = written(meeting.join(sketches, ["id", "size"]), "jaccard-meeting")
     order = ("key", F.col("asks").desc(), "id")
-    found = tested = None
+    found = tested = groups = None
     skip, leaders = 0, LEADERS
     while True:
-        if found is None:
+        if groups is None:
             named = meeting.withColumn("component", F.col("id"))
         else:
-            groups = components(found, free=False).withColumnRenamed("node", "id")
             named = meeting.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        met = named.repartition("key").sortWithinPartitions(*order).select("key", "asks", "id", "n", "component")
+        met = named.repartition("key").sortWithinPartitions(*order).select("key", "asks", "id", "size", "component", "parity")
         met = met.mapInArrow(_candidates(skip, leaders, percent), "a long, b long").distinct()
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
-        met = written(met, "jaccard-candidates", free=False)
+        met = written(met, "jaccard-candidates")
         pairs = met.filter("a IS NOT NULL")
-        new = written(verified(pairs, texts, k, percent), "jaccard-links", free=False)
+        new = written(verified(pairs, own, k, percent), "jaccard-links", free=False)
         found, tested = (new, pairs) if found is None else (found.union(new), tested.union(pairs))
         if not met.filter("a IS NULL").limit(1).count():
             return found
+        if new.limit(1).count():
+            groups = components(found, free=False).withColumnRenamed("node", "id")
         skip, leaders = skip + leaders, leaders * GROWTH
 
 
@@ -393,14 +434,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 < percent <= 100:
         raise ValueError("percent must lie above 0 and not above 100")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
-    sets = written(rows.mapInArrow(_summaries(k), "doc long, n long, h1 long, h2 long"), "jaccard-sets")
+    sets = written(rows.mapInArrow(_summaries(k), "doc long, n long, h1 long, h2 long, parity binary"), "jaccard-sets")
     own = sets.filter("n > 0 AND doc IS NOT NULL")
     classes = own.groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"))
     named = written(own.join(classes, ["n", "h1", "h2"]).select("doc", "rep"), "jaccard-classes", free=False)
     least = named.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
     # an id on different texts connects their classes
     again = named.join(least.filter("rep < last").select("doc", F.col("rep").alias("b")), "doc").filter("rep > b").select(F.col("rep").alias("a"), "b")
-    found = links(rows.filter("id IS NOT NULL"), named.select(F.col("rep").alias("id")).distinct(), k, percent)
+    size = F.col("n").bitwiseOR(F.shiftleft(F.shiftrightunsigned("h1", 33), 32))
+    sketches = own.select(F.col("doc").alias("id"), size.alias("size"), "parity").distinct()
+    found = links(rows.filter("id IS NOT NULL"), named.select(F.col("rep").alias("id")).distinct(), sketches, k, percent)
     groups = components(found.union(again), free=False).withColumnRenamed("node", "rep")
     place = least.join(groups, "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
     return (sets.join(place, "doc", "left")

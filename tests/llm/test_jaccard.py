@@ -111,6 +111,41 @@ def test_a_key_of_many_unrelated_sets(spark, monkeypatch):
     assert bag(got.collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_parities_never_part_linked_sets(percent):
+    """Sets as far apart as a link allows, of sizes on both sides of a change in the number of bins."""
+    rng = np.random.default_rng(percent)
+    parted = widths = 0
+    for _ in range(1500):
+        n = int(rng.choice([1, 3, 60, 130, 250, 260, 520, 1020, 1030, 5000]))
+        whole = rng.integers(0, 2**63, n).astype(np.uint64)
+        drop = rng.choice([0, .05, .1, .2, .5])
+        a, b = (np.unique(np.concatenate((whole[rng.random(n) > drop], rng.integers(0, 2**63, rng.integers(0, n // 6 + 1)).astype(np.uint64)))) for _ in range(2))
+        if not len(a) or not len(b):
+            continue
+        x, y = (int.from_bytes(J.parities(h), "little") for h in (a, b))
+        common = len(np.intersect1d(a, b))
+        far = J.too_far(len(a), x, len(b), y, percent)
+        widths += J.bins(len(a)) != J.bins(len(b))
+        if 100 * common >= percent * (len(a) + len(b) - common):
+            assert not far
+        parted += far
+    assert parted > 100 and widths > 10
+
+
+def test_sets_that_share_a_key_only_are_no_pairs(spark, monkeypatch):
+    """As many pairs are compared as there are copies, however many unrelated texts share a passage with them."""
+    rng = random.Random(12)
+    passage = prose(rng, 40)
+    rows = [(i, passage + " " + prose(rng, 30)) for i in range(60)]
+    rows += [(100 + i, rows[5][1] + f" end{i}") for i in range(30)]
+    compared, verified = [], J.verified
+    monkeypatch.setattr(J, "verified", lambda pairs, *a: compared.append(pairs.count()) or verified(pairs, *a))
+    got = J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert bag(got.collect()) == brute(rows)
+    assert sum(compared) <= 2 * len(rows)
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_odd_documents(spark, clash):
     got = J.near_duplicates(odd_documents(spark, clash))
