@@ -270,3 +270,17 @@ def test_lines_are_dealt_once_to_be_listed(spark):
     rows = encode.leaderboard_rows(t("lineitem"), t("supplier"))
     plan = rows.groupBy("l_orderkey").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(l_orderkey" in plan
+
+
+def test_the_second_refresh_runs_each_step_once(spark, monkeypatch):
+    from strata.plans import checks
+    ran = []
+    for step in jobs.Refresh.ORDER:
+        real = getattr(jobs.Refresh, step)
+        monkeypatch.setattr(jobs.Refresh, step, lambda self, real=real, step=step: (ran.append(step), real(self))[1])
+    monkeypatch.setattr(checks, "_CHANGED", {})
+    store, taken = checks._refreshed_in_part(spark, "/root/testdata/sf0.001")
+    assert sorted(ran) == sorted(2 * jobs.Refresh.ORDER)
+    # taken in: the documents of every seventh order in whose later feed a time is another (every third order, every second player)
+    keys = [int(r.map_uid[1:]) for r in taken.collect()]
+    assert keys and all(k % 21 == 0 for k in keys) and len(keys) == len(set(keys))
