@@ -272,6 +272,32 @@ def test_lines_are_dealt_once_to_be_listed(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(l_orderkey" in plan
 
 
+def test_pages_are_dealt_before_they_are_encoded(spark):
+    """However few row groups the orders have, the pages are encoded by as many tasks as they are dealt to."""
+    from strata.plans import encode
+    orders, customer = (encode.read_table(spark, "/root/testdata/sf0.001", n) for n in ("orders", "customer"))
+    pages = encode.daily_pages(orders, customer)
+    plan = pages._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    encoded = [i for i, line in enumerate(plan) if "to_json" in line or "StructsToJson" in line]
+    dealt = [i for i, line in enumerate(plan) if "RepartitionByExpression [o_orderkey" in line]
+    assert len(encoded) == 1 and len(dealt) == 1 and dealt[0] > encoded[0]
+    assert pages.count() == orders.join(customer, orders.o_custkey == customer.c_custkey).count()
+
+
+@pytest.mark.parametrize("rows", [0, 1, 300])
+def test_what_was_taken_in_is_held_not_sorted(spark, tmp_lake, rows):
+    st = store_of(spark, tmp_lake)
+    st.upsert(SOURCE, docs(spark, [(i, 1, "x") for i in range(300)] + [(None, 1, "n")]))
+    st.replace(TARGET, spark.createDataFrame([(1,)], TARGET.struct))
+    with changed(st, "job", SOURCE, TARGET):
+        pass
+    st.upsert(SOURCE, docs(spark, [(i, 1, "y") for i in range(rows)] + [(1000, 1, "new")]))
+    left = pending(st, "job", SOURCE, TARGET)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r.a for r in left.collect()) == [*range(rows), 1000]
+
+
 def test_the_second_refresh_runs_each_step_once(spark, monkeypatch):
     from strata.plans import checks
     ran = []

@@ -288,3 +288,26 @@ def test_small_tasks_only_refine_settings_and_put_them_back(spark):
     with small_tasks(spark):
         assert (spark.conf.get(dealt), spark.conf.get(parts)) == (f"{DEALT_BYTES}b", before[2])
     assert [spark.conf.get(c) for c in (scan, dealt, parts)] == before
+
+
+def test_small_tasks_deal_several_tasks_a_core(spark):
+    from strata.session import TASKS_PER_CORE
+    least, grouped = "spark.sql.adaptive.coalescePartitions.minPartitionNum", "spark.sql.execution.replaceHashWithSortAgg"
+    before = [spark.conf.get(c, None) for c in (least, grouped)]
+    wanted = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    with small_tasks(spark):
+        assert (spark.conf.get(least), spark.conf.get(grouped)) == (str(wanted), "true")
+    spark.conf.set(least, str(wanted + 1))                  # no setting is made coarser
+    with small_tasks(spark):
+        assert spark.conf.get(least) == str(wanted + 1)
+    spark.conf.unset(least)
+    assert [spark.conf.get(c, None) for c in (least, grouped)] == before
+
+
+def test_stored_keys_are_held_not_sorted(spark):
+    stored = spark.createDataFrame([("a", 1, "x"), (None, 1, "v")], PAIR.struct)
+    batch = spark.createDataFrame([("a", 1, "no"), ("c", 1, "second"), ("c", 1, "first"), (None, 1, "u"), (None, 1, "u")], PAIR.struct)
+    new = keyed.new_rows(stored, batch, ["k", "n"], [batch.columns[-1]])
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(new) == rows(spark.createDataFrame([("c", 1, "first"), (None, 1, "u"), (None, 1, "u")], PAIR.struct))
